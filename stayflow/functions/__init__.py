@@ -9,4 +9,4 @@ from stayflow.functions.dates import (  # noqa: F401
     day_name, is_weekend, month_start, months_between_boundaries, years_between_boundaries,
     weekday_order,
 )
-from stayflow.functions.ratios import band, div0, least_strict, safe_div  # noqa: F401
+from stayflow.functions.ratios import avg_exact, band, div0, least_strict, round_half_up, safe_div  # noqa: F401

@@ -13,14 +13,24 @@ def _col(c: str | Column) -> Column:
 
 
 def div0(a: str | Column, b: str | Column) -> Column:
-    """a / b, 0 when b is 0, NULL when either side is NULL."""
+    """a / b as double, 0 when b is 0, NULL when either side is NULL."""
     a, b = _col(a), _col(b)
-    return F.when(b.isNull() | a.isNull(), F.lit(None)).when(b == 0, F.lit(0.0)).otherwise(a / b)
+    return F.when(b.isNull() | a.isNull(), F.lit(None)).when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b)
 
 
 def safe_div(a: str | Column, b: str | Column) -> Column:
-    """a / nullif(b, 0): NULL instead of an error when b is 0."""
-    return _col(a) / F.nullif(_col(b), F.lit(0))
+    """a / nullif(b, 0) as double: NULL instead of an error when b is 0."""
+    return _col(a).cast("double") / F.nullif(_col(b), F.lit(0))
+
+
+def avg_exact(c: str | Column) -> Column:
+    """Mean as the exact sum divided by the non-NULL count, in double.
+
+    For decimal inputs Spark's ``avg`` rounds to a fixed scale first; dividing
+    the exact decimal sum once avoids rounding twice when the result is rounded
+    again for presentation. NULL when there is nothing to average."""
+    x = _col(c)
+    return F.sum(x).cast("double") / F.nullif(F.count(x), F.lit(0))
 
 
 def least_strict(*cols: str | Column) -> Column:
@@ -50,3 +60,12 @@ def band(c: str | Column, bounds: Sequence[tuple[float, str]], top_label: str,
         cond = (x <= upper) if inclusive else (x < upper)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return F.lit(top_label) if expr is None else expr.otherwise(F.lit(top_label))
+
+
+def round_half_up(c: str | Column, places: int) -> Column:
+    """Round to ``places`` half-up through DECIMAL(38,9), as double.
+
+    Rounding a binary double directly decides exact ties (a mean of cents over
+    8 or 24 rows) by representation noise; passing through a 9-place decimal
+    first makes such ties exact and resolves them half-up."""
+    return F.round(_col(c).cast("decimal(38,9)"), places).cast("double")

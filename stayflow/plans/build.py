@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.dates import month_start, years_between_boundaries
-from stayflow.functions.ratios import div0
+from stayflow.functions.ratios import avg_exact, div0
 from stayflow.functions.text import (
     contains_ci, flag_names, leading_number, mask_pii, money_to_decimal, sentinel_to_null, surrogate_key,
 )
@@ -164,7 +164,7 @@ def int_reservations(daily: DataFrame) -> DataFrame:
         booked, ["listing_id", "reservation_id"], "calendar_date",
         extra_aggs=[
             F.sum("revenue").alias("reservation_revenue"),
-            F.avg("price").alias("avg_nightly_price"),
+            avg_exact("price").alias("avg_nightly_price"),
             F.bool_or("is_deleted").alias("is_deleted"),
         ],
         first_col="check_in_date", last_col="last_night_date", count_col="nights",
@@ -192,7 +192,7 @@ def int_hosts(listings: DataFrame, daily: DataFrame, reservations: DataFrame, ve
     complete = ~(F.col("is_left_censored") | F.col("is_right_censored"))
     stays = reservations.groupBy("listing_id").agg(
         F.count(F.lit(1)).alias("reservations"),
-        F.avg(F.when(complete, F.col("nights"))).alias("avg_nights_per_stay"),
+        avg_exact(F.when(complete, F.col("nights"))).alias("avg_nights_per_stay"),
         F.sum(F.when(complete, F.col("nights"))).alias("complete_nights"),
         F.count(F.when(complete, F.lit(1))).alias("complete_stays"),
     )
@@ -218,9 +218,9 @@ def int_hosts(listings: DataFrame, daily: DataFrame, reservations: DataFrame, ve
         F.sum("reservations").alias("reservations"),
         div0(F.sum("booked_nights"), F.sum("calendar_days")).alias("occupancy_rate"),
         stay_mean.cast("double").alias("avg_nights_per_stay"),
-        F.avg("list_price").alias("avg_list_price"),
+        avg_exact("list_price").alias("avg_list_price"),
         F.sum("number_of_reviews").alias("total_reviews"),
-        F.avg("review_scores_rating").alias("avg_review_score"),
+        avg_exact("review_scores_rating").alias("avg_review_score"),
     )
     flags = vocabulary_pivot(verifications, "host_id", "verification_method", cfg.verifications,
                              VERIFICATION_PREFIX, count_col="verification_count",
@@ -267,7 +267,7 @@ def dim_listings(listings: DataFrame, daily: DataFrame, features: DataFrame, cfg
         F.count_if(~F.col("is_available")).alias("booked_nights"),
         F.count_if(F.col("is_available")).alias("available_nights"),
         F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"),
-        F.avg("price").alias("avg_nightly_price"),
+        avg_exact("price").alias("avg_nightly_price"),
         F.min("price").alias("min_nightly_price"),
         F.max("price").alias("max_nightly_price"),
     )
