@@ -12,14 +12,16 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from stayflow.plans import build as B
 from stayflow.session import shared_dir
 from stayflow.sources import testdata
 
-_MATERIALIZED = ("int_listing_daily", "int_listings", "listing_features", "fct_listing_daily",
-                 "fct_reservations", "dim_listings", "dim_hosts")
+_MATERIALIZED = ("int_listing_daily", "fct_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")
+# small (listing grain) and read by three builders: kept in memory/disk for this build only
+_PERSISTED = ("int_listings", "listing_features")
 
 _CACHE: dict[tuple, "Warehouse"] = {}
 
@@ -57,6 +59,8 @@ class Warehouse:
                 path = shared_dir(self.spark, "stayflow-builds", self.build_id, name)
                 df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.parquet(path)
+            elif self.materialize and name in _PERSISTED:
+                df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._rel[name] = df
         return self._rel[name]
 
