@@ -30,6 +30,7 @@ from stayflow.operators.flatten import flatten_json_array
 from stayflow.operators.spans import censor_flags, events_to_spans
 from stayflow.operators.timeline import islands
 from stayflow.operators.vocab import vocabulary_pivot
+from stayflow.sources.seeds import vocabulary_values
 
 AMENITY_PREFIX = "has_"
 VERIFICATION_PREFIX = "is_verified_"
@@ -42,8 +43,8 @@ class BuildConfig:
     amenity vocabulary is the set of event types."""
 
     pii_salt: str = "stayflow-test-salt"
-    amenities: tuple[str, ...] = ("click", "error", "purchase", "signup", "view")
-    verifications: tuple[str, ...] = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    amenities: tuple[str, ...] = field(default_factory=lambda: tuple(vocabulary_values("amenity")))
+    verifications: tuple[str, ...] = field(default_factory=lambda: tuple(vocabulary_values("verification")))
     # flags carried on the daily and reservation facts
     fact_flags: tuple[str, ...] = ("has_signup", "has_click", "has_view")
     # flags carried on the listing dimension

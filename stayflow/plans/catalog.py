@@ -19,19 +19,32 @@ def _question(fn) -> Callable[[SparkSession, str], DataFrame]:
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _question(fn) for name, fn in sorted(questions.QUESTIONS.items())}
-    try:
-        from stayflow.plans import operator_queries
-        out.update(operator_queries.SPARK)
-    except ImportError:
-        pass
+    from stayflow.plans import operator_queries, quality
+
+    out.update(operator_queries.SPARK)
+
+    def quality_summary(spark, sf_dir):
+        return questions.finalize(quality.run_checks(Warehouse.for_dir(spark, sf_dir)))
+
+    def check_host_attributes_consistent(spark, sf_dir):
+        wh = Warehouse.for_dir(spark, sf_dir)
+        return questions.finalize(quality.attributes_agree(
+            wh.stg_listings(), "host_id", ["host_name_masked", "host_since", "host_location", "host_verifications"]))
+
+    def check_windows_over_cap(spark, sf_dir):
+        return questions.finalize(quality._windows_over_cap(Warehouse.for_dir(spark, sf_dir)))
+
+    for fn in (quality_summary, check_host_attributes_consistent, check_windows_over_cap):
+        out[fn.__name__] = fn
     return out
 
 
 def oracle_queries() -> dict[str, str]:
     out = dict(oracle.QUESTIONS_SQL)
-    try:
-        from stayflow.plans import operator_queries
-        out.update(operator_queries.ORACLE)
-    except ImportError:
-        pass
+    from stayflow.plans import operator_queries, quality_oracle
+
+    out.update(operator_queries.ORACLE)
+    out["quality_summary"] = quality_oracle.QUALITY_SUMMARY
+    out["check_host_attributes_consistent"] = quality_oracle.HOST_ATTRIBUTES
+    out["check_windows_over_cap"] = quality_oracle.WINDOWS_OVER_CAP
     return out

@@ -1,0 +1,10 @@
+"""Streaming entry point.
+
+The reference has no streaming, incremental or stateful model: every build is
+a full batch rebuild run once a day. The only streaming-facing piece here is
+an adaptor that lets a Structured Streaming query feed the same guarded sink
+per micro-batch, so a continuously arriving source lands in a mart with the
+same schema guard as the batch build. No watermark or state is involved.
+"""
+
+from stayflow.streaming.sink import guarded_foreach_batch  # noqa: F401

@@ -1,0 +1,21 @@
+"""foreachBatch adaptor around the schema-guarded overwrite sink."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+
+from stayflow.sources.sinks import guarded_overwrite
+
+
+def guarded_foreach_batch(table: str, transform: Callable[[DataFrame], DataFrame] | None = None):
+    """Return a ``foreachBatch`` function that rebuilds ``table`` from each
+    micro-batch through ``transform`` (for a complete-mode aggregate stream,
+    each batch is the whole result, so overwrite is the right semantics)."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        out = transform(batch) if transform else batch
+        guarded_overwrite(out, table)
+
+    return handle
