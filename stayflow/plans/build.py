@@ -170,9 +170,8 @@ def int_reservations(daily: DataFrame) -> DataFrame:
         ],
         first_col="check_in_date", last_col="last_night_date", count_col="nights",
     )
-    window_start = daily.select(F.min("calendar_date")).scalar()
-    window_end = daily.select(F.max("calendar_date")).scalar()
-    flagged = censor_flags(spans, window_start, window_end, "check_in_date", "last_night_date")
+    bounds = daily.select(F.struct(F.min("calendar_date").alias("lo"), F.max("calendar_date").alias("hi"))).scalar()
+    flagged = censor_flags(spans, bounds.getField("lo"), bounds.getField("hi"), "check_in_date", "last_night_date")
     return flagged.select(
         surrogate_key("listing_id", "reservation_id").alias("reservation_key"),
         "reservation_id", "listing_id", "check_in_date", "last_night_date",

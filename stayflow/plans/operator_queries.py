@@ -151,9 +151,8 @@ def order_ship_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = li.select("l_orderkey", F.to_date("l_shipdate").alias("ship_date"), _revenue().alias("rev"))
     spans = events_to_spans(days, ["l_orderkey"], "ship_date", [F.sum("rev").alias("revenue")],
                             first_col="first_ship", last_col="last_ship", count_col="lines")
-    lo = days.select(F.min("ship_date")).scalar()
-    hi = days.select(F.max("ship_date")).scalar()
-    return censor_flags(spans, lo, hi, "first_ship", "last_ship")
+    bounds = days.select(F.struct(F.min("ship_date").alias("lo"), F.max("ship_date").alias("hi"))).scalar()
+    return censor_flags(spans, bounds.getField("lo"), bounds.getField("hi"), "first_ship", "last_ship")
 
 
 def lineitem_flag_branches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from stayflow.plans import build as B
 from stayflow.session import shared_dir
 from stayflow.sources import testdata
 
-_MATERIALIZED = ("int_listing_daily", "fct_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")
+_MATERIALIZED = ("event_days", "int_listing_daily", "fct_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")
 # small (listing grain) and read by three builders: kept in memory/disk for this build only
 _PERSISTED = ("int_listings", "listing_features")
 
@@ -48,8 +48,16 @@ class Warehouse:
 
     # raw --------------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
+        """The three raw rental tables. Bound to the driver's tables, the per-day
+        events aggregate behind both the calendar and the change log is landed
+        once (it is the only pass over ``events``)."""
         if self._raw is None:
-            self._raw = testdata.raw_tables(self.spark, self.sf_dir)
+            days = self._get("event_days", lambda: testdata.event_days(self.spark, self.sf_dir))
+            self._raw = {
+                "listings": testdata.raw_listings(self.spark, self.sf_dir),
+                "calendar": testdata.raw_calendar(self.spark, self.sf_dir, days),
+                "amenities_changelog": testdata.raw_amenities_changelog(self.spark, self.sf_dir, days),
+            }
         return self._raw[name]
 
     def _get(self, name: str, make) -> DataFrame:

@@ -46,25 +46,27 @@ HOST_BALANCE_OFFSET = 10
 PRIVATE_ROOM_BALANCE = 1000
 
 
-def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (user, day) with events: every per-day figure both the
+    calendar and the change log need, from a single aggregation of ``events``
+    (both raw tables share this scan and its exchange)."""
     ev = read_table(spark, sf_dir, "events", ["user_id", "ts", "event_type", "value"])
-    day = ev.select(
-        F.col("user_id").alias("listing_id"),
-        F.to_date("ts").alias("date"),
-        "event_type",
-        F.col("value").cast("decimal(12,2)").alias("value"),
-    )
     et = F.col("event_type")
-    stats = day.groupBy("listing_id", "date").agg(
+    return ev.groupBy(F.col("user_id").alias("listing_id"), F.to_date("ts").alias("date")).agg(
         F.count(F.lit(1)).alias("n_events"),
         F.count_if(et == BOOKED_EVENT).alias("n_booked"),
         F.count_if(et == MIN_NIGHTS_EVENT).alias("n_min"),
         F.count_if(et == MAX_NIGHTS_EVENT).alias("n_max"),
-        F.sum("value").alias("day_value"),
+        F.sum(F.col("value").cast("decimal(12,2)")).alias("day_value"),
+        F.max("ts").alias("last_ts"),
+        F.to_json(F.sort_array(F.collect_set(et))).alias("types_json"),
     )
-    first_day = day.select(F.min("date")).scalar()
-    last_day = day.select(F.max("date")).scalar()
-    grid = daily_grid(day, "listing_id", first_day, last_day, "date")
+
+
+def raw_calendar(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
+    stats = days if days is not None else event_days(spark, sf_dir)
+    bounds = stats.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    grid = daily_grid(stats, "listing_id", bounds.getField("lo"), bounds.getField("hi"), "date")
     cal = grid.join(stats, ["listing_id", "date"], "left")
     booked = F.coalesce(F.col("n_booked"), F.lit(0)) > 0
     week = F.date_format(F.date_trunc("week", F.col("date")), "yyyyMMdd")
@@ -79,13 +81,9 @@ def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_amenities_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", ["user_id", "ts", "event_type"])
-    per_day = ev.groupBy(F.col("user_id").alias("listing_id"), F.to_date("ts").alias("_day")).agg(
-        F.max("ts").alias("change_at"),
-        F.to_json(F.sort_array(F.collect_set("event_type"))).alias("amenities"),
-    )
-    return per_day.select("listing_id", "change_at", "amenities")
+def raw_amenities_changelog(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
+    stats = days if days is not None else event_days(spark, sf_dir)
+    return stats.select("listing_id", F.col("last_ts").alias("change_at"), F.col("types_json").alias("amenities"))
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,8 +147,9 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    days = event_days(spark, sf_dir)
     return {
         "listings": raw_listings(spark, sf_dir),
-        "calendar": raw_calendar(spark, sf_dir),
-        "amenities_changelog": raw_amenities_changelog(spark, sf_dir),
+        "calendar": raw_calendar(spark, sf_dir, days),
+        "amenities_changelog": raw_amenities_changelog(spark, sf_dir, days),
     }
