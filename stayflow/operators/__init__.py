@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators, parameterised by column names."""
 
+from stayflow.operators.asof import asof_join  # noqa: F401
 from stayflow.operators.dedupe import dedupe, latest_per_key  # noqa: F401
 from stayflow.operators.entity import entity_universe, orphans, reconstruct_entity  # noqa: F401
 from stayflow.operators.flatten import flatten_json_array  # noqa: F401

@@ -152,3 +152,34 @@ def test_flag_branches_one_scan_and_empty_flags(spark):
     out = flag_branches(df, ["a", "b"], "flag", [F.count(F.lit(1)).alias("n"), F.sum("x").alias("total")],
                         zero_fill=["n"])
     assert rows(out, "flag", "n", "total") == [("a", 2, 30.0), ("b", 0, None)]
+
+
+def test_asof_join_point_in_time(spark):
+    from stayflow.operators import asof_join
+
+    cal = spark.createDataFrame([(1, D(2021, 7, 12)), (1, D(2021, 7, 13)), (1, D(2021, 7, 14)), (2, D(2021, 7, 12))],
+                                "listing_id long, calendar_date date")
+    T = dt.datetime
+    chg = spark.createDataFrame([
+        (1, T(2020, 1, 1), "a", '["Wifi"]'),
+        (1, T(2021, 7, 13, 9), "b", '["Wifi","Kitchen"]'),
+        (1, T(2021, 7, 13, 18), "c", '["Kitchen"]'),        # later the same day: wins from that day on
+        (2, T(2021, 8, 1), "d", '["Heating"]'),            # only after the night: nothing in force
+    ], "listing_id long, changed_at timestamp, change_id string, amenities string")
+    out = asof_join(cal, chg, "listing_id", "calendar_date", "changed_at", ["amenities"], tiebreak=["change_id"])
+    got = rows(out, "listing_id", "calendar_date", "amenities")
+    assert got == [(1, D(2021, 7, 12), '["Wifi"]'), (1, D(2021, 7, 13), '["Kitchen"]'),
+                   (1, D(2021, 7, 14), '["Kitchen"]'), (2, D(2021, 7, 12), None)]
+
+
+def test_asof_equals_latest_wins_when_changes_predate_the_window(spark):
+    from stayflow.operators import asof_join
+
+    cal = spark.createDataFrame([(k, D(2021, 7, 12) + dt.timedelta(days=i)) for k in (1, 2) for i in range(5)],
+                                "listing_id long, calendar_date date")
+    chg = spark.createDataFrame([(1, dt.datetime(2020, 1, 1), "x"), (1, dt.datetime(2021, 1, 1), "y"),
+                                 (2, dt.datetime(2019, 1, 1), "z")], "listing_id long, changed_at timestamp, amenities string")
+    asof = {(r.listing_id, r.amenities) for r in asof_join(cal, chg, "listing_id", "calendar_date", "changed_at",
+                                                           ["amenities"]).collect()}
+    latest = {(r.listing_id, r.amenities) for r in latest_per_key(chg, ["listing_id"], ["changed_at"]).collect()}
+    assert asof == latest
