@@ -20,8 +20,8 @@ from stayflow.session import shared_dir
 from stayflow.sources import testdata
 
 _MATERIALIZED = ("event_days", "int_listing_daily", "fct_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")
-# small (listing grain) and read by three builders: kept in memory/disk for this build only
-_PERSISTED = ("int_listings", "listing_features")
+# read by several builders and by the quality suite: kept (memory, spilling to disk) for this build only
+_PERSISTED = ("stg_listings", "stg_calendar", "stg_amenities_changelog", "int_listings", "listing_features")
 
 _CACHE: dict[tuple, "Warehouse"] = {}
 
