@@ -59,7 +59,7 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 
 def rank_with_running_share(df: DataFrame, value_col: str, tiebreak: Sequence[str],
                             rank_col: str = "rank", running_col: str = "running_total",
-                            num_partitions: int | None = None) -> DataFrame:
+                            num_partitions: int | None = None, total_col: str | None = None) -> DataFrame:
     """Row number by ``value_col`` desc (ties by ``tiebreak`` asc) and the
     running sum of ``value_col`` in that order, without a single-partition window.
 
@@ -67,6 +67,9 @@ def rank_with_running_share(df: DataFrame, value_col: str, tiebreak: Sequence[st
     doubles. The numbered intermediate is checkpointed to the shared checkpoint
     folder, so the two consumers (partition totals and the final join) see the
     same partitioning even if a task is recomputed.
+
+    With ``total_col`` the grand total is attached as well, taken from the
+    per-partition sums, so callers need no second pass over ``df``.
     """
     spark = df.sparkSession
     vtype = df.schema[value_col].dataType
@@ -104,17 +107,22 @@ def rank_with_running_share(df: DataFrame, value_col: str, tiebreak: Sequence[st
     numbered = _checkpointed(ordered.mapInPandas(number_locally, local_schema))
     per_part = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.sum("_v").alias("_s"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    everything = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = per_part.select(
         "_pid",
         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_n"),
         F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_off_s"),
+        F.sum("_s").over(everything).alias("_all_s"),
     )
     out = numbered.join(F.broadcast(offsets), "_pid")
-    running = F.col("_local_cum") + F.col("_off_s")
-    if scale is not None:
-        running = (running.cast(T.DecimalType(38, scale)) / F.lit(10 ** scale)).cast(T.DecimalType(38, scale))
-    return out.select(
-        *df.columns,
-        (F.col("_local_rank") + F.col("_off_n")).alias(rank_col),
-        running.alias(running_col),
-    )
+
+    def unscale(c):
+        if scale is None:
+            return c
+        return (c.cast(T.DecimalType(38, scale)) / F.lit(10 ** scale)).cast(T.DecimalType(38, scale))
+
+    cols = [*df.columns, (F.col("_local_rank") + F.col("_off_n")).alias(rank_col),
+            unscale(F.col("_local_cum") + F.col("_off_s")).alias(running_col)]
+    if total_col:
+        cols.append(unscale(F.col("_all_s")).alias(total_col))
+    return out.select(*cols)

@@ -12,7 +12,8 @@ from stayflow.plans.warehouse import Warehouse
 
 def _question(fn) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return questions.finalize(fn(Warehouse.for_dir(spark, sf_dir)))
+        wh = Warehouse.for_dir(spark, sf_dir)
+        return questions.present(fn.__name__, questions.finalize(fn(wh)), wh.cfg)
     run.__name__ = fn.__name__
     return run
 

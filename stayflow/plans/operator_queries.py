@@ -94,8 +94,9 @@ def _customer_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_revenue_concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
     rev = _customer_revenue(spark, sf_dir)
-    ranked = rank_with_running_share(rev, "revenue", ["c_custkey"], rank_col="revenue_rank", running_col="running")
-    total = rev.select(F.sum("revenue")).scalar()
+    ranked = rank_with_running_share(rev, "revenue", ["c_custkey"], rank_col="revenue_rank", running_col="running",
+                                     total_col="total")
+    total = F.col("total")
     return ranked.select(
         "c_custkey", "revenue", "revenue_rank",
         round_half_up(F.lit(100) * F.col("revenue").cast("double") / F.nullif(total, F.lit(0)).cast("double"), 4)

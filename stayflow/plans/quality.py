@@ -128,6 +128,9 @@ def checks(wh: Warehouse) -> list[Check]:
               lambda w: unique(load_vocabulary(spark, "amenity"), "amenity_name")),
         Check("unique_seed_verification_method", "error", "seed_verification",
               lambda w: unique(load_vocabulary(spark, "verification"), "verification_method")),
+        # rejected at staging (kept as a count, as the reference reports its NULL-id rows)
+        Check("rejected_null_listing_ids", "warn", "listings",
+              lambda w: w.raw("listings").filter(F.col("id").isNull())),
         # not null
         Check("not_null_stg_calendar", "error", "stg_calendar",
               lambda w: not_null(w.stg_calendar(), ["calendar_id", "listing_id", "calendar_date", "is_available"])),

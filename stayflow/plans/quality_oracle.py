@@ -46,6 +46,7 @@ CHECKS = [
     ("unique_dim_hosts_host_id", "error", "dim_hosts", _uniq("dim_hosts", "host_id")),
     ("unique_seed_amenity_name", "error", "seed_amenity", _uniq(_AV, "amenity_name")),
     ("unique_seed_verification_method", "error", "seed_verification", _uniq(_VV, "verification_method")),
+    ("rejected_null_listing_ids", "warn", "listings", "(SELECT count(*) FROM raw_listings WHERE id IS NULL)"),
     ("not_null_stg_calendar", "error", "stg_calendar",
      _nn("stg_calendar", ["calendar_id", "listing_id", "calendar_date", "is_available"])),
     ("not_null_stg_listings", "error", "stg_listings", _nn("stg_listings", ["listing_id"])),

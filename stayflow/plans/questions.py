@@ -162,8 +162,8 @@ def q06_by_month_and_neighborhood(wh):
 def q07_concentration(wh):
     rev = _m(wh)["P"].query(["listing.portfolio_revenue"], ["listing.listing_id", "listing.listing_name"])
     ranked = rank_with_running_share(rev, "portfolio_revenue", ["listing_id"], rank_col="revenue_rank",
-                                     running_col="_running")
-    total = rev.select(F.sum("portfolio_revenue")).scalar()
+                                     running_col="_running", total_col="_total")
+    total = F.col("_total")
     return ranked.select(
         "listing_id", "listing_name",
         round_half_up(F.col("portfolio_revenue").cast("double"), 2).alias("revenue"),
@@ -640,3 +640,70 @@ def q26_density_by_room_type(wh):
 
 QUESTIONS = {name: fn for name, fn in globals().items() if name[:1] == "q" and name[1:3].isdigit() and callable(fn)
              and not name.startswith("_")}
+
+
+# Presentation order of each block. "x" = ascending (NULLs last), "-x" = descending
+# (NULLs first), "-x!" = descending with NULLs last, "@weekday:x" = Monday..Sunday.
+ORDER = {
+    "q01_by_month": ["month_start_date", "@primary"], "q01_full_year": ["@primary"],
+    "q02_price_change": ["-avg_price_increase"], "q02_monthly_trend": ["neighborhood", "month_start_date"],
+    "q03_picky_renter": ["-longest_possible_stay_nights"], "q03_all_windows": ["-longest_possible_stay_nights"],
+    "q04_by_neighborhood": ["-avg_occupancy_rate"], "q04_by_room_type": ["-avg_occupancy_rate"],
+    "q04_by_both": ["neighborhood", "room_type"],
+    "q05_detail": ["listing_id"], "q05_by_neighborhood": ["-never_booked_listings"],
+    "q06_by_month": ["month_start_date"], "q06_by_month_and_neighborhood": ["neighborhood", "month_start_date"],
+    "q07_concentration": ["revenue_rank"],
+    "q08_by_listing": ["-avg_discount_to_list"], "q08_by_segment": ["-avg_discount_to_list"],
+    "q09_price_band": ["list_price_band"], "q09_scatter": ["-portfolio_revenue"],
+    "q10_by_day": ["@weekday:day_of_week"], "q10_weekend_premium": ["is_weekend"],
+    "q10_by_day_and_room_type": ["room_type", "@weekday:day_of_week"],
+    "q11_by_score_band": ["review_score_band"], "q11_by_review_volume": ["review_count_band"],
+    "q11_per_listing": ["-avg_review_score!"],
+    "q12_by_capacity": ["accommodates"], "q12_by_listing": ["-avg_revenue_per_guest"],
+    "q12_by_room_type": ["-avg_revenue_per_guest"],
+    "q13_split": ["is_shared_bathroom"], "q13_by_room_type": ["room_type", "is_shared_bathroom"],
+    "q14_by_amenity": ["-avg_achieved_rate"], "q14_primary_split": ["-@primary"],
+    "q14_by_amenity_count": ["amenity_count_band"],
+    "q15_by_listing": ["-distinct_prices"], "q15_banded": ["pricing_style"], "q15_static_pricers": ["-total_revenue"],
+    "q16_by_night": ["minimum_nights_band"], "q16_by_listing": ["minimum_nights_band"],
+    "q16_scatter": ["-avg_minimum_nights"],
+    "q17_by_month": ["check_in_month"],
+    "q18_leaderboard": ["-avg_revenue_per_listing"], "q18_top_ten": ["-avg_revenue_per_listing", "host_id"],
+    "q19_segments": ["-is_multi_listing_host"],
+    "q20_by_tenure": ["host_tenure_years"], "q20_by_host_since": ["host_since"],
+    "q21_by_room_type": ["-avg_nightly_price"], "q21_by_listing": ["-avg_price_per_bedroom!"],
+    "q21_by_neighborhood": ["-avg_price_per_bedroom!"],
+    "q22_by_month": ["check_in_month"], "q22_detail": ["check_in_date"],
+    "q23_by_neighborhood": ["-avg_length_of_stay"], "q23_by_room_type": ["-avg_length_of_stay"],
+    "q23_by_neighborhood_room_type": ["neighborhood", "room_type"],
+    "q24_stalest": ["-avg_days_since_last_review!"], "q24_never_reviewed": ["-has_reviews"],
+    "q24_by_staleness_band": ["staleness_band"],
+    "q25_by_listing": ["-unbookable_asking_value"], "q25_detail": ["-window_asking_value"],
+    "q26_density": ["-listings"], "q26_density_by_room_type": ["neighborhood", "-listings"],
+}
+
+_WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
+
+
+def present(name: str, df: DataFrame, cfg=None) -> DataFrame:
+    """Apply the block's presentation order (a sort of its, usually small, result)."""
+    spec = ORDER.get(name)
+    if not spec:
+        return df
+    primary = (cfg.roles["primary"] if cfg is not None else "has_signup")
+    keys = []
+    for item in spec:
+        desc = item.startswith("-")
+        item = item.lstrip("-")
+        nulls_last_desc = item.endswith("!")
+        item = item.rstrip("!").replace("@primary", primary)
+        if item.startswith("@weekday:"):
+            c = item.split(":", 1)[1]
+            col = F.array_position(F.array(*[F.lit(d) for d in _WEEKDAYS]), F.col(c))
+        else:
+            col = F.col(item)
+        if desc:
+            keys.append(col.desc_nulls_last() if nulls_last_desc else col.desc_nulls_first())
+        else:
+            keys.append(col.asc_nulls_last())
+    return df.orderBy(*keys)

@@ -125,5 +125,13 @@ class Warehouse:
     def relation(self, name: str) -> DataFrame:
         return getattr(self, name)()
 
+    def register_views(self, names=("stg_listings", "stg_calendar", "stg_amenities_changelog", "int_listings",
+                                    "int_listing_daily", "int_reservations", "int_hosts", "fct_listing_daily",
+                                    "fct_reservations", "dim_listings", "dim_hosts")) -> list[str]:
+        """Expose relations as temporary views, so they can be queried with ``spark.sql``."""
+        for n in names:
+            self.relation(n).createOrReplaceTempView(n)
+        return list(names)
+
     def build_all(self) -> dict[str, DataFrame]:
         return {n: self.relation(n) for n in ("fct_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")}

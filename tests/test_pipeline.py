@@ -132,3 +132,15 @@ def test_metric_layer_windows_and_clamp(wh):
                                        where=lambda m: m("daily.is_available"))
     got = sorted((r.listing_id, r.availability_window_seq, r.calendar_nights, r.max_maximum_nights) for r in w.collect())
     assert got == [(1, 1, 2, 3), (1, 2, 5, 3), (3, 1, 10, 20), (4, 1, 7, 5)]
+
+
+def test_views_and_presentation_order(wh, spark):
+    from stayflow.plans import questions
+
+    wh.register_views(("dim_listings",))
+    assert spark.sql("SELECT count(*) FROM dim_listings").first()[0] == 5
+    df = spark.createDataFrame([("Sun", 1.0), ("Mon", None), ("Wed", 2.0)], "day_of_week string, avg_review_score double")
+    days = [r[0] for r in questions.present("q10_by_day", df).collect()]
+    assert days == ["Mon", "Wed", "Sun"]
+    scores = [r[1] for r in questions.present("q11_per_listing", df).collect()]
+    assert scores == [2.0, 1.0, None]              # desc nulls last where the block asks for it
