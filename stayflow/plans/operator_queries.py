@@ -164,12 +164,13 @@ def lineitem_flag_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_linestatus") == "O").alias("is_open"),
         (F.col("l_discount") >= 0.05).alias("is_discounted"),
         (F.col("l_quantity") >= 40).alias("is_bulk"),
-        "l_quantity", "l_extendedprice", "l_discount",
+        _revenue().alias("rev"),                       # computed once per line, before the fan-out
+        F.col("l_quantity").cast("decimal(12,2)").alias("qty"),
     )
     return flag_branches(flagged, ["is_returned", "is_open", "is_discounted", "is_bulk"], "flag", [
         F.count(F.lit(1)).alias("lines"),
-        F.sum(_revenue()).alias("revenue"),
-        avg_exact(F.col("l_quantity").cast("decimal(12,2)")).alias("avg_quantity"),
+        F.sum("rev").alias("revenue"),
+        avg_exact("qty").alias("avg_quantity"),
     ], zero_fill=["lines"])
 
 
