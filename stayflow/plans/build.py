@@ -156,6 +156,7 @@ def int_listing_daily(calendar: DataFrame, listings: DataFrame, features: DataFr
     feats = features.select("listing_id", "amenity_count", *cfg.fact_flags)
     joined = calendar.join(attrs, "listing_id", "left").join(feats, "listing_id", "left")
     joined = joined.withColumn("revenue", F.when(~F.col("is_available"), F.col("price")))
+    joined = joined.withColumn("month_start_date", month_start("calendar_date"))
     return islands(joined, "listing_id", "calendar_date", "is_available")
 
 
@@ -237,9 +238,7 @@ def as_of_date(daily: DataFrame) -> Column:
 
 def fct_listing_daily(daily: DataFrame, cfg: BuildConfig) -> DataFrame:
     return daily.select(
-        "calendar_id", "listing_id", "calendar_date",
-        month_start("calendar_date").alias("month_start_date"),
-        "is_available", "reservation_id", "price", "revenue", "minimum_nights", "maximum_nights",
+        "calendar_id", "listing_id", "calendar_date", "month_start_date", "is_available", "reservation_id", "price", "revenue", "minimum_nights", "maximum_nights",
         "is_window_start", "availability_window_seq", "neighborhood", "property_type", "room_type",
         "accommodates", "bedrooms", "beds", "host_id", *cfg.fact_flags, "amenity_count", "is_deleted",
     )

@@ -131,18 +131,24 @@ def customer_order_staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as entities rebuilt from their line items: the universe is the
+    suppliers lines refer to; a supplier without a listed parent row is deleted.
+
+    Line items are reduced per supplier (partial aggregation, so a supplier with
+    a third of all lines is combined map-side) before any join; the joins then
+    see one row per supplier on each side."""
     li = read_table(spark, sf_dir, "lineitem", ["l_suppkey", "l_partkey", "l_extendedprice", "l_discount"])
     sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
     listed = sup.filter(F.col("s_nationkey") < LISTED_SUPPLIER_NATIONS)
-    # attributes rebuilt from denormalised child rows, as a host is rebuilt from its listings
-    denorm = li.join(listed, F.col("l_suppkey") == F.col("s_suppkey"))
-    rebuilt = reconstruct_entity(denorm, "l_suppkey", ["s_name", "s_nationkey"])
-    universe = entity_universe(li, "l_suppkey", rebuilt, "l_suppkey")
     stats = li.groupBy("l_suppkey").agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_distinct("l_partkey").alias("parts"),
         F.sum(_revenue()).alias("revenue"),
     )
+    # parent attributes rebuilt with min() per key, as a host is rebuilt from its listings
+    rebuilt = reconstruct_entity(listed.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey",
+                                 ["s_name", "s_nationkey"])
+    universe = entity_universe(stats, "l_suppkey", rebuilt, "l_suppkey")
     return universe.join(stats, "l_suppkey").select(
         F.col("l_suppkey").alias("s_suppkey"), "s_name", "s_nationkey", "is_deleted", "lines", "parts", "revenue")
 

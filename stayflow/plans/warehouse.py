@@ -24,6 +24,9 @@ _MATERIALIZED = ("event_days", "int_listing_daily", "fct_reservations", "dim_lis
 # read by several builders and by the quality suite: kept (memory, spilling to disk) for this build only
 _PERSISTED = ("stg_listings", "stg_calendar", "stg_amenities_changelog", "int_listings", "listing_features")
 
+# written partitioned (directory pruning for month filters at scale)
+_PARTITION_BY = {"int_listing_daily": ["month_start_date"]}
+
 _CACHE: dict[tuple, "Warehouse"] = {}
 
 
@@ -66,7 +69,10 @@ class Warehouse:
             df = make()
             if self.materialize and name in _MATERIALIZED:
                 path = shared_dir(self.spark, "stayflow-builds", self.build_id, name)
-                df.write.mode("overwrite").parquet(path)
+                writer = df.write.mode("overwrite")
+                if name in _PARTITION_BY:
+                    writer = writer.partitionBy(*_PARTITION_BY[name])
+                writer.parquet(path)
                 df = self.spark.read.parquet(path)
             elif self.materialize and name in _PERSISTED:
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
