@@ -51,10 +51,19 @@ def top_k_share(df: DataFrame, value_col: str, k: int, tiebreak: Sequence[str],
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint to the shared folder. The input is persisted first so
+    the write does not recompute it (an eager checkpoint runs one job to
+    compute and one to write); the persisted copy is released afterwards."""
+    from pyspark import StorageLevel
+
     from stayflow.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return kept.checkpoint(eager=True)
+    finally:
+        kept.unpersist()
 
 
 def rank_with_running_share(df: DataFrame, value_col: str, tiebreak: Sequence[str],

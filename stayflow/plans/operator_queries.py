@@ -17,7 +17,7 @@ from stayflow.functions.dates import (
 )
 from stayflow.functions.ratios import avg_exact, band, round_half_up
 from stayflow.functions.text import (
-    contains_ci, leading_number, mask_pii, money_to_decimal, sentinel_to_null, surrogate_key,
+    SURROGATE_NULL_MARKER, contains_ci, leading_number, mask_pii, money_to_decimal, sentinel_to_null, surrogate_key,
 )
 from stayflow.operators.dedupe import dedupe, latest_per_key
 from stayflow.operators.entity import entity_universe, reconstruct_entity
@@ -207,7 +207,7 @@ SPARK = {f.__name__: _fin(f) for f in (
 # ------------------------------------------------------------------ oracle SQL
 R, I, O = "r", "i", "o"
 _REV = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
-_NULLMARK = "_dbt_utils_surrogate_key_null_"
+_NULLMARK = SURROGATE_NULL_MARKER
 
 
 def _plain(body: str, kinds: dict, ctes: dict | None = None) -> str:

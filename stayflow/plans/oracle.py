@@ -10,6 +10,8 @@ applies on the Spark side.
 
 from __future__ import annotations
 
+# Fixed values shared with the Spark side (salt of the test binding; the
+# surrogate-key NULL marker of the public key convention).
 SALT = "stayflow-test-salt"
 NULLMARK = "_dbt_utils_surrogate_key_null_"
 AMENITIES = ("click", "error", "purchase", "signup", "view")
