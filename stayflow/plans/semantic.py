@@ -119,12 +119,14 @@ class Model:
         raise SemanticError(f"{self.name}: no relationship path from {self.measure_table!r} to {target!r}")
 
     def _table_frame(self, alias: str) -> DataFrame:
+        """The table with its derived members, every column prefixed by the
+        table alias, in one projection (one analysis pass)."""
         t = self.tables[alias]
         df = t.load()
         getter = lambda c: F.col(c)
-        for name, make in t.derived.items():
-            df = df.withColumn(name, make(getter))
-        return df.select(*[F.col(c).alias(f"{alias}__{c}") for c in df.columns])
+        base = [F.col(c).alias(f"{alias}__{c}") for c in df.columns if c not in t.derived]
+        derived = [make(getter).alias(f"{alias}__{name}") for name, make in t.derived.items()]
+        return df.select(*base, *derived)
 
     # -------------------------------------------------------------- query
     def query(self, metrics: Sequence[str] = (), dimensions: Sequence[str] = (), facts: Sequence[str] = (),
