@@ -38,8 +38,35 @@ def amenities_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    .otherwise(F.col("amenity_count_as_of"))))
 
 
+def revenue_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total revenue through each of the four metric models. The daily, listing
+    and reservation models agree; the host model misses exactly the revenue of
+    listings that have no parent row (their host is unknown)."""
+    from stayflow.plans import models
+
+    wh = Warehouse.for_dir(spark, sf_dir)
+    m = models.all_models(wh)
+    daily = m["D"].query(["daily.total_revenue"]).select(F.col("total_revenue").alias("daily_model_revenue"))
+    scalar = lambda df, c: df.select(F.col(c)).scalar()
+    listing = scalar(m["P"].query(["listing.portfolio_revenue"]), "portfolio_revenue")
+    reservation = scalar(m["R"].query(["reservation.total_revenue"]), "total_revenue")
+    host = scalar(m["H"].query(["host.portfolio_revenue"]), "portfolio_revenue")
+    deleted = scalar(m["P"].query(["listing.portfolio_revenue"], where=lambda c: c("listing.is_deleted")),
+                     "portfolio_revenue")
+    out = daily.select(
+        "daily_model_revenue",
+        listing.alias("listing_model_revenue"),
+        reservation.alias("reservation_model_revenue"),
+        host.alias("host_model_revenue"),
+        F.coalesce(deleted, F.lit(0)).alias("deleted_listing_revenue"),
+    )
+    return finalize(out.withColumn(
+        "host_gap_is_deleted_revenue",
+        F.col("daily_model_revenue") - F.col("host_model_revenue") == F.col("deleted_listing_revenue")))
+
+
 SPARK = {f.__name__: f for f in [_mart(n) for n in ("fct_listing_daily", "fct_reservations", "dim_listings",
-                                                     "dim_hosts")] + [amenities_point_in_time]}
+                                                     "dim_hosts")] + [amenities_point_in_time, revenue_reconciliation]}
 
 _VFLAGS = [_slug("is_verified_", v) for v in VERIFICATIONS]
 KINDS = {
@@ -89,3 +116,14 @@ change_days AS (
   LEFT JOIN features f ON c.listing_id = f.listing_id""", {
     "listing_id": I, "calendar_date": O, "amenities_changed_at": O, "amenity_count_as_of": I,
     "latest_amenity_count": I})
+
+ORACLE["revenue_reconciliation"] = PRELUDE + "\n" + _norm("""SELECT d.daily_model_revenue,
+    (SELECT sum(total_revenue) FROM dim_listings) AS listing_model_revenue,
+    (SELECT sum(reservation_revenue) FROM fct_reservations) AS reservation_model_revenue,
+    (SELECT sum(total_revenue) FROM dim_hosts) AS host_model_revenue,
+    coalesce((SELECT sum(total_revenue) FROM dim_listings WHERE is_deleted), 0) AS deleted_listing_revenue,
+    d.daily_model_revenue - (SELECT sum(total_revenue) FROM dim_hosts)
+      = coalesce((SELECT sum(total_revenue) FROM dim_listings WHERE is_deleted), 0) AS host_gap_is_deleted_revenue
+  FROM (SELECT sum(revenue) AS daily_model_revenue FROM fct_listing_daily) d""", {
+    "daily_model_revenue": R, "listing_model_revenue": R, "reservation_model_revenue": R,
+    "host_model_revenue": R, "deleted_listing_revenue": R, "host_gap_is_deleted_revenue": O})
