@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 
 def entity_universe(ids: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None,
-                    deleted_col: str = "is_deleted") -> DataFrame:
+                    deleted_col: str = "is_deleted", unique: bool = False) -> DataFrame:
     """Distinct ids of a driving table, left-joined to the parent, with a flag
-    for ids that have no parent row. Parent columns are NULL for those."""
+    for ids that have no parent row. Parent columns are NULL for those.
+
+    With ``unique=True`` the driving frame is already one row per key (e.g. a
+    per-key aggregate): its columns are kept and no distinct is planned."""
     parent_key = parent_key or key
-    universe = ids.select(key).distinct()
+    universe = ids if unique else ids.select(key).distinct()
     p = parent.withColumnRenamed(parent_key, "_pk") if parent_key != key else parent.withColumnRenamed(key, "_pk")
     joined = universe.join(p, universe[key] == p["_pk"], "left")
     return joined.withColumn(deleted_col, F.col("_pk").isNull()).drop("_pk")

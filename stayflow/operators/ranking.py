@@ -25,8 +25,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def share_of_partition(df: DataFrame, value_col: str, partition_cols: Sequence[str], out_col: str) -> DataFrame:
-    """value / sum(value) over the partition; NULL when the total is 0 or NULL."""
+def share_of_partition(df: DataFrame, value_col: str, partition_cols: Sequence[str], out_col: str,
+                       method: str = "join") -> DataFrame:
+    """value / sum(value) over the partition; NULL when the total is 0 or NULL.
+
+    ``method="join"`` (default, for any input): partition totals are a keyed,
+    map-side-combined aggregate joined back on the partition keys; a hot key is
+    handled by AQE (broadcast of the small totals side, or skew-join splitting).
+    ``method="window"``: a window over the partition, for input that is already
+    aggregated so that rows per partition are bounded by a categorical domain
+    (e.g. months x a boolean flag). It reads the input once, where the join
+    form's pruned totals branch plans a second pass over it.
+    """
+    if method == "window":
+        total = F.sum(value_col).over(Window.partitionBy(*partition_cols))
+        return df.withColumn(out_col, F.col(value_col) / F.nullif(total, F.lit(0)))
     totals = df.groupBy(*partition_cols).agg(F.sum(value_col).alias("_total"))
     joined = df.join(totals, list(partition_cols), "left")
     share = F.col(value_col) / F.nullif(F.col("_total"), F.lit(0))

@@ -44,7 +44,8 @@ def q01_by_month(wh):
     flag = wh.cfg.roles["primary"]
     monthly = _m(wh)["D"].query(["daily.total_revenue", "daily.booked_nights", "daily.listings"],
                                 ["daily.month_start_date", f"daily.{flag}"])
-    shared = share_of_partition(monthly, "total_revenue", ["month_start_date"], "_share")
+    # rows per month are bounded by the flag's two values: a window over the aggregate reads it once
+    shared = share_of_partition(monthly, "total_revenue", ["month_start_date"], "_share", method="window")
     return shared.select("month_start_date", flag, "listings", "booked_nights", "total_revenue",
                          round_half_up(F.lit(100) * F.col("_share").cast("double"), 1).alias("pct_of_month_revenue"))
 

@@ -113,6 +113,7 @@ def test_share_of_partition_zero_total_is_null(spark):
     df = spark.createDataFrame([("m1", 3.0), ("m1", 1.0), ("m2", 0.0)], "m string, v double")
     got = rows(share_of_partition(df, "v", ["m"], "s"), "m", "v", "s")
     assert got == [("m1", 1.0, 0.25), ("m1", 3.0, 0.75), ("m2", 0.0, None)]
+    assert rows(share_of_partition(df, "v", ["m"], "s", method="window"), "m", "v", "s") == got
 
 
 def test_rank_with_running_share_matches_brute_force(spark):
