@@ -182,14 +182,24 @@ def int_reservations(daily: DataFrame) -> DataFrame:
     )
 
 
-def int_hosts(listings: DataFrame, daily: DataFrame, reservations: DataFrame, verifications: DataFrame,
-              cfg: BuildConfig) -> DataFrame:
-    live = listings.filter(~F.col("is_deleted"))
-    perf = daily.groupBy("listing_id").agg(
+def listing_rollup(daily: DataFrame) -> DataFrame:
+    """Per-listing measures of the daily grain, computed once for both the
+    listing dimension and the host roll-up (one pass over the daily table)."""
+    return daily.groupBy("listing_id").agg(
         F.count(F.lit(1)).alias("calendar_days"),
         F.count_if(~F.col("is_available")).alias("booked_nights"),
+        F.count_if(F.col("is_available")).alias("available_nights"),
         F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"),
+        avg_exact("price").alias("avg_nightly_price"),
+        F.min("price").alias("min_nightly_price"),
+        F.max("price").alias("max_nightly_price"),
     )
+
+
+def int_hosts(listings: DataFrame, rollup: DataFrame, reservations: DataFrame, verifications: DataFrame,
+              cfg: BuildConfig) -> DataFrame:
+    live = listings.filter(~F.col("is_deleted"))
+    perf = rollup.select("listing_id", "calendar_days", "booked_nights", "total_revenue")
     complete = ~(F.col("is_left_censored") | F.col("is_right_censored"))
     stays = reservations.groupBy("listing_id").agg(
         F.count(F.lit(1)).alias("reservations"),
@@ -260,16 +270,8 @@ def fct_reservations(reservations: DataFrame, listings: DataFrame, features: Dat
     )
 
 
-def dim_listings(listings: DataFrame, daily: DataFrame, features: DataFrame, cfg: BuildConfig) -> DataFrame:
-    rollup = daily.groupBy("listing_id").agg(
-        F.count(F.lit(1)).alias("calendar_days"),
-        F.count_if(~F.col("is_available")).alias("booked_nights"),
-        F.count_if(F.col("is_available")).alias("available_nights"),
-        F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"),
-        avg_exact("price").alias("avg_nightly_price"),
-        F.min("price").alias("min_nightly_price"),
-        F.max("price").alias("max_nightly_price"),
-    )
+def dim_listings(listings: DataFrame, daily: DataFrame, rollup: DataFrame, features: DataFrame,
+                 cfg: BuildConfig) -> DataFrame:
     feats = features.select("listing_id", F.col("amenity_count").alias("_amenity_count"),
                             *[F.col(f).alias(f"_{f}") for f in cfg.listing_flags])
     j = listings.join(rollup, "listing_id", "left").join(feats, "listing_id", "left")

@@ -22,7 +22,8 @@ from stayflow.sources import testdata
 # fct_listing_daily is a projection of int_listing_daily, so it is a view over that written table
 _MATERIALIZED = ("event_days", "int_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")
 # read by several builders and by the quality suite: kept (memory, spilling to disk) for this build only
-_PERSISTED = ("stg_listings", "stg_calendar", "stg_amenities_changelog", "int_listings", "listing_features")
+_PERSISTED = ("stg_listings", "stg_calendar", "stg_amenities_changelog", "int_listings", "listing_features",
+              "int_reservations", "listing_rollup")
 
 # written partitioned (directory pruning for month filters at scale)
 _PARTITION_BY = {"int_listing_daily": ["month_start_date"]}
@@ -106,12 +107,15 @@ class Warehouse:
         return self._get("int_listing_daily", lambda: B.int_listing_daily(
             self.stg_calendar(), self.int_listings(), self.listing_features(), self.cfg))
 
+    def listing_rollup(self):
+        return self._get("listing_rollup", lambda: B.listing_rollup(self.int_listing_daily()))
+
     def int_reservations(self):
         return self._get("int_reservations", lambda: B.int_reservations(self.int_listing_daily()))
 
     def int_hosts(self):
         return self._get("int_hosts", lambda: B.int_hosts(
-            self.int_listings(), self.int_listing_daily(), self.int_reservations(),
+            self.int_listings(), self.listing_rollup(), self.int_reservations(),
             self.int_host_verifications(), self.cfg))
 
     # marts ------------------------------------------------------------
@@ -124,7 +128,7 @@ class Warehouse:
 
     def dim_listings(self):
         return self._get("dim_listings", lambda: B.dim_listings(
-            self.int_listings(), self.int_listing_daily(), self.listing_features(), self.cfg))
+            self.int_listings(), self.int_listing_daily(), self.listing_rollup(), self.listing_features(), self.cfg))
 
     def dim_hosts(self):
         return self._get("dim_hosts", lambda: B.dim_hosts(self.int_hosts(), self.int_listing_daily(), self.cfg))
