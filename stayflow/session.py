@@ -55,3 +55,30 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for build-once tables)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, *parts) if not base.startswith("file:") else "/".join([base.rstrip("/"), *parts])
+
+
+def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int,
+                     target_partition_bytes: int = 256 * 1024 ** 2, shuffle_expansion: float = 1.0) -> dict:
+    """Session settings sized for a volume of input, so partitions fit in executor memory.
+
+    * post-shuffle partitions: enough that each holds ~``target_partition_bytes``
+      of shuffled data (``input_bytes * shuffle_expansion``), never fewer than
+      two waves of the cluster's task slots; AQE coalesces small ones at runtime;
+    * file splits of the same size, so scan tasks are equally sized;
+    * AQE with partition coalescing and skew-join splitting (a key holding a
+      large share of rows is split across tasks), broadcast only below a
+      runtime-measured size.
+    """
+    slots = max(1, executors * cores_per_executor)
+    by_volume = int(-(-input_bytes * shuffle_expansion // target_partition_bytes))
+    partitions = max(2 * slots, by_volume)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }

@@ -107,3 +107,14 @@ def test_avg_exact_divides_the_exact_sum(spark):
     assert df.select(avg_exact("x")).first()[0] == pytest.approx(0.15)
     empty = spark.createDataFrame([(None,)], "x decimal(10,2)")
     assert empty.select(avg_exact("x")).first()[0] is None
+
+
+def test_cluster_settings_scale_with_volume():
+    from stayflow.session import cluster_settings
+
+    tb = 1024 ** 4
+    big = cluster_settings(100 * tb, executors=1000, cores_per_executor=8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600          # 100 TiB / 256 MiB
+    small = cluster_settings(10 * 1024 ** 2, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16              # two waves of 8 slots
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
