@@ -68,4 +68,7 @@ def round_half_up(c: str | Column, places: int) -> Column:
     Rounding a binary double directly decides exact ties (a mean of cents over
     8 or 24 rows) by representation noise; passing through a 9-place decimal
     first makes such ties exact and resolves them half-up."""
-    return F.round(_col(c).cast("decimal(38,9)"), places).cast("double")
+    x = _col(c)
+    as_double = x.cast("double")
+    special = F.isnan(as_double) | (F.abs(as_double) == F.lit(float("inf")))  # no decimal form: pass through
+    return F.when(special, as_double).otherwise(F.round(x.cast("decimal(38,9)"), places).cast("double"))

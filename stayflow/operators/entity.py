@@ -17,7 +17,7 @@ def entity_universe(ids: DataFrame, key: str, parent: DataFrame, parent_key: str
     per-key aggregate): its columns are kept and no distinct is planned."""
     parent_key = parent_key or key
     universe = ids if unique else ids.select(key).distinct()
-    p = parent.withColumnRenamed(parent_key, "_pk") if parent_key != key else parent.withColumnRenamed(key, "_pk")
+    p = parent.withColumnRenamed(parent_key, "_pk")
     joined = universe.join(p, universe[key] == p["_pk"], "left")
     return joined.withColumn(deleted_col, F.col("_pk").isNull()).drop("_pk")
 

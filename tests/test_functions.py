@@ -102,6 +102,12 @@ def test_round_half_up_resolves_exact_ties(spark):
     assert got[0][0] == 10.02 and got[1][1] == 108.6188 and got[2][2] == 3.0
 
 
+def test_round_half_up_passes_nan_and_infinity_through(spark):
+    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (1.005,)], "x double")
+    got = [r[0] for r in df.select(round_half_up("x", 2)).collect()]
+    assert got[0] != got[0] and got[1] == float("inf") and got[2] == 1.01
+
+
 def test_avg_exact_divides_the_exact_sum(spark):
     df = spark.createDataFrame([(Decimal("0.10"),), (Decimal("0.20"),), (None,)], "x decimal(10,2)")
     assert df.select(avg_exact("x")).first()[0] == pytest.approx(0.15)
