@@ -46,3 +46,19 @@ def test_build_retention_and_diff(spark, tmp_dir):
     d = {r.k: r.change for r in diff_builds(spark, path, "k", 1, 2).collect()}
     assert d == {2: "changed", 3: "removed", 4: "added"}
     assert read_build(spark, path, 1).filter(F.col("k") == 3).count() == 1
+
+
+def test_raw_csv_round_trip_drives_the_build(spark, tmp_dir):
+    from stayflow.plans.warehouse import Warehouse
+    from stayflow.sources.raw import read_raw
+    from tests.fixtures import CONFIG, raw_frames
+
+    paths = {}
+    for name, df in raw_frames(spark).items():
+        paths[name] = os.path.join(tmp_dir, name)
+        df.write.option("header", True).option("quote", '"').option("escape", '"').csv(paths[name])
+    raw = read_raw(spark, paths)
+    assert raw["listings"].count() == 4 and raw["calendar"].count() == 42
+    wh = Warehouse(spark, "unused", cfg=CONFIG, materialize=False, raw=raw)
+    assert wh.dim_listings().count() == 5
+    assert wh.int_listing_amenities().filter("listing_id = 3").count() == 2   # JSON with commas survived
