@@ -60,8 +60,8 @@ def q01_full_year(wh):
 def q02_price_change(wh):
     d = _m(wh)["D"]
     fct = wh.fct_listing_daily()
-    first_day = fct.select(F.min("calendar_date")).scalar()
-    last_day = fct.select(F.max("calendar_date")).scalar()
+    bounds = fct.select(F.struct(F.min("calendar_date").alias("lo"), F.max("calendar_date").alias("hi"))).scalar()
+    first_day, last_day = bounds.getField("lo"), bounds.getField("hi")
     endpoints = d.query(["daily.avg_nightly_price"], ["daily.listing_id", "listing.neighborhood", "daily.calendar_date"],
                         where=lambda m: m("daily.calendar_date").isin(first_day, last_day) & ~m("daily.is_deleted"))
     per_listing = endpoints.groupBy("listing_id", "neighborhood").agg(

@@ -144,5 +144,14 @@ class Warehouse:
             self.relation(n).createOrReplaceTempView(n)
         return list(names)
 
+    def release(self) -> None:
+        """Drop what this build persisted (the written tables stay on shared storage)."""
+        for name, df in self._rel.items():
+            if name in _PERSISTED:
+                df.unpersist()
+        for key, wh in list(_CACHE.items()):
+            if wh is self:
+                del _CACHE[key]
+
     def build_all(self) -> dict[str, DataFrame]:
         return {n: self.relation(n) for n in ("fct_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")}
