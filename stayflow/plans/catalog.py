@@ -20,10 +20,11 @@ def _question(fn) -> Callable[[SparkSession, str], DataFrame]:
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _question(fn) for name, fn in sorted(questions.QUESTIONS.items())}
-    from stayflow.plans import mart_queries, operator_queries, quality
+    from stayflow.plans import mart_queries, operator_queries, quality, sales_model
 
     out.update(operator_queries.SPARK)
     out.update(mart_queries.SPARK)
+    out.update(sales_model.SPARK)
 
     def quality_summary(spark, sf_dir):
         return questions.finalize(quality.run_checks(Warehouse.for_dir(spark, sf_dir)))
@@ -43,10 +44,11 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_queries() -> dict[str, str]:
     out = dict(oracle.QUESTIONS_SQL)
-    from stayflow.plans import mart_queries, operator_queries, quality_oracle
+    from stayflow.plans import mart_queries, operator_queries, quality_oracle, sales_model
 
     out.update(operator_queries.ORACLE)
     out.update(mart_queries.ORACLE)
+    out.update(sales_model.ORACLE)
     out["quality_summary"] = quality_oracle.QUALITY_SUMMARY
     out["check_host_attributes_consistent"] = quality_oracle.HOST_ATTRIBUTES
     out["check_windows_over_cap"] = quality_oracle.WINDOWS_OVER_CAP
