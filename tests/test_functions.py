@@ -3,7 +3,6 @@ import hashlib
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from stayflow.functions import (
     avg_exact, band, contains_ci, day_name, div0, flag_name, flag_names, is_weekend, leading_number,
