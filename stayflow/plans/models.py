@@ -62,10 +62,13 @@ def listing_daily(wh: Warehouse) -> Model:
         "daily.max_maximum_nights": lambda c: F.max(c("maximum_nights")),
         "daily.max_minimum_nights": lambda c: F.max(c("minimum_nights")),
     }
+    # the daily fact carries these listing attributes (same values as the listing dimension)
+    denorm = {f"listing.{c}": c for c in ("neighborhood", "property_type", "room_type", "accommodates",
+                                          "bedrooms", "beds")}
     return Model("sem_listing_daily", "daily", {"daily": daily, "listing": listing, "host": host},
-                 [Relationship("daily", "listing_id", "listing", "listing_id"),
+                 [Relationship("daily", "listing_id", "listing", "listing_id", complete=True),
                   Relationship("listing", "host_id", "host", "host_id")],
-                 facts, dims, metrics)
+                 facts, dims, metrics, denorm)
 
 
 def listing_performance(wh: Warehouse) -> Model:
@@ -153,9 +156,10 @@ def reservations(wh: Warehouse) -> Model:
         "reservation.listings": lambda c: F.count_distinct(c("listing_id")),
         "reservation.hosts": lambda c: F.count_distinct(c("host_id")),
     }
+    denorm = {f"listing.{c}": c for c in ("neighborhood", "property_type", "room_type", "accommodates")}
     return Model("sem_reservations", "reservation", {"reservation": res, "listing": listing, "host": host},
-                 [Relationship("reservation", "listing_id", "listing", "listing_id"),
-                  Relationship("listing", "host_id", "host", "host_id")], facts, dims, metrics)
+                 [Relationship("reservation", "listing_id", "listing", "listing_id", complete=True),
+                  Relationship("listing", "host_id", "host", "host_id")], facts, dims, metrics, denorm)
 
 
 def host_performance(wh: Warehouse) -> Model:

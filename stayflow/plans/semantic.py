@@ -18,7 +18,11 @@ Rules checked on names before any Spark job runs:
 * fact and metric names share one namespace;
 * members may be named unqualified when the name is unambiguous;
 * rows whose foreign key is NULL (or matches no parent) drop out of results
-  that reference the parent, unless ``keep_unmatched=True``.
+  that reference the parent, unless ``keep_unmatched=True``;
+* a parent reached through one relationship declared complete (every child
+  key has a parent row, backed by an error-severity orphan check) whose
+  referenced members are all denormalised onto the measure table is read from
+  the measure table, so no join (no shuffle of the fact) is planned for it.
 
 ``validate()`` runs the one data check: every parent is unique on its key.
 """
@@ -52,6 +56,8 @@ class Relationship:
     foreign_key: str
     parent: str
     parent_key: str
+    # every child key has a parent row (no row can drop out through this join)
+    complete: bool = False
 
 
 @dataclass
@@ -63,6 +69,8 @@ class Model:
     facts: dict[str, str]            # qualified name -> column of its table (plain or derived)
     dimensions: dict[str, str]       # qualified name -> column of its table (plain or derived)
     metrics: dict[str, Callable[[Getter], Column]]   # qualified name -> aggregate over measure-table columns
+    # parent member -> column of the measure table holding the same value (denormalised onto the fact)
+    denormalized: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
         if self.measure_table not in self.tables:
@@ -81,6 +89,12 @@ class Model:
             t, _ = _split(q)
             if t not in self.tables:
                 raise SemanticError(f"{self.name}: member {q!r} refers to undeclared table {t!r}")
+        for q, col in self.denormalized.items():
+            t, _ = _split(q)
+            path = self._path_static(t)
+            if len(path) != 1 or not path[0].complete:
+                raise SemanticError(f"{self.name}: {q!r} can only be read from the measure table through one "
+                                    "complete relationship")
         for r in self.relationships:
             if r.child not in self.tables or r.parent not in self.tables:
                 raise SemanticError(f"{self.name}: relationship {r} names an undeclared table")
@@ -101,6 +115,9 @@ class Model:
             raise SemanticError(f"{self.name}: {name!r} is ambiguous between {sorted(hits)}; qualify it")
         return hits[0]
 
+    def _path_static(self, target: str) -> list[Relationship]:
+        return [r for r in self.relationships if r.child == self.measure_table and r.parent == target]
+
     def _path(self, target: str) -> list[Relationship]:
         """Relationships leading from the measure table to ``target``."""
         if target == self.measure_table:
@@ -147,14 +164,39 @@ class Model:
         referenced: set[str] = {_split(q)[0] for q in dims + fcts}
         where_tables: set[str] = set()
 
+        # members of a parent reachable through one complete relationship, all of them denormalised onto
+        # the measure table, are read from the measure table: the join (a shuffle of the fact when the
+        # parent is too large to broadcast) is not planned
+        wanted: dict[str, set] = {}
+        for q in dims + fcts:
+            wanted.setdefault(_split(q)[0], set()).add(q)
+        if where is not None:
+            probe: set = set()
+
+            def probe_getter(name: str) -> Column:
+                probe.add(self._resolve(name, {**self.dimensions, **self.facts}))
+                return F.lit(None)
+
+            where(probe_getter)
+            for q in probe:
+                wanted.setdefault(_split(q)[0], set()).add(q)
+        served = {t for t, qs in wanted.items()
+                  if t != self.measure_table and (mets or self.measure_table in wanted)
+                  and all(q in self.denormalized for q in qs)}
+
+        def column_of(q: str) -> Column:
+            t, _ = _split(q)
+            if t in served:
+                return F.col(f"{self.measure_table}__{self.denormalized[q]}")
+            return F.col(f"{t}__{self.dimensions.get(q) or self.facts.get(q)}")
+
         def where_getter(name: str) -> Column:
             q = self._resolve(name, {**self.dimensions, **self.facts})
-            t, _ = _split(q)
-            where_tables.add(t)
-            col = (self.dimensions.get(q) or self.facts.get(q))
-            return F.col(f"{t}__{col}")
+            where_tables.add(self.measure_table if _split(q)[0] in served else _split(q)[0])
+            return column_of(q)
 
         where_col = where(where_getter) if where is not None else None
+        referenced = {self.measure_table if t in served else t for t in referenced}
         referenced |= where_tables
         if mets:
             referenced.add(self.measure_table)
@@ -179,9 +221,9 @@ class Model:
         def out_name(q: str) -> str:
             return _split(q)[1]
 
-        dim_cols = [F.col(f"{_split(q)[0]}__{self.dimensions[q]}").alias(out_name(q)) for q in dims]
+        dim_cols = [column_of(q).alias(out_name(q)) for q in dims]
         if fcts:
-            fact_cols = [F.col(f"{_split(q)[0]}__{self.facts[q]}").alias(out_name(q)) for q in fcts]
+            fact_cols = [column_of(q).alias(out_name(q)) for q in fcts]
             return frame.select(*dim_cols, *fact_cols)
         getter = lambda c: F.col(f"{self.measure_table}__{c}")
         agg_cols = []

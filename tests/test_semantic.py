@@ -82,3 +82,23 @@ def test_validate_detects_duplicate_keys(spark):
     dup = spark.createDataFrame([(1,), (1,)], "id long")
     m = Model("v", "f", {"f": Table("f", lambda: dup, "id")}, [], {}, {"f.id": "id"}, {})
     assert m.validate() == ["v.f: primary key 'id' is not unique"]
+
+
+def test_denormalised_members_skip_a_complete_join(spark):
+    fact = spark.createDataFrame([(1, 10, "x", 5.0), (2, 10, "x", 7.0), (3, 20, "y", 1.0)],
+                                 "id long, parent_id long, parent_name long, amount double".replace(
+                                     "parent_name long", "parent_name string"))
+    parent = spark.createDataFrame([(10, "x", "u"), (20, "y", "v")], "pid long, name string, other string")
+    m = Model("d", "f", {"f": Table("f", lambda: fact, "id"), "p": Table("p", lambda: parent, "pid")},
+              [Relationship("f", "parent_id", "p", "pid", complete=True)],
+              {}, {"p.name": "name", "p.other": "other"}, {"f.total": lambda c: F.sum(c("amount"))},
+              denormalized={"p.name": "parent_name"})
+    q = m.query(["total"], ["p.name"], where=lambda c: c("p.name") != "zz")
+    assert "Join" not in q._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(tuple(r) for r in q.collect()) == [("x", 12.0), ("y", 1.0)]
+    joined = m.query(["total"], ["p.other"])                      # not denormalised: joins
+    assert "Join" in joined._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(SemanticError, match="complete"):
+        Model("bad", "f", {"f": Table("f", lambda: fact, "id"), "p": Table("p", lambda: parent, "pid")},
+              [Relationship("f", "parent_id", "p", "pid")], {}, {"p.name": "name"}, {},
+              denormalized={"p.name": "parent_name"})
