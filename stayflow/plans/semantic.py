@@ -22,7 +22,9 @@ Rules checked on names before any Spark job runs:
 * a parent reached through one relationship declared complete (every child
   key has a parent row, backed by an error-severity orphan check) whose
   referenced members are all denormalised onto the measure table is read from
-  the measure table, so no join (no shuffle of the fact) is planned for it.
+  the measure table, so no join (no shuffle of the fact) is planned for it;
+* a direct parent that only adds attributes of a grouped foreign key is joined
+  after the aggregation, to the aggregated rows instead of every fact row.
 
 ``validate()`` runs the one data check: every parent is unique on its key.
 """
@@ -204,10 +206,26 @@ class Model:
         if base_alias is None:
             # a facts/dimensions query on one non-measure table reads that table alone
             base_alias = next(iter(referenced))
+        how = "left" if keep_unmatched else "inner"
+        # Join after aggregating: a direct parent whose referenced members are all dimensions, that no filter
+        # and no further parent needs, and whose foreign key is itself a grouping key, adds only attributes
+        # that depend on that key. The aggregate is computed on the fact alone and the parent joined to the
+        # (much smaller) result, instead of joining every fact row before the aggregation.
+        late: list[str] = []
+        if mets:
+            for t in sorted(referenced - {self.measure_table}):
+                path = self._path(t)
+                if len(path) != 1 or t in where_tables:
+                    continue
+                fk = path[0].foreign_key
+                fk_grouped = any(_split(q)[0] == self.measure_table and self.dimensions.get(q) == fk for q in dims)
+                only_dims = all(q in self.dimensions for q in wanted.get(t, ()))
+                needed_by_others = any(t in [r.parent for r in self._path(u)[:-1]] for u in referenced if u != t)
+                if fk_grouped and only_dims and not needed_by_others:
+                    late.append(t)
         frame = self._table_frame(base_alias)
         joined = {base_alias}
-        how = "left" if keep_unmatched else "inner"
-        for t in sorted(referenced - {base_alias}, key=lambda a: len(self._path(a))):
+        for t in sorted(referenced - {base_alias} - set(late), key=lambda a: len(self._path(a))):
             for r in self._path(t):
                 if r.parent in joined:
                     continue
@@ -236,7 +254,18 @@ class Model:
             return frame.select(*dim_cols).distinct()
         if not dim_cols:
             return frame.agg(*agg_cols)
-        return frame.groupBy(*dim_cols).agg(*agg_cols)
+        if not late:
+            return frame.groupBy(*dim_cols).agg(*agg_cols)
+        early = [q for q in dims if _split(q)[0] not in late]
+        out = frame.groupBy(*[column_of(q).alias(out_name(q)) for q in early]).agg(*agg_cols)
+        for t in late:
+            r = self._path(t)[0]
+            fk_out = next(out_name(q) for q in early
+                          if _split(q)[0] == self.measure_table and self.dimensions.get(q) == r.foreign_key)
+            parent = self._table_frame(t)
+            out = out.join(parent, F.col(fk_out) == F.col(f"{t}__{r.parent_key}"), how)
+        final_dims = [column_of(q).alias(out_name(q)) if _split(q)[0] in late else F.col(out_name(q)) for q in dims]
+        return out.select(*final_dims, *[F.col(out_name(q)) for q in mets])
 
     def validate(self) -> list[str]:
         """Keys that are not unique in their declared table (M8); empty = valid."""

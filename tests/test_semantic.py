@@ -16,7 +16,7 @@ def model(spark):
          "p": Table("p", lambda: parent, "pid"), "g": Table("g", lambda: grand, "gid")},
         [Relationship("f", "parent_id", "p", "pid"), Relationship("p", "grand_id", "g", "gid")],
         facts={"f.amount": "amount", "f.double_amount": "double_amount"},
-        dimensions={"f.id": "id", "f.ok": "ok", "p.name": "name", "g.label": "label"},
+        dimensions={"f.id": "id", "f.ok": "ok", "f.parent_id": "parent_id", "p.name": "name", "g.label": "label"},
         metrics={"f.total": lambda c: F.sum(c("amount")), "f.rows": lambda c: F.count(F.lit(1))},
     )
 
@@ -102,3 +102,14 @@ def test_denormalised_members_skip_a_complete_join(spark):
         Model("bad", "f", {"f": Table("f", lambda: fact, "id"), "p": Table("p", lambda: parent, "pid")},
               [Relationship("f", "parent_id", "p", "pid")], {}, {"p.name": "name"}, {},
               denormalized={"p.name": "parent_name"})
+
+
+def test_parent_attributes_join_after_aggregation(model, spark):
+    q = model.query(metrics=["total", "rows"], dimensions=["f.parent_id", "p.name"])
+    plan = q._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")          # the join sits above the aggregate
+    assert sorted(tuple(r) for r in q.collect()) == [(10, "a", 12.0, 2), (20, "b", 1.0, 1)]   # NULL key dropped
+    kept = model.query(metrics=["rows"], dimensions=["f.parent_id", "p.name"], keep_unmatched=True)
+    assert sorted((r.parent_id or 0, r.rows) for r in kept.collect()) == [(0, 1), (10, 2), (20, 1)]
+    filtered = model.query(metrics=["rows"], dimensions=["f.parent_id", "p.name"], where=lambda c: c("p.name") == "a")
+    assert [tuple(r) for r in filtered.collect()] == [(10, "a", 2)]
