@@ -32,29 +32,45 @@ def unique(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
-def not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    cond = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-    return df.filter(cond)
+def null_in(cols: Sequence[str]) -> Column:
+    """Failing-row predicate: any of ``cols`` is NULL."""
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 
 
-def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    return df.filter(F.col(col).isNotNull() & ~F.col(col).isin(*values))
+def outside_values(col: str, values: Sequence) -> Column:
+    return F.col(col).isNotNull() & ~F.col(col).isin(*values)
 
 
-def accepted_range(df: DataFrame, col: str, min_value=None, max_value=None, inclusive: bool = True) -> DataFrame:
+def outside_range(col: str, min_value=None, max_value=None, inclusive: bool = True) -> Column:
     c = F.col(col)
     bad = F.lit(False)
     if min_value is not None:
         bad = bad | ((c < min_value) if inclusive else (c <= min_value))
     if max_value is not None:
         bad = bad | ((c > max_value) if inclusive else (c >= max_value))
-    return df.filter(c.isNotNull() & bad)
+    return c.isNotNull() & bad
+
+
+def not_true(expr: Column) -> Column:
+    """False or NULL (stricter on NULL than a warehouse test that only counts false)."""
+    return ~F.coalesce(expr, F.lit(False))
+
+
+def not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.filter(null_in(cols))
+
+
+def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
+    return df.filter(outside_values(col, values))
+
+
+def accepted_range(df: DataFrame, col: str, min_value=None, max_value=None, inclusive: bool = True) -> DataFrame:
+    return df.filter(outside_range(col, min_value, max_value, inclusive))
 
 
 def expression_is_true(df: DataFrame, expr: Column) -> DataFrame:
-    """Rows where the expression is false or NULL (stricter on NULL than a
-    warehouse test that only counts false)."""
-    return df.filter(~F.coalesce(expr, F.lit(False)))
+    """Rows where the expression is false or NULL."""
+    return df.filter(not_true(expr))
 
 
 def attributes_agree(df: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
@@ -82,10 +98,19 @@ def nonempty(df: DataFrame, label: str) -> DataFrame:
 # ----------------------------------------------------------------- the suite
 @dataclass(frozen=True)
 class Check:
+    """A check is either a failing-rows builder, or a row predicate over a
+    source relation (``source``, ``predicate``); predicate checks on the same
+    relation are counted together in one pass by ``run_checks``."""
+
     name: str
     severity: str
     relation: str
-    failing: Callable[[Warehouse], DataFrame]
+    failing: Callable[[Warehouse], DataFrame] | None = None
+    source: Callable[[Warehouse], DataFrame] | None = None
+    predicate: Column | None = None
+
+    def rows(self, wh: Warehouse) -> DataFrame:
+        return self.failing(wh) if self.failing is not None else self.source(wh).filter(self.predicate)
 
 
 def _deleted_listings_expected(wh: Warehouse) -> Column:
@@ -132,18 +157,20 @@ def checks(wh: Warehouse) -> list[Check]:
         Check("rejected_null_listing_ids", "warn", "listings",
               lambda w: w.raw("listings").filter(F.col("id").isNull())),
         # not null
-        Check("not_null_stg_calendar", "error", "stg_calendar",
-              lambda w: not_null(w.stg_calendar(), ["calendar_id", "listing_id", "calendar_date", "is_available"])),
-        Check("not_null_stg_listings", "error", "stg_listings", lambda w: not_null(w.stg_listings(), ["listing_id"])),
+        Check("not_null_stg_calendar", "error", "stg_calendar", source=lambda w: w.stg_calendar(),
+              predicate=null_in(["calendar_id", "listing_id", "calendar_date", "is_available"])),
+        Check("not_null_stg_listings", "error", "stg_listings", source=lambda w: w.stg_listings(),
+              predicate=null_in(["listing_id"])),
         Check("not_null_int_listing_amenities", "error", "int_listing_amenities",
-              lambda w: not_null(w.int_listing_amenities(), ["listing_id", "amenity_name"])),
-        Check("not_null_fct_listing_daily", "error", "fct_listing_daily",
-              lambda w: not_null(w.fct_listing_daily(), ["calendar_id", "listing_id", "is_deleted"])),
-        Check("not_null_fct_reservations", "error", "fct_reservations",
-              lambda w: not_null(w.fct_reservations(), ["reservation_key", "check_in_date", "nights"])),
-        Check("not_null_dim_listings", "error", "dim_listings",
-              lambda w: not_null(w.dim_listings(), ["listing_id", "is_deleted"])),
-        Check("not_null_dim_hosts", "error", "dim_hosts", lambda w: not_null(w.dim_hosts(), ["host_id", "listing_count"])),
+              source=lambda w: w.int_listing_amenities(), predicate=null_in(["listing_id", "amenity_name"])),
+        Check("not_null_fct_listing_daily", "error", "fct_listing_daily", source=lambda w: w.fct_listing_daily(),
+              predicate=null_in(["calendar_id", "listing_id", "is_deleted"])),
+        Check("not_null_fct_reservations", "error", "fct_reservations", source=lambda w: w.fct_reservations(),
+              predicate=null_in(["reservation_key", "check_in_date", "nights"])),
+        Check("not_null_dim_listings", "error", "dim_listings", source=lambda w: w.dim_listings(),
+              predicate=null_in(["listing_id", "is_deleted"])),
+        Check("not_null_dim_hosts", "error", "dim_hosts", source=lambda w: w.dim_hosts(),
+              predicate=null_in(["host_id", "listing_count"])),
         # relationships
         Check("relationship_calendar_to_listings", "warn", "stg_calendar",
               lambda w: orphans(w.stg_calendar(), w.stg_listings(), "listing_id")),
@@ -158,21 +185,20 @@ def checks(wh: Warehouse) -> list[Check]:
         Check("relationship_verification_to_vocabulary", "warn", "int_host_verifications",
               lambda w: orphans(w.int_host_verifications(), ver_vocab(), "verification_method")),
         # values and ranges
-        Check("accepted_values_room_type", "error", "stg_listings",
-              lambda w: accepted_values(w.stg_listings(), "room_type", ROOM_TYPES)),
-        Check("accepted_range_accommodates", "warn", "stg_listings",
-              lambda w: accepted_range(w.stg_listings(), "accommodates", min_value=1)),
-        Check("accepted_range_price", "error", "stg_listings",
-              lambda w: accepted_range(w.stg_listings(), "price", min_value=0, inclusive=False)),
+        Check("accepted_values_room_type", "error", "stg_listings", source=lambda w: w.stg_listings(),
+              predicate=outside_values("room_type", ROOM_TYPES)),
+        Check("accepted_range_accommodates", "warn", "stg_listings", source=lambda w: w.stg_listings(),
+              predicate=outside_range("accommodates", min_value=1)),
+        Check("accepted_range_price", "error", "stg_listings", source=lambda w: w.stg_listings(),
+              predicate=outside_range("price", min_value=0, inclusive=False)),
         # expressions
-        Check("reservation_is_contiguous", "error", "int_reservations",
-              lambda w: expression_is_true(w.int_reservations(), F.col("is_contiguous"))),
-        Check("nights_reconcile", "error", "dim_listings",
-              lambda w: expression_is_true(w.dim_listings().filter(F.col("calendar_days").isNotNull()),
-                                           F.col("booked_nights") + F.col("available_nights") == F.col("calendar_days"))),
-        Check("availability_matches_reservation", "error", "fct_listing_daily",
-              lambda w: expression_is_true(w.fct_listing_daily(),
-                                           F.col("is_available") == F.col("reservation_id").isNull())),
+        Check("reservation_is_contiguous", "error", "int_reservations", source=lambda w: w.int_reservations(),
+              predicate=not_true(F.col("is_contiguous"))),
+        Check("nights_reconcile", "error", "dim_listings", source=lambda w: w.dim_listings(),
+              predicate=F.col("calendar_days").isNotNull() & not_true(
+                  F.col("booked_nights") + F.col("available_nights") == F.col("calendar_days"))),
+        Check("availability_matches_reservation", "error", "fct_listing_daily", source=lambda w: w.fct_listing_daily(),
+              predicate=not_true(F.col("is_available") == F.col("reservation_id").isNull())),
         # singular
         Check("host_attributes_consistent", "warn", "stg_listings",
               lambda w: attributes_agree(w.stg_listings(), "host_id",
@@ -195,14 +221,28 @@ def checks(wh: Warehouse) -> list[Check]:
 
 
 def run_checks(wh: Warehouse, only: Sequence[str] | None = None) -> DataFrame:
-    """One row per check: name, severity, relation, failing row count."""
+    """One row per check: name, severity, relation, failing row count.
+
+    Predicate checks on one relation are counted in a single pass over it
+    (one ``count_if`` per check); every other check is one aggregation. All
+    parts are unioned into one result (one job)."""
+    selected = [c for c in checks(wh) if not only or c.name in only]
     parts = []
-    for c in checks(wh):
-        if only and c.name not in only:
+    by_relation: dict[str, list[Check]] = {}
+    for c in selected:
+        if c.failing is None:
+            by_relation.setdefault(c.relation, []).append(c)
             continue
         parts.append(c.failing(wh).agg(F.count(F.lit(1)).alias("failing_rows")).select(
             F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"),
             F.lit(c.relation).alias("relation"), "failing_rows"))
+    for relation, group in by_relation.items():
+        counts = group[0].source(wh).agg(*[F.count_if(c.predicate).alias(f"_c{i}") for i, c in enumerate(group)])
+        rows = F.explode(F.array(*[
+            F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"),
+                     F.lit(relation).alias("relation"), F.col(f"_c{i}").cast("long").alias("failing_rows"))
+            for i, c in enumerate(group)]))
+        parts.append(counts.select(rows.alias("_r")).select("_r.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
