@@ -52,3 +52,31 @@ def test_streaming_batches_feed_the_guarded_sink(spark, tmp_dir):
     q.awaitTermination(120)
     assert sorted(tuple(r) for r in spark.table("stream_counts").collect()) == [(1, 2), (2, 1)]
     spark.sql("DROP TABLE IF EXISTS stream_counts")
+
+
+@needs_data
+def test_build_is_independent_of_the_session_time_zone(spark):
+    """Event times are timestamp_ntz and the calendar is DATE: a non-UTC session
+    must give the same marts (rebuilt from raw, compared with the SQL oracle)."""
+    import duckdb
+
+    from stayflow.plans.questions import finalize
+    from stayflow.sources.tables import TABLES
+
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        wh = Warehouse(spark, SMOKE, materialize=False)
+        got = finalize(wh.fct_reservations())
+        cols = got.columns
+        mine = sorted(tuple(str(v) for v in r) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    res = con.execute(E.oracle_sql()["mart_fct_reservations"])
+    ocols = [d[0] for d in res.description]
+    idx = [ocols.index(c) for c in cols]
+    theirs = sorted(tuple(str(r[i]) for i in idx) for r in res.fetchall())
+    assert mine == theirs
