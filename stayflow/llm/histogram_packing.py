@@ -7,8 +7,7 @@ counts of equal packs ("patterns"). Then every piece takes the slot of its rank
 counted within (length, salt) groups plus the counts of the groups before, so a length that a third of all pieces
 share is spread over many tasks. The patterns that are shipped to tasks are bounded by the histogram, not the corpus.
 
-A sequence is padded to ``size`` unless its length is a power of two. Packs that end far from full are cut at powers of two
-(``split_open``), which leaves them without padding.
+A sequence is padded to ``size`` unless its length is a power of two (then it is used as it is).
 
 Defined results: a null or empty text is the end token alone; repeated rows are packed one by one; a null doc_id stays
 null; an empty table gives an empty result; columns other than doc_id and text are not read.
@@ -57,11 +56,6 @@ def patterns(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, list[i
     return [entry for room in sorted(open_) for entry in open_[room]]
 
 
-def split_open(packs: list[tuple[int, list[int]]], size: int = SIZE, least_fill: float = 0.98) -> list[tuple[int, list[int]]]:
-    """Packs filled below ``least_fill`` lose their tail to packs of their own, so each ends at a power of two if possible."""
-    return packs
-
-
 class Slots:
     """Where the piece of each (length, rank) goes: arrays over runs of consecutive ranks."""
 
@@ -113,7 +107,7 @@ def cut(docs: DataFrame, tokenizer: str, size: int = SIZE, with_ids: bool = Fals
 def place(pieces: DataFrame, size: int = SIZE) -> DataFrame:
     """Adds sequence_id and offset to a landed table of pieces."""
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``size`` rows
-    slots = Slots(split_open(patterns(histogram, size), size))
+    slots = Slots(patterns(histogram, size))
     salts = max(1, int(sum(histogram.values()) ** 0.5))
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)))
     groups = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stayflow.llm import attention_mil, chat_rotation, epsilon_grid, histogram_packing, minhash_bayes, quality_trees, url_trie
+from stayflow.llm import attention_mil, chat_rotation, epsilon_grid, histogram_packing, merge_replay, minhash_bayes, quality_trees, record_files, url_trie
 
 SPARK = {f.__name__: f for f in (
     minhash_bayes.op1_minhash_near_dedup,
@@ -10,6 +10,7 @@ SPARK = {f.__name__: f for f in (
     attention_mil.op3_quality_classifier,
     histogram_packing.op5_histogram_packing,
     url_trie.op6_url_filter,
+    record_files.op7_record_files,
     quality_trees.op8_quality_rules,
     chat_rotation.op10_chat_rotation,
 )}
