@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
-from stayflow.llm import attention_mil, chat_rotation, epsilon_grid, histogram_packing, merge_replay, minhash_bayes, quality_trees, record_files, url_trie
+from stayflow.llm import (
+    attention_mil,
+    bwt_repeats,
+    chat_rotation,
+    epsilon_grid,
+    histogram_packing,
+    merge_replay,
+    minhash_bayes,
+    quality_trees,
+    record_files,
+    url_trie,
+)
 
 SPARK = {f.__name__: f for f in (
     minhash_bayes.op1_minhash_near_dedup,
     epsilon_grid.op2_epsilon_grid_join,
     attention_mil.op3_quality_classifier,
+    bwt_repeats.op4_bwt_repeats,
     histogram_packing.op5_histogram_packing,
     url_trie.op6_url_filter,
     record_files.op7_record_files,
