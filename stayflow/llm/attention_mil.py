@@ -152,21 +152,32 @@ def held_out(key: str):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _scores(texts: list[bytes], weights: dict[str, np.ndarray] | None) -> np.ndarray:
+    if weights is None:
+        return np.full(len(texts), 0.5)
+    x, n = passages(texts)
+    return _sigmoid(forward(weights, (x - weights["mean"]) / weights["scale"], n)[0])
+
+
 def score(docs: DataFrame, weights: dict[str, np.ndarray] | None) -> DataFrame:
     """doc_id and score of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _text.blocks(batches):
-            if weights is None:
-                value = np.full(len(texts), 0.5)
-            else:
-                x, n = passages(texts)
-                value = _sigmoid(forward(weights, (x - weights["mean"]) / weights["scale"], n)[0])
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(value, pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_scores(texts, weights), pa.float64())], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
 
 
+def keep_good(docs: DataFrame, weights: dict[str, np.ndarray] | None, least: float = 0.3) -> DataFrame:
+    """The rows of docs, with all their columns, that score at least ``least``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _text.blocks(batches):
+            yield part.filter(pa.array(_scores(texts, weights) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, least: float = 0.3, sample_rows: int = 4000) -> DataFrame:
     return score(docs, train(docs, labels, sample_rows)).select(
         "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))

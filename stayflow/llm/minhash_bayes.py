@@ -157,9 +157,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         "v", some["k1"], some["k2"], "sig").dropDuplicates(["v", "k1", "k2"])
     reps = _store.land(reps, "representatives")
     rows = _store.land(feats.select("doc_id", "n", "k1", "k2").join(first, ["k1", "k2"], "left"), "rows")
-    # rows that share a doc_id, and sets that share their smallest doc_id, are one document
-    links = [rows.where("v != doc_id").groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("b"))
-             .where("a != b").select("a", "b")]
+    # rows that share a doc_id are one document
+    shared = (rows.where("v != doc_id").groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("b"))
+              .where("a != b").select("a", "b"))
 
     keys = F.explode(F.array(*(F.xxhash64(F.lit(i), F.slice("sig", i * ROWS + 1, ROWS)) for i in range(BANDS))))
     banded = reps.select("v", keys.alias("key")).distinct()
@@ -167,8 +167,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     members = _store.land(banded.join(buckets.select("key", "centre"), "key"), "buckets")
     verify = Verifier(docs, reps, percent)
     tested = _store.land(members.where("v != centre").select(F.col("centre").alias("a"), F.col("v").alias("b")).distinct(), "pairs")
-    links = _store.land(links[0].unionByName(verify(tested)), "links")
-    label = _components(links)
+    links = _store.land(shared.unionByName(verify(tested)), "links")
+    label = _store.components(links)
 
     open_, turns, turn = members.select("key", "v"), 1, 0
     while True:
@@ -193,7 +193,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         if not pairs.isEmpty():
             links = links.unionByName(verify(pairs))
             tested = tested.unionByName(pairs)
-            label = _components(links)
+            label = _store.components(links)
         open_, turn = named.select("key", "v"), turn + 1
 
     out = rows.join(label, "v", "left")
@@ -202,8 +202,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _components(links: DataFrame) -> DataFrame:
-    return _store.components(links)
+def deduplicate(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The rows of docs, with all their columns, that are the first of their group (by doc_id; one row per doc_id).
+    Rows without a doc_id stay."""
+    found = _store.land(near_duplicates(docs, percent), "verdicts").where("doc_id IS NOT NULL")
+    kept = docs.join(found.where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    if not found.groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

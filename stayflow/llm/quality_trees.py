@@ -1,9 +1,8 @@
 """Operator 8: quality rules as gradient-boosted trees over document statistics, with monotonic constraints.
 
-One vectorised pass over the whole texts gives every document's statistics; they are landed once. The trees are grown on
-a bounded sample of labelled rows (``sample_rows``, the rows with the smallest hashes), on histograms of the statistics;
+One vectorised pass over the whole texts gives every document's statistics. The trees are grown on a bounded sample of labelled rows (``sample_rows``, the rows with the smallest hashes), on histograms of the statistics;
 a constrained statistic (symbols, repeated lines and words) can only lower the score as it grows. The trees
-are flattened into node arrays, and all rows of a batch walk down all trees at once.
+are flattened into node arrays, and all rows of a block walk down all trees at once.
 
 Defined results: a null or empty text has no words (all statistics 0) and fails the base rules; repeated rows are judged
 alike, one output row per input row; a null doc_id stays null; without labels of both classes the trees keep all that
@@ -28,7 +27,6 @@ LONGS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: (statistic, constraint): -1 the score may only fall as it grows, 0 free.
 FEATURES = (("log_words", 0), ("word_length", 0), ("symbol_share", -1), ("dup_line_share", -1), ("repeat_share", -1),
             ("stutter_share", -1), ("upper_share", 0), ("digit_share", 0), ("mark_share", 0), ("line_words", 0))
-SCHEMA = ", ".join(["doc_id long", *(f"{c} long" for c in LONGS), *(f"{c} double" for c, _ in FEATURES)])
 
 _symbol, _upper, _digit, _mark = (np.zeros(256, bool) for _ in range(4))
 _symbol[list(SYMBOLS)] = True
@@ -80,16 +78,8 @@ def statistics(texts: list[bytes]) -> dict[str, np.ndarray]:
     return out
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, texts in _text.blocks(batches):
-        found = statistics(texts)
-        yield pa.RecordBatch.from_arrays(
-            [part.column(0).cast(pa.int64()), *(pa.array(found[c].astype(np.int64)) for c in LONGS),
-             *(pa.array(found[c].astype(np.float64)) for c, _ in FEATURES)], names=["doc_id", *LONGS, *(c for c, _ in FEATURES)])
-
-
-def document_statistics(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text").mapInArrow(_measure, SCHEMA)
+def _features(found: dict[str, np.ndarray]) -> np.ndarray:
+    return np.stack([found[c].astype(float) for c, _ in FEATURES], 1)
 
 
 @dataclass
@@ -169,39 +159,57 @@ def grow(x: np.ndarray, y: np.ndarray, signs: np.ndarray, n_trees: int = 60, dep
     return Trees(np.array(roots), np.array(feature), np.array(threshold), np.array(left), np.array(value), base, depth)
 
 
-def train(stats: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Trees | None:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Trees | None:
     """Trees grown on at most ``sample_rows`` labelled rows, or None without both classes."""
     chosen = (labels.select("doc_id", "quality").where("quality IN (0, 1) AND doc_id IS NOT NULL")
               .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_rows))
-    rows = stats.join(F.broadcast(chosen), "doc_id").select(*(c for c, _ in FEATURES), "quality").orderBy(
-        *(c for c, _ in FEATURES), "quality").limit(2 * sample_rows).toPandas()
+    names = [c for c, _ in FEATURES]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _text.blocks(batches):
+            x = _features(statistics(texts))
+            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("quality")).cast(pa.int32()),
+                                              *(pa.array(x[:, i]) for i in range(len(names)))], names=["quality", *names])
+
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(run, "quality int, " + ", ".join(f"{c} double" for c in names))
+            .orderBy(*names, "quality").limit(2 * sample_rows).toPandas())
     y = rows["quality"].to_numpy(float)
     if not 0 < y.sum() < len(y):
         return None
-    return grow(rows[[c for c, _ in FEATURES]].to_numpy(float), y, np.array([s for _, s in FEATURES]))
+    return grow(rows[names].to_numpy(float), y, np.array([s for _, s in FEATURES]))
 
 
-def judge(stats: DataFrame, trees: Trees | None, least_score: float = 0.3) -> DataFrame:
-    """doc_id, the statistics of the base rules, base_failed, score, kept."""
-    names = ["doc_id", *LONGS, "base_failed", "score", "kept"]
+def _verdicts(texts: list[bytes], trees: Trees | None, least_score: float) -> dict[str, np.ndarray]:
+    found = statistics(texts)
+    failed = (found["n_words"] < 20) | (100 * found["n_repeat_words"] > 30 * found["n_words"])
+    score = np.ones(len(texts)) if trees is None else trees.score(_features(found))
+    return found | {"base_failed": failed, "score": score, "kept": ~failed & (score >= least_score)}
+
+
+def judge(docs: DataFrame, trees: Trees | None, least_score: float = 0.3) -> DataFrame:
+    """doc_id, the statistics of the base rules, base_failed, score, kept of every row."""
+    names = [*LONGS, "base_failed", "score", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            words, repeats = (col[c].to_numpy() for c in ("n_words", "n_repeat_words"))
-            failed = (words < 20) | (100 * repeats > 30 * words)
-            x = np.stack([col[c].to_numpy() for c, _ in FEATURES], 1)
-            score = np.ones(len(x)) if trees is None else np.concatenate([trees.score(x[i : i + 2000]) for i in range(0, len(x), 2000)] or [np.zeros(0)])
-            yield pa.RecordBatch.from_arrays([col["doc_id"], *(col[c] for c in LONGS), pa.array(failed), pa.array(score),
-                                              pa.array(~failed & (score >= least_score))], names=names)
+        for part, texts in _text.blocks(batches):
+            found = _verdicts(texts, trees, least_score)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), *(pa.array(found[c].astype(np.int64) if c in LONGS else found[c]) for c in names)], names=["doc_id", *names])
 
-    return stats.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in LONGS) + ", base_failed boolean, score double, kept boolean")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in LONGS) + ", base_failed boolean, score double, kept boolean")
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, least_score: float = 0.3) -> DataFrame:
-    stats = _store.land(document_statistics(docs), "statistics")
-    return judge(stats, train(stats, labels, sample_rows), least_score)
+def keep_good(docs: DataFrame, trees: Trees | None, least_score: float = 0.3) -> DataFrame:
+    """The rows of docs, with all their columns, that pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _text.blocks(batches):
+            yield part.filter(pa.array(_verdicts(texts, trees, least_score)["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(_store.documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    docs = _store.documents(spark, sf_dir, "doc_id", "text")
+    return judge(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
