@@ -24,6 +24,7 @@ SPARK = {f.__name__: f for f in (
     url_trie.op6_url_filter,
     record_files.op7_record_files,
     quality_trees.op8_quality_rules,
+    merge_replay.op9_merge_replay,
     chat_rotation.op10_chat_rotation,
 )}
 
