@@ -46,9 +46,10 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     first = np.flatnonzero(np.concatenate([[True], bag[1:] != bag[:-1]]))
     count = np.diff(np.append(first, len(bag)))
     start, end = b.start[first], b.end[first + count - 1]
-    owner = np.repeat(np.arange(total + 1), np.diff(np.concatenate([[0], start[1:], [len(b.buf)], [len(b.buf)]])))[: len(b.buf)]
+    edges = np.stack([start, end], 1).ravel()  # bytes between passages belong to none
+    owner = np.repeat(np.stack([np.full(total, total), np.arange(total)], 1).ravel(), np.diff(edges, prepend=0))
     x = np.zeros((total, WIDTH), np.float32)
-    x[:, :KINDS] = np.bincount(owner * KINDS + _kind[b.buf], minlength=total * KINDS)[: total * KINDS].reshape(total, KINDS)
+    x[:, :KINDS] = np.bincount(owner * KINDS + _kind[b.buf[: len(owner)]], minlength=(total + 1) * KINDS)[: total * KINDS].reshape(total, KINDS)
     x[:, :KINDS] = np.sqrt(x[:, :KINDS] / np.maximum(x[:, :KINDS].sum(1, keepdims=True), 1))
     h = b.word_hash()
     same = np.zeros(len(h), bool)

@@ -321,22 +321,26 @@ def _keep(text: bytes, removed: list[tuple[int, int]]) -> bytes:
 
 
 def with_spans(docs: DataFrame, length: int = 200) -> DataFrame:
-    """All rows and columns of docs, and ``spans``. Rows are found again by hashes of doc_id and text (80 bits together)."""
-    known = docs.withColumns({"ref": F.xxhash64("doc_id", "text"), "tag": F.hash("text", F.lit(7)).cast("long").bitwiseAND(65535)})
+    """row (a struct of all columns of docs but text), text and spans, for every row. Rows are found again by hashes of
+    doc_id and text (80 bits together)."""
+    known = docs.select(F.struct(*(f"`{c}`" for c in docs.columns if c != "text")).alias("row"), "text", F.xxhash64("doc_id", "text").alias("ref"),
+                        F.hash("text", F.lit(7)).cast("long").bitwiseAND(65535).alias("tag"))
     spans = _store.land(repeated_spans(known.select("ref", "tag", "text"), length), "spans")
-    return known.join(spans, ["ref", "tag"], "left").drop("ref", "tag")
+    return known.join(spans, ["ref", "tag"], "left").select("row", "text", "spans")
 
 
 def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     """docs with every repeated string cut out of ``text`` (a cut inside a character drops the rest of it)."""
     names = docs.columns
+    others = [c for c in names if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _text.blocks(batches):
-            spans = part.column(part.schema.get_field_index("spans")).to_pylist()
-            null = part.column(part.schema.get_field_index("text")).is_null().to_pylist()
-            kept = [None if none else _keep(t, covered(s, length)).decode("utf-8", "ignore") for t, s, none in zip(texts, spans, null)]
-            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()) if c == "text" else part.column(part.schema.get_field_index(c)) for c in names], names=names)
+            null = part.column(1).is_null().to_pylist()
+            kept = [None if none else _keep(t, covered(s, length)).decode("utf-8", "ignore")
+                    for t, s, none in zip(texts, part.column(2).to_pylist(), null)]
+            columns = dict(zip(others, part.column(0).flatten())) | {"text": pa.array(kept, pa.string())}
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
 
     return with_spans(docs, length).mapInArrow(run, docs.schema)
 
@@ -345,9 +349,9 @@ def digest(docs: DataFrame, length: int = 200) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _text.blocks(batches):
-            removed = [covered(s, length) for s in part.column(part.schema.get_field_index("spans")).to_pylist()]
+            removed = [covered(s, length) for s in part.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                part.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([sum(hi - lo for lo, hi in r) for r in removed], pa.int64()),
+                part.column(0).field(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([sum(hi - lo for lo, hi in r) for r in removed], pa.int64()),
                 pa.array([len(r) for r in removed], pa.int64()),
                 pa.array([hashlib.sha256(_keep(t, r)).hexdigest() for t, r in zip(texts, removed)], pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
