@@ -37,80 +37,70 @@ _VERIF_COLS = ", ".join(_slug("is_verified_", v) for v in VERIFICATIONS)
 
 PRELUDE = f"""
 WITH
-ev_day AS (
-  SELECT user_id AS listing_id, CAST(ts AS DATE) AS date, event_type, CAST(value AS DECIMAL(12,2)) AS value
-  FROM events
-),
-day_stats AS (
-  SELECT listing_id, date, count(*) AS n_events,
-    count(*) FILTER (WHERE event_type = 'purchase') AS n_booked,
-    count(*) FILTER (WHERE event_type = 'click') AS n_min,
-    count(*) FILTER (WHERE event_type = 'view') AS n_max,
-    sum(value) AS day_value
-  FROM ev_day GROUP BY listing_id, date
-),
-cal_days AS (
-  SELECT CAST(unnest(generate_series(CAST(min(date) AS TIMESTAMP), CAST(max(date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
-  FROM ev_day
+item_names AS (
+  SELECT l_orderkey, count(*) AS n_items, list(DISTINCT CASE WHEN l_quantity >= 46 THEN 'error' WHEN l_returnflag = 'R' THEN 'click'
+    WHEN l_returnflag = 'A' THEN 'view' WHEN l_linestatus = 'O' THEN 'signup' ELSE 'purchase' END) AS names
+  FROM lineitem GROUP BY l_orderkey
 ),
-raw_calendar AS (
-  SELECT u.listing_id, d.date,
-    coalesce(s.n_booked, 0) = 0 AS available,
-    CASE WHEN coalesce(s.n_booked, 0) > 0 THEN 'R' || strftime(date_trunc('week', d.date), '%Y%m%d') ELSE 'NULL' END
-      AS reservation_id,
-    CASE WHEN s.n_events IS NULL THEN 'n/a' ELSE CAST(s.day_value AS VARCHAR) END AS price,
-    CAST(1 + coalesce(s.n_min, 0) AS INTEGER) AS minimum_nights,
-    CAST(2 + coalesce(s.n_max, 0) AS INTEGER) AS maximum_nights
-  FROM (SELECT DISTINCT listing_id FROM ev_day) u
-  JOIN cal_days d ON TRUE
-  LEFT JOIN day_stats s ON s.listing_id = u.listing_id AND s.date = d.date
+stays AS (
+  SELECT o_custkey AS listing_id, o_orderkey AS order_id, n_items, names,
+    CAST(DATE '2024-01-01' + CAST((dayofyear(o_orderdate) - 1) % 121 AS INTEGER) AS DATE) AS first_night
+  FROM orders JOIN item_names ON l_orderkey = o_orderkey
 ),
-raw_changelog AS (
-  SELECT user_id AS listing_id, max(ts) AS change_at,
-    CAST(to_json(list_sort(list_distinct(list(event_type)))) AS VARCHAR) AS amenities
-  FROM events GROUP BY user_id, CAST(ts AS DATE)
+taken AS (
+  SELECT listing_id, night, min(order_id) AS order_id FROM (
+    SELECT listing_id, order_id, CAST(first_night + CAST(i AS INTEGER) AS DATE) AS night
+    FROM (SELECT *, unnest(range(n_items)) AS i FROM stays)) GROUP BY ALL
 ),
 per_cust AS (
   SELECT o_custkey, count(*) AS n_orders,
-    count(*) FILTER (WHERE o_orderstatus = 'F') AS n_f,
-    count(*) FILTER (WHERE o_orderstatus = 'O') AS n_o,
-    count(*) FILTER (WHERE o_orderstatus = 'P') AS n_p,
-    min(o_orderdate) AS first_order, max(o_orderdate) AS last_order, min(o_totalprice) AS min_total,
-    CAST(to_json(list_sort(list_distinct(list(o_orderpriority)))) AS VARCHAR) AS priorities,
+    sum(CAST(o_orderstatus = 'F' AS INTEGER)) AS n_f, sum(CAST(o_orderstatus = 'O' AS INTEGER)) AS n_o,
+    sum(CAST(o_orderstatus = 'P' AS INTEGER)) AS n_p, bool_or(o_orderpriority = '1-URGENT') AS urgent,
+    min(o_orderdate) AS first_order, max(o_orderdate) AS last_order, CAST(floor(min(o_totalprice) / 10) AS BIGINT) AS cents,
+    CAST(to_json(list_sort(list(DISTINCT o_orderpriority))) AS VARCHAR) AS priorities,
     avg(CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) AS avg_priority
   FROM orders GROUP BY o_custkey
 ),
+season AS (
+  SELECT CAST(unnest(generate_series(CAST(min(night) AS TIMESTAMP), CAST(max(night) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
+  FROM taken
+),
+priced AS (
+  SELECT o_custkey AS listing_id, date, n_f, n_o, n_p, CAST(floor(cents * (100 + CASE WHEN urgent
+    THEN (o_custkey * 31 + date_diff('day', DATE '2024-01-01', date) * 17) % 41 - 20 ELSE 0 END) / 100) AS BIGINT) AS night_cents
+  FROM per_cust, season
+),
+raw_calendar AS (
+  SELECT p.listing_id, p.date, t.order_id IS NULL AS available,
+    CASE WHEN t.order_id IS NULL THEN 'NULL' ELSE 'R' || t.order_id END AS reservation_id,
+    (night_cents // 100) || '.' || lpad(CAST(night_cents % 100 AS VARCHAR), 2, '0') AS price,
+    CAST(1 + n_p AS INTEGER) AS minimum_nights, CAST(2 + n_f + n_o AS INTEGER) AS maximum_nights
+  FROM priced p LEFT JOIN taken t ON t.listing_id = p.listing_id AND t.night = p.date
+),
+raw_changelog AS (
+  SELECT listing_id, CAST(first_night AS TIMESTAMP) AS change_at,
+    CAST(to_json(list_sort(list_distinct(flatten(list(names))))) AS VARCHAR) AS amenities
+  FROM stays GROUP BY listing_id, first_night
+),
 raw_listings AS (
-  SELECT c.c_custkey AS id, c.c_name AS name,
-    CAST(floor(c.c_acctbal / 100) + 10 AS BIGINT) AS host_id,
-    'Host #' || CAST(CAST(floor(c.c_acctbal / 100) + 10 AS BIGINT) AS VARCHAR) AS host_name,
-    CAST(p.first_order AS DATE) AS host_since,
-    n.n_name AS host_location,
-    p.priorities AS host_verifications,
-    r.r_name AS neighborhood,
-    c.c_mktsegment AS property_type,
-    CASE WHEN c.c_acctbal < 1000 THEN 'Private room' ELSE 'Entire home/apt' END AS room_type,
-    CAST(coalesce(p.n_orders, 0) AS INTEGER) AS accommodates,
-    CASE WHEN p.n_orders IS NULL THEN NULL
-         WHEN p.n_f = 0 THEN 'Half-bath'
-         ELSE CAST(p.n_f AS VARCHAR) || CASE WHEN c.c_acctbal < 0 THEN ' shared baths' ELSE ' baths' END
-    END AS bathrooms_text,
-    CAST(CASE WHEN p.n_o > 0 THEN p.n_o END AS INTEGER) AS bedrooms,
-    CAST(coalesce(p.n_p, 0) AS INTEGER) AS beds,
-    CAST(NULL AS VARCHAR) AS amenities,
-    CASE WHEN p.n_orders IS NULL THEN 'TBD'
-         ELSE '$' || CAST(CAST(floor(p.min_total / 10) AS BIGINT) // 100 AS VARCHAR) || '.'
-              || lpad(CAST(CAST(floor(p.min_total / 10) AS BIGINT) % 100 AS VARCHAR), 2, '0')
-    END AS price,
-    CAST(coalesce(p.n_f, 0) AS INTEGER) AS number_of_reviews,
-    CASE WHEN p.n_orders IS NULL THEN '' ELSE CAST(CAST(p.first_order AS DATE) AS VARCHAR) END AS first_review,
-    CASE WHEN p.n_orders IS NULL THEN '' ELSE CAST(CAST(p.last_order AS DATE) AS VARCHAR) END AS last_review,
+  SELECT c_custkey AS id, c_name AS name, h.host_id, 'Host #' || h.host_id AS host_name,
+    CAST(p.first_order AS DATE) AS host_since, n_name AS host_location, p.priorities AS host_verifications,
+    r_name AS neighborhood, c_mktsegment AS property_type,
+    CASE WHEN c_acctbal < 1000 THEN 'Private room' ELSE 'Entire home/apt' END AS room_type,
+    CAST(p.n_orders AS INTEGER) AS accommodates,
+    CASE WHEN p.n_f = 0 THEN 'Half-bath' ELSE p.n_f || CASE WHEN c_acctbal < 0 THEN ' shared baths' ELSE ' baths' END END AS bathrooms_text,
+    CAST(p.n_o AS INTEGER) AS bedrooms, CAST(p.n_p AS INTEGER) AS beds, CAST(NULL AS VARCHAR) AS amenities,
+    '$' || (p.cents // 100) || '.' || lpad(CAST(p.cents % 100 AS VARCHAR), 2, '0') AS price,
+    CAST(p.n_f AS INTEGER) AS number_of_reviews,
+    CASE WHEN p.n_f = 0 THEN '' ELSE CAST(CAST(DATE '2022-01-01' + CAST(date_diff('day', DATE '1995-01-01', CAST(p.first_order AS DATE)) // 3
+      AS INTEGER) AS DATE) AS VARCHAR) END AS first_review,
+    CASE WHEN p.n_f = 0 THEN '' ELSE CAST(CAST(DATE '2022-01-01' + CAST(date_diff('day', DATE '1995-01-01', CAST(p.last_order AS DATE)) // 3
+      AS INTEGER) AS DATE) AS VARCHAR) END AS last_review,
     6.0 - p.avg_priority AS review_scores_rating
-  FROM customer c
-  JOIN nation n ON c.c_nationkey = n.n_nationkey
-  JOIN region r ON n.n_regionkey = r.r_regionkey
-  LEFT JOIN per_cust p ON c.c_custkey = p.o_custkey
-  WHERE c.c_nationkey < 20
+  FROM customer
+  JOIN (SELECT c_custkey AS k, 10 + c_custkey // (1 + c_nationkey % 5) AS host_id FROM customer) h ON h.k = c_custkey
+  JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+  JOIN per_cust p ON o_custkey = c_custkey AND p.n_o > 0
 ),
 stg_listings AS (
   SELECT id AS listing_id, name AS listing_name, host_id,

@@ -20,7 +20,7 @@ from stayflow.session import shared_dir
 from stayflow.sources import testdata
 
 # fct_listing_daily is a projection of int_listing_daily, so it is a view over that written table
-_MATERIALIZED = ("event_days", "int_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")
+_MATERIALIZED = ("order_days", "order_facts", "int_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")
 # read by several builders and by the quality suite: kept (memory, spilling to disk) for this build only
 _PERSISTED = ("stg_listings", "stg_calendar", "stg_amenities_changelog", "int_listings", "listing_features",
               "int_reservations", "listing_rollup")
@@ -53,15 +53,15 @@ class Warehouse:
 
     # raw --------------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
-        """The three raw rental tables. Bound to the driver's tables, the per-day
-        events aggregate behind both the calendar and the change log is landed
-        once (it is the only pass over ``events``)."""
+        """The three raw rental tables. Bound to the driver's tables, the per-order
+        and per-customer figures behind all three are landed once."""
         if self._raw is None:
-            days = self._get("event_days", lambda: testdata.event_days(self.spark, self.sf_dir))
+            days = self._get("order_days", lambda: testdata.order_days(self.spark, self.sf_dir))
+            facts = self._get("order_facts", lambda: testdata.order_facts(self.spark, self.sf_dir))
             self._raw = {
-                "listings": testdata.raw_listings(self.spark, self.sf_dir),
-                "calendar": testdata.raw_calendar(self.spark, self.sf_dir, days),
-                "amenities_changelog": testdata.raw_amenities_changelog(self.spark, self.sf_dir, days),
+                "listings": testdata.raw_listings(self.spark, self.sf_dir, facts),
+                "calendar": testdata.raw_calendar(days, facts),
+                "amenities_changelog": testdata.raw_amenities_changelog(days),
             }
         return self._raw[name]
 

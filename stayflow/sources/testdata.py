@@ -1,122 +1,118 @@
 """Binding of the driver's tables to the three raw rental tables.
 
-The reference reads ``listings``, ``calendar`` and ``amenities_changelog``.
-The driver's parquet holds none of them, so each is derived here by Spark from
-the given tables; all work grows with those tables.
-
-calendar (listing x date), from ``events``:
-  listing = ``user_id``; every day between the first and last event day of the
-  whole table (a gap-free grid built on the executors); a night is booked when
-  the user has a ``purchase`` that day; reservation id = ``'R'`` + the Monday of
-  the night's week (``yyyyMMdd``) on booked nights and the literal ``'NULL'``
-  on open ones (so ids repeat across listings, and a week with an open night
-  between two booked ones gives a non-contiguous reservation); price = the sum
-  of the day's event values as plain text, ``'n/a'`` on days without events;
-  minimum nights = 1 + the day's clicks; maximum nights = 2 + the day's views.
-
-amenities_changelog, from ``events``:
-  one change per listing-day with events: time = the day's last event, amenities
-  = JSON array of the day's distinct event types (vocabulary: event types).
-
-listings, from ``customer`` + ``nation`` + ``region`` + ``orders``:
-  id = ``c_custkey``; only customers with ``c_nationkey < 20`` have a listings
-  row, so the others are listings that were deleted; host = account-balance
-  band of 100 (``floor(c_acctbal / 100) + 10``), so hosts hold one or many
-  listings and host attributes repeated on each listing can disagree; the
-  host's verification array = JSON array of the customer's order priorities;
-  list price = min order total / 1000 as money text; reviews = fulfilled
-  orders; review dates = first / last order date ('' without orders).
+``listings``, ``calendar`` and ``amenities_changelog`` are not among the driver's tables, so each is derived here by
+Spark from whole given tables; no row is left out, and all work grows with them.
+
+A customer is a listing and an order is a stay. Order dates are folded onto one season: the n-th day of its year
+becomes day ``(n - 1) mod SEASON_DAYS`` after ``SEASON_START``.
+
+calendar (listing x date), from ``orders`` and ``lineitem``: every customer with orders, on every day between the first
+and last night of all stays. A stay takes one night per line item from its folded order date on; an order without
+items takes none. Where stays overlap, the smaller order key has the night, so the other stay has a gap. Reservation id =
+``'R'`` + order key, the literal ``'NULL'`` on open nights. Price (every night has one) = the smallest order total of
+the customer / 1000, as text; for customers with an urgent order it swings with the day by up to a fifth. Minimum
+nights = 1 + the customer's pending orders, maximum nights = 2 + the others.
+
+amenities_changelog, from ``orders`` and ``lineitem``: one change per customer and folded day with items; amenities = JSON
+array of the names that the items' return flags, line statuses and quantities stand for.
+
+listings, from ``customer`` + ``nation`` + ``region`` + ``orders``: id = ``c_custkey``; a customer without open orders
+(``o_orderstatus = 'O'``) has no listings row: a deleted listing. A host holds up to five neighbouring customers by
+nation, so hosts grow with customers, and host attributes repeated on each listing can disagree. Review dates run
+through the years before the season in step with the first and last order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.operators.timeline import daily_grid
 from stayflow.sources.tables import read_table
 
-# Fixed binding parameters (shared with the SQL oracle).
-BOOKED_EVENT = "purchase"
-MIN_NIGHTS_EVENT = "click"
-MAX_NIGHTS_EVENT = "view"
-LISTED_NATION_LIMIT = 20
-HOST_BALANCE_BAND = 100
-HOST_BALANCE_OFFSET = 10
+# Fixed binding parameters (stated again in the SQL oracle).
+SEASON_START = "2024-01-01"
+SEASON_DAYS = 121
+REVIEWS_START, ORDERS_START = "2022-01-01", "1995-01-01"
 PRIVATE_ROOM_BALANCE = 1000
 
 
-def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (user, day) with events: every per-day figure both the
-    calendar and the change log need, from a single aggregation of ``events``
-    (both raw tables share this scan and its exchange)."""
-    ev = read_table(spark, sf_dir, "events", ["user_id", "ts", "event_type", "value"])
-    et = F.col("event_type")
-    return ev.groupBy(F.col("user_id").alias("listing_id"), F.to_date("ts").alias("date")).agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.count_if(et == BOOKED_EVENT).alias("n_booked"),
-        F.count_if(et == MIN_NIGHTS_EVENT).alias("n_min"),
-        F.count_if(et == MAX_NIGHTS_EVENT).alias("n_max"),
-        F.sum(F.col("value").cast("decimal(12,2)")).alias("day_value"),
-        F.max("ts").alias("last_ts"),
-        F.to_json(F.sort_array(F.collect_set(et))).alias("types_json"),
-    )
-
-
-def raw_calendar(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
-    stats = days if days is not None else event_days(spark, sf_dir)
-    bounds = stats.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
-    grid = daily_grid(stats, "listing_id", bounds.getField("lo"), bounds.getField("hi"), "date")
-    cal = grid.join(stats, ["listing_id", "date"], "left")
-    booked = F.coalesce(F.col("n_booked"), F.lit(0)) > 0
-    week = F.date_format(F.date_trunc("week", F.col("date")), "yyyyMMdd")
-    return cal.select(
-        "listing_id",
-        "date",
-        (~booked).alias("available"),
-        F.when(booked, F.concat(F.lit("R"), week)).otherwise(F.lit("NULL")).alias("reservation_id"),
-        F.when(F.col("n_events").isNull(), F.lit("n/a")).otherwise(F.col("day_value").cast("string")).alias("price"),
-        (F.lit(1) + F.coalesce(F.col("n_min"), F.lit(0))).cast("int").alias("minimum_nights"),
-        (F.lit(2) + F.coalesce(F.col("n_max"), F.lit(0))).cast("int").alias("maximum_nights"),
-    )
+def _season_day(ts: Column) -> Column:
+    return F.date_add(F.lit(SEASON_START).cast("date"), ((F.dayofyear(ts) - 1) % SEASON_DAYS).cast("int"))
 
 
-def raw_amenities_changelog(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
-    stats = days if days is not None else event_days(spark, sf_dir)
-    return stats.select("listing_id", F.col("last_ts").alias("change_at"), F.col("types_json").alias("amenities"))
+def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: its listing, folded date, number of items and amenity names (none without items)."""
+    items = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_returnflag", "l_linestatus", "l_quantity"])
+    amenity = (F.when(F.col("l_quantity") >= 46, "error").when(F.col("l_returnflag") == "R", "click")
+               .when(F.col("l_returnflag") == "A", "view").when(F.col("l_linestatus") == "O", "signup").otherwise("purchase"))
+    per_order = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_items"), F.collect_set(amenity).alias("names"))
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    return orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        F.col("o_custkey").alias("listing_id"), F.col("o_orderkey").alias("order_id"), _season_day(F.col("o_orderdate")).alias("date"),
+        F.coalesce("n_items", F.lit(0)).cast("int").alias("n_items"), "names")
 
 
-def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
-    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    orders = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-                                                  "o_orderpriority"])
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer with orders."""
+    orders = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
     st = F.col("o_orderstatus")
-    per_cust = orders.groupBy("o_custkey").agg(
+    return orders.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.count_if(st == "F").alias("n_f"),
         F.count_if(st == "O").alias("n_o"),
         F.count_if(st == "P").alias("n_p"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("n_urgent"),
         F.min("o_orderdate").alias("first_order"),
         F.max("o_orderdate").alias("last_order"),
-        F.min("o_totalprice").alias("min_total"),
+        F.floor(F.min("o_totalprice") / 10).cast("long").alias("list_cents"),
         F.to_json(F.sort_array(F.collect_set("o_orderpriority"))).alias("priorities"),
         F.avg(F.substring("o_orderpriority", 1, 1).cast("int")).alias("avg_priority"),
     )
+
+
+def _money(cents: Column) -> Column:
+    return F.concat((cents / 100).cast("long").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
+def raw_calendar(days: DataFrame, facts: DataFrame) -> DataFrame:
+    nights = (days.where("n_items > 0").select("listing_id", "order_id", F.explode(F.sequence("date", F.date_add("date", F.col("n_items") - 1))).alias("date"))
+              .groupBy("listing_id", "date").agg(F.min("order_id").alias("order_id")))
+    ends = days.where("n_items > 0").select(F.struct(F.min("date").alias("lo"), F.max(F.date_add("date", F.col("n_items") - 1)).alias("hi"))).scalar()
+    listing = facts.withColumnRenamed("o_custkey", "listing_id")
+    grid = daily_grid(listing, "listing_id", ends.getField("lo"), ends.getField("hi"), "date")
+    cal = grid.join(nights, ["listing_id", "date"], "left").join(listing, "listing_id")
+    day = F.date_diff("date", F.lit(SEASON_START).cast("date")).cast("long")
+    swing = F.when(F.col("n_urgent") > 0, (F.col("listing_id") * 31 + day * 17) % 41 - 20).otherwise(F.lit(0))
+    cents = F.floor(F.col("list_cents") * (swing + 100) / 100).cast("long")
+    return cal.select(
+        "listing_id",
+        "date",
+        F.col("order_id").isNull().alias("available"),
+        F.coalesce(F.concat(F.lit("R"), F.col("order_id").cast("string")), F.lit("NULL")).alias("reservation_id"),
+        _money(cents).alias("price"),
+        (F.col("n_p") + 1).cast("int").alias("minimum_nights"),
+        (F.col("n_f") + F.col("n_o") + 2).cast("int").alias("maximum_nights"),
+    )
+
+
+def raw_amenities_changelog(days: DataFrame) -> DataFrame:
+    return days.where("n_items > 0").groupBy("listing_id", "date").agg(F.flatten(F.collect_list("names")).alias("names")).select(
+        "listing_id", F.col("date").cast("timestamp").alias("change_at"), F.to_json(F.array_sort(F.array_distinct("names"))).alias("amenities"))
+
+
+def raw_listings(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     c = (
-        cust.filter(F.col("c_nationkey") < LISTED_NATION_LIMIT)
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(per_cust, F.col("c_custkey") == F.col("o_custkey"), "left")
-    )
-    host_id = (F.floor(F.col("c_acctbal") / HOST_BALANCE_BAND) + HOST_BALANCE_OFFSET).cast("long")
-    cents = F.floor(F.col("min_total") / 10).cast("long")  # min order total / 1000, in cents
-    price_text = F.concat(
-        F.lit("$"), (cents / 100).cast("long").cast("string"), F.lit("."),
-        F.lpad((cents % 100).cast("string"), 2, "0"),
+        .join(facts.where("n_o > 0"), F.col("c_custkey") == F.col("o_custkey"))
     )
-    no_orders = F.col("n_orders").isNull()
+    host_id = (F.floor(F.col("c_custkey") / (F.col("c_nationkey") % 5 + 1)) + 10).cast("long")
+    review = lambda ts: F.date_add(
+        F.lit(REVIEWS_START).cast("date"), F.floor(F.date_diff(F.col(ts), F.lit(ORDERS_START).cast("date")) / 3).cast("int")).cast("string")
     return c.select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("name"),
@@ -129,27 +125,26 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("property_type"),
         F.when(F.col("c_acctbal") < PRIVATE_ROOM_BALANCE, F.lit("Private room"))
         .otherwise(F.lit("Entire home/apt")).alias("room_type"),
-        F.coalesce(F.col("n_orders"), F.lit(0)).cast("int").alias("accommodates"),
-        F.when(no_orders, F.lit(None).cast("string"))
-        .when(F.col("n_f") == 0, F.lit("Half-bath"))
+        F.col("n_orders").cast("int").alias("accommodates"),
+        F.when(F.col("n_f") == 0, F.lit("Half-bath"))
         .otherwise(F.concat(F.col("n_f").cast("string"),
                             F.when(F.col("c_acctbal") < 0, F.lit(" shared baths")).otherwise(F.lit(" baths"))))
         .alias("bathrooms_text"),
-        F.when(F.col("n_o") > 0, F.col("n_o")).cast("int").alias("bedrooms"),
-        F.coalesce(F.col("n_p"), F.lit(0)).cast("int").alias("beds"),
+        F.col("n_o").cast("int").alias("bedrooms"),
+        F.col("n_p").cast("int").alias("beds"),
         F.lit(None).cast("string").alias("amenities"),
-        F.when(no_orders, F.lit("TBD")).otherwise(price_text).alias("price"),
-        F.coalesce(F.col("n_f"), F.lit(0)).cast("int").alias("number_of_reviews"),
-        F.when(no_orders, F.lit("")).otherwise(F.to_date("first_order").cast("string")).alias("first_review"),
-        F.when(no_orders, F.lit("")).otherwise(F.to_date("last_order").cast("string")).alias("last_review"),
+        F.concat(F.lit("$"), _money(F.col("list_cents"))).alias("price"),
+        F.col("n_f").cast("int").alias("number_of_reviews"),
+        F.when(F.col("n_f") == 0, F.lit("")).otherwise(review("first_order")).alias("first_review"),
+        F.when(F.col("n_f") == 0, F.lit("")).otherwise(review("last_order")).alias("last_review"),
         (F.lit(6.0) - F.col("avg_priority")).alias("review_scores_rating"),
     )
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    days = event_days(spark, sf_dir)
+    days, facts = order_days(spark, sf_dir), order_facts(spark, sf_dir)
     return {
-        "listings": raw_listings(spark, sf_dir),
-        "calendar": raw_calendar(spark, sf_dir, days),
-        "amenities_changelog": raw_amenities_changelog(spark, sf_dir, days),
+        "listings": raw_listings(spark, sf_dir, facts),
+        "calendar": raw_calendar(days, facts),
+        "amenities_changelog": raw_amenities_changelog(days),
     }
