@@ -8,7 +8,7 @@ Layout:
               tables to the rental concepts, and sinks
   plans/      the layered build (staging -> intermediate -> marts), the metric
               layer, the business questions and the data-quality checks
-  streaming/  micro-batch adaptor for the guarded sink
+  llm/        operators for training corpora (optional; nothing else imports it)
 """
 
 __version__ = "0.1.0"

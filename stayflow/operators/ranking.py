@@ -6,23 +6,24 @@ None of these moves all rows into one task:
   and joins them back on the partition keys;
 * ``grand_total`` is a scalar subquery over a global aggregate;
 * ``rank_with_running_share`` range-partitions by the ranking order, numbers
-  and accumulates rows inside each range partition with a vectorised pandas
-  pass, then adds per-partition offsets (one row per partition, so the
-  broadcast is bounded by the partition count, not by the data);
+  and accumulates rows inside each range partition with a window, then adds
+  per-partition offsets (one row per partition, so the broadcast is bounded by
+  the partition count, not by the data);
 * ``top_k_share`` takes the top k with ``orderBy().limit(k)``
   (per-partition top-k, then a merge of k rows per partition).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-import numpy as np
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stayflow.session import shared_dir
+
 
 def share_of_partition(df: DataFrame, value_col: str, partition_cols: Sequence[str], out_col: str,
                        method: str = "join") -> DataFrame:
@@ -39,10 +40,11 @@ def share_of_partition(df: DataFrame, value_col: str, partition_cols: Sequence[s
     if method == "window":
         total = F.sum(value_col).over(Window.partitionBy(*partition_cols))
         return df.withColumn(out_col, F.col(value_col) / F.nullif(total, F.lit(0)))
-    totals = df.groupBy(*partition_cols).agg(F.sum(value_col).alias("_total"))
-    joined = df.join(totals, list(partition_cols), "left")
+    keys = list(partition_cols)
+    totals = df.groupBy(*keys).agg(F.sum(value_col).alias("_total")).select(*(F.col(k).alias(f"_of_{k}") for k in keys), "_total")
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]  # rows with a NULL key are a group too, as in the window form
     share = F.col(value_col) / F.nullif(F.col("_total"), F.lit(0))
-    return joined.withColumn(out_col, share).drop("_total")
+    return df.join(totals, same, "left").select(*df.columns, share.alias(out_col))
 
 
 def grand_total(df: DataFrame, value_col: str) -> Column:
@@ -62,88 +64,46 @@ def top_k_share(df: DataFrame, value_col: str, k: int, tiebreak: Sequence[str],
     )
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint to the shared folder. The input is persisted first so
-    the write does not recompute it (an eager checkpoint runs one job to
-    compute and one to write); the persisted copy is released afterwards."""
-    from pyspark import StorageLevel
-
-    from stayflow.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return kept.checkpoint(eager=True)
-    finally:
-        kept.unpersist()
-
-
 def rank_with_running_share(df: DataFrame, value_col: str, tiebreak: Sequence[str],
                             rank_col: str = "rank", running_col: str = "running_total",
                             num_partitions: int | None = None, total_col: str | None = None) -> DataFrame:
     """Row number by ``value_col`` desc (ties by ``tiebreak`` asc) and the
     running sum of ``value_col`` in that order, without a single-partition window.
 
-    Decimal values are accumulated exactly as scaled longs; other numerics as
-    doubles. The numbered intermediate is checkpointed to the shared checkpoint
-    folder, so the two consumers (partition totals and the final join) see the
-    same partitioning even if a task is recomputed.
+    Rows are range-partitioned by the order (ties split by the tiebreak, so a hot value cannot fill one
+    partition) and written once to the shared folder with the number of their partition. A window inside each
+    partition, plus the totals of the partitions before it, gives the result. Decimals are summed as
+    DECIMAL(38, scale), exactly; other numerics as doubles.
 
     With ``total_col`` the grand total is attached as well, taken from the
     per-partition sums, so callers need no second pass over ``df``.
     """
     spark = df.sparkSession
     vtype = df.schema[value_col].dataType
-    scale = vtype.scale if isinstance(vtype, T.DecimalType) else None
-    work = df.withColumn(
-        "_v", (F.coalesce(F.col(value_col), F.lit(0)) * F.lit(10 ** scale)).cast("long") if scale is not None
-        else F.coalesce(F.col(value_col).cast("double"), F.lit(0.0))
-    )
+    acc = T.DecimalType(38, vtype.scale) if isinstance(vtype, T.DecimalType) else T.DoubleType()
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(value_col).desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in tiebreak]
-    ordered = work.repartitionByRange(n, *order).sortWithinPartitions(*order)
-
-    acc_type = T.LongType() if scale is not None else T.DoubleType()
-    local_schema = T.StructType(list(work.schema.fields) + [
-        T.StructField("_pid", T.IntegerType(), False),
-        T.StructField("_local_rank", T.LongType(), False),
-        T.StructField("_local_cum", acc_type, False),
-    ])
-
-    def number_locally(batches):
-        pid = TaskContext.get().partitionId()
-        seen, carried = 0, 0
-        for pdf in batches:
-            m = len(pdf)
-            vals = pdf["_v"].to_numpy()
-            cum = np.cumsum(vals) + carried
-            pdf = pdf.assign(_pid=np.full(m, pid, dtype=np.int32),
-                             _local_rank=np.arange(seen + 1, seen + m + 1, dtype=np.int64),
-                             _local_cum=cum)
-            if m:
-                seen += m
-                carried = cum[-1]
-            yield pdf
-
-    numbered = _checkpointed(ordered.mapInPandas(number_locally, local_schema))
-    per_part = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.sum("_v").alias("_s"))
+    parted = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    path = shared_dir(spark, "stayflow-rank", uuid.uuid4().hex)
+    parted.write.parquet(path)
+    parted = spark.read.schema(parted.schema).parquet(path)
+
+    value = F.coalesce(F.col(value_col).cast(acc), F.lit(0).cast(acc))
+    per_part = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.sum(value).cast(acc).alias("_s"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     everything = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = per_part.select(
         "_pid",
         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_n"),
-        F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_off_s"),
-        F.sum("_s").over(everything).alias("_all_s"),
+        F.coalesce(F.sum("_s").over(w), F.lit(0)).cast(acc).alias("_off_s"),
+        F.sum("_s").over(everything).cast(acc).alias("_all_s"),
     )
-    out = numbered.join(F.broadcast(offsets), "_pid")
-
-    def unscale(c):
-        if scale is None:
-            return c
-        return (c.cast(T.DecimalType(38, scale)) / F.lit(10 ** scale)).cast(T.DecimalType(38, scale))
-
+    inside = Window.partitionBy("_pid").orderBy(*order)
+    numbered = parted.withColumn("_local_rank", F.row_number().over(inside).cast("long")).withColumn(
+        "_local_cum", F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, 0)).cast(acc))
+    out = numbered.join(F.broadcast(offsets), "_pid")  # bounded by the partition count
     cols = [*df.columns, (F.col("_local_rank") + F.col("_off_n")).alias(rank_col),
-            unscale(F.col("_local_cum") + F.col("_off_s")).alias(running_col)]
+            (F.col("_local_cum") + F.col("_off_s")).cast(acc).alias(running_col)]
     if total_col:
-        cols.append(unscale(F.col("_all_s")).alias(total_col))
+        cols.append(F.col("_all_s").alias(total_col))
     return out.select(*cols)

@@ -15,6 +15,7 @@ Two deliberate differences from a literal reading of the reference:
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -39,10 +40,13 @@ VERIFICATION_PREFIX = "is_verified_"
 @dataclass(frozen=True)
 class BuildConfig:
     """Build parameters. Flag names are ``flag_name(prefix, value)`` of
-    vocabulary values; the defaults fit the driver-table binding, where the
-    amenity vocabulary is the set of event types."""
+    vocabulary values; the defaults fit the driver-table binding."""
 
-    pii_salt: str = "stayflow-test-salt"
+    # the salt of pseudonyms: STAYFLOW_PII_SALT of the environment; the default is for tests only
+    pii_salt: str = field(default_factory=lambda: os.environ.get("STAYFLOW_PII_SALT", "stayflow-test-salt"))
+    # listings without a listings row: the pinned number if known, and the share of all listings that is never exceeded
+    expected_deleted_listings: int | None = None
+    max_deleted_share: float = 0.05
     amenities: tuple[str, ...] = field(default_factory=lambda: tuple(vocabulary_values("amenity")))
     verifications: tuple[str, ...] = field(default_factory=lambda: tuple(vocabulary_values("verification")))
     # flags carried on the daily and reservation facts
@@ -132,8 +136,12 @@ def int_host_verifications(listings: DataFrame) -> DataFrame:
     return flatten_json_array(per_host, "host_verifications", ["host_id"], "verification_method")
 
 
-def int_listings(changelog: DataFrame, listings: DataFrame) -> DataFrame:
-    universe = changelog.select("listing_id").distinct()
+def int_listings(changelog: DataFrame, listings: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """Every listing that the change log or the calendar names, so that each daily row has its listing row."""
+    named = changelog.select("listing_id")
+    if calendar is not None:
+        named = named.union(calendar.select("listing_id"))
+    universe = named.distinct()
     attrs = listings.select(
         F.col("listing_id").alias("_lid"), "listing_name", "neighborhood", "property_type", "room_type",
         "accommodates", "bedrooms", "beds", "bathrooms", "is_shared_bathroom", "number_of_reviews",

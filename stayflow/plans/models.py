@@ -22,7 +22,7 @@ def _plain(table: str, cols) -> dict[str, str]:
 
 def listing_daily(wh: Warehouse) -> Model:
     cfg = wh.cfg
-    daily = Table("daily", wh.fct_listing_daily, "calendar_id", derived={
+    daily = Table("daily", wh.fct_listing_daily, "calendar_id", grain=("listing_id", "calendar_date"), derived={
         "price_per_bedroom": lambda c: safe_div(c("price"), c("bedrooms")),
         "price_per_bed": lambda c: safe_div(c("price"), c("beds")),
         "price_per_guest": lambda c: safe_div(c("price"), c("accommodates")),

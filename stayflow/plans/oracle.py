@@ -153,7 +153,7 @@ int_listings AS (
     l.beds, l.bathrooms, l.is_shared_bathroom, l.number_of_reviews, l.review_scores_rating, l.first_review_date,
     l.last_review_date, l.host_id, l.host_name_masked, l.host_since, l.host_location, l.price AS list_price,
     l.listing_id IS NULL AS is_deleted
-  FROM (SELECT DISTINCT listing_id FROM stg_changelog) u
+  FROM (SELECT listing_id FROM stg_changelog UNION SELECT listing_id FROM stg_calendar) u
   LEFT JOIN stg_listings l ON u.listing_id = l.listing_id
 ),
 daily_joined AS (
@@ -164,15 +164,18 @@ daily_joined AS (
   LEFT JOIN int_listings l ON c.listing_id = l.listing_id
   LEFT JOIN features f ON c.listing_id = f.listing_id
 ),
-daily_starts AS (
-  SELECT *, is_available AND NOT coalesce(lag(is_available) OVER (PARTITION BY listing_id ORDER BY calendar_date), false)
-    AS is_window_start
-  FROM daily_joined
+open_nights AS (  -- a date less its rank among the listing's open dates is the same all through a run
+  SELECT listing_id, calendar_date, min(calendar_date) OVER (PARTITION BY listing_id, run) AS run_start,
+    dense_rank() OVER (PARTITION BY listing_id ORDER BY run) AS run_no
+  FROM (SELECT listing_id, calendar_date,
+          calendar_date - CAST(row_number() OVER (PARTITION BY listing_id ORDER BY calendar_date) AS INTEGER) AS run
+        FROM stg_calendar WHERE is_available)
 ),
 int_listing_daily AS (
-  SELECT *, CAST(sum(CASE WHEN is_window_start THEN 1 ELSE 0 END) OVER (PARTITION BY listing_id ORDER BY calendar_date
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS availability_window_seq
-  FROM daily_starts
+  SELECT d.*, coalesce(o.run_start = d.calendar_date, false) AS is_window_start,
+    CAST(coalesce(max(o.run_no) OVER (
+      PARTITION BY d.listing_id ORDER BY d.calendar_date ROWS UNBOUNDED PRECEDING), 0) AS BIGINT) AS availability_window_seq
+  FROM daily_joined d LEFT JOIN open_nights o ON o.listing_id = d.listing_id AND o.calendar_date = d.calendar_date
 ),
 cal_bounds AS (
   SELECT min(calendar_date) AS window_start, max(calendar_date) AS window_end FROM int_listing_daily
@@ -192,39 +195,24 @@ int_reservations AS (
     last_night_date = b.window_end AS is_right_censored
   FROM res_spans, cal_bounds b
 ),
-listing_perf AS (
-  SELECT listing_id, count(*) AS calendar_days, count(*) FILTER (WHERE NOT is_available) AS booked_nights,
-    coalesce(sum(revenue), 0) AS total_revenue
-  FROM int_listing_daily GROUP BY listing_id
+live AS (SELECT * FROM int_listings WHERE NOT is_deleted),
+host_nights AS (
+  SELECT host_id, count(*) AS days, count(reservation_id) AS booked, coalesce(sum(revenue), 0) AS revenue
+  FROM (SELECT listing_id, reservation_id, revenue FROM int_listing_daily) JOIN live USING (listing_id) GROUP BY host_id
 ),
-res_perf AS (
-  SELECT listing_id, count(*) AS reservations,
-    avg(CASE WHEN NOT (is_left_censored OR is_right_censored) THEN nights END) AS avg_nights_per_stay,
-    sum(CASE WHEN NOT (is_left_censored OR is_right_censored) THEN nights END) AS complete_nights,
-    count(CASE WHEN NOT (is_left_censored OR is_right_censored) THEN 1 END) AS complete_stays
-  FROM int_reservations GROUP BY listing_id
-),
-per_listing AS (
-  SELECT l.host_id, l.listing_id, l.host_name_masked, l.host_since, l.host_location, l.list_price,
-    l.number_of_reviews, l.review_scores_rating,
-    coalesce(p.calendar_days, 0) AS calendar_days, coalesce(p.booked_nights, 0) AS booked_nights,
-    coalesce(p.total_revenue, 0) AS total_revenue, coalesce(r.reservations, 0) AS reservations,
-    r.avg_nights_per_stay, r.complete_nights, r.complete_stays
-  FROM int_listings l
-  LEFT JOIN listing_perf p ON l.listing_id = p.listing_id
-  LEFT JOIN res_perf r ON l.listing_id = r.listing_id
-  WHERE NOT l.is_deleted
+host_stays AS (
+  SELECT host_id, count(*) AS stays, CAST(sum(nights) FILTER (WHERE whole) AS DOUBLE) / nullif(count(*) FILTER (WHERE whole), 0) AS mean_stay
+  FROM (SELECT listing_id, nights, check_in_date > window_start AND last_night_date < window_end AS whole FROM int_reservations, cal_bounds)
+  JOIN live USING (listing_id) GROUP BY host_id
 ),
 hosts_agg AS (
-  SELECT host_id, count(*) AS listing_count, min(host_name_masked) AS host_name_masked,
-    min(host_since) AS host_since, min(host_location) AS host_location,
-    sum(calendar_days) AS calendar_days, sum(booked_nights) AS booked_nights, sum(total_revenue) AS total_revenue,
-    sum(reservations) AS reservations,
-    CASE WHEN sum(calendar_days) = 0 THEN 0 ELSE sum(booked_nights) / sum(calendar_days) END AS occupancy_rate,
-    CAST(sum(complete_nights) AS DOUBLE) / nullif(sum(complete_stays), 0) AS avg_nights_per_stay,
-    avg(list_price) AS avg_list_price, sum(number_of_reviews) AS total_reviews,
-    avg(review_scores_rating) AS avg_review_score
-  FROM per_listing GROUP BY host_id
+  SELECT g.*, coalesce(days, 0) AS calendar_days, coalesce(booked, 0) AS booked_nights, coalesce(revenue, 0) AS total_revenue,
+    coalesce(stays, 0) AS reservations, coalesce(booked / nullif(days, 0), 0) AS occupancy_rate, mean_stay AS avg_nights_per_stay
+  FROM (SELECT host_id, count(*) AS listing_count, min(host_name_masked) AS host_name_masked, min(host_since) AS host_since,
+          min(host_location) AS host_location, avg(list_price) AS avg_list_price, sum(number_of_reviews) AS total_reviews,
+          avg(review_scores_rating) AS avg_review_score
+        FROM live GROUP BY host_id) g
+  LEFT JOIN host_nights USING (host_id) LEFT JOIN host_stays USING (host_id)
 ),
 host_min_ver AS (
   SELECT host_id, min(host_verifications) AS host_verifications FROM stg_listings GROUP BY host_id

@@ -23,6 +23,10 @@ from stayflow.plans import models
 from stayflow.plans.warehouse import Warehouse
 from stayflow.sources.seeds import load_vocabulary
 
+class QualityError(RuntimeError):
+    """A check of severity error has failing rows."""
+
+
 ROOM_TYPES = ("Entire home/apt", "Private room")
 
 
@@ -113,12 +117,13 @@ class Check:
         return self.failing(wh) if self.failing is not None else self.source(wh).filter(self.predicate)
 
 
-def _deleted_listings_expected(wh: Warehouse) -> Column:
-    """Independent count of listings with no listings row: change-log ids
-    minus ids of the raw listings table (read straight from the raw layer)."""
-    ids = wh.raw("amenities_changelog").select("listing_id").distinct()
-    listed = wh.raw("listings").select(F.col("id").alias("listing_id")).filter(F.col("listing_id").isNotNull())
-    return ids.join(listed, "listing_id", "left_anti").select(F.count(F.lit(1))).scalar()
+def _deleted_listings_off(wh: Warehouse) -> DataFrame:
+    """One row when the number of listings without a listings row is not the pinned one (or, where none is
+    pinned, above the pinned share): a load that lost listings shows here."""
+    got = wh.int_listings().agg(F.count_if("is_deleted").alias("deleted"), F.count(F.lit(1)).alias("listings"))
+    if wh.cfg.expected_deleted_listings is not None:
+        return got.filter(F.col("deleted") != wh.cfg.expected_deleted_listings)
+    return got.filter(F.col("deleted") > F.col("listings") * wh.cfg.max_deleted_share)
 
 
 def _windows_over_cap(wh: Warehouse) -> DataFrame:
@@ -158,9 +163,20 @@ def checks(wh: Warehouse) -> list[Check]:
               lambda w: w.raw("listings").filter(F.col("id").isNull())),
         # not null
         Check("not_null_stg_calendar", "error", "stg_calendar", source=lambda w: w.stg_calendar(),
-              predicate=null_in(["calendar_id", "listing_id", "calendar_date", "is_available"])),
+              predicate=null_in(["calendar_id", "listing_id", "calendar_date", "is_available", "price"])),
         Check("not_null_stg_listings", "error", "stg_listings", source=lambda w: w.stg_listings(),
-              predicate=null_in(["listing_id"])),
+              predicate=null_in(["listing_id", "host_id", "price"])),
+        Check("not_null_stg_changelog", "error", "stg_amenities_changelog", source=lambda w: w.stg_amenities_changelog(),
+              predicate=null_in(["listing_id", "changed_at"])),
+        Check("not_null_int_listing_daily", "warn", "int_listing_daily", source=lambda w: w.int_listing_daily(),
+              predicate=null_in(["amenity_count"])),
+        Check("not_null_int_listings", "error", "int_listings", source=lambda w: w.int_listings(), predicate=null_in(["listing_id"])),
+        Check("not_null_int_reservations", "error", "int_reservations", source=lambda w: w.int_reservations(),
+              predicate=null_in(["reservation_revenue"])),
+        Check("not_null_seed_amenity", "error", "seed_amenity", source=lambda w: load_vocabulary(spark, "amenity"),
+              predicate=null_in(["amenity_name"])),
+        Check("not_null_seed_verification", "error", "seed_verification", source=lambda w: load_vocabulary(spark, "verification"),
+              predicate=null_in(["verification_method"])),
         Check("not_null_int_listing_amenities", "error", "int_listing_amenities",
               source=lambda w: w.int_listing_amenities(), predicate=null_in(["listing_id", "amenity_name"])),
         Check("not_null_fct_listing_daily", "error", "fct_listing_daily", source=lambda w: w.fct_listing_daily(),
@@ -168,9 +184,9 @@ def checks(wh: Warehouse) -> list[Check]:
         Check("not_null_fct_reservations", "error", "fct_reservations", source=lambda w: w.fct_reservations(),
               predicate=null_in(["reservation_key", "check_in_date", "nights"])),
         Check("not_null_dim_listings", "error", "dim_listings", source=lambda w: w.dim_listings(),
-              predicate=null_in(["listing_id", "is_deleted"])),
+              predicate=null_in(["listing_id", "is_deleted", "booked_nights"])),
         Check("not_null_dim_hosts", "error", "dim_hosts", source=lambda w: w.dim_hosts(),
-              predicate=null_in(["host_id", "listing_count"])),
+              predicate=null_in(["host_id", "listing_count", "host_tenure_years"])),
         # relationships
         Check("relationship_calendar_to_listings", "warn", "stg_calendar",
               lambda w: orphans(w.stg_calendar(), w.stg_listings(), "listing_id")),
@@ -180,6 +196,8 @@ def checks(wh: Warehouse) -> list[Check]:
               lambda w: orphans(w.fct_listing_daily(), w.dim_listings(), "listing_id")),
         Check("relationship_fct_reservations_to_dim_listings", "error", "fct_reservations",
               lambda w: orphans(w.fct_reservations(), w.dim_listings(), "listing_id")),
+        Check("relationship_listings_to_amenities", "warn", "int_listings",
+              lambda w: orphans(w.int_listings(), w.int_listing_amenities().select("listing_id").distinct(), "listing_id")),
         Check("relationship_amenity_to_vocabulary", "warn", "int_listing_amenities",
               lambda w: orphans(w.int_listing_amenities(), amen_vocab(), "amenity_name")),
         Check("relationship_verification_to_vocabulary", "warn", "int_host_verifications",
@@ -204,7 +222,7 @@ def checks(wh: Warehouse) -> list[Check]:
               lambda w: attributes_agree(w.stg_listings(), "host_id",
                                          ["host_name_masked", "host_since", "host_location", "host_verifications"])),
         Check("deleted_listing_count", "warn", "int_listings",
-              lambda w: count_is(w.int_listings().filter("is_deleted"), _deleted_listings_expected(w), "deleted")),
+              lambda w: _deleted_listings_off(w)),
         Check("amenities_predate_calendar", "warn", "stg_amenities_changelog",
               lambda w: events_inside_window(w.stg_amenities_changelog(), "changed_at",
                                              w.fct_listing_daily().select(F.min("calendar_date")).scalar())),
@@ -221,7 +239,7 @@ def checks(wh: Warehouse) -> list[Check]:
 
 
 def run_checks(wh: Warehouse, only: Sequence[str] | None = None) -> DataFrame:
-    """One row per check: name, severity, relation, failing row count.
+    """One row per check: name, severity, relation, failing row count, status (pass, warn or fail).
 
     Predicate checks on one relation are counted in a single pass over it
     (one ``count_if`` per check); every other check is one aggregation. All
@@ -243,7 +261,8 @@ def run_checks(wh: Warehouse, only: Sequence[str] | None = None) -> DataFrame:
                      F.lit(relation).alias("relation"), F.col(f"_c{i}").cast("long").alias("failing_rows"))
             for i, c in enumerate(group)]))
         parts.append(counts.select(rows.alias("_r")).select("_r.*"))
-    return reduce(DataFrame.unionByName, parts)
+    status = F.when(F.col("failing_rows") == 0, "pass").when(F.col("severity") == "error", "fail").otherwise("warn")
+    return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 
 
 def questions_return_rows(wh: Warehouse, names: Sequence[str] | None = None) -> dict[str, bool]:

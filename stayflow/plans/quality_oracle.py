@@ -48,16 +48,22 @@ CHECKS = [
     ("unique_seed_verification_method", "error", "seed_verification", _uniq(_VV, "verification_method")),
     ("rejected_null_listing_ids", "warn", "listings", "(SELECT count(*) FROM raw_listings WHERE id IS NULL)"),
     ("not_null_stg_calendar", "error", "stg_calendar",
-     _nn("stg_calendar", ["calendar_id", "listing_id", "calendar_date", "is_available"])),
-    ("not_null_stg_listings", "error", "stg_listings", _nn("stg_listings", ["listing_id"])),
+     _nn("stg_calendar", ["calendar_id", "listing_id", "calendar_date", "is_available", "price"])),
+    ("not_null_stg_listings", "error", "stg_listings", _nn("stg_listings", ["listing_id", "host_id", "price"])),
+    ("not_null_stg_changelog", "error", "stg_amenities_changelog", _nn("stg_changelog", ["listing_id", "changed_at"])),
+    ("not_null_int_listing_daily", "warn", "int_listing_daily", _nn("int_listing_daily", ["amenity_count"])),
+    ("not_null_int_listings", "error", "int_listings", _nn("int_listings", ["listing_id"])),
+    ("not_null_int_reservations", "error", "int_reservations", _nn("int_reservations", ["reservation_revenue"])),
+    ("not_null_seed_amenity", "error", "seed_amenity", _nn(_AV, ["amenity_name"])),
+    ("not_null_seed_verification", "error", "seed_verification", _nn(_VV, ["verification_method"])),
     ("not_null_int_listing_amenities", "error", "int_listing_amenities",
      _nn("int_listing_amenities", ["listing_id", "amenity_name"])),
     ("not_null_fct_listing_daily", "error", "fct_listing_daily",
      _nn("fct_listing_daily", ["calendar_id", "listing_id", "is_deleted"])),
     ("not_null_fct_reservations", "error", "fct_reservations",
      _nn("fct_reservations", ["reservation_key", "check_in_date", "nights"])),
-    ("not_null_dim_listings", "error", "dim_listings", _nn("dim_listings", ["listing_id", "is_deleted"])),
-    ("not_null_dim_hosts", "error", "dim_hosts", _nn("dim_hosts", ["host_id", "listing_count"])),
+    ("not_null_dim_listings", "error", "dim_listings", _nn("dim_listings", ["listing_id", "is_deleted", "booked_nights"])),
+    ("not_null_dim_hosts", "error", "dim_hosts", _nn("dim_hosts", ["host_id", "listing_count", "host_tenure_years"])),
     ("relationship_calendar_to_listings", "warn", "stg_calendar", _orph("stg_calendar", "stg_listings", "listing_id")),
     ("relationship_changelog_to_listings", "warn", "stg_amenities_changelog",
      _orph("stg_changelog", "stg_listings", "listing_id")),
@@ -65,6 +71,7 @@ CHECKS = [
      _orph("fct_listing_daily", "dim_listings", "listing_id")),
     ("relationship_fct_reservations_to_dim_listings", "error", "fct_reservations",
      _orph("fct_reservations", "dim_listings", "listing_id")),
+    ("relationship_listings_to_amenities", "warn", "int_listings", _orph("int_listings", "int_listing_amenities", "listing_id")),
     ("relationship_amenity_to_vocabulary", "warn", "int_listing_amenities",
      _orph("int_listing_amenities", _AV, "amenity_name")),
     ("relationship_verification_to_vocabulary", "warn", "int_host_verifications",
@@ -85,9 +92,7 @@ CHECKS = [
      "(SELECT count(*) FROM fct_listing_daily WHERE NOT coalesce(is_available = (reservation_id IS NULL), false))"),
     ("host_attributes_consistent", "warn", "stg_listings", f"(SELECT count(*) FROM ({_HOST_ATTRS}))"),
     ("deleted_listing_count", "warn", "int_listings",
-     "(SELECT CASE WHEN (SELECT count(*) FROM int_listings WHERE is_deleted) = "
-     "(SELECT count(*) FROM (SELECT DISTINCT listing_id FROM raw_changelog) u WHERE NOT EXISTS "
-     "(SELECT 1 FROM raw_listings r WHERE r.id = u.listing_id)) THEN 0 ELSE 1 END)"),
+     "(SELECT CAST(avg(CAST(is_deleted AS INTEGER)) > 0.05 AS INTEGER) FROM int_listings)"),
     ("amenities_predate_calendar", "warn", "stg_amenities_changelog",
      "(SELECT count(*) FROM stg_changelog WHERE CAST(changed_at AS DATE) >= "
      "(SELECT min(calendar_date) FROM fct_listing_daily))"),
@@ -105,9 +110,10 @@ CHECKS = [
 ]
 
 QUALITY_SUMMARY = PRELUDE + "\n" + _norm(
-    " UNION ALL ".join(f"SELECT '{n}' AS check_name, '{s}' AS severity, '{r}' AS relation, {q} AS failing_rows"
+    " UNION ALL ".join(f"SELECT '{n}' AS check_name, '{s}' AS severity, '{r}' AS relation, "
+                       f"CASE WHEN f = 0 THEN 'pass' WHEN '{s}' = 'error' THEN 'fail' ELSE 'warn' END AS status, f AS failing_rows FROM (SELECT {q} AS f)"
                        for n, s, r, q in CHECKS),
-    {"check_name": "o", "severity": "o", "relation": "o", "failing_rows": "i"})
+    {"check_name": "o", "severity": "o", "relation": "o", "failing_rows": "i", "status": "o"})
 
 HOST_ATTRIBUTES = PRELUDE + "\n" + _norm(_HOST_ATTRS, {
     "host_id": "i", "distinct_host_name_masked": "i", "distinct_host_since": "i", "distinct_host_location": "i",

@@ -50,6 +50,8 @@ class Table:
     load: Callable[[], DataFrame]
     primary_key: str
     derived: dict[str, Callable[[Getter], Column]] = field(default_factory=dict)
+    # columns that identify a row together, besides the primary key
+    grain: tuple[str, ...] = ()
 
 
 @dataclass
@@ -162,6 +164,11 @@ class Model:
             if len(owners) > 1:
                 raise SemanticError(f"{self.name}: facts and dimensions of one facts query must come from "
                                     f"one table, got {sorted(owners)}")
+            table = self.tables[owners.pop()]
+            asked = {self.dimensions[q] for q in dims}
+            if table.primary_key not in asked and not (table.grain and asked.issuperset(table.grain)):
+                raise SemanticError(f"{self.name}: a facts query needs the key {table.primary_key!r} of its table "
+                                    "among its dimensions")
 
         referenced: set[str] = {_split(q)[0] for q in dims + fcts}
         where_tables: set[str] = set()
@@ -268,8 +275,14 @@ class Model:
         return out.select(*final_dims, *[F.col(out_name(q)) for q in mets])
 
     def validate(self) -> list[str]:
-        """Keys that are not unique in their declared table (M8); empty = valid."""
+        """Declared keys that are not unique, and relationships declared complete that are not; empty = valid."""
         problems = []
+        for r in self.relationships:
+            if r.complete:
+                child = self.tables[r.child].load().select(F.col(r.foreign_key).alias("_fk")).distinct()
+                parent = self.tables[r.parent].load().select(F.col(r.parent_key).alias("_fk"))
+                if not child.join(parent, "_fk", "left_anti").isEmpty():
+                    problems.append(f"{self.name}: {r.child}.{r.foreign_key} has values without a row in {r.parent}")
         for t in self.tables.values():
             dup = t.load().groupBy(t.primary_key).count().filter(F.col("count") > 1).limit(1).count()
             if dup:

@@ -14,6 +14,7 @@ import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stayflow.plans import build as B
 from stayflow.session import shared_dir
@@ -21,13 +22,17 @@ from stayflow.sources import testdata
 
 # fct_listing_daily is a projection of int_listing_daily, so it is a view over that written table
 _MATERIALIZED = ("order_days", "order_facts", "int_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")
-# read by several builders and by the quality suite: kept (memory, spilling to disk) for this build only
-_PERSISTED = ("stg_listings", "stg_calendar", "stg_amenities_changelog", "int_listings", "listing_features",
-              "int_reservations", "listing_rollup")
+# read by several builders and by the quality suite; fact-sized ones are written to shared storage as well
+_LANDED = ("stg_calendar", "stg_amenities_changelog", "int_reservations", "int_listing_amenities", "int_host_verifications")
+# small next to the facts: kept (memory, spilling to disk) for this build only
+_PERSISTED = ("stg_listings", "int_listings", "listing_features", "listing_rollup")
 
 # written partitioned (directory pruning for month filters at scale)
 _PARTITION_BY = {"int_listing_daily": ["month_start_date"]}
 
+# at most so many files per month; raise it with the size of a month
+WRITERS_PER_MONTH = 8
+
 _CACHE: dict[tuple, "Warehouse"] = {}
 
 
@@ -68,12 +73,14 @@ class Warehouse:
     def _get(self, name: str, make) -> DataFrame:
         if name not in self._rel:
             df = make()
-            if self.materialize and name in _MATERIALIZED:
+            if self.materialize and name in _MATERIALIZED + _LANDED:
                 path = shared_dir(self.spark, "stayflow-builds", self.build_id, name)
-                writer = df.write.mode("overwrite")
-                if name in _PARTITION_BY:
-                    writer = writer.partitionBy(*_PARTITION_BY[name])
-                writer.parquet(path)
+                if name in _PARTITION_BY:  # a few tasks per month write each month's files, whatever the number of tasks before
+                    months = _PARTITION_BY[name]
+                    df = df.repartition(*months, F.pmod(F.xxhash64("listing_id"), F.lit(WRITERS_PER_MONTH)))
+                    df.write.mode("overwrite").partitionBy(*months).parquet(path)
+                else:
+                    df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.parquet(path)
             elif self.materialize and name in _PERSISTED:
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -98,7 +105,8 @@ class Warehouse:
         return self._get("int_host_verifications", lambda: B.int_host_verifications(self.stg_listings()))
 
     def int_listings(self):
-        return self._get("int_listings", lambda: B.int_listings(self.stg_amenities_changelog(), self.stg_listings()))
+        return self._get("int_listings", lambda: B.int_listings(
+            self.stg_amenities_changelog(), self.stg_listings(), self.stg_calendar()))
 
     def listing_features(self):
         return self._get("listing_features", lambda: B.listing_features(self.int_listing_amenities(), self.cfg))
@@ -153,5 +161,14 @@ class Warehouse:
             if wh is self:
                 del _CACHE[key]
 
-    def build_all(self) -> dict[str, DataFrame]:
-        return {n: self.relation(n) for n in ("fct_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")}
+    def build_all(self, enforce: bool = False) -> dict[str, DataFrame]:
+        """The four marts. With ``enforce`` the quality suite runs over them and a failing check of severity error stops
+        the build."""
+        marts = {n: self.relation(n) for n in ("fct_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")}
+        if enforce:
+            from stayflow.plans import quality
+
+            failed = quality.run_checks(self).where("status = 'fail'").select("check_name", "failing_rows").collect()
+            if failed:
+                raise quality.QualityError(", ".join(f"{r.check_name}: {r.failing_rows} rows" for r in failed))
+        return marts

@@ -37,8 +37,8 @@ def build_session(app: str = "stayflow", cpus: int | str = "*", shuffle_partitio
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster setting wins. Only when nothing is configured (local tests) a
-    folder under the system temp dir is taken.
+    The cluster setting wins. Only in local mode, and when nothing is configured
+    (tests), a folder under the system temp dir is taken; on a cluster every executor would write to its own disk there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_CONF, None) or sc.getConf().get(_CHECKPOINT_CONF, None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="stayflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -22,17 +22,18 @@ RAW_SCHEMAS = {
 }
 
 
-def read_raw(spark: SparkSession, paths: dict[str, str], fmt: str = "csv") -> dict[str, DataFrame]:
+def read_raw(spark: SparkSession, paths: dict[str, str], fmt: str = "csv", multi_line: bool = False) -> dict[str, DataFrame]:
     """{name: path} -> {name: DataFrame} for ``Warehouse(raw=...)``.
 
-    CSV is read with a header, RFC 4180 quoting (``"`` escaped by doubling) and
-    multi-line values allowed (JSON arrays may contain commas and quotes)."""
+    CSV is read with RFC 4180 quoting (``"`` escaped by doubling; JSON arrays may contain commas and quotes). Its
+    header must name the columns of the schema in their order: swapped or missing columns fail. Files are split
+    over tasks; ``multi_line`` allows line feeds inside values, at the cost of one task per file."""
     out = {}
     for name, path in paths.items():
         schema = RAW_SCHEMAS[name]
         if fmt == "csv":
             reader = (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-                      .option("multiLine", True).option("mode", "FAILFAST"))
+                      .option("enforceSchema", False).option("multiLine", multi_line).option("mode", "FAILFAST"))
             out[name] = reader.csv(path)
         else:
             out[name] = spark.read.schema(schema).format(fmt).load(path)

@@ -5,7 +5,7 @@ A vocabulary is a list of allowed values that also decides a column list
 reading one on the driver to name columns is the only driver-side read.
 
 The seeds bound to the driver's tables: the amenity vocabulary is the set of
-event types (each listing-day's event types form its amenity array) and the
+names that line items stand for (see ``sources.testdata``) and the
 verification vocabulary is the set of order priorities (a customer's order
 priorities form the host's verification array).
 """
@@ -44,9 +44,8 @@ def vocabulary_values(family: str, path: str | None = None) -> list[str]:
 
 
 def load_vocabulary(spark: SparkSession, family: str, path: str | None = None) -> DataFrame:
-    """The seed as a DataFrame with a fixed schema (for joins and checks)."""
-    path = path or seed_path(family)
+    """The seed as a DataFrame with a fixed schema (for joins and checks). The driver reads the file, which executors
+    need not have."""
     column = SEEDS[family][1]
     schema = T.StructType([T.StructField(column, T.StringType(), False)])
-    return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-            .option("encoding", "UTF-8").schema(schema).csv(path))
+    return spark.createDataFrame([(v,) for v in vocabulary_values(family, path)], schema)

@@ -98,7 +98,7 @@ def raw_calendar(days: DataFrame, facts: DataFrame) -> DataFrame:
 
 def raw_amenities_changelog(days: DataFrame) -> DataFrame:
     return days.where("n_items > 0").groupBy("listing_id", "date").agg(F.flatten(F.collect_list("names")).alias("names")).select(
-        "listing_id", F.col("date").cast("timestamp").alias("change_at"), F.to_json(F.array_sort(F.array_distinct("names"))).alias("amenities"))
+        "listing_id", F.col("date").cast("timestamp_ntz").alias("change_at"), F.to_json(F.array_sort(F.array_distinct("names"))).alias("amenities"))
 
 
 def raw_listings(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:

@@ -65,6 +65,7 @@ CHANGELOG = [
 ]
 
 CONFIG = BuildConfig(
+    expected_deleted_listings=2,
     pii_salt="test-salt",
     amenities=("First aid kit", "Heating", "Kitchen", "Lockbox", "Wifi"),
     verifications=("email", "government_id", "phone"),

@@ -184,3 +184,19 @@ def test_asof_equals_latest_wins_when_changes_predate_the_window(spark):
                                                            ["amenities"]).collect()}
     latest = {(r.listing_id, r.amenities) for r in latest_per_key(chg, ["listing_id"], ["changed_at"]).collect()}
     assert asof == latest
+
+
+def test_share_of_a_null_group_is_the_same_in_both_forms(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "m string, v double")
+    join, window = (sorted((r.v, r.s) for r in share_of_partition(df, "v", ["m"], "s", method=m).collect()) for m in ("join", "window"))
+    assert join == window == [(1.0, 0.25), (2.0, 1.0), (3.0, 0.75)]
+
+
+def test_running_share_beyond_64_bits_stays_exact_and_in_the_jvm(spark):
+    from decimal import Decimal
+
+    big = Decimal("9223372036854775807.25")
+    df = spark.createDataFrame([(i, big) for i in range(6)], "k long, v decimal(30,2)")
+    out = rank_with_running_share(df, "v", ["k"], num_partitions=3, total_col="t")
+    assert "Python" not in out._jdf.queryExecution().toString() and "Pandas" not in out._jdf.queryExecution().toString()
+    assert [(r.rank, r.running_total, r.t) for r in out.orderBy("rank").collect()] == [(i + 1, big * (i + 1), big * 6) for i in range(6)]

@@ -116,6 +116,35 @@ def test_quality_checks_on_fixture(wh):
     assert res["deleted_listing_count"] == 0
 
 
+def test_quality_checks_go_red_on_seeded_defects(spark):
+    import dataclasses
+
+    raw = raw_frames(spark)
+    raw["listings"] = raw["listings"].filter("id <> 1")                       # a load that lost a listing
+    raw["calendar"] = raw["calendar"].withColumn("price", F.when(F.col("listing_id") != 2, F.col("price")))
+    wh = Warehouse(spark, "unused", cfg=CONFIG, materialize=False, raw=raw)
+    res = {r.check_name: (r.failing_rows > 0, r.status) for r in quality.run_checks(wh, [
+        "deleted_listing_count", "not_null_stg_calendar", "relationship_calendar_to_listings", "unique_dim_hosts_host_id"]).collect()}
+    assert res["deleted_listing_count"] == (True, "warn") and res["not_null_stg_calendar"] == (True, "fail")
+    assert res["relationship_calendar_to_listings"] == (True, "warn") and res["unique_dim_hosts_host_id"] == (False, "pass")
+    with pytest.raises(quality.QualityError, match="not_null_stg_calendar"):
+        wh.build_all(enforce=True)
+    none_pinned = dataclasses.replace(CONFIG, expected_deleted_listings=None, max_deleted_share=0.9)
+    ok = Warehouse(spark, "unused", cfg=none_pinned, materialize=False, raw=raw)
+    assert quality.run_checks(ok, ["deleted_listing_count"]).first().failing_rows == 0
+
+
+def test_answers_do_not_depend_on_the_named_member_when_the_change_log_lacks_a_listing(spark):
+    raw = raw_frames(spark)
+    raw["amenities_changelog"] = raw["amenities_changelog"].filter("listing_id <> 2")
+    wh = Warehouse(spark, "unused", cfg=CONFIG, materialize=False, raw=raw)
+    model = models.listing_daily(wh)
+    assert model.validate() == []
+    by = {d: sum(r.calendar_nights for r in model.query(["daily.calendar_nights"], [d]).collect())
+          for d in ("listing.neighborhood", "listing.listing_name", "daily.listing_id")}
+    assert len(set(by.values())) == 1, by
+
+
 def test_metric_layer_null_keys_drop_out_unless_kept(wh):
     d = models.listing_daily(wh)
     total = d.query(["daily.total_revenue"]).first()[0]

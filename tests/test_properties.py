@@ -1,4 +1,4 @@
-"""Property checks on the driver tables (sf0.001) and the streaming adaptor."""
+"""Property checks on the driver tables (sf0.001)."""
 
 import os
 
@@ -37,23 +37,6 @@ def test_questions_return_rows_runs_each_block_once(spark):
     assert res == {"q01_full_year": True, "q05_count": True, "q17_summary": True}
 
 
-def test_streaming_batches_feed_the_guarded_sink(spark, tmp_dir):
-    from stayflow.streaming import guarded_foreach_batch
-
-    src = os.path.join(tmp_dir, "in")
-    spark.createDataFrame([(1, "a"), (2, "b"), (1, "c")], "k long, v string").write.parquet(src)
-    spark.sql("DROP TABLE IF EXISTS stream_counts")
-    stream = spark.readStream.schema("k long, v string").parquet(src)
-    agg = stream.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    q = (agg.writeStream.outputMode("complete")
-         .option("checkpointLocation", os.path.join(tmp_dir, "ckpt"))
-         .foreachBatch(guarded_foreach_batch("stream_counts"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    assert sorted(tuple(r) for r in spark.table("stream_counts").collect()) == [(1, 2), (2, 1)]
-    spark.sql("DROP TABLE IF EXISTS stream_counts")
-
-
 @needs_data
 def test_build_is_independent_of_the_session_time_zone(spark):
     """Event times are timestamp_ntz and the calendar is DATE: a non-UTC session

@@ -62,3 +62,70 @@ def test_raw_csv_round_trip_drives_the_build(spark, tmp_dir):
     wh = Warehouse(spark, "unused", cfg=CONFIG, materialize=False, raw=raw)
     assert wh.dim_listings().count() == 5
     assert wh.int_listing_amenities().filter("listing_id = 3").count() == 2   # JSON with commas survived
+
+
+def test_diff_sees_changes_between_null_and_value(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "mart")
+    schema = "k long, a string, b string"
+    write_build(spark.createDataFrame([(1, None, "a"), (2, None, None)], schema), path, 1)
+    write_build(spark.createDataFrame([(1, "a", None), (2, None, None)], schema), path, 2)
+    assert [(r.k, r.change) for r in diff_builds(spark, path, "k", 1, 2).collect()] == [(1, "changed")]
+
+
+def test_pointer_names_the_current_build(spark, tmp_dir):
+    from stayflow.sources.sinks import point_to_build
+
+    path = os.path.join(tmp_dir, "mart")
+    for i in (1, 2):
+        write_build(spark.range(i), path, i)
+    assert read_build(spark, path).count() == 2
+    point_to_build(spark, path, 1)
+    assert read_build(spark, path).count() == 1 and read_build(spark, path).columns == ["id"]
+
+
+def test_guarded_overwrite_replaces_a_view_of_another_schema(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS other_schema")
+    spark.sql("DROP VIEW IF EXISTS other_schema.v")
+    spark.sql("CREATE VIEW other_schema.v AS SELECT 1 AS id")
+    try:
+        r = guarded_overwrite(spark.range(3), "other_schema.v")
+        assert r.reason == "target is a view" and spark.table("other_schema.v").count() == 3
+    finally:
+        spark.sql("DROP TABLE IF EXISTS other_schema.v")
+        spark.sql("DROP DATABASE IF EXISTS other_schema")
+
+
+def test_raw_csv_with_swapped_columns_fails(spark, tmp_dir):
+    import pytest
+
+    from stayflow.sources.raw import read_raw
+
+    path = os.path.join(tmp_dir, "calendar.csv")
+    with open(path, "w") as f:
+        f.write("listing_id,date,available,price,reservation_id,minimum_nights,maximum_nights\n1,2024-01-01,true,150.00,NULL,1,2\n")
+    with pytest.raises(Exception, match="header"):
+        read_raw(spark, {"calendar": path})["calendar"].collect()
+
+
+def test_no_shared_folder_off_local_mode_raises():
+    import pytest
+
+    from stayflow.session import ensure_checkpoint_dir
+
+    class Conf(dict):
+        pass
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+        def getConf(self):  # noqa: N802
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
