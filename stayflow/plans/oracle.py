@@ -490,8 +490,6 @@ def sv(model: str, metrics=(), dims=(), where: str | None = None, facts=()) -> t
         sql += f" WHERE {where}"
     if metrics and (dims or facts):
         sql += " GROUP BY ALL"
-    elif not metrics:
-        sql += "" if facts else ""
     return sql, kinds
 
 
@@ -535,8 +533,29 @@ def _norm(inner: str, kinds: dict) -> str:
     return f"SELECT {', '.join(cols)} FROM ({inner}) AS q"
 
 
-def full(body: str, kinds: dict, ctes: dict | None = None) -> str:
-    """PRELUDE + extra CTEs + normalised final select."""
+# revenue of each listing, and its place in the order of revenue (listings without any come last)
+EARNED = """SELECT listing_id, listing_name, total_revenue AS exact, CAST(total_revenue AS DOUBLE) AS money, coalesce(total_revenue, -1) AS place
+    FROM dim_listings"""
+
+
+def banded(out: str, rows: str, bands: list, means: dict, missing: str | None = None, count: str = "listings", more: dict | None = None) -> str:
+    """Counts and rounded means by band: rows (with a value x) are joined to a table of bounds, least value included."""
+    lows = ["NULL", *(str(b[1]) for b in bands[:-1])]
+    table = ", ".join(f"('{name}', CAST({low} AS DOUBLE), CAST({'NULL' if high is None else high} AS DOUBLE))" for (name, high), low in zip(bands, lows))
+    label = f"coalesce(label, '{missing}')" if missing else "label"
+    extra = "".join(f", {expr} AS {name}" for name, (expr, _, _) in (more or {}).items())
+    body = (f"SELECT {label} AS {out}, count(*) AS {count}" + "".join(f", avg({x}) AS {name}" for name, (x, _) in means.items()) + extra
+            + f" FROM ({rows.replace('{ach}', _ACH)}) {'LEFT ' if missing else ''}JOIN (VALUES {table}) AS bounds(label, low, high)"
+            + " ON x >= coalesce(low, x) AND x < coalesce(high, x + 1) GROUP BY 1")
+    kinds = {out: "o", count: "i", **{m: "r" for m in means}, **{m: kind for m, (_, kind, _) in (more or {}).items()}}
+    digits = {m: d for m, (_, d) in means.items()} | {m: d for m, (_, _, d) in (more or {}).items() if d is not None}
+    return full(body, kinds, digits=digits)
+
+
+def full(body: str, kinds: dict, ctes: dict | None = None, digits: dict | None = None) -> str:
+    """PRELUDE + extra CTEs + normalised final select; ``digits`` rounds columns half up first."""
+    if digits:
+        body = "SELECT * REPLACE (" + ", ".join(f"ROUND(CAST({c} AS DECIMAL(38,9)), {d}) AS {c}" for c, d in digits.items()) + f") FROM ({body})"
     extra = "".join(f",\n{name} AS (\n{sql}\n)" for name, sql in (ctes or {}).items())
     return PRELUDE + extra + "\n" + _norm(body, kinds)
 
@@ -621,41 +640,31 @@ def _questions() -> dict[str, str]:
     q["q06_by_month_and_neighborhood"] = S("D", ["total_revenue", "occupancy_rate", "achieved_nightly_rate",
                                                  "listings"], ["month_start_date", "neighborhood"], ND)
     # q07
-    q["q07_concentration"] = _wrap(
-        "P", ["portfolio_revenue"], ["listing_id", "listing_name"],
-        body="""SELECT listing_id, listing_name, round(CAST(portfolio_revenue AS DOUBLE), 2) AS revenue, revenue_rank,
-            round(100 * CAST(portfolio_revenue AS DOUBLE) / nullif(CAST(total AS DOUBLE), 0), 2) AS pct_of_total,
-            round(100 * CAST(sum(portfolio_revenue) OVER (ORDER BY revenue_rank) AS DOUBLE)
-                  / nullif(CAST(total AS DOUBLE), 0), 2) AS running_pct_of_total
-          FROM (SELECT *, row_number() OVER (ORDER BY portfolio_revenue DESC NULLS LAST, listing_id NULLS FIRST) AS revenue_rank,
-                       sum(portfolio_revenue) OVER () AS total FROM sem)""",
-        kinds={"listing_id": I, "listing_name": O, "revenue": R, "revenue_rank": I, "pct_of_total": R,
-               "running_pct_of_total": R})
-    q["q07_top_five_share"] = _wrap(
-        "P", ["portfolio_revenue"], ["listing_id"],
-        body="""SELECT count(*) AS listings, round(CAST(sum(portfolio_revenue) AS DOUBLE), 2) AS total_revenue,
-            round(CAST(sum(CASE WHEN revenue_rank <= 5 THEN portfolio_revenue END) AS DOUBLE), 2) AS top_5_revenue,
-            round(100 * CAST(sum(CASE WHEN revenue_rank <= 5 THEN portfolio_revenue END) AS DOUBLE)
-                  / nullif(CAST(sum(portfolio_revenue) AS DOUBLE), 0), 2) AS top_5_pct_of_total
-          FROM (SELECT portfolio_revenue, row_number() OVER (ORDER BY portfolio_revenue DESC NULLS LAST,
-                listing_id NULLS FIRST) AS revenue_rank FROM sem)""",
-        kinds={"listings": I, "total_revenue": R, "top_5_revenue": R, "top_5_pct_of_total": R})
+    q["q07_concentration"] = full(
+        """SELECT a.listing_id, any_value(a.listing_name) AS listing_name, any_value(a.money) AS revenue, count(*) AS revenue_rank,
+            100 * any_value(a.money) / nullif(any_value(everything), 0) AS pct_of_total,
+            100 * CAST(sum(b.exact) AS DOUBLE) / nullif(any_value(everything), 0) AS running_pct_of_total
+          FROM earned a JOIN earned b ON b.place > a.place OR (b.place = a.place AND b.listing_id <= a.listing_id)
+          CROSS JOIN (SELECT CAST(sum(exact) AS DOUBLE) AS everything FROM earned)
+          GROUP BY a.listing_id""",
+        {"listing_id": I, "listing_name": O, "revenue": R, "revenue_rank": I, "pct_of_total": R, "running_pct_of_total": R},
+        {"earned": EARNED}, digits={"revenue": 2, "pct_of_total": 2, "running_pct_of_total": 2})
+    q["q07_top_five_share"] = full(
+        """SELECT listings, total_revenue, top_5_revenue, 100 * top_5_revenue / nullif(total_revenue, 0) AS top_5_pct_of_total
+          FROM (SELECT count(*) AS listings, CAST(sum(exact) AS DOUBLE) AS total_revenue FROM earned),
+               (SELECT CAST(sum(exact) AS DOUBLE) AS top_5_revenue FROM (SELECT exact FROM earned ORDER BY place DESC, listing_id LIMIT 5))""",
+        {"listings": I, "total_revenue": R, "top_5_revenue": R, "top_5_pct_of_total": R},
+        {"earned": EARNED}, digits={"total_revenue": 2, "top_5_revenue": 2, "top_5_pct_of_total": 2})
     rate = ["avg_list_price", "avg_achieved_rate", "avg_discount_to_list"]
     q["q08_overall"] = S("P", ["listings", *rate])
     q["q08_by_listing"] = S("P", [*rate, "avg_occupancy_rate"], ["listing_id", "listing_name", "neighborhood"], NP)
     q["q08_by_segment"] = S("P", ["listings", *rate], ["neighborhood", "room_type"], NP)
     # q09
-    q["q09_price_band"] = _wrap(
-        "P", dims=["listing_id"], facts=["list_price", "occupancy_rate", "total_revenue", "achieved_nightly_rate"],
-        body="""SELECT CASE WHEN list_price < 75 THEN '1. under 75' WHEN list_price < 150 THEN '2. 75 to 149'
-                 WHEN list_price < 250 THEN '3. 150 to 249' WHEN list_price < 400 THEN '4. 250 to 399'
-                 ELSE '5. 400 and over' END AS list_price_band,
-            count(*) AS listings, round(avg(list_price), 2) AS avg_list_price,
-            round(avg(occupancy_rate), 4) AS avg_occupancy_rate, round(avg(total_revenue), 2) AS avg_revenue,
-            round(avg(achieved_nightly_rate), 2) AS avg_achieved_rate
-          FROM sem WHERE list_price IS NOT NULL GROUP BY ALL""",
-        kinds={"list_price_band": O, "listings": I, "avg_list_price": R, "avg_occupancy_rate": R, "avg_revenue": R,
-               "avg_achieved_rate": R})
+    q["q09_price_band"] = banded(
+        "list_price_band", "SELECT list_price AS x, list_price, occupancy_rate, total_revenue, {ach} AS rate FROM dim_listings l WHERE list_price IS NOT NULL",
+        [("1. under 75", 75), ("2. 75 to 149", 150), ("3. 150 to 249", 250), ("4. 250 to 399", 400), ("5. 400 and over", None)],
+        {"avg_list_price": ("list_price", 2), "avg_occupancy_rate": ("occupancy_rate", 4), "avg_revenue": ("total_revenue", 2),
+         "avg_achieved_rate": ("rate", 2)})
     q["q09_scatter"] = S("P", ["avg_list_price", "avg_achieved_rate", "avg_occupancy_rate", "portfolio_revenue"],
                          ["listing_id", "listing_name", "room_type"], NP)
     day6 = ["calendar_nights", "booked_nights", "occupancy_rate", "avg_nightly_price", "achieved_nightly_rate",
@@ -665,27 +674,15 @@ def _questions() -> dict[str, str]:
     q["q10_by_day_and_room_type"] = S("D", ["occupancy_rate", "avg_nightly_price", "achieved_nightly_rate"],
                                       ["day_of_week", "room_type"], ND)
     # q11
-    q["q11_by_score_band"] = _wrap(
-        "P", dims=["listing_id"], facts=["review_scores_rating", "number_of_reviews", "occupancy_rate",
-                                         "achieved_nightly_rate", "total_revenue"],
-        body="""SELECT CASE WHEN review_scores_rating IS NULL THEN '0. never reviewed'
-                 WHEN review_scores_rating < 4.0 THEN '1. under 4.0' WHEN review_scores_rating < 4.5 THEN '2. 4.0 to 4.49'
-                 WHEN review_scores_rating < 4.8 THEN '3. 4.5 to 4.79' ELSE '4. 4.8 and over' END AS review_score_band,
-            count(*) AS listings, round(avg(number_of_reviews), 1) AS avg_reviews,
-            round(avg(occupancy_rate), 4) AS avg_occupancy_rate, round(avg(achieved_nightly_rate), 2) AS avg_achieved_rate,
-            round(avg(total_revenue), 2) AS avg_revenue
-          FROM sem GROUP BY ALL""",
-        kinds={"review_score_band": O, "listings": I, "avg_reviews": R, "avg_occupancy_rate": R,
-               "avg_achieved_rate": R, "avg_revenue": R})
-    q["q11_by_review_volume"] = _wrap(
-        "P", dims=["listing_id"], facts=["number_of_reviews", "occupancy_rate", "achieved_nightly_rate"],
-        body="""SELECT CASE WHEN number_of_reviews = 0 THEN '0. none' WHEN number_of_reviews < 10 THEN '1. 1 to 9'
-                 WHEN number_of_reviews < 50 THEN '2. 10 to 49' WHEN number_of_reviews < 100 THEN '3. 50 to 99'
-                 ELSE '4. 100 and over' END AS review_count_band,
-            count(*) AS listings, round(avg(occupancy_rate), 4) AS avg_occupancy_rate,
-            round(avg(achieved_nightly_rate), 2) AS avg_achieved_rate
-          FROM sem GROUP BY ALL""",
-        kinds={"review_count_band": O, "listings": I, "avg_occupancy_rate": R, "avg_achieved_rate": R})
+    q["q11_by_score_band"] = banded(
+        "review_score_band", "SELECT review_scores_rating AS x, number_of_reviews, occupancy_rate, total_revenue, {ach} AS rate FROM dim_listings l",
+        [("1. under 4.0", 4.0), ("2. 4.0 to 4.49", 4.5), ("3. 4.5 to 4.79", 4.8), ("4. 4.8 and over", None)],
+        {"avg_reviews": ("number_of_reviews", 1), "avg_occupancy_rate": ("occupancy_rate", 4), "avg_achieved_rate": ("rate", 2),
+         "avg_revenue": ("total_revenue", 2)}, missing="0. never reviewed")
+    q["q11_by_review_volume"] = banded(
+        "review_count_band", "SELECT number_of_reviews AS x, occupancy_rate, {ach} AS rate FROM dim_listings l",
+        [("0. none", 1), ("1. 1 to 9", 10), ("2. 10 to 49", 50), ("3. 50 to 99", 100), ("4. 100 and over", None)],
+        {"avg_occupancy_rate": ("occupancy_rate", 4), "avg_achieved_rate": ("rate", 2)}, missing="4. 100 and over")
     q["q11_per_listing"] = S("P", ["avg_review_score", "total_reviews", "avg_occupancy_rate", "avg_achieved_rate"],
                              ["listing_id", "listing_name", "has_reviews"], NP)
     q["q12_by_capacity"] = S("P", ["listings", "avg_revenue_per_guest", "avg_revenue_per_listing",
@@ -697,72 +694,51 @@ def _questions() -> dict[str, str]:
                              "avg_revenue_per_listing", "avg_review_score"], ["is_shared_bathroom"], NP)
     q["q13_by_room_type"] = S("P", ["listings", "avg_list_price", "avg_achieved_rate", "avg_occupancy_rate"],
                               ["room_type", "is_shared_bathroom"], NP)
-    # q14: a union of one global aggregate per flag, as the original writes it
-    branches = []
-    for flag in LISTING_FLAGS:
-        inner, _ = sv("P", ["listings", "avg_achieved_rate", "avg_list_price", "avg_occupancy_rate",
-                            "avg_revenue_per_listing"], where=f"l.{flag} AND {NP}")
-        branches.append(f"SELECT '{flag}' AS amenity, * FROM ({inner})")
-    q["q14_by_amenity"] = full(" UNION ALL ".join(branches),
-                               {"amenity": O, "listings": I, "avg_achieved_rate": R, "avg_list_price": R,
-                                "avg_occupancy_rate": R, "avg_revenue_per_listing": R})
+    wide = ["listings", "avg_achieved_rate", "avg_list_price", "avg_occupancy_rate", "avg_revenue_per_listing"]
+    q["q14_by_amenity"] = full(
+        "SELECT amenity, coalesce(listings, 0) AS listings, " + ", ".join(wide[1:])
+        + " FROM (VALUES " + ", ".join(f"('{f}')" for f in LISTING_FLAGS) + ") AS names(amenity) LEFT JOIN (SELECT amenity, "
+        + ", ".join(f"{_MEMBERS['P']['metrics'][m][0]} AS {m}" for m in wide)
+        + " FROM (UNPIVOT (SELECT listing_id, " + ", ".join(LISTING_FLAGS) + " FROM dim_listings) ON " + ", ".join(LISTING_FLAGS)
+        + " INTO NAME amenity VALUE has_it) JOIN dim_listings l USING (listing_id) WHERE has_it AND " + NP
+        + " GROUP BY amenity) USING (amenity)",
+        {"amenity": O, "listings": I, **{m: R for m in wide[1:]}})
     q["q14_primary_split"] = S("P", ["listings", "avg_achieved_rate", "avg_list_price", "avg_occupancy_rate",
                                      "avg_revenue_per_listing"], [PRIMARY], NP)
-    q["q14_by_amenity_count"] = _wrap(
-        "P", dims=["listing_id", "is_deleted"], facts=["amenity_count", "achieved_nightly_rate", "occupancy_rate",
-                                                       "total_revenue"],
-        body="""SELECT CASE WHEN amenity_count < 15 THEN '1. under 15' WHEN amenity_count < 25 THEN '2. 15 to 24'
-                 WHEN amenity_count < 35 THEN '3. 25 to 34' ELSE '4. 35 and over' END AS amenity_count_band,
-            count(*) AS listings, round(avg(amenity_count), 1) AS avg_amenity_count,
-            round(avg(achieved_nightly_rate), 2) AS avg_achieved_rate, round(avg(occupancy_rate), 4) AS avg_occupancy_rate,
-            round(avg(total_revenue), 2) AS avg_revenue
-          FROM sem WHERE NOT is_deleted GROUP BY ALL""",
-        kinds={"amenity_count_band": O, "listings": I, "avg_amenity_count": R, "avg_achieved_rate": R,
-               "avg_occupancy_rate": R, "avg_revenue": R})
+    q["q14_by_amenity_count"] = banded(
+        "amenity_count_band", "SELECT amenity_count AS x, amenity_count, occupancy_rate, total_revenue, {ach} AS rate FROM dim_listings l WHERE " + NP,
+        [("1. under 15", 15), ("2. 15 to 24", 25), ("3. 25 to 34", 35), ("4. 35 and over", None)],
+        {"avg_amenity_count": ("amenity_count", 1), "avg_achieved_rate": ("rate", 2), "avg_occupancy_rate": ("occupancy_rate", 4),
+         "avg_revenue": ("total_revenue", 2)}, missing="4. 35 and over")
     q["q15_by_listing"] = S("D", ["distinct_prices", "min_nightly_price", "max_nightly_price", "avg_nightly_price",
                                   "achieved_nightly_rate", "occupancy_rate"], ["listing_id", "listing_name"])
-    q["q15_banded"] = _wrap(
-        "D", ["distinct_prices", "min_nightly_price", "max_nightly_price", "occupancy_rate", "total_revenue"],
-        ["listing_id"],
-        body="""SELECT CASE WHEN distinct_prices = 1 THEN '1. never changed' WHEN distinct_prices <= 5 THEN '2. 2 to 5 rates'
-                 WHEN distinct_prices <= 20 THEN '3. 6 to 20 rates' ELSE '4. over 20 rates' END AS pricing_style,
-            count(*) AS listings, round(avg(distinct_prices), 1) AS avg_distinct_prices,
-            round(avg(max_nightly_price - min_nightly_price), 2) AS avg_price_spread,
-            round(avg(occupancy_rate), 4) AS avg_occupancy_rate, round(avg(total_revenue), 2) AS avg_revenue
-          FROM sem GROUP BY ALL""",
-        kinds={"pricing_style": O, "listings": I, "avg_distinct_prices": R, "avg_price_spread": R,
-               "avg_occupancy_rate": R, "avg_revenue": R})
+    per_listing = """SELECT {x} AS x, any_value(n_prices) AS n_prices, max(price) - min(price) AS spread, avg(price) AS asked,
+        avg(minimum_nights) AS nights, count(reservation_id) / count(*) AS taken, avg(revenue) AS got, sum(revenue) AS money
+      FROM fct_listing_daily JOIN (SELECT listing_id, count(*) AS n_prices FROM
+        (SELECT DISTINCT listing_id, price FROM fct_listing_daily WHERE price IS NOT NULL) GROUP BY listing_id) USING (listing_id)
+      GROUP BY listing_id"""
+    q["q15_banded"] = banded(
+        "pricing_style", per_listing.format(x="any_value(n_prices)"),
+        [("1. never changed", 2), ("2. 2 to 5 rates", 6), ("3. 6 to 20 rates", 21), ("4. over 20 rates", None)],
+        {"avg_distinct_prices": ("n_prices", 1), "avg_price_spread": ("spread", 2), "avg_occupancy_rate": ("taken", 4), "avg_revenue": ("money", 2)})
     q["q15_static_pricers"] = _wrap(
         "D", ["distinct_prices", "avg_nightly_price", "occupancy_rate", "total_revenue"],
         ["listing_id", "listing_name", "room_type"], ND,
         body="SELECT * FROM sem WHERE distinct_prices = 1",
         kinds={"listing_id": I, "listing_name": O, "room_type": O, "distinct_prices": I, "avg_nightly_price": R,
                "occupancy_rate": R, "total_revenue": R})
-    nb = """CASE WHEN {c} = 1 THEN '1. one night' WHEN {c} <= 3 THEN '2. 2 to 3 nights'
-                 WHEN {c} <= 7 THEN '3. 4 to 7 nights' WHEN {c} <= 30 THEN '4. 8 to 30 nights'
-                 ELSE '5. over 30 nights' END AS minimum_nights_band"""
-    q["q16_by_night"] = _wrap(
-        "D", dims=["listing_id", "calendar_date", "is_available"], facts=["minimum_nights", "price", "revenue"],
-        body=f"""SELECT {nb.format(c='minimum_nights')},
-            count(DISTINCT listing_id) AS listings, count(*) AS calendar_nights,
-            count(*) FILTER (WHERE NOT is_available) AS booked_nights,
-            round(CASE WHEN count(*) = 0 THEN 0 ELSE (count(*) FILTER (WHERE NOT is_available)) / count(*) END, 4)
-              AS occupancy_rate,
-            round(avg(price), 2) AS avg_nightly_price, round(avg(revenue), 2) AS achieved_nightly_rate,
-            round(CAST(sum(revenue) AS DOUBLE), 2) AS total_revenue
-          FROM sem GROUP BY ALL""",
-        kinds={"minimum_nights_band": O, "listings": I, "calendar_nights": I, "booked_nights": I,
-               "occupancy_rate": R, "avg_nightly_price": R, "achieved_nightly_rate": R, "total_revenue": R})
-    q["q16_by_listing"] = _wrap(
-        "D", ["avg_minimum_nights", "max_minimum_nights", "occupancy_rate", "avg_nightly_price",
-              "achieved_nightly_rate", "total_revenue"], ["listing_id"],
-        body=f"""SELECT {nb.format(c='avg_minimum_nights')},
-            count(*) AS listings, round(avg(avg_minimum_nights), 2) AS avg_minimum_nights,
-            round(avg(occupancy_rate), 4) AS avg_occupancy_rate, round(avg(avg_nightly_price), 2) AS avg_nightly_price,
-            round(avg(achieved_nightly_rate), 2) AS avg_achieved_rate, round(avg(total_revenue), 2) AS avg_revenue
-          FROM sem GROUP BY ALL""",
-        kinds={"minimum_nights_band": O, "listings": I, "avg_minimum_nights": R, "avg_occupancy_rate": R,
-               "avg_nightly_price": R, "avg_achieved_rate": R, "avg_revenue": R})
+    # least value of the next band; just above the greatest of this one, as averages lie between whole nights
+    nights = [("1. one night", 1.000001), ("2. 2 to 3 nights", 3.000001), ("3. 4 to 7 nights", 7.000001), ("4. 8 to 30 nights", 30.000001),
+              ("5. over 30 nights", None)]
+    q["q16_by_night"] = banded(
+        "minimum_nights_band", "SELECT minimum_nights AS x, listing_id, reservation_id, price, revenue FROM fct_listing_daily", nights,
+        {"avg_nightly_price": ("price", 2), "achieved_nightly_rate": ("revenue", 2)}, count="calendar_nights",
+        more={"listings": ("count(DISTINCT listing_id)", I, None), "booked_nights": ("count(reservation_id)", I, None),
+              "occupancy_rate": ("count(reservation_id) / count(*)", R, 4), "total_revenue": ("CAST(sum(revenue) AS DOUBLE)", R, 2)})
+    q["q16_by_listing"] = banded(
+        "minimum_nights_band", per_listing.format(x="avg(minimum_nights)"), nights,
+        {"avg_minimum_nights": ("nights", 2), "avg_occupancy_rate": ("taken", 4), "avg_nightly_price": ("asked", 2),
+         "avg_achieved_rate": ("got", 2), "avg_revenue": ("money", 2)})
     q["q16_scatter"] = S("D", ["avg_minimum_nights", "max_minimum_nights", "occupancy_rate", "avg_nightly_price",
                                "total_revenue"], ["listing_id", "listing_name", "room_type"], ND)
     q["q17_summary"] = S("R", ["reservations", "booked_nights", "total_revenue", "avg_length_of_stay",
@@ -836,38 +812,31 @@ def _questions() -> dict[str, str]:
             round(avg(occupancy_rate), 4) AS avg_occupancy_rate, round(avg(total_revenue), 2) AS avg_revenue
           FROM sem WHERE NOT is_deleted GROUP BY ALL""",
         kinds={"staleness_band": O, "listings": I, "avg_reviews": R, "avg_occupancy_rate": R, "avg_revenue": R})
-    win, _ = sv("D", ["calendar_nights", "max_minimum_nights", "avg_nightly_price"],
-                ["listing_id", "listing_name", "availability_window_seq"], "d.is_available")
-    classified = """SELECT listing_id, listing_name, availability_window_seq, calendar_nights AS window_length_nights,
-        max_minimum_nights AS minimum_nights, calendar_nights < max_minimum_nights AS is_unbookable,
-        CAST(calendar_nights * avg_nightly_price AS DOUBLE) AS window_asking_value FROM windows"""
+    # an open run that is shorter than the strictest minimum stay on its nights cannot be booked
+    runs = {"run": """SELECT listing_id, availability_window_seq AS seq, count(*) AS nights, max(minimum_nights) AS need,
+        CAST(sum(price) AS DOUBLE) AS asked FROM fct_listing_daily WHERE is_available GROUP BY ALL""",
+            "short": "SELECT * FROM run WHERE nights < need"}
     q["q25_portfolio"] = full(
-        """SELECT count(*) AS availability_windows, count(*) FILTER (WHERE is_unbookable) AS unbookable_windows,
-            sum(CASE WHEN is_unbookable THEN window_length_nights END) AS unbookable_nights,
-            round(sum(CASE WHEN is_unbookable THEN window_asking_value END), 2) AS unbookable_asking_value,
-            sum(window_length_nights) AS all_available_nights,
-            round(sum(window_asking_value), 2) AS all_available_asking_value,
-            round(100 * sum(CASE WHEN is_unbookable THEN window_asking_value END) / nullif(sum(window_asking_value), 0), 2)
-              AS pct_of_open_inventory_unbookable
-          FROM classified""",
+        """SELECT a.n AS availability_windows, b.n AS unbookable_windows, b.nights AS unbookable_nights, b.asked AS unbookable_asking_value,
+            a.nights AS all_available_nights, a.asked AS all_available_asking_value, 100 * b.asked / nullif(a.asked, 0) AS pct_of_open_inventory_unbookable
+          FROM (SELECT count(*) AS n, sum(nights) AS nights, sum(asked) AS asked FROM run) a,
+               (SELECT count(*) AS n, sum(nights) AS nights, sum(asked) AS asked FROM short) b""",
         {"availability_windows": I, "unbookable_windows": I, "unbookable_nights": I, "unbookable_asking_value": R,
-         "all_available_nights": I, "all_available_asking_value": R, "pct_of_open_inventory_unbookable": R},
-        {"windows": win, "classified": classified})
+         "all_available_nights": I, "all_available_asking_value": R, "pct_of_open_inventory_unbookable": R}, runs,
+        digits={"unbookable_asking_value": 2, "all_available_asking_value": 2, "pct_of_open_inventory_unbookable": 2})
     q["q25_by_listing"] = full(
-        """SELECT listing_id, listing_name, count(*) AS availability_windows,
-            count(*) FILTER (WHERE is_unbookable) AS unbookable_windows, max(minimum_nights) AS strictest_minimum_nights,
-            sum(CASE WHEN is_unbookable THEN window_length_nights END) AS unbookable_nights,
-            round(sum(CASE WHEN is_unbookable THEN window_asking_value END), 2) AS unbookable_asking_value
-          FROM classified GROUP BY listing_id, listing_name HAVING count(*) FILTER (WHERE is_unbookable) > 0""",
+        """SELECT listing_id, listing_name, a.n AS availability_windows, b.n AS unbookable_windows, a.need AS strictest_minimum_nights,
+            b.nights AS unbookable_nights, b.asked AS unbookable_asking_value
+          FROM (SELECT listing_id, count(*) AS n, sum(nights) AS nights, sum(asked) AS asked FROM short GROUP BY ALL) b
+          JOIN (SELECT listing_id, count(*) AS n, max(need) AS need FROM run GROUP BY ALL) a USING (listing_id)
+          JOIN dim_listings USING (listing_id)""",
         {"listing_id": I, "listing_name": O, "availability_windows": I, "unbookable_windows": I,
-         "strictest_minimum_nights": I, "unbookable_nights": I, "unbookable_asking_value": R},
-        {"windows": win, "classified": classified})
+         "strictest_minimum_nights": I, "unbookable_nights": I, "unbookable_asking_value": R}, runs, digits={"unbookable_asking_value": 2})
     q["q25_detail"] = full(
-        """SELECT listing_id, listing_name, availability_window_seq, window_length_nights, minimum_nights,
-            round(window_asking_value, 2) AS window_asking_value FROM classified WHERE is_unbookable""",
+        """SELECT listing_id, listing_name, seq AS availability_window_seq, nights AS window_length_nights, need AS minimum_nights,
+            asked AS window_asking_value FROM short JOIN dim_listings USING (listing_id)""",
         {"listing_id": I, "listing_name": O, "availability_window_seq": I, "window_length_nights": I,
-         "minimum_nights": I, "window_asking_value": R},
-        {"windows": win, "classified": classified})
+         "minimum_nights": I, "window_asking_value": R}, runs, digits={"window_asking_value": 2})
     q["q26_density"] = S("P", ["listings", "avg_achieved_rate", "avg_list_price", "avg_occupancy_rate",
                                "portfolio_revenue", "avg_revenue_per_listing"], ["neighborhood"], NP)
     q["q26_density_by_room_type"] = S("P", ["listings", "avg_achieved_rate", "avg_occupancy_rate"],

@@ -580,16 +580,12 @@ def q24_by_staleness_band(wh):
 
 # q25 ---------------------------------------------------------------------
 def _q25_classified(wh):
-    windows = _m(wh)["D"].query(["daily.calendar_nights", "daily.max_minimum_nights", "daily.avg_nightly_price"],
-                                ["daily.listing_id", "listing.listing_name", "daily.availability_window_seq"],
-                                where=lambda m: m("daily.is_available"))
-    return windows.select(
-        "listing_id", "listing_name", "availability_window_seq",
-        F.col("calendar_nights").alias("window_length_nights"),
-        F.col("max_minimum_nights").alias("minimum_nights"),
-        (F.col("calendar_nights") < F.col("max_minimum_nights")).alias("is_unbookable"),
-        (F.col("calendar_nights") * F.col("avg_nightly_price")).cast("double").alias("window_asking_value"),
-    )
+    """Runs of open nights, what their nights ask for together, and whether a stay of the minimum length fits in."""
+    runs = wh.fct_listing_daily().filter("is_available").groupBy("listing_id", "availability_window_seq").agg(
+        F.count(F.lit(1)).alias("window_length_nights"), F.max("minimum_nights").alias("minimum_nights"),
+        F.sum("price").cast("double").alias("window_asking_value"))
+    return runs.join(wh.dim_listings().select("listing_id", "listing_name"), "listing_id").withColumn(
+        "is_unbookable", F.col("window_length_nights") < F.col("minimum_nights"))
 
 
 def q25_portfolio(wh):
