@@ -28,21 +28,33 @@ def plain(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns)
 
 
+def sieve(df: DataFrame, key: str, wanted: DataFrame, bits: int = 24) -> DataFrame:
+    """The rows of df whose key may be in ``wanted`` (one column): a bitmap of 2**bits hashes goes to every task, as a table of
+    at most 2**(bits - 6) words. It only thins what a later join on the key has to shuffle; when the bitmap is full,
+    all rows pass."""
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    words = (wanted.select(at(F.col(wanted.columns[0])).alias("at")).groupBy(F.shiftright("at", 6).alias("sieve_word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("sieve_bits")))
+    here = F.expr(f"shiftright(pmod(xxhash64(`{key}`), {1 << bits}L), 6)")
+    bit = F.expr(f"shiftright(sieve_bits, cast(pmod(xxhash64(`{key}`), {1 << bits}L) & 63 as int)) & 1L")
+    return df.withColumn("sieve_word", here).join(F.broadcast(words), "sieve_word").where(bit == 1).select(*df.columns)
+
+
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected links (a, b): one row (v, label) per vertex, label = smallest vertex.
 
-    Rounds of contraction. Every vertex moves to the neighbour (or itself) with the smallest random priority; the
-    links between what they moved to form the next, smaller graph. A random priority shrinks chains by a constant
-    share per round, so rounds grow with the logarithm of the longest chain. All steps are keyed aggregations
-    and equi-joins; a vertex with very many links is summed before the shuffle and its join can be split.
+    Rounds of contraction. Every vertex moves to the neighbour (or itself) with the smallest hash; the links between what
+    they moved to form the next, smaller graph. Hashes put the vertices of a chain in random order, so a constant share of
+    them is left after each round; a star is done after two. All steps are keyed aggregations and equi-joins; a
+    vertex with very many links is summed before the shuffle and its join can be split.
     """
     edges = links.where(F.col("a") != F.col("b")).select("a", "b")
     moves: list[DataFrame] = []
-    for turn in range(max_rounds):
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        key = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("p"), c.alias("v"))
-        move = both.groupBy("a").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "b").alias("p"), F.col("b").alias("v"))).alias("m"))
-        move = land(move.select(F.col("a").alias("v"), F.least("m", key(F.col("a")))["v"].alias("to")), "moves")
+    rank = lambda c: F.struct(F.xxhash64(c).alias("p"), F.col(c).alias("v"))
+    for _ in range(max_rounds):
+        both = edges.select(F.col("a").alias("v"), rank("b").alias("m")).union(edges.select(F.col("b").alias("v"), rank("a").alias("m")))
+        move = both.groupBy("v").agg(F.min("m").alias("m"))
+        move = land(move.select("v", F.least(F.col("m"), rank("v"))["v"].alias("to")), "moves")
         moves.append(move)
         left = move.select(F.col("v").alias("a"), F.col("to").alias("x"))
         right = move.select(F.col("v").alias("b"), F.col("to").alias("y"))
@@ -56,6 +68,5 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     for move in moves[1:]:
         step = move.select(F.col("v").alias("root"), F.col("to").alias("next"))
         label = label.join(step, "root", "left").select("v", F.coalesce("next", "root").alias("root"))
-    label = land(label, "roots")
     smallest = label.groupBy("root").agg(F.min("v").alias("label"))
-    return label.join(smallest, "root").select("v", "label")
+    return land(label.join(smallest, "root").select("v", "label"), "components")

@@ -8,10 +8,11 @@
 3. Sequential verification: signatures are compared in batches; after each, a pair is pruned when the posterior
    probability (uniform prior) that its similarity reaches the threshold falls below ``MISS``.
 4. Survivors are confirmed on their full shingle sets, recomputed from the texts. Only confirmed pairs are links.
-5. Components of the links. A bucket whose members are not all in one component goes on: members outside its
-   largest component become centres in turn, ``CENTRES`` at a time, against all members of other components, until
-   every pair of members has been compared or lies in one component. No group is gathered, and the pairs made in a
-   round are at most CENTRES times the bucket's members; joins are plain equi-joins that Spark can split on a hot key.
+5. Components of the links. Buckets whose members are not all in one component are joined to groups (buckets that share
+   a member). In a group, everything outside its largest component is compared with all members: both are cut into
+   blocks of bounded size, and each pair of blocks goes through steps 3 and 4 as matrices, giving one link for each
+   two components that meet. So pairs within the largest component, which is most of a group of copies, are never
+   formed, the others never become rows, and no task holds more than two blocks.
 
 Defined results: texts without words (null, empty, white space) have n_shingles 0 and link with nothing; fewer than five words
 form one shingle; rows that share a doc_id count as one document, each row gets a result; a null doc_id links
@@ -35,7 +36,7 @@ BANDS, ROWS = 20, 6
 HASHES = BANDS * ROWS
 BATCH = 20
 MISS = 1e-6
-CENTRES = 64
+BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 18
 
 _rng = np.random.default_rng(5)
 _times = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -121,30 +122,48 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["v", "k1", "k2", "shingles"])
 
 
-class Verifier:
-    """Confirms candidate pairs of vertices (a, b): first on signatures, then on full sets."""
-
-    def __init__(self, docs: DataFrame, reps: DataFrame, percent: int):
-        self.docs, self.reps, self.percent = docs, reps, percent
-        self.least = least_matches(percent / 100)
-
-    def __call__(self, pairs: DataFrame) -> DataFrame:
-        sig = self.reps.select("v", "sig")
-        near = (pairs.join(sig.select(F.col("v").alias("a"), F.col("sig").alias("sa")), "a")
-                .join(sig.select(F.col("v").alias("b"), F.col("sig").alias("sb")), "b")
-                .select("a", "b", "sa", "sb").mapInArrow(_prune(self.least), "a long, b long"))
-        near = _store.land(near.distinct(), "survivors")
-        wanted = near.select(F.col("a").alias("v")).union(near.select("b")).distinct()
-        keys = self.reps.select("v", "k1", "k2").join(wanted, "v")
-        texts = self.docs.join(wanted.withColumnRenamed("v", "doc_id"), "doc_id").select(F.col("doc_id").alias("v"), "text")
-        sets = (texts.mapInArrow(_sets, "v long, k1 long, k2 long, shingles array<long>")
-                .join(keys, ["v", "k1", "k2"]).dropDuplicates(["v", "k1", "k2"]))
-        sets = _store.land(sets.select("v", "shingles"), "sets")
-        both = (near.join(sets.select(F.col("v").alias("a"), F.col("shingles").alias("one")), "a")
-                .join(sets.select(F.col("v").alias("b"), F.col("shingles").alias("two")), "b"))
-        shared = F.size(F.array_intersect("one", "two"))
-        links = both.where(100 * shared >= self.percent * (F.size("one") + F.size("two") - shared)).select("a", "b").distinct()
-        return _store.land(links, "confirmed")
+def _confirm(least: list[int], percent: int):
+    """Pairs of blocks -> one link for each two components that meet."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one, two = (batch.column(k)[i].values for k in range(2))
+                v, label = ([x.field(f).to_numpy() for x in (one, two)] for f in ("v", "label"))
+                sig = [x.field("sig").flatten().to_numpy().reshape(-1, HASHES) for x in (one, two)]
+                alive = label[0][:, None] != label[1][None]
+                match = np.zeros(alive.shape, np.int16)
+                for k in range(BATCH, HASHES + 1, BATCH):
+                    if alive.any():
+                        for j in range(k - BATCH, k):
+                            match += sig[0][:, j, None] == sig[1][None, :, j]
+                        alive &= match >= least[k // BATCH]
+                if not alive.any():
+                    continue
+                sets = [x.field("shingles") for x in (one, two)]
+                size = [np.diff(x.offsets.to_numpy()) for x in sets]
+                flat = [x.flatten().to_numpy() for x in sets]
+                owner = [np.repeat(np.arange(len(n)), n) for n in size]
+                common = np.intersect1d(*flat)
+                held = []
+                for f, o in zip(flat, owner):
+                    at = np.minimum(np.searchsorted(common, f), max(len(common) - 1, 0))
+                    hit = common[at] == f if len(common) else np.zeros(len(f), bool)
+                    held.append((at[hit], o[hit]))
+                shared = np.zeros(alive.shape, np.float32)
+                for lo in range(0, len(common), 4096):
+                    part = []
+                    for (at, o), n in zip(held, size):
+                        own = (at >= lo) & (at < lo + 4096)
+                        x = np.zeros((len(n), min(4096, len(common) - lo)), np.float32)
+                        x[o[own], at[own] - lo] = 1
+                        part.append(x)
+                    shared += part[0] @ part[1].T
+                shared = shared.astype(np.int64)
+                alive &= 100 * shared >= percent * (size[0][:, None] + size[1][None] - shared)
+                p, q = np.nonzero(alive)
+                _, first = np.unique(np.stack([label[0][p], label[1][q]], 1), axis=0, return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(v[0][p[first]]), pa.array(v[1][q[first]])], names=["a", "b"])
+    return run
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -157,47 +176,55 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         "v", some["k1"], some["k2"], "sig").dropDuplicates(["v", "k1", "k2"])
     reps = _store.land(reps, "representatives")
     rows = _store.land(feats.select("doc_id", "n", "k1", "k2").join(first, ["k1", "k2"], "left"), "rows")
-    # rows that share a doc_id are one document
-    shared = (rows.where("v != doc_id").groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("b"))
-              .where("a != b").select("a", "b"))
+    # rows that share a doc_id are one document, whatever their texts
+    several = rows.where("v IS NOT NULL").groupBy("doc_id").agg(F.min("v").alias("x"), F.max("v").alias("y")).where("x != y")
+    shared = rows.join(several.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("v").alias("b")).where("a != b")
 
     keys = F.explode(F.array(*(F.xxhash64(F.lit(i), F.slice("sig", i * ROWS + 1, ROWS)) for i in range(BANDS))))
     banded = reps.select("v", keys.alias("key")).distinct()
     buckets = banded.groupBy("key").agg(F.min("v").alias("centre"), F.max("v").alias("last")).where("centre != last")
     members = _store.land(banded.join(buckets.select("key", "centre"), "key"), "buckets")
-    verify = Verifier(docs, reps, percent)
-    tested = _store.land(members.where("v != centre").select(F.col("centre").alias("a"), F.col("v").alias("b")).distinct(), "pairs")
-    links = _store.land(shared.unionByName(verify(tested)), "links")
+
+    # the full sets of all members, recomputed from their texts
+    wanted = _store.land(reps.join(members.select("v").distinct(), "v"), "members")
+    texts = _store.sieve(docs, "doc_id", wanted.select("v")).join(wanted.select(F.col("v").alias("doc_id")).distinct(), "doc_id")
+    sets = texts.mapInArrow(_sets, "v long, k1 long, k2 long, shingles array<long>").join(wanted, ["v", "k1", "k2"])
+    sets = _store.land(sets.dropDuplicates(["v", "k1", "k2"]).select("v", "sig", "shingles"), "sets")
+
+    least = least_matches(percent / 100)
+    pairs = members.where("v != centre").select(F.col("centre").alias("a"), F.col("v").alias("b")).distinct()
+    near = (pairs.join(sets.select(F.col("v").alias("a"), F.col("sig").alias("sa")), "a")
+            .join(sets.select(F.col("v").alias("b"), F.col("sig").alias("sb")), "b")
+            .select("a", "b", "sa", "sb").mapInArrow(_prune(least), "a long, b long"))
+    near = _store.land(near.distinct(), "survivors")
+    both = (near.join(sets.select(F.col("v").alias("a"), F.col("shingles").alias("one")), "a")
+            .join(sets.select(F.col("v").alias("b"), F.col("shingles").alias("two")), "b"))
+    common = F.size(F.array_intersect("one", "two"))
+    links = both.where(100 * common >= percent * (F.size("one") + F.size("two") - common)).select("a", "b")
+    links = _store.land(shared.unionByName(links).distinct(), "links")
     label = _store.components(links)
 
-    open_, turns, turn = members.select("key", "v"), 1, 0
-    while True:
-        named = open_.join(label, "v", "left").select("key", "v", F.coalesce("label", "v").alias("label"))
-        unlike = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
-        named = _store.land(named.join(unlike, "key", "left_semi"), "open")
-        if named.isEmpty() or turn >= turns:
-            break
-        sizes = named.groupBy("key", "label").agg(F.count("*").alias("n"))
-        body = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("body"), F.sum("n").alias("all"))
-        if turn == 0:  # how many turns each bucket needs, from its members outside the largest component
-            body = _store.land(body.withColumn("turns", F.ceil((F.col("all") - F.col("body")["n"]) / CENTRES)), "turns")
-            plan = body.select("key", "turns")
-            turns = body.agg(F.max("turns")).first()[0]
-        else:
-            body = body.join(plan, "key")
-        centres = (named.join(body, "key").where(F.col("label") != F.col("body")["label"])
-                   .where(F.expr(f"pmod(xxhash64(v), turns) = {turn}")).select("key", F.col("v").alias("c"), F.col("label").alias("of")))
-        pairs = (named.join(centres, "key").where("label != of")
-                 .select(F.least("v", "c").alias("a"), F.greatest("v", "c").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"))
-        pairs = _store.land(pairs, "pairs")
-        if not pairs.isEmpty():
-            links = links.unionByName(verify(pairs))
-            tested = tested.unionByName(pairs)
-            label = _store.components(links)
-        open_, turn = named.select("key", "v"), turn + 1
+    named = members.join(label, "v", "left").select("key", "centre", "v", F.coalesce("label", "v").alias("label"))
+    unlike = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
+    named = _store.land(named.join(unlike, "key", "left_semi").select("centre", "v", "label").distinct(), "open")
+    if not named.isEmpty():
+        group = _store.components(named.select(F.col("centre").alias("a"), F.col("v").alias("b"))).withColumnRenamed("label", "g")
+        inside = named.select("v", "label").distinct().join(group, "v")
+        weight = sets.select("v", F.size("shingles").alias("weight")).groupBy("v").agg(F.max("weight").alias("weight"))
+        by_label = inside.join(weight, "v").groupBy("g", "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+        groups = by_label.groupBy("g").agg(F.max(F.struct("n", "label")).alias("body"), F.sum("n").alias("n"), F.sum("w").alias("w"))
+        parts = F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("w") / BLOCK_SHINGLES))
+        inside = inside.join(groups.select("g", F.col("body")["label"].alias("body"), parts.alias("parts")), "g")
+        full = inside.join(sets, "v").withColumn("part", F.expr("pmod(xxhash64(v), parts)"))
+        full = _store.land(full.select("g", "part", "v", "label", "sig", "shingles", (F.col("label") != F.col("body")).alias("outside")), "full")
+        packed = F.collect_list(F.struct("v", "label", "sig", "shingles"))
+        every = full.groupBy("g", "part").agg(packed.alias("two")).select("g", "two")
+        outside = full.where("outside").groupBy("g", "part").agg(packed.alias("one")).select("g", "one")
+        more = outside.join(every, "g").select("one", "two").mapInArrow(_confirm(least, percent), "a long, b long")
+        label = _store.components(_store.land(links.unionByName(more), "links"))
 
     out = rows.join(label, "v", "left")
-    component = F.coalesce("label", "v", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "v", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
