@@ -33,7 +33,6 @@ from stayflow.sources.tables import read_table
 
 SALT = BuildConfig().pii_salt
 EVENT_TYPES = BuildConfig().amenities
-LISTED_SUPPLIER_NATIONS = 20
 STALENESS_BANDS = [(3, "1. within 3 months"), (12, "2. 4 to 12 months"), (36, "3. 1 to 3 years")]
 
 
@@ -140,14 +139,13 @@ def supplier_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     see one row per supplier on each side."""
     li = read_table(spark, sf_dir, "lineitem", ["l_suppkey", "l_partkey", "l_extendedprice", "l_discount"])
     sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
-    listed = sup.filter(F.col("s_nationkey") < LISTED_SUPPLIER_NATIONS)
     stats = li.groupBy("l_suppkey").agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_distinct("l_partkey").alias("parts"),
         F.sum(_revenue()).alias("revenue"),
     )
     # parent attributes rebuilt with min() per key, as a host is rebuilt from its listings
-    rebuilt = reconstruct_entity(listed.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey",
+    rebuilt = reconstruct_entity(sup.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey",
                                  ["s_name", "s_nationkey"])
     universe = entity_universe(stats, "l_suppkey", rebuilt, "l_suppkey", unique=True)
     return universe.select(
@@ -159,7 +157,7 @@ def order_ship_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = li.select("l_orderkey", F.to_date("l_shipdate").alias("ship_date"), _revenue().alias("rev"))
     spans = events_to_spans(days, ["l_orderkey"], "ship_date", [F.sum("rev").alias("revenue")],
                             first_col="first_ship", last_col="last_ship", count_col="lines")
-    bounds = days.select(F.struct(F.min("ship_date").alias("lo"), F.max("ship_date").alias("hi"))).scalar()
+    bounds = spans.select(F.struct(F.min("first_ship").alias("lo"), F.max("last_ship").alias("hi"))).scalar()  # one row per order, not per line
     return censor_flags(spans, bounds.getField("lo"), bounds.getField("hi"), "first_ship", "last_ship")
 
 
@@ -303,7 +301,7 @@ ORACLE = {
         f"""SELECT u.l_suppkey AS s_suppkey, s.s_name, s.s_nationkey, s.s_suppkey IS NULL AS is_deleted,
              st.lines, st.parts, st.revenue
            FROM (SELECT DISTINCT l_suppkey FROM lineitem) u
-           LEFT JOIN (SELECT * FROM supplier WHERE s_nationkey < {LISTED_SUPPLIER_NATIONS}) s ON u.l_suppkey = s.s_suppkey
+           LEFT JOIN supplier s ON u.l_suppkey = s.s_suppkey
            JOIN (SELECT l_suppkey, count(*) AS lines, count(DISTINCT l_partkey) AS parts, sum({_REV}) AS revenue
                  FROM lineitem GROUP BY l_suppkey) st ON u.l_suppkey = st.l_suppkey""",
         {"s_suppkey": I, "s_name": O, "s_nationkey": I, "is_deleted": O, "lines": I, "parts": I, "revenue": R}),
