@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import os
 import re
+from operator import add
 
 import numpy as np
 
-KEPT_WORDS = 500_000
+KEPT_WORDS, KEPT_PARTS = 150_000, 600_000
 END_ID = 1
 _MARK = "\x01"
-_plain = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]*)([!-&(-/:-@\\[-`{-~0-9]*)")
+_plain = re.compile("^([A-Za-zÀ-ÖØ-öø-ɏ]*)([!-&(-/:-@\\[-`{-~0-9]*)$|^(.*)$", re.M)
 _blank = str.maketrans("\t\n\r", "   ")
 
 
@@ -68,25 +69,22 @@ class WordEncoder:
             if _MARK in p:
                 self.parts[p] = self._library([p])[0].astype("<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.parts) > 2 * KEPT_WORDS:
+    def _learn(self, words: list[str]) -> None:
+        if len(self.parts) > KEPT_PARTS:
             self.parts = {"": b""}
-        split = {}
-        for w in words:
-            m = _plain.fullmatch(w)
-            split[w] = (m[1].lower(), m[2]) if m else (w, "")
-        self._fill(list({p for pair in split.values() for p in pair} - self.parts.keys()))
-        parts = self.parts
-        for w, (a, b) in split.items():
-            self.words[w] = parts[a] + parts[b]
+        split = _plain.findall("\n".join(words))
+        first = [a.lower() or c for a, _, c in split]
+        last = [b for _, b, _ in split]
+        self._fill(list(set(first).union(last) - self.parts.keys()))
+        get = self.parts.__getitem__
+        self.words.update(zip(words, map(add, map(get, first), map(get, last))))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         lists = [t.translate(_blank).split(" ") if "\t" in t or "\r" in t else t.replace("\n", " ").split(" ") for t in texts]
-        met = {w for ws in lists for w in ws}
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
-        if missing := met - self.words.keys():
-            self._learn(missing)
+        if missing := set().union(*lists) - self.words.keys():
+            self._learn(list(missing))
         get = self.words.__getitem__
         return [b"".join(map(get, ws)) for ws in lists]
 
