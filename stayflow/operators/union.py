@@ -2,28 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Gets a function that keeps a column where the flag is true (NULL elsewhere) and returns an aggregate over it.
+FlagAggregate = Callable[[Callable[[Column], Column]], Column]
 
-def flag_branches(df: DataFrame, flags: Sequence[str], label_col: str, aggs: Sequence[Column],
-                  zero_fill: Sequence[str] = ()) -> DataFrame:
+
+def flag_branches(df: DataFrame, flags: Sequence[str], label_col: str, aggs: Mapping[str, FlagAggregate]) -> DataFrame:
     """For each flag, aggregate the rows where it is true, labelled by the flag.
 
-    Each row is exploded into (label, flag value) pairs, filtered to true and
-    grouped by label: one read of ``df`` for any number of flags. Flags with no
-    true rows still produce a row, as each branch of a union of global
-    aggregates would; ``zero_fill`` names the counts that are 0 there.
-    ``grouped`` has one row per flag, so broadcasting it is bounded by len(flags)."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("_label"), F.col(f).alias("_on")) for f in flags]))
-    exploded = df.withColumn("_pair", pairs)
-    hits = exploded.filter(F.col("_pair._on")).withColumn(label_col, F.col("_pair._label"))
-    grouped = hits.groupBy(label_col).agg(*aggs)
-    labels = df.sparkSession.createDataFrame([(f,) for f in flags], f"{label_col} string")
-    # one row per flag even when nothing matched (global aggregates return a row)
-    out = labels.join(F.broadcast(grouped), label_col, "left")
-    for c in zero_fill:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0)))
-    return out
+    All flags x aggregates are conditional aggregates of one global aggregation: each row is read once and none is
+    multiplied, and every task sends one partial row. The single result row is then turned into one row per
+    flag, flags without true rows included."""
+    columns = [agg(lambda c, f=f: F.when(F.col(f), c)).alias(f"_{i}_{name}") for i, f in enumerate(flags) for name, agg in aggs.items()]
+    rows = [F.struct(F.lit(f).alias(label_col), *(F.col(f"_{i}_{name}").alias(name) for name in aggs)) for i, f in enumerate(flags)]
+    return df.agg(*columns).select(F.explode(F.array(*rows)).alias("_row")).select("_row.*")

@@ -169,14 +169,14 @@ def lineitem_flag_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_linestatus") == "O").alias("is_open"),
         (F.col("l_discount") >= 0.05).alias("is_discounted"),
         (F.col("l_quantity") >= 40).alias("is_bulk"),
-        _revenue().alias("rev"),                       # computed once per line, before the fan-out
+        _revenue().alias("rev"),                       # computed once per line
         F.col("l_quantity").cast("decimal(12,2)").alias("qty"),
     )
-    return flag_branches(flagged, ["is_returned", "is_open", "is_discounted", "is_bulk"], "flag", [
-        F.count(F.lit(1)).alias("lines"),
-        F.sum("rev").alias("revenue"),
-        avg_exact("qty").alias("avg_quantity"),
-    ], zero_fill=["lines"])
+    return flag_branches(flagged, ["is_returned", "is_open", "is_discounted", "is_bulk"], "flag", {
+        "lines": lambda on: F.count(on(F.lit(1))),
+        "revenue": lambda on: F.sum(on(F.col("rev"))),
+        "avg_quantity": lambda on: avg_exact(on(F.col("qty"))),
+    })
 
 
 def events_weekday_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -321,14 +321,13 @@ def q14_by_amenity(wh):
     """One aggregate per amenity flag, in one scan (instead of a union of scans)."""
     dim = wh.dim_listings().filter(~F.col("is_deleted"))
     achieved = F.col("total_revenue") / F.nullif(F.col("booked_nights"), F.lit(0))
-    out = flag_branches(dim, wh.cfg.listing_flags, "amenity", [
-        F.count(F.lit(1)).alias("listings"),
-        avg_exact(achieved).alias("avg_achieved_rate"),
-        avg_exact("list_price").alias("avg_list_price"),
-        avg_exact("occupancy_rate").alias("avg_occupancy_rate"),
-        avg_exact("total_revenue").alias("avg_revenue_per_listing"),
-    ], zero_fill=["listings"])
-    return out
+    return flag_branches(dim, wh.cfg.listing_flags, "amenity", {
+        "listings": lambda on: F.count(on(F.lit(1))),
+        "avg_achieved_rate": lambda on: avg_exact(on(achieved)),
+        "avg_list_price": lambda on: avg_exact(on(F.col("list_price"))),
+        "avg_occupancy_rate": lambda on: avg_exact(on(F.col("occupancy_rate"))),
+        "avg_revenue_per_listing": lambda on: avg_exact(on(F.col("total_revenue"))),
+    })
 
 
 def q14_primary_split(wh):

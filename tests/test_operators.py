@@ -150,8 +150,7 @@ def test_top_k_share(spark):
 def test_flag_branches_one_scan_and_empty_flags(spark):
     df = spark.createDataFrame([(True, False, 10.0), (True, False, 20.0), (False, False, 5.0)],
                                "a boolean, b boolean, x double")
-    out = flag_branches(df, ["a", "b"], "flag", [F.count(F.lit(1)).alias("n"), F.sum("x").alias("total")],
-                        zero_fill=["n"])
+    out = flag_branches(df, ["a", "b"], "flag", {"n": lambda on: F.count(on(F.lit(1))), "total": lambda on: F.sum(on(F.col("x")))})
     assert rows(out, "flag", "n", "total") == [("a", 2, 30.0), ("b", 0, None)]
 
 
