@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.operators.asof import asof_join
-from stayflow.plans.oracle import FACT_FLAGS, LISTING_FLAGS, PRELUDE, VERIFICATIONS, _norm, _slug
+from stayflow.plans.oracle import FACT_FLAGS, LISTING_FLAGS, PRELUDE, VERIFICATIONS, _norm, _slug, sv
 from stayflow.plans.questions import finalize
 from stayflow.plans.warehouse import Warehouse
+from stayflow.session import shared_dir
+from stayflow.sources.sinks import diff_builds, guarded_overwrite, write_build
 
 R, I, O = "r", "i", "o"
 
@@ -65,8 +67,49 @@ def revenue_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("daily_model_revenue") - F.col("host_model_revenue") == F.col("deleted_listing_revenue")))
 
 
+def listing_peak_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stayflow.plans import models
+
+    return finalize(models.listing_performance(Warehouse.for_dir(spark, sf_dir)).query(
+        ["listing.max_revenue", "listing.listings"], ["listing.neighborhood", "listing.room_type"]))
+
+
+HOST_METRICS = ("hosts", "multi_listing_hosts", "avg_revenue_per_host", "avg_verification_count", "portfolio_avg_review_score",
+                "portfolio_total_reviews", "portfolio_avg_list_price")
+
+
+def host_portfolios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stayflow.plans import models
+
+    return finalize(models.host_performance(Warehouse.for_dir(spark, sf_dir)).query(
+        [f"host.{m}" for m in HOST_METRICS], ["host.host_location", "host.has_bookings"]))
+
+
+def guarded_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The host mart written twice through the guarded sink (created, then overwritten in place), read back."""
+    wh = Warehouse.for_dir(spark, sf_dir)
+    table = f"guarded_dim_hosts_{wh.build_id}"
+    columns = ["host_id", "listing_count", "calendar_days", "booked_nights", "total_revenue"]
+    for _ in range(2):
+        guarded_overwrite(wh.dim_hosts().select(*columns), table)
+    return finalize(spark.table(table))
+
+
+def build_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two retained builds of the listing mart, the second without never-reviewed listings and with deleted ones renamed:
+    what changed."""
+    wh = Warehouse.for_dir(spark, sf_dir)
+    path = shared_dir(spark, "stayflow-builds", wh.build_id, "retained_listings")
+    mart = wh.dim_listings().select("listing_id", "listing_name", "list_price", "number_of_reviews", "is_deleted")
+    write_build(mart, path, 1)
+    write_build(mart.where("coalesce(number_of_reviews, 1) > 0").withColumn(
+        "listing_name", F.when(F.col("is_deleted"), F.lit("gone")).otherwise(F.col("listing_name"))), path, 2)
+    return finalize(diff_builds(spark, path, "listing_id", 1, 2))
+
+
 SPARK = {f.__name__: f for f in [_mart(n) for n in ("fct_listing_daily", "fct_reservations", "dim_listings",
-                                                     "dim_hosts")] + [amenities_point_in_time, revenue_reconciliation]}
+                                                     "dim_hosts")] + [
+    amenities_point_in_time, revenue_reconciliation, listing_peak_revenue, host_portfolios, guarded_mart, build_diff]}
 
 _VFLAGS = [_slug("is_verified_", v) for v in VERIFICATIONS]
 KINDS = {
@@ -127,3 +170,14 @@ ORACLE["revenue_reconciliation"] = PRELUDE + "\n" + _norm("""SELECT d.daily_mode
   FROM (SELECT sum(revenue) AS daily_model_revenue FROM fct_listing_daily) d""", {
     "daily_model_revenue": R, "listing_model_revenue": R, "reservation_model_revenue": R,
     "host_model_revenue": R, "deleted_listing_revenue": R, "host_gap_is_deleted_revenue": O})
+
+for _name, _model, _metrics, _dims in (("listing_peak_revenue", "P", ["max_revenue", "listings"], ["neighborhood", "room_type"]),
+                                       ("host_portfolios", "H", list(HOST_METRICS), ["host_location", "has_bookings"])):
+    _sql, _kinds = sv(_model, _metrics, _dims)
+    ORACLE[_name] = PRELUDE + "\n" + _norm(_sql, _kinds)
+ORACLE["guarded_mart"] = PRELUDE + "\n" + _norm(
+    "SELECT host_id, listing_count, calendar_days, booked_nights, total_revenue FROM dim_hosts",
+    {"host_id": I, "listing_count": I, "calendar_days": I, "booked_nights": I, "total_revenue": R})
+ORACLE["build_diff"] = PRELUDE + "\n" + _norm(
+    """SELECT listing_id, 'removed' AS change FROM dim_listings WHERE number_of_reviews = 0
+       UNION ALL SELECT listing_id, 'changed' FROM dim_listings WHERE is_deleted""", {"listing_id": I, "change": O})
