@@ -53,6 +53,7 @@ STAGES = [("quality_rules", quality_rules), ("quality_classifier", quality_class
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _store.share_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = _store.land(stage(spark, docs, sf_dir), f"stage-{name}")

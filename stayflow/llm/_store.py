@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,15 @@ from pyspark.sql import functions as F
 from stayflow.session import shared_dir
 
 
+def share_package(spark: SparkSession) -> None:
+    """Put this package's folder on the Python path of workers that start from now on, for sessions whose workers do not have it
+    (a script run from another folder). On a cluster the package itself must be there, by --py-files or an image."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, known) if p)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 

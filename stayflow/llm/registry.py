@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+
 from stayflow.llm import (
+    _store,
     attention_mil,
     bwt_repeats,
     chat_rotation,
@@ -15,7 +18,17 @@ from stayflow.llm import (
     url_trie,
 )
 
-SPARK = {f.__name__: f for f in (
+
+def _query(function):
+    @functools.wraps(function)
+    def run(spark, sf_dir):
+        _store.share_package(spark)
+        return function(spark, sf_dir)
+
+    return run
+
+
+SPARK = {f.__name__: _query(f) for f in (
     minhash_bayes.op1_minhash_near_dedup,
     epsilon_grid.op2_epsilon_grid_join,
     attention_mil.op3_quality_classifier,
