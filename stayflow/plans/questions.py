@@ -62,8 +62,11 @@ def q02_price_change(wh):
     fct = wh.fct_listing_daily()
     bounds = fct.select(F.struct(F.min("calendar_date").alias("lo"), F.max("calendar_date").alias("hi"))).scalar()
     first_day, last_day = bounds.getField("lo"), bounds.getField("hi")
+    # the months of both days, so that only their partitions of the daily table are read
+    months = F.trunc(first_day, "month"), F.trunc(last_day, "month")
     endpoints = d.query(["daily.avg_nightly_price"], ["daily.listing_id", "listing.neighborhood", "daily.calendar_date"],
-                        where=lambda m: m("daily.calendar_date").isin(first_day, last_day) & ~m("daily.is_deleted"))
+                        where=lambda m: m("daily.month_start_date").isin(*months) & m("daily.calendar_date").isin(first_day, last_day)
+                        & ~m("daily.is_deleted"))
     per_listing = endpoints.groupBy("listing_id", "neighborhood").agg(
         F.max(F.when(F.col("calendar_date") == first_day, F.col("avg_nightly_price"))).alias("start_price"),
         F.max(F.when(F.col("calendar_date") == last_day, F.col("avg_nightly_price"))).alias("end_price"),
