@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from stayflow.llm import _store, _text
 
 GRAM = 32
-HOT = 1000
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
+HOT = BLOCK_BYTES // 256  # contexts of one anchor that about fill a block
 U64 = np.uint64
 _SECOND = 0xA0761D6478BD642F
 _SECOND_INVERSE = pow(_SECOND, -1, 1 << 64)
@@ -143,12 +143,13 @@ def unseparated(symbol: np.ndarray, order: np.ndarray, length: int) -> np.ndarra
     c lie in the interval of c + w, found through the last-to-first mapping of the transform.
     """
     n = len(symbol)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    order = order.astype(np.int32)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
     bwt, last_first = symbol[order - 1], place[order - 1]  # the end mark precedes the whole text
     by = np.argsort(bwt, kind="stable")
     same = bwt[by[1:]] == bwt[by[:-1]]
-    following, leading = np.full(n, n, np.int64), np.full(n, -1, np.int64)  # next and previous rows with the same symbol
+    following, leading = np.full(n, n, np.int32), np.full(n, -1, np.int32)  # next and previous rows with the same symbol
     following[by[:-1][same]] = by[1:][same]
     leading[by[1:][same]] = by[:-1][same]
     unset = np.ones(n + 1, bool)
