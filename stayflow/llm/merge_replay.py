@@ -3,8 +3,12 @@
 The matches of the split pattern are gathered over a large chunk of the corpus; every distinct one not met before enters
 the replay once. All of them lie in one array of symbols. An inverted index maps each rank to the positions whose symbol
 pair has it; merges are applied in rank order to all positions of the rank at once, and only the pairs on both sides
-of a merge are looked up again and re-indexed. Each worker keeps the ids of matches it has met, up to a fixed
-number, so the replay of later chunks covers only new ones. A chunk is bounded, and so is a task's memory.
+of a merge are looked up again and re-indexed. Each worker keeps the ids of matches and words it has met, up to a
+fixed number, so the replay of later chunks covers only new ones. A chunk is bounded, and so is a task's memory.
+
+With the pattern of the public byte-level files a single space goes with what follows it and a single line feed stands
+alone, so a text without other runs of white space is split at those first, and the pattern runs over distinct
+words only; any other text goes through the pattern whole.
 
 Defined results: a null or empty text has no ids; repeated rows are encoded alike, one output row per input row; a null
 doc_id stays null; an empty table gives an empty result; columns other than doc_id and text are not read.
@@ -24,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stayflow.llm import _store, _text
 
 CHUNK_BYTES = 8 << 20
-KEPT_PIECES = 600_000
+KEPT_PIECES, KEPT_WORDS = 700_000, 500_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -63,7 +67,10 @@ class Ranks:
             todo = np.setdiff1d(todo, first)
             slot[todo] += 1
             self.probes += 1
-        self.pieces: dict[str, np.ndarray] = {}
+        self.pieces: dict[str, bytes] = {}
+        # ids of words after a space and of words at the start of a line; None: the whole text must be split
+        self.spaced: dict[str, bytes | None] = {}
+        self.first: dict[str, bytes | None] = {}
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
@@ -150,30 +157,64 @@ class Ranks:
         return [ids[i:j] for i, j in zip(total[end - length].tolist(), total[end].tolist())]
 
     def learn(self, pieces: set[str]) -> None:
-        if len(self.pieces) > KEPT_PIECES:
-            self.pieces.clear()
         new = list(pieces - self.pieces.keys())
         raw = [p.encode() for p in new]
         whole = [self.rank.get(b) for b in raw]  # a match that is a token is that token
         rest = [i for i, r in enumerate(whole) if r is None]
         replayed = self.replay([raw[i] for i in rest]) if rest else []
-        self.pieces.update((p, np.array([r], np.int32)) for p, r in zip(new, whole) if r is not None)
-        self.pieces.update((new[i], ids.copy()) for i, ids in zip(rest, replayed))
+        self.pieces.update((p, r.to_bytes(4, "little")) for p, r in zip(new, whole) if r is not None)
+        self.pieces.update((new[i], ids.astype("<i4").tobytes()) for i, ids in zip(rest, replayed))
+
+    def encode(self, texts: list[str], find, split_words: bool) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
+        for kept, limit in ((self.pieces, KEPT_PIECES), (self.spaced, KEPT_WORDS), (self.first, KEPT_WORDS)):
+            if len(kept) > limit:
+                kept.clear()
+        lines = [[line.split(" ") for line in t.split("\n")] for t in texts] if split_words else [None] * len(texts)
+        heads = {line[0] for text in lines if text for line in text} - self.first.keys()
+        tails = set().union(*(line[1:] for text in lines if text for line in text)) - self.spaced.keys()
+        # a word that begins or ends with white space (or is empty) is not one
+        found = {w: find(w) if w and w == w.strip() else None for w in heads}
+        after = {w: find(" " + w) if w and w == w.strip() else None for w in tails}
+        whole = [None if split_words else find(t) for t in texts]
+        self.learn({p for group in (found.values(), after.values(), whole) for split in group if split for p in split} | {"\n"})
+        get = self.pieces.__getitem__
+        self.first.update((w, split and b"".join(map(get, split))) for w, split in found.items())
+        self.spaced.update((w, split and b"".join(map(get, split))) for w, split in after.items())
+        out: list[bytes | None] = []
+        spaced, first, feed = self.spaced.__getitem__, self.first.__getitem__, self.pieces["\n"]
+        for text, split in zip(lines, whole):
+            try:
+                out.append(b"".join(map(get, split)) if text is None else
+                           feed.join([first(line[0]) + b"".join(map(spaced, line[1:])) for line in text]))
+            except TypeError:
+                out.append(None)
+        if odd := [i for i, ids in enumerate(out) if ids is None]:
+            splits = [find(texts[i]) for i in odd]
+            self.learn({p for split in splits for p in split})
+            for i, split in zip(odd, splits):
+                out[i] = b"".join(map(get, split))
+        return out
+
+
+def _encoded(path: str, pattern: str):
+    """A function from a list of UTF-8 texts to a list of ids (arrays)."""
+    import public_tokenizers
+    import regex
+
+    find = regex.compile(pattern).findall
+    ranks = Ranks.of(path)
+    split_words = pattern == public_tokenizers.PATTERN
+    return lambda texts: [np.frombuffer(b, "<i4") for b in ranks.encode([t.decode("utf-8", "replace") for t in texts], find, split_words)]
 
 
 def encoder(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find = regex.compile(pattern).findall
-        ranks = Ranks.of(path)
+        encode_texts = _encoded(path, pattern)
         for part, texts in _text.blocks(batches, limit=CHUNK_BYTES):
-            split = [find(t.decode("utf-8", "replace")) for t in texts]
-            ranks.learn({p for pieces in split for p in pieces})
-            get = ranks.pieces.__getitem__
-            ids = [np.concatenate([*map(get, pieces)]) if pieces else np.zeros(0, np.int32) for pieces in split]
+            ids = encode_texts(texts)
             offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
             yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
     return run
 
@@ -189,26 +230,38 @@ def decode_bytes(ids: list[int], token: list[bytes]) -> bytes:
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (decimal ids joined by a space), text (the decoded bytes)."""
+    """doc_id and text (the decoded bytes) of every row of encoded (doc_id, ids)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = Ranks.of(path).token
-        decimal = [b"%d" % i for i in range(len(token))]
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                ids = part.column(1).to_pylist()
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([len(i) for i in ids], pa.int64()),
-                    pa.array([hashlib.sha256(b" ".join(map(decimal.__getitem__, i))).hexdigest() for i in ids], pa.string()),
-                    pa.array([decode_bytes(i, token) for i in ids], pa.binary())], names=["doc_id", "n_tokens", "ids_sha256", "text"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([decode_bytes(i or [], token) for i in part.column(1).to_pylist()], pa.binary())],
+                                                 names=["doc_id", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, text binary")
+    return encoded.mapInArrow(run, f"doc_id {kind}, text binary")
+
+
+def digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Both ways in one pass: doc_id, n_tokens, ids_sha256 (decimal ids joined by a space), decoded_sha256 of every row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode_texts, token = _encoded(path, pattern), Ranks.of(path).token
+        decimal = [b"%d" % i for i in range(len(token))]
+        for part, texts in _text.blocks(batches, limit=CHUNK_BYTES):
+            rows: list[list] = [[], [], []]
+            for i in map(np.ndarray.tolist, encode_texts(texts)):
+                rows[0].append(len(i))
+                rows[1].append(hashlib.sha256(b" ".join(map(decimal.__getitem__, i))).hexdigest())
+                rows[2].append(hashlib.sha256(decode_bytes(i, token)).hexdigest())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())],
+                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op9_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = encode(_store.documents(spark, sf_dir, "doc_id", "text"), path, public_tokenizers.PATTERN)
-    return decode(ids, path).selectExpr("doc_id", "n_tokens", "ids_sha256", "sha2(text, 256) AS decoded_sha256")
+    return digest(_store.documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -212,11 +212,18 @@ def test_merge_replay_equals_the_library(spark, make_docs):
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks.rank, special_tokens={})
     texts = all_texts(spark) + ["aaaaaaaaaaaaaaaaaaaa" * 7, " " * 500, "ab" * 999, "\n\n\n \n"]
     docs = make_docs(list(enumerate(texts)), extra=True)
-    out = {r.doc_id: r for r in merge_replay.decode(merge_replay.encode(docs, path, public_tokenizers.PATTERN), path).collect()}
+    texts += ["a  b", "a   b", " a", "a ", "a\n", "\na", "a\n\nb", "a \nb", "a\n b", "a\tb c", "a\u00a0 b", "x\u00a0y z", "it's 'll 12ab  \n", "a\r\nb"]
+    docs = make_docs(list(enumerate(texts)), extra=True)
+    out = {r.doc_id: r for r in merge_replay.digest(docs, path, public_tokenizers.PATTERN).collect()}
+    encoded = merge_replay.encode(docs, path, public_tokenizers.PATTERN)
+    back = {r.doc_id: bytes(r.text) for r in merge_replay.decode(encoded, path).collect()}
+    ids_of_rows = {r.doc_id: r.ids for r in encoded.collect()}
     for i, t in enumerate(texts):
         ids = own.encode_ordinary(t or "")
-        r = out[i]
-        assert (r.n_tokens, r.ids_sha256, bytes(r.text)) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), (t or "").encode())
+        raw = (t or "").encode()
+        assert ids_of_rows[i] == ids and back[i] == raw, t
+        assert (out[i].n_tokens, out[i].ids_sha256, out[i].decoded_sha256) == (
+            len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(raw).hexdigest())
     assert merge_replay.encode(make_docs([]), path, public_tokenizers.PATTERN).count() == 0
 
 
