@@ -15,6 +15,8 @@ from stayflow.llm import _store, attention_mil, bwt_repeats, histogram_packing,
 
 #: SQL can express neither the learned stages nor the tokenizer.
 ORACLE_SQL = None
+#: Texts of this similarity or more are near-duplicates here.
+NEAR_PERCENT = 80
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -33,8 +35,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest doc_id."""
-    return minhash_bayes.deduplicate(docs).select(*docs.columns)
+    """One document of each group of near-duplicates (five-word shingles, similarity of 0.8 or more) stays: the one with the
+    smallest doc_id. ``op1_`` alone has its own threshold, 0.85."""
+    return minhash_bayes.deduplicate(docs, NEAR_PERCENT).select(*docs.columns)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

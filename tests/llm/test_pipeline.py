@@ -48,6 +48,14 @@ def test_one_document_of_each_group_stays_and_repeats_go(spark, make_docs):
     assert all(r.n_chars == len(r.text) for r in cut.values() if r.text is not None)
 
 
+def test_near_duplicates_have_a_similarity_of_0_8_or_more(spark, make_docs):
+    base = [f"w{i}" for i in range(400)]
+    near = {k: " ".join(f"x{k}_{i}" if i % 40 == 7 and i < 40 * k else w for i, w in enumerate(base)) for k in (8, 10)}
+    # a changed word takes 5 of 396 shingles: 356 / 436 = 0.817 is a near-duplicate, 346 / 446 = 0.776 is none
+    assert sorted(rows(P.near_duplicates(spark, make_docs([(1, " ".join(base)), (2, near[8])]), SF))) == [1]
+    assert sorted(rows(P.near_duplicates(spark, make_docs([(1, " ".join(base)), (2, near[10])]), SF))) == [1, 2]
+
+
 @pytest.mark.parametrize("sf", [SF])
 def test_run_equals_its_stages(spark, sf):
     out = P.run(spark, sf)
