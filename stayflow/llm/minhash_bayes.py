@@ -3,8 +3,10 @@
 1. One vectorised pass over whole texts: the set of distinct 5-word shingles (64-bit hashes), its size, a 128-bit key of
    the set, and a signature of ``HASHES`` minima. Equal sets are one vertex from here on (a keyed minimum, combined
    before the shuffle), so copies never meet in pairs.
-2. Banding: ``BANDS`` keys of ``ROWS`` minima. Two sets of similarity s share a band with probability
-   1 - (1 - s^6)^20: above 0.9999 at s = 0.85. Every member of a bucket is paired with the bucket's centre.
+2. Banding: keys of as many minima as the threshold allows (``bands_for``). Two sets of similarity s share one of b bands
+   of r minima with probability 1 - (1 - s^r)^b: above 0.9999 (``BAND_MISS``) for every pair at the threshold or above,
+   with 20 bands of 6 at 0.85, 24 of 5 at 0.80, 22 of 3 at 0.70. ``HASHES`` minima reach that from 0.08 up; a lower
+   threshold is an error. Every member of a bucket is paired with the bucket's centre.
 3. Sequential verification: signatures are compared in batches; after each, a pair is pruned when the posterior
    probability (uniform prior) that its similarity reaches the threshold falls below ``MISS``.
 4. Survivors are confirmed on their full shingle sets, recomputed from the texts. Only confirmed pairs are links.
@@ -22,7 +24,7 @@ with nothing, has a null component and is kept; an empty table gives an empty re
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import log
+from math import ceil, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,8 @@ from pyspark.sql import functions as F
 from stayflow.llm import _store, _text
 
 WIDTH = 5
-BANDS, ROWS = 20, 6
-HASHES = BANDS * ROWS
+HASHES = 120
+BAND_MISS = 1e-4
 BATCH = 20
 MISS = 1e-6
 BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 18
@@ -86,6 +88,17 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["doc_id", "n", "k1", "k2", "sig"])
 
 
+def bands_for(percent: int) -> tuple[int, int]:
+    """Bands and rows: the longest bands of which ``HASHES`` minima hold enough that a pair of this similarity misses all of them
+    with probability ``BAND_MISS`` at most."""
+    for rows in range(HASHES, 0, -1):
+        share = (percent / 100) ** rows
+        bands = 1 if share >= 1 else ceil(log(BAND_MISS) / log1p(-share)) if share > 1e-12 else HASHES + 1
+        if bands * rows <= HASHES:
+            return bands, rows
+    raise ValueError(f"{HASHES} minima do not reach a similarity of {percent}%")
+
+
 def least_matches(threshold: float, miss: float = MISS) -> list[int]:
     """For 0, BATCH, 2 BATCH .. hashes: the fewest matches at which the posterior of reaching the threshold is >= miss."""
     grid = np.linspace(0, 1, 20001)[1:-1]
@@ -167,7 +180,9 @@ def _confirm(least: list[int], percent: int):
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, for every row of docs (doc_id, text)."""
+    """doc_id, n_shingles, component_id, kept, for every row of docs (doc_id, text). A pair at ``percent`` shares a band with
+    probability 0.9999 or more, whatever the percent."""
+    bands, length = bands_for(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     feats = _store.land(docs.mapInArrow(_features, "doc_id long, n long, k1 long, k2 long, sig array<int>"), "features")
     some = feats.where("n > 0 AND doc_id IS NOT NULL")
@@ -180,7 +195,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     several = rows.where("v IS NOT NULL").groupBy("doc_id").agg(F.min("v").alias("x"), F.max("v").alias("y")).where("x != y")
     shared = rows.join(several.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("v").alias("b")).where("a != b")
 
-    keys = F.explode(F.array(*(F.xxhash64(F.lit(i), F.slice("sig", i * ROWS + 1, ROWS)) for i in range(BANDS))))
+    keys = F.explode(F.array(*(F.xxhash64(F.lit(i), F.slice("sig", i * length + 1, length)) for i in range(bands))))
     banded = reps.select("v", keys.alias("key")).distinct()
     buckets = banded.groupBy("key").agg(F.min("v").alias("centre"), F.max("v").alias("last")).where("centre != last")
     members = _store.land(banded.join(buckets.select("key", "centre"), "key"), "buckets")

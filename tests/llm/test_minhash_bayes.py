@@ -87,6 +87,25 @@ def test_pruning_bound_is_monotone_and_lets_the_threshold_pass():
     assert least == sorted(least) and least[0] == 0 and least[-1] < 0.85 * M.HASHES
 
 
+def test_bands_reach_every_threshold():
+    assert M.bands_for(85) == (20, 6) and M.bands_for(80) == (24, 5) and M.bands_for(100) == (1, M.HASHES)
+    for percent in range(8, 100):
+        bands, rows = M.bands_for(percent)
+        assert bands * rows <= M.HASHES and (1 - (percent / 100) ** rows) ** bands <= M.BAND_MISS
+    with pytest.raises(ValueError):
+        M.bands_for(5)
+
+
+def test_pairs_at_a_low_threshold_are_linked(make_docs):
+    rng, rows = random.Random(11), []
+    for k in range(60):  # nine words take 45 of 196 shingles: (196 - 45) / (196 + 45) = 0.627
+        base = [f"w{k}_{i}" for i in range(200)]
+        edited = [f"x{k}_{i}" if i % 20 == 7 and i < 180 else w for i, w in enumerate(base)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(edited))]
+    rng.shuffle(rows)
+    assert got(M.near_duplicates(make_docs(rows), 60)) == brute(rows, 60)
+
+
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
 def test_whole_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
