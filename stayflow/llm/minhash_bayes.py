@@ -10,11 +10,12 @@
 3. Sequential verification: signatures are compared in batches; after each, a pair is pruned when the posterior
    probability (uniform prior) that its similarity reaches the threshold falls below ``MISS``.
 4. Survivors are confirmed on their full shingle sets, recomputed from the texts. Only confirmed pairs are links.
-5. Components of the links. Buckets whose members are not all in one component are joined to groups (buckets that share
-   a member). In a group, everything outside its largest component is compared with all members: both are cut into
-   blocks of bounded size, and each pair of blocks goes through steps 3 and 4 as matrices, giving one link for each
-   two components that meet. So pairs within the largest component, which is most of a group of copies, are never
-   formed, the others never become rows, and no task holds more than two blocks.
+5. Components of the links. In each bucket whose members are not all in one component, everything outside its largest
+   component is compared with all members: both are cut into blocks of bounded size, and each pair of blocks goes
+   through step 3 as a matrix of signatures, for the pairs whose first shared band this is. The full sets are joined to
+   the members that still have a partner, and step 4 gives one link for each two components that meet. So only pairs
+   that share a bucket are compared, once; pairs within the largest component, which is most of a group of copies, are
+   never formed, the others never become rows, and no task holds more than two blocks.
 
 Defined results: texts without words (null, empty, white space) have n_shingles 0 and link with nothing; fewer than five words
 form one shingle; rows that share a doc_id count as one document, each row gets a result; a null doc_id links
@@ -135,23 +136,48 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["v", "k1", "k2", "shingles"])
 
 
-def _confirm(least: list[int], percent: int):
-    """Pairs of blocks -> one link for each two components that meet."""
+def _meet(least: list[int], bands: int, length: int):
+    """Pairs of blocks of one bucket -> the members of both that have a partner left after pruning. A pair that shares several bands
+    is looked at in the bucket of the first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                one, two = (batch.column(k)[i].values for k in range(2))
+                one, two = (batch.column(k)[i].values for k in (4, 5))
                 v, label = ([x.field(f).to_numpy() for x in (one, two)] for f in ("v", "label"))
                 sig = [x.field("sig").flatten().to_numpy().reshape(-1, HASHES) for x in (one, two)]
                 alive = label[0][:, None] != label[1][None]
+                for j in range(batch.column(1)[i].as_py() + 1):
+                    if not alive.any():
+                        break
+                    same = np.ones(alive.shape, bool)
+                    for h in range(j * length, (j + 1) * length):
+                        same &= sig[0][:, h, None] == sig[1][None, :, h]
+                    alive &= same if j == batch.column(1)[i].as_py() else ~same
                 match = np.zeros(alive.shape, np.int16)
                 for k in range(BATCH, HASHES + 1, BATCH):
                     if alive.any():
                         for j in range(k - BATCH, k):
                             match += sig[0][:, j, None] == sig[1][None, :, j]
                         alive &= match >= least[k // BATCH]
-                if not alive.any():
+                left = [np.unique(np.stack([x[at], y[at]], 1), axis=0) for x, y, at in zip(v, label, (alive.any(1), alive.any(0)))]
+                n = [len(x) for x in left]
+                if not n[0]:
                     continue
+                both = np.concatenate(left)
+                yield pa.RecordBatch.from_arrays([
+                    *(pa.array(np.full(sum(n), batch.column(k)[i].as_py()), batch.column(k).type) for k in (0, 2, 3)), pa.array(np.repeat([True, False], n)),
+                    pa.array(both[:, 0]), pa.array(both[:, 1])], names=["key", "p", "q", "first", "v", "label"])
+    return run
+
+
+def _confirm(percent: int):
+    """Pairs of blocks with their full sets -> one link for each two components that meet."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one, two = (batch.column(k)[i].values for k in range(2))
+                v, label = ([x.field(f).to_numpy() for x in (one, two)] for f in ("v", "label"))
+                alive = label[0][:, None] != label[1][None]
                 sets = [x.field("shingles") for x in (one, two)]
                 size = [np.diff(x.offsets.to_numpy()) for x in sets]
                 flat = [x.flatten().to_numpy() for x in sets]
@@ -179,6 +205,35 @@ def _confirm(least: list[int], percent: int):
     return run
 
 
+def open_blocks(named: DataFrame, sets: DataFrame) -> DataFrame:
+    """key, band, p, q, one, two: the members of open buckets (key, band, v, label) outside their bucket's largest component, and all
+    members of the same bucket, as pairs of blocks of bounded size, with signatures only."""
+    weight = sets.groupBy("v").agg(F.max(F.size("shingles")).alias("weight"))
+    by_label = named.join(weight, "v").groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    by_label = _store.land(by_label, "bucket-components")
+    body = by_label.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("body"), F.sum("n").alias("n"), F.sum("w").alias("w"))
+    other = by_label.join(body.select("key", "body"), "key").where("label != body").groupBy("key").agg(F.sum("n").alias("on"), F.sum("w").alias("ow"))
+    parts = lambda n, w: F.greatest(F.ceil(F.col(n) / BLOCK_SETS), F.ceil(F.col(w) / BLOCK_SHINGLES))
+    cut = body.join(other, "key").select("key", "body", parts("n", "w").alias("parts"), parts("on", "ow").alias("outer"))
+    full = named.join(cut, "key").join(sets.select("v", "sig"), "v").select(
+        "key", "band", F.expr("int(pmod(xxhash64(v), outer))").alias("p"), F.expr("int(pmod(xxhash64(v), parts))").alias("q"), "v", "label", "sig",
+        (F.col("label") != F.col("body")).alias("outside"))
+    full = _store.land(full, "full")
+    packed = F.collect_list(F.struct("v", "label", "sig"))
+    outside = full.where("outside").groupBy("key", "band", "p").agg(packed.alias("one"))
+    every = full.groupBy("key", "q").agg(packed.alias("two"))
+    return outside.join(every, "key").select("key", "band", "p", "q", "one", "two")
+
+
+def _open_links(blocks: DataFrame, sets: DataFrame, least: list[int], percent: int) -> DataFrame:
+    """Links (a, b) between the components that meet in a bucket; full sets are joined to what pruning leaves."""
+    left = _store.land(blocks.mapInArrow(_meet(least, *bands_for(percent)), "key long, p int, q int, first boolean, v long, label long"), "meeting")
+    packed = lambda side: F.collect_list(F.when(F.expr(side), F.struct("v", "label", "shingles")))
+    held = left.join(sets.select("v", "shingles"), "v").groupBy("key", "p", "q").agg(
+        packed("first").alias("one"), packed("NOT first").alias("two"))
+    return held.select("one", "two").mapInArrow(_confirm(percent), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, for every row of docs (doc_id, text). A pair at ``percent`` shares a band with
     probability 0.9999 or more, whatever the percent."""
@@ -195,8 +250,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     several = rows.where("v IS NOT NULL").groupBy("doc_id").agg(F.min("v").alias("x"), F.max("v").alias("y")).where("x != y")
     shared = rows.join(several.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("v").alias("b")).where("a != b")
 
-    keys = F.explode(F.array(*(F.xxhash64(F.lit(i), F.slice("sig", i * length + 1, length)) for i in range(bands))))
-    banded = reps.select("v", keys.alias("key")).distinct()
+    keys = F.posexplode(F.array(*(F.xxhash64(F.lit(i), F.slice("sig", i * length + 1, length)) for i in range(bands))))
+    banded = reps.select("v", keys.alias("band", "key")).distinct()
     buckets = banded.groupBy("key").agg(F.min("v").alias("centre"), F.max("v").alias("last")).where("centre != last")
     members = _store.land(banded.join(buckets.select("key", "centre"), "key"), "buckets")
 
@@ -219,23 +274,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     links = _store.land(shared.unionByName(links).distinct(), "links")
     label = _store.components(links)
 
-    named = members.join(label, "v", "left").select("key", "centre", "v", F.coalesce("label", "v").alias("label"))
+    named = members.join(label, "v", "left").select("key", "band", "v", F.coalesce("label", "v").alias("label"))
     unlike = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
-    named = _store.land(named.join(unlike, "key", "left_semi").select("centre", "v", "label").distinct(), "open")
+    named = _store.land(named.join(unlike, "key", "left_semi"), "open")
     if not named.isEmpty():
-        group = _store.components(named.select(F.col("centre").alias("a"), F.col("v").alias("b"))).withColumnRenamed("label", "g")
-        inside = named.select("v", "label").distinct().join(group, "v")
-        weight = sets.select("v", F.size("shingles").alias("weight")).groupBy("v").agg(F.max("weight").alias("weight"))
-        by_label = inside.join(weight, "v").groupBy("g", "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
-        groups = by_label.groupBy("g").agg(F.max(F.struct("n", "label")).alias("body"), F.sum("n").alias("n"), F.sum("w").alias("w"))
-        parts = F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("w") / BLOCK_SHINGLES))
-        inside = inside.join(groups.select("g", F.col("body")["label"].alias("body"), parts.alias("parts")), "g")
-        full = inside.join(sets, "v").withColumn("part", F.expr("pmod(xxhash64(v), parts)"))
-        full = _store.land(full.select("g", "part", "v", "label", "sig", "shingles", (F.col("label") != F.col("body")).alias("outside")), "full")
-        packed = F.collect_list(F.struct("v", "label", "sig", "shingles"))
-        every = full.groupBy("g", "part").agg(packed.alias("two")).select("g", "two")
-        outside = full.where("outside").groupBy("g", "part").agg(packed.alias("one")).select("g", "one")
-        more = outside.join(every, "g").select("one", "two").mapInArrow(_confirm(least, percent), "a long, b long")
+        more = _open_links(open_blocks(named, sets), sets, least, percent)
         label = _store.components(_store.land(links.unionByName(more), "links"))
 
     out = rows.join(label, "v", "left")

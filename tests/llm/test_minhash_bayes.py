@@ -75,6 +75,26 @@ def test_groups_and_chains_match_brute_force(make_docs, monkeypatch):
     assert got(M.near_duplicates(make_docs(rows))) == brute(rows)
 
 
+def test_only_members_of_one_bucket_are_compared(make_docs, monkeypatch):
+    rng, rows, seen, made = random.Random(17), [], [], []
+    base = [f"w{i}" for i in range(200)]
+    for d in range(120):  # one template, similarity of about 0.65, no links: buckets chain, but few members share one
+        rows.append((d, near(rng, base, 4)))
+    rows += [(200, near(rng, base, 0)), (201, near(rng, base, 1))]
+    confirmed, components = M._store.land, M._store.components
+    monkeypatch.setattr(M._store, "land", lambda df, name: seen.append((name, out := confirmed(df, name))) or out)
+    monkeypatch.setattr(M._store, "components", lambda links: made.append(links) or components(links))
+    assert got(M.near_duplicates(make_docs(rows))) == brute(rows)
+    full = [df for name, df in seen if name == "full"][0]
+    assert len(made) == 2 and "key" in full.columns and "shingles" not in full.columns  # links only, never the closure of buckets
+    left = [df for name, df in seen if name == "meeting"][0]
+    shared = {}
+    for r in [df for name, df in seen if name == "open"][0].collect():
+        shared.setdefault(r.key, set()).add(r.v)
+    assert all(r.v in shared[r.key] for r in left.collect())
+    assert max(map(len, shared.values())) < len(rows)
+
+
 def test_deduplicate_keeps_one_row_of_each_group(make_docs):
     rows = [(3, "a b c d e f g"), (1, "a b c d e f g"), (1, "a b c d e f g"), (2, None), (None, "a b c d e f g"), (5, "z")]
     out = M.deduplicate(make_docs(rows, extra=True))
