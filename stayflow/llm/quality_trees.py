@@ -160,7 +160,8 @@ def grow(x: np.ndarray, y: np.ndarray, signs: np.ndarray, n_trees: int = 60, dep
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Trees | None:
-    """Trees grown on at most ``sample_rows`` labelled rows, or None without both classes."""
+    """Trees grown on at most ``sample_rows`` labelled rows, or None without both classes. Labels, and the rows of repeated doc_ids,
+    are chosen by hash, whatever the texts are like."""
     chosen = (labels.select("doc_id", "quality").where("quality IN (0, 1) AND doc_id IS NOT NULL")
               .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_rows))
     names = [c for c, _ in FEATURES]
@@ -168,11 +169,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Tree
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _text.blocks(batches):
             x = _features(statistics(texts))
-            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("quality")).cast(pa.int32()),
-                                              *(pa.array(x[:, i]) for i in range(len(names)))], names=["quality", *names])
+            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("hash")),
+                                              part.column(part.schema.get_field_index("quality")).cast(pa.int32()),
+                                              *(pa.array(x[:, i]) for i in range(len(names)))], names=["hash", "quality", *names])
 
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(run, "quality int, " + ", ".join(f"{c} double" for c in names))
-            .orderBy(*names, "quality").limit(2 * sample_rows).toPandas())
+    rows = (docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("hash")).join(F.broadcast(chosen), "doc_id")
+            .mapInArrow(run, "hash long, quality int, " + ", ".join(f"{c} double" for c in names))
+            .orderBy("hash", "quality", *names).limit(sample_rows).toPandas().sort_values([*names, "quality"]))
     y = rows["quality"].to_numpy(float)
     if not 0 < y.sum() < len(y):
         return None

@@ -235,3 +235,16 @@ def test_blocks_are_bounded_and_whole():
     parts = list(_text.blocks(iter([batch]), limit=100))
     assert [t for _, own in parts for t in own] == [(t or "").encode() for t in texts]
     assert all(len(own) == 1 or sum(map(len, own)) <= 100 for _, own in parts)
+
+
+def test_training_rows_of_repeated_ids_are_chosen_by_hash(spark, make_docs, monkeypatch):
+    from stayflow.llm import quality_trees
+
+    seen = []
+    monkeypatch.setattr(quality_trees, "grow", lambda x, y, signs: seen.append((x, y)))
+    docs = make_docs([(d, f"word{d} " * n) for d in range(40) for n in (5, 6, 7, 8, 200, 201, 202, 203)])
+    labels = spark.createDataFrame([(d, d % 2) for d in range(40)], "doc_id long, quality int")
+    quality_trees.train(docs, labels, sample_rows=40)
+    x, y = seen[0]
+    size = x[:, [c for c, _ in quality_trees.FEATURES].index("log_words")]
+    assert len(x) == 40 and 8 <= (size > size.mean()).sum() <= 32 and size.max() > 4
