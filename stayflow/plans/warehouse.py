@@ -30,8 +30,13 @@ _PERSISTED = ("stg_listings", "int_listings", "listing_features", "listing_rollu
 # written partitioned (directory pruning for month filters at scale)
 _PARTITION_BY = {"int_listing_daily": ["month_start_date"]}
 
-# at most so many files per month; raise it with the size of a month
-WRITERS_PER_MONTH = 8
+# at least so many writers per month; more as the cluster's shuffle partitions, which follow the size of the input, allow
+LEAST_WRITERS, MONTHS_AT_ONCE = 8, 4
+
+
+def writers_per_month(spark: SparkSession) -> int:
+    return max(LEAST_WRITERS, int(spark.conf.get("spark.sql.shuffle.partitions")) // MONTHS_AT_ONCE)
+
 
 _CACHE: dict[tuple, "Warehouse"] = {}
 
@@ -75,9 +80,9 @@ class Warehouse:
             df = make()
             if self.materialize and name in _MATERIALIZED + _LANDED:
                 path = shared_dir(self.spark, "stayflow-builds", self.build_id, name)
-                if name in _PARTITION_BY:  # a few tasks per month write each month's files, whatever the number of tasks before
+                if name in _PARTITION_BY:  # writers in step with the shuffle partitions, whatever the number of tasks before
                     months = _PARTITION_BY[name]
-                    df = df.repartition(*months, F.pmod(F.xxhash64("listing_id"), F.lit(WRITERS_PER_MONTH)))
+                    df = df.repartition(*months, F.pmod(F.xxhash64("listing_id"), F.lit(writers_per_month(self.spark))))
                     df.write.mode("overwrite").partitionBy(*months).parquet(path)
                 else:
                     df.write.mode("overwrite").parquet(path)

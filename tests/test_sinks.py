@@ -129,3 +129,22 @@ def test_no_shared_folder_off_local_mode_raises():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_writers_of_the_daily_table_follow_the_shuffle_partitions(spark):
+    from stayflow.plans.warehouse import Warehouse
+
+    days = spark.range(4000).select(F.col("id").alias("listing_id"), F.lit("2024-01-01").cast("date").alias("month_start_date"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = {}
+        for n in (8, 160):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out = Warehouse(spark, "")._get("int_listing_daily", lambda: days)
+            files[n] = out.select(F.input_file_name()).distinct().count()
+            assert out.count() == 4000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert files[8] <= 8 < 20 < files[160] <= 40
