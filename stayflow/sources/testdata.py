@@ -1,7 +1,8 @@
 """Binding of the driver's tables to the three raw rental tables.
 
 ``listings``, ``calendar`` and ``amenities_changelog`` are not among the driver's tables, so each is derived here by
-Spark from whole given tables; no row is left out, and all work grows with them.
+Spark from whole given tables, and all work grows with them. All rows are read, but where folded stays overlap, nights are
+lost, and an order that keeps no night is no reservation (about 15% of nights and 7% of orders with items; see the README).
 
 A customer is a listing and an order is a stay. Order dates are folded onto one season: the n-th day of its year
 becomes day ``(n - 1) mod SEASON_DAYS`` after ``SEASON_START``.
