@@ -4,9 +4,10 @@ For every participant of a dialogue the whole dialogue is rendered with that spe
 as named users; loss-mask spans cover exactly what that speaker says (with its end marker). The role ``system`` is an
 instruction, not a participant.
 
-A dialogue is rendered in parts of ``turns_per_part`` consecutive turn numbers, so no row grows without bound; a
-dialogue within one part gives one row per participant. Parts and participants are gathered with keyed aggregations
-that combine repeated rows before the shuffle.
+A dialogue is rendered in parts of ``turns_per_part`` consecutive turn numbers; a dialogue within one part gives one row per
+participant. A part is bounded by turn numbers, not by messages: distinct messages without a turn, or with the same turn,
+are one row however many they are. Parts are gathered with a keyed aggregation that combines repeated rows before the
+shuffle; participants are joined as rows.
 
 Defined results: identical rows (same dialogue, turn, role, text) are one message; messages that share a turn number
 follow by role, then text; a null turn comes first, in a part of its own (-1); a null or empty text is an empty
@@ -45,11 +46,9 @@ def rotate(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
         F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"<\|im_", "< |im_").alias("text"),
     ).withColumn("part", F.coalesce(F.floor(F.col("turn") / turns_per_part), F.lit(-1)).cast("long"))
     parts = said.groupBy("conv_id", "part").agg(F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("messages"))
-    speakers = (said.where(F.col("role") != SYSTEM).select("conv_id", "role").distinct()
-                .groupBy("conv_id").agg(F.collect_list("role").alias("speakers"))
-                .withColumnRenamed("conv_id", "of"))
+    speakers = said.where(F.col("role") != SYSTEM).select(F.col("conv_id").alias("of"), F.col("role").alias("speaker")).distinct()
     turned = (parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("of")), "left")
-              .select("conv_id", "part", "messages", F.explode_outer("speakers").alias("speaker")))
+              .select("conv_id", "part", "messages", "speaker"))
     pieces = F.transform("messages", lambda m: F.struct(
         _header(m["role"], F.col("speaker")).alias("head"), F.concat(m["text"], F.lit(CLOSE)).alias("body"),
         (m["role"].eqNullSafe(F.col("speaker"))).alias("own")))

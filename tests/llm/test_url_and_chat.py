@@ -72,3 +72,14 @@ def test_rotation_matches_the_sql_on_odd_rows(spark):
 def test_rotation_runs_no_python(spark):
     plan = chat_rotation.op10_chat_rotation(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_participants_are_joined_as_rows(spark):
+    from stayflow.llm import chat_rotation
+
+    said = spark.createDataFrame([(1, 0, f"speaker{i}", "hello") for i in range(30)] + [(2, 0, "system", "x"), (None, 0, "a", "y")],
+                                 "conv_id long, turn long, role string, text string")
+    out = chat_rotation.rotate(said)
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.conv_id, r.speaker): r.n_trained for r in out.collect()}
+    assert got == {(1, f"speaker{i}"): 1 for i in range(30)} | {(2, None): 0, (None, "a"): 1}
