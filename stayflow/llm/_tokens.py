@@ -16,7 +16,7 @@ import numpy as np
 KEPT_WORDS, KEPT_PARTS = 150_000, 600_000
 END_ID = 1
 _MARK = "\x01"
-_plain = re.compile("^([A-Za-zÀ-ÖØ-öø-ɏ]*)([!-&(-/:-@\\[-`{-~0-9]*)$|^(.*)$", re.M)
+_plain = re.compile("^([A-Za-zÀ-ÖØ-öø-įı-ɏ]*)([!-&(-/:-@\\[-`{-~0-9]*)$|^(.*)$", re.M)
 _blank = str.maketrans("\t\n\r", "   ")
 
 
