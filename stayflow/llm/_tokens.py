@@ -12,12 +12,15 @@ import re
 from operator import add
 
 import numpy as np
+import pyarrow as pa
 
-KEPT_WORDS, KEPT_PARTS = 150_000, 600_000
+KEPT_WORDS, KEPT_PARTS = 400_000, 600_000
+BLOCK_BYTES = 8 << 20
 END_ID = 1
 _MARK = "\x01"
 _plain = re.compile("^([A-Za-zÀ-ÖØ-öø-įı-ɏ]*)([!-&(-/:-@\\[-`{-~0-9]*)$|^(.*)$", re.M)
-_blank = str.maketrans("\t\n\r", "   ")
+_is_blank = np.zeros(256, bool)
+_is_blank[[9, 10, 13, 32]] = True
 
 
 def default_tokenizer() -> str:
@@ -27,7 +30,7 @@ def default_tokenizer() -> str:
 
 
 class WordEncoder:
-    """``encode(text)`` gives the ids of a text as little-endian unsigned 32-bit bytes."""
+    """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit bytes."""
 
     _shared: dict[str, "WordEncoder"] = {}
 
@@ -46,7 +49,7 @@ class WordEncoder:
         self.mark = np.array(self.tokenizer.encode(_MARK, add_special_tokens=False).ids, np.uint32)
         if len(self.mark) != 1:
             raise ValueError("this tokenizer has no id of its own for the separator")
-        self.words: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
@@ -69,7 +72,7 @@ class WordEncoder:
             if _MARK in p:
                 self.parts[p] = self._library([p])[0].astype("<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str], keys: list[bytes]) -> None:
         if len(self.parts) > KEPT_PARTS:
             self.parts = {"": b""}
         split = _plain.findall("\n".join(words))
@@ -77,16 +80,38 @@ class WordEncoder:
         last = [b for _, b, _ in split]
         self._fill(list(set(first).union(last) - self.parts.keys()))
         get = self.parts.__getitem__
-        self.words.update(zip(words, map(add, map(get, first), map(get, last))))
+        self.words.update(zip(keys, map(add, map(get, first), map(get, last))))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        lists = [t.translate(_blank).split(" ") if "\t" in t or "\r" in t else t.replace("\n", " ").split(" ") for t in texts]
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words."""
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
-        if missing := set().union(*lists) - self.words.keys():
-            self._learn(list(missing))
-        get = self.words.__getitem__
-        return [b"".join(map(get, ws)) for ws in lists]
+        if missing := [w for w in words if w not in self.words]:
+            self._learn([w.decode("utf-8", "replace") for w in missing], missing)
+        return list(map(self.words.__getitem__, words))
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text. All words of the texts lie in one Arrow array: each distinct one is looked up once, and the
+        ids are gathered from there."""
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        buf = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+        blank = _is_blank[buf]
+        filled = np.concatenate([[0], np.cumsum(~blank)])  # bytes of words before each byte
+        at = np.flatnonzero(blank)
+        bound = np.concatenate([[0], filled[at]])
+        real = bound[1:] > bound[:-1]  # between two blanks there may be no word
+        offsets = np.concatenate([[0], bound[1:][real]])
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(buf[~blank])])
+        coded = words.dictionary_encode()
+        ids = self._ids(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        word = coded.indices.to_numpy()
+        total = np.concatenate([[0], np.cumsum(size[word])])
+        place = np.repeat((np.cumsum(size) - size)[word] - total[:-1], size[word]) + np.arange(total[-1])
+        flat = pool[place].tobytes()
+        cut = 4 * total[np.concatenate([[0], np.searchsorted(offsets, filled[ends])])]
+        return [flat[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
 
 END = np.array([END_ID], "<u4").tobytes()

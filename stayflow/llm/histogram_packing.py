@@ -81,9 +81,9 @@ class Slots:
 def _cut(path: str, size: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _tokens.WordEncoder.of(path)
-        for part, texts in _text.blocks(batches):
+        for part, texts in _text.blocks(batches, limit=_tokens.BLOCK_BYTES):
             rows: list[list] = [[] for _ in range(6)]
-            for doc, ids in zip(part.column(0).to_pylist(), encoder.encode([t.decode("utf-8", "replace") for t in texts])):
+            for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(texts)):
                 ids += _tokens.END
                 total = len(ids) // 4
                 for start in range(0, total, size):

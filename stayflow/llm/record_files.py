@@ -85,8 +85,8 @@ def _writer(folder: str, tokenizer: str, shard_bytes: int):
             nth, offsets, n_tokens, stream = nth + 1, [0], 0, None
             return pa.RecordBatch.from_pylist([row], schema=SHARDS_ARROW)
 
-        for block, texts in _text.blocks(batches):
-            ids = encoder.encode([t.decode("utf-8", "replace") for t in texts])
+        for block, texts in _text.blocks(batches, limit=_tokens.BLOCK_BYTES):
+            ids = encoder.encode(texts)
             for doc, own in zip(block.column(0).to_pylist(), ids):
                 if stream is None:
                     path = f"{base}/part-{part:06d}-{nth:04d}-{uuid.uuid4().hex}.records"

@@ -138,7 +138,12 @@ def test_word_cache_equals_the_library(spark, tokenizer, monkeypatch):
     monkeypatch.setattr(_tokens, "KEPT_PARTS", 60)
     encoder = _tokens.WordEncoder(_tokens.default_tokenizer())
     for t in all_texts(spark):
-        assert encoder.encode([t or "", "x y"])[0] == ids_of(tokenizer, t)[:-1].tobytes()
+        assert encoder.encode([(t or "").encode(), b"x y"])[0] == ids_of(tokenizer, t)[:-1].tobytes()
+    # every letter of the encoder's class before every ASCII mark
+    words = [w + chr(a) + chr(m) for a in range(0x41, 0x250) if chr(a).isalpha() for m in range(33, 127) for w in ("", "a")]
+    monkeypatch.setattr(_tokens, "KEPT_WORDS", 10**6)
+    monkeypatch.setattr(_tokens, "KEPT_PARTS", 10**6)
+    assert encoder.encode([w.encode() for w in words]) == [e.astype("<u4").tobytes() for e in encoder._library(words)]
 
 
 def test_packing_places_every_id_once(spark, make_docs, tokenizer):
