@@ -13,6 +13,7 @@ from stayflow.llm import (
     histogram_packing,
     merge_replay,
     minhash_bayes,
+    periodic_runs,
     quality_trees,
     record_files,
     url_trie,
@@ -39,6 +40,7 @@ SPARK = {f.__name__: _query(f) for f in (
     quality_trees.op8_quality_rules,
     merge_replay.op9_merge_replay,
     chat_rotation.op10_chat_rotation,
+    periodic_runs.op12_periodic_runs,
 )}
 
 ORACLE = {
