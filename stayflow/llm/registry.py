@@ -7,6 +7,7 @@ import functools
 from stayflow.llm import (
     _store,
     attention_mil,
+    backtracking_bpe,
     bwt_repeats,
     chat_rotation,
     epsilon_grid,
@@ -40,6 +41,7 @@ SPARK = {f.__name__: _query(f) for f in (
     quality_trees.op8_quality_rules,
     merge_replay.op9_merge_replay,
     chat_rotation.op10_chat_rotation,
+    backtracking_bpe.op11_backtracking_bpe,
     periodic_runs.op12_periodic_runs,
 )}
 
