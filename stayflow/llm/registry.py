@@ -10,6 +10,7 @@ from stayflow.llm import (
     backtracking_bpe,
     bwt_repeats,
     chat_rotation,
+    dialogue_repair,
     epsilon_grid,
     histogram_packing,
     merge_replay,
@@ -43,6 +44,7 @@ SPARK = {f.__name__: _query(f) for f in (
     chat_rotation.op10_chat_rotation,
     backtracking_bpe.op11_backtracking_bpe,
     periodic_runs.op12_periodic_runs,
+    dialogue_repair.op13_dialogue_repair,
 )}
 
 ORACLE = {
