@@ -25,30 +25,40 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
+def land(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:
     """Write once to the shared checkpoint folder and read back: lineage ends here, and a lost executor costs
-    only the tasks that read its part. The folder is the cluster's to clean, like any checkpoint."""
+    only the tasks that read its part. The folder is the cluster's to clean, like any checkpoint; tables noted in
+    ``scratch`` can be dropped before."""
     spark = df.sparkSession
     path = shared_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    if scratch is not None:
+        scratch.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def plain(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns only, whatever else the table has."""
-    return df.select(*columns)
+def drop(spark: SparkSession, scratch: list[str]) -> None:
+    """Drop landed tables once what they were for has been landed itself."""
+    for path in scratch:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    scratch.clear()
 
 
-def sieve(df: DataFrame, key: str, wanted: DataFrame, bits: int = 24) -> DataFrame:
-    """The rows of df whose key may be in ``wanted`` (one column): a bitmap of 2**bits hashes goes to every task, as a table of
-    at most 2**(bits - 6) words. It only thins what a later join on the key has to shuffle; when the bitmap is full,
-    all rows pass."""
+def maybe(df: DataFrame, key: str, wanted: DataFrame, name: str, bits: int = 24) -> DataFrame:
+    """df with a boolean column: whether the row's key may be in ``wanted`` (one column). A bitmap of 2**bits hashes goes to every
+    task, as a table of at most 2**(bits - 6) words; when the bitmap is full, it is true for all rows."""
     at = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
     words = (wanted.select(at(F.col(wanted.columns[0])).alias("at")).groupBy(F.shiftright("at", 6).alias("sieve_word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("sieve_bits")))
     here = F.expr(f"shiftright(pmod(xxhash64(`{key}`), {1 << bits}L), 6)")
-    bit = F.expr(f"shiftright(sieve_bits, cast(pmod(xxhash64(`{key}`), {1 << bits}L) & 63 as int)) & 1L")
-    return df.withColumn("sieve_word", here).join(F.broadcast(words), "sieve_word").where(bit == 1).select(*df.columns)
+    bit = F.expr(f"coalesce(shiftright(sieve_bits, cast(pmod(xxhash64(`{key}`), {1 << bits}L) & 63 as int)) & 1L, 0L)")
+    return df.withColumn("sieve_word", here).join(F.broadcast(words), "sieve_word", "left").select(*df.columns, (bit == 1).alias(name))
+
+
+def sieve(df: DataFrame, key: str, wanted: DataFrame, bits: int = 24) -> DataFrame:
+    """The rows of df whose key may be in ``wanted``. It only thins what a later join on the key has to shuffle."""
+    return maybe(df, key, wanted, "sieve_pass", bits).where("sieve_pass").drop("sieve_pass")
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -37,6 +37,7 @@ from stayflow.llm import _store, _text
 GRAM = 32
 BLOCK_BYTES = 1 << 20
 HOT = BLOCK_BYTES // 256  # contexts of one anchor that about fill a block
+COMMON, SHARES = 1024, 256  # a context met so often is joined in so many shares
 U64 = np.uint64
 _SECOND = 0xA0761D6478BD642F
 _SECOND_INVERSE = pow(_SECOND, -1, 1 << 64)
@@ -263,36 +264,47 @@ def _bodies(length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
+def _spread(seen: DataFrame, contexts: DataFrame, merged: DataFrame) -> DataFrame:
+    """seen joined to contexts on both hashes. Occurrences of a context met ``COMMON`` times or more are dealt over ``SHARES`` keys,
+    and that context is repeated for each; which contexts these may be, both sides read from one bitmap."""
+    common = merged.where(F.col("times") >= COMMON).select("context")
+    left = _store.maybe(seen, "context", common, "common").withColumn(
+        "share", F.when(F.col("common"), F.pmod(F.xxhash64("ref", "place"), F.lit(SHARES))).otherwise(0)).drop("common")
+    right = _store.maybe(contexts, "context", common, "common").withColumn(
+        "share", F.explode(F.when(F.col("common"), F.sequence(F.lit(0).cast("long"), F.lit(SHARES - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long"))))).drop("common")
+    return left.join(right, ["anchor", "context", "share"]).drop("share")
+
+
+def repeated_spans(docs: DataFrame, length: int = 200, scratch: list[str] | None = None) -> DataFrame:
     """ref, tag, spans: the runs [lo, hi] of starts of repeated strings, per document that has any (docs: ref, tag, text)."""
     if not GRAM < length < 32768:
         raise ValueError(f"length must be above {GRAM} and below 32768")
     again = _store.land(docs.select("text").mapInArrow(_anchors(length), "anchor long").groupBy("anchor")
-                        .agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
+                        .agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors", scratch)
     every = docs.select("ref", "tag", "text").mapInArrow(_occurrences(length), "anchor long, context long, ref long, place long")
-    seen = _store.land(every.join(again, "anchor"), "occurrences")
+    seen = _store.land(_store.sieve(every, "anchor", again).join(again, "anchor"), "occurrences", scratch)
     merged = _store.land(seen.groupBy("anchor", "context").agg(F.count("*").alias("times"),
-                                                                F.min("ref").alias("ref"), F.min("place").alias("place")), "contexts")
+                                                                F.min("ref").alias("ref"), F.min("place").alias("place")), "contexts", scratch)
     kinds = merged.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     # the place of a context met twice must belong to the ref: one occurrence is looked up for those that are compared
-    compared = _store.land(merged.join(kinds, "anchor").select("anchor", "context", "times", "ref", "place", (F.col("kinds") > HOT).alias("hot")), "compared")
+    compared = _store.land(merged.join(kinds, "anchor").select("anchor", "context", "times", "ref", "place", (F.col("kinds") > HOT).alias("hot")), "compared", scratch)
     once = compared.where("times = 1")
-    more = (seen.join(compared.where("times > 1").select("anchor", "context", "times", "hot"), ["anchor", "context"])
+    more = (_spread(seen, compared.where("times > 1").select("anchor", "context", "times", "hot"), merged)
             .groupBy("anchor", "context", "times", "hot").agg(F.min(F.struct("ref", "place")).alias("o"))
             .select("anchor", "context", "times", "o.ref", "o.place", "hot"))
-    wanted = (once.unionByName(more).select("anchor", "context", "times", "ref", *(F.expr(c).alias(k) for k, c in PLACE.items()), "hot")
-              .groupBy("ref", "tag").agg(F.collect_list(F.struct("anchor", "context", "times", "ref", "tag", "start", "n", "hot")).alias("wanted")))
-    bodies = _store.land(docs.select("ref", "tag", "text").join(wanted, ["ref", "tag"]).mapInArrow(
-        _bodies(length), "anchor long, context long, times long, ref long, tag long, start long, n long, body binary, hot boolean"), "bodies")
+    wanted = _store.land(once.unionByName(more).select("anchor", "context", "times", "ref", *(F.expr(c).alias(k) for k, c in PLACE.items()), "hot")
+              .groupBy("ref", "tag").agg(F.collect_list(F.struct("anchor", "context", "times", "ref", "tag", "start", "n", "hot")).alias("wanted")), "wanted", scratch)
+    bodies = _store.land(_store.sieve(docs.select("ref", "tag", "text"), "ref", wanted.select("ref")).join(wanted, ["ref", "tag"]).mapInArrow(
+        _bodies(length), "anchor long, context long, times long, ref long, tag long, start long, n long, body binary, hot boolean"), "bodies", scratch)
     fields = ["anchor", "context", "times", "ref", "tag", "start", "n", "body"]
     cold = bodies.where("NOT hot").select(*fields).repartition("anchor").sortWithinPartitions("anchor", "context").mapInArrow(_expand(length), SPAN)
     spans = [cold]
     hot = bodies.where("hot").select(*fields).dropDuplicates(["anchor", "context"])
     if not bodies.where("hot").isEmpty():
-        strings = _store.land(hot.mapInArrow(_strings(length), "h1 long, h2 long, times long, ref long, tag long, at long"), "strings")
+        strings = _store.land(hot.mapInArrow(_strings(length), "h1 long, h2 long, times long, ref long, tag long, at long"), "strings", scratch)
         twice = strings.groupBy("h1", "h2").agg(F.sum("times").alias("all")).where("all > 1").select("h1", "h2")
         spans.append(strings.where("times = 1").join(twice, ["h1", "h2"]).select("ref", "tag", F.col("at").alias("lo"), F.col("at").alias("hi")))
-    whole = seen.join(merged.where("times > 1").select("anchor", "context"), ["anchor", "context"]).select(
+    whole = _spread(seen, merged.where("times > 1").select("anchor", "context"), merged).select(
         "ref", F.expr(PLACE["tag"]).alias("tag"), F.expr(PLACE["start"]).alias("lo"), F.expr(f"({PLACE['start']}) + ({PLACE['n']}) - 1").alias("hi"))
     spans.append(whole)
     every = spans[0]
@@ -326,8 +338,12 @@ def with_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     doc_id and text (80 bits together)."""
     known = docs.select(F.struct(*(f"`{c}`" for c in docs.columns if c != "text")).alias("row"), "text", F.xxhash64("doc_id", "text").alias("ref"),
                         F.hash("text", F.lit(7)).cast("long").bitwiseAND(65535).alias("tag"))
-    spans = _store.land(repeated_spans(known.select("ref", "tag", "text"), length), "spans")
-    return known.join(spans, ["ref", "tag"], "left").select("row", "text", "spans")
+    scratch: list[str] = []
+    spans = _store.land(repeated_spans(known.select("ref", "tag", "text"), length, scratch), "spans")
+    _store.drop(docs.sparkSession, scratch)
+    flagged = _store.maybe(known, "ref", spans.select("ref"), "may_have")  # texts that surely have none are not shuffled
+    have = flagged.where("may_have").join(spans, ["ref", "tag"], "left").select("row", "text", "spans")
+    return have.unionByName(flagged.where("NOT may_have").select("row", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")))
 
 
 def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:

@@ -57,6 +57,7 @@ def test_edge_cases(make_docs):
 def test_passages_and_edits_match_brute_force(make_docs, monkeypatch, hot):
     monkeypatch.setattr(M, "HOT", hot)
     monkeypatch.setattr(M, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(M, "COMMON", 3)
     rng = random.Random(2)
     shared = [text(rng, n) for n in (60, 150, 200, 230, 400, 900)]
     rows = []

@@ -67,5 +67,5 @@ def test_run_equals_its_stages(spark, sf):
 
 
 def test_registry_names_one_query_per_operator():
-    assert [int(n[2:].split("_")[0]) for n in registry.SPARK] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in registry.SPARK] == list(range(1, 14))
     assert set(registry.ORACLE) <= set(registry.SPARK)
