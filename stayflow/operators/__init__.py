@@ -7,6 +7,7 @@ from stayflow.operators.flatten import flatten_json_array  # noqa: F401
 from stayflow.operators.ranking import (  # noqa: F401
     grand_total, rank_with_running_share, share_of_partition, top_k_share,
 )
+from stayflow.operators.selection import exact_percentile  # noqa: F401
 from stayflow.operators.spans import censor_flags, events_to_spans  # noqa: F401
 from stayflow.operators.timeline import daily_grid, islands, run_summary  # noqa: F401
 from stayflow.operators.union import flag_branches  # noqa: F401

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stayflow.functions.dates import day_name, is_weekend, month_start, months_between_boundaries
 from stayflow.functions.ratios import avg_exact, div0, safe_div
+from stayflow.operators.selection import median
 from stayflow.plans.semantic import Model, Relationship, Table
 from stayflow.plans.warehouse import Warehouse
 
@@ -101,7 +102,7 @@ def listing_performance(wh: Warehouse) -> Model:
         "listing.listings": lambda c: F.count(F.lit(1)),
         "listing.portfolio_revenue": lambda c: F.sum(c("total_revenue")),
         "listing.avg_revenue_per_listing": lambda c: avg_exact(c("total_revenue")),
-        "listing.median_revenue_per_listing": lambda c: F.median(c("total_revenue")),
+        "listing.median_revenue_per_listing": lambda c: median(c("total_revenue")),
         "listing.max_revenue": lambda c: F.max(c("total_revenue")),
         "listing.avg_occupancy_rate": lambda c: avg_exact(c("occupancy_rate")),
         "listing.occupancy_rate_weighted": lambda c: div0(F.sum(c("booked_nights")), F.sum(c("calendar_days"))),
@@ -147,7 +148,7 @@ def reservations(wh: Warehouse) -> Model:
         "reservation.total_revenue": lambda c: F.sum(c("reservation_revenue")),
         "reservation.avg_length_of_stay": lambda c: avg_exact(complete(c)),
         "reservation.avg_length_of_stay_all": lambda c: avg_exact(c("nights")),
-        "reservation.median_length_of_stay": lambda c: F.median(complete(c)),
+        "reservation.median_length_of_stay": lambda c: median(complete(c)),
         "reservation.max_length_of_stay": lambda c: F.max(complete(c)),
         "reservation.avg_booking_value": lambda c: avg_exact(c("reservation_revenue")),
         "reservation.avg_nightly_rate": lambda c: avg_exact(c("avg_nightly_price")),
@@ -181,7 +182,7 @@ def host_performance(wh: Warehouse) -> Model:
         "host.portfolio_revenue": lambda c: F.sum(c("total_revenue")),
         "host.avg_revenue_per_listing": lambda c: avg_exact(c("revenue_per_listing")),
         "host.avg_revenue_per_host": lambda c: avg_exact(c("total_revenue")),
-        "host.median_revenue_per_listing": lambda c: F.median(c("revenue_per_listing")),
+        "host.median_revenue_per_listing": lambda c: median(c("revenue_per_listing")),
         "host.avg_occupancy_rate": lambda c: avg_exact(c("occupancy_rate")),
         "host.occupancy_rate_weighted": lambda c: div0(F.sum(c("booked_nights")), F.sum(c("calendar_days"))),
         "host.avg_listings_per_host": lambda c: avg_exact(c("listing_count")),

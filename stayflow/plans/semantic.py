@@ -37,6 +37,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayflow.operators.selection import Percentile, exact_percentile
+
 Getter = Callable[[str], Column]
 
 
@@ -72,7 +74,7 @@ class Model:
     relationships: list[Relationship]
     facts: dict[str, str]            # qualified name -> column of its table (plain or derived)
     dimensions: dict[str, str]       # qualified name -> column of its table (plain or derived)
-    metrics: dict[str, Callable[[Getter], Column]]   # qualified name -> aggregate over measure-table columns
+    metrics: dict[str, Callable[[Getter], Column | Percentile]]   # qualified name -> aggregate over measure-table columns
     # parent member -> column of the measure table holding the same value (denormalised onto the fact)
     denormalized: dict[str, str] = field(default_factory=dict)
 
@@ -123,21 +125,24 @@ class Model:
         return [r for r in self.relationships if r.child == self.measure_table and r.parent == target]
 
     def _path(self, target: str) -> list[Relationship]:
-        """Relationships leading from the measure table to ``target``."""
+        """Relationships leading from the measure table to ``target``. Two ways to one parent can name different rows, so a
+        parent that is reached in two ways is an error."""
         if target == self.measure_table:
             return []
-        frontier = [(self.measure_table, [])]
-        seen = {self.measure_table}
-        while frontier:
-            node, path = frontier.pop(0)
-            for r in self.relationships:
-                if r.child == node and r.parent not in seen:
-                    p = path + [r]
-                    if r.parent == target:
-                        return p
-                    seen.add(r.parent)
-                    frontier.append((r.parent, p))
-        raise SemanticError(f"{self.name}: no relationship path from {self.measure_table!r} to {target!r}")
+        found, open_ = [], [[r] for r in self.relationships if r.child == self.measure_table]
+        while open_:
+            path = open_.pop()
+            if path[-1].parent == target:
+                found.append(path)
+                continue
+            passed = {self.measure_table, *(r.parent for r in path)}
+            open_ += [[*path, r] for r in self.relationships if r.child == path[-1].parent and r.parent not in passed]
+        if not found:
+            raise SemanticError(f"{self.name}: no relationship path from {self.measure_table!r} to {target!r}")
+        if len(found) > 1:
+            ways = sorted(" -> ".join([self.measure_table, *(f"{r.parent} ({r.foreign_key})" for r in p)]) for p in found)
+            raise SemanticError(f"{self.name}: {target!r} is reached in {len(found)} ways: {'; '.join(ways)}")
+        return found[0]
 
     def _table_frame(self, alias: str) -> DataFrame:
         """The table with its derived members, every column prefixed by the
@@ -251,20 +256,19 @@ class Model:
             fact_cols = [column_of(q).alias(out_name(q)) for q in fcts]
             return frame.select(*dim_cols, *fact_cols)
         getter = lambda c: F.col(f"{self.measure_table}__{c}")
-        agg_cols = []
+        agg_cols, percentiles = [], {}
         for q in mets:
             expr = self.metrics[q](getter)
+            if isinstance(expr, Percentile):
+                percentiles[out_name(q)] = expr
+                continue
             if "OVER (" in str(expr).upper():
                 raise SemanticError(f"{self.name}: metric {q!r} holds a window function")
             agg_cols.append(expr.alias(out_name(q)))
-        if not agg_cols:
+        if not mets:
             return frame.select(*dim_cols).distinct()
-        if not dim_cols:
-            return frame.agg(*agg_cols)
-        if not late:
-            return frame.groupBy(*dim_cols).agg(*agg_cols)
         early = [q for q in dims if _split(q)[0] not in late]
-        out = frame.groupBy(*[column_of(q).alias(out_name(q)) for q in early]).agg(*agg_cols)
+        out = self._aggregate(frame, {out_name(q): column_of(q) for q in early}, agg_cols, percentiles)
         for t in late:
             r = self._path(t)[0]
             fk_out = next(out_name(q) for q in early
@@ -274,6 +278,26 @@ class Model:
         final_dims = [column_of(q).alias(out_name(q)) if _split(q)[0] in late else F.col(out_name(q)) for q in dims]
         return out.select(*final_dims, *[F.col(out_name(q)) for q in mets])
 
+    @staticmethod
+    def _aggregate(frame: DataFrame, dims: dict[str, Column], aggregates: list[Column],
+                   percentiles: dict[str, Percentile]) -> DataFrame:
+        """Metrics by dimension. Exact percentiles are selected without gathering a group and joined to the others."""
+        keys = list(dims)
+        by = [c.alias(n) for n, c in dims.items()]
+        out = None
+        if aggregates or not percentiles:
+            out = frame.groupBy(*by).agg(*aggregates) if dims else frame.agg(*aggregates)
+        for name, p in percentiles.items():
+            one = exact_percentile(frame.select(*by, p.value.alias("_measure")), keys, "_measure", p.fraction, name)
+            if out is None:
+                out = one
+            elif not keys:
+                out = out.withColumn(name, one.scalar())
+            else:
+                side = one.select(*(F.col(k).alias(f"_of_{k}") for k in keys), name)
+                out = out.join(side, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]).drop(*(f"_of_{k}" for k in keys))
+        return out
+
     def validate(self) -> list[str]:
         """Declared keys that are not unique, and relationships declared complete that are not; empty = valid."""
         problems = []

@@ -113,3 +113,16 @@ def test_parent_attributes_join_after_aggregation(model, spark):
     assert sorted((r.parent_id or 0, r.rows) for r in kept.collect()) == [(0, 1), (10, 2), (20, 1)]
     filtered = model.query(metrics=["rows"], dimensions=["f.parent_id", "p.name"], where=lambda c: c("p.name") == "a")
     assert [tuple(r) for r in filtered.collect()] == [(10, "a", 2)]
+
+
+def test_two_paths_to_a_parent_are_an_error(spark):
+    load = lambda *c: lambda: spark.createDataFrame([tuple(range(len(c)))], ", ".join(f"{x} int" for x in c))
+    tables = {"sale": Table("sale", load("id", "buyer", "shop"), "id"), "shop": Table("shop", load("id", "town"), "id"),
+              "person": Table("person", load("id", "town"), "id"), "town": Table("town", load("id", "name"), "id")}
+    one = [Relationship("sale", "buyer", "person", "id"), Relationship("person", "town", "town", "id"), Relationship("sale", "shop", "shop", "id")]
+    make = lambda rel: Model("m", "sale", tables, rel, {}, {"town.name": "name", "shop.town": "town"}, {"sale.n": lambda c: F.count(c("id"))})
+    assert make(one).query(["sale.n"], ["town.name"]).count() == 0
+    both = make([*one, Relationship("shop", "town", "town", "id")])
+    with pytest.raises(SemanticError, match="2 ways"):
+        both.query(["sale.n"], ["town.name"])
+    assert both.query(["sale.n"], ["shop.town"]).count() == 0
