@@ -28,6 +28,7 @@ from stayflow.functions.text import (
 )
 from stayflow.operators.dedupe import dedupe, latest_per_key
 from stayflow.operators.flatten import flatten_json_array
+from stayflow.operators.intervals import interval_join, validity
 from stayflow.operators.spans import censor_flags, events_to_spans
 from stayflow.operators.timeline import islands
 from stayflow.operators.vocab import vocabulary_pivot
@@ -53,6 +54,9 @@ class BuildConfig:
     fact_flags: tuple[str, ...] = ("has_signup", "has_click", "has_view")
     # flags carried on the listing dimension
     listing_flags: tuple[str, ...] = ("has_signup", "has_click", "has_view", "has_error", "has_purchase")
+    # "latest": the daily fact carries the flags of a listing's latest change; "in_force": those of the change in force that
+    # night, for change logs that run on into the calendar (the check amenities_predate_calendar fails)
+    amenity_history: str = "latest"
     # "exact": sum(complete nights) / count(complete stays); "literal": the
     # reservation-weighted mean of per-listing means (counts censored stays in the weight)
     host_stay_mean: str = "exact"
@@ -158,14 +162,31 @@ def listing_features(bridge: DataFrame, cfg: BuildConfig) -> DataFrame:
                             count_col="amenity_count", list_col="amenity_list")
 
 
+def listing_feature_history(changelog: DataFrame, cfg: BuildConfig) -> DataFrame:
+    """The features of ``listing_features`` through time: one row per change, with the days [valid_from, valid_to) it was in force.
+    A change without (readable) amenities has no features, as in the latest-wins form."""
+    names = F.array_distinct(F.from_json(F.col("amenities"), "array<string>"))
+    history = validity(changelog, "listing_id", "changed_at", ["amenities"], tiebreak=["amenities_change_id"]).withColumn("_names", names)
+    some = F.size("_names") > 0
+    flags = {name: F.array_contains("_names", value) for value, name in flag_names(AMENITY_PREFIX, cfg.amenities).items()}
+    return history.select("listing_id", "valid_from", "valid_to",
+                          F.when(some, F.size(F.array_compact("_names"))).cast("long").alias("amenity_count"),
+                          *(F.when(some, F.coalesce(has, F.lit(False))).alias(n) for n, has in flags.items()))
+
+
 def int_listing_daily(calendar: DataFrame, listings: DataFrame, features: DataFrame, cfg: BuildConfig) -> DataFrame:
+    """``features``: ``listing_features``, or ``listing_feature_history`` with ``cfg.amenity_history = "in_force"``."""
     attrs = listings.select("listing_id", "listing_name", "neighborhood", "property_type", "room_type",
                             "accommodates", "bedrooms", "beds", "host_id", "is_deleted")
-    feats = features.select("listing_id", "amenity_count", *cfg.fact_flags)
-    joined = calendar.join(attrs, "listing_id", "left").join(feats, "listing_id", "left")
+    # runs first, on the calendar as it lies: their windows hold one listing and segment, and the joins after them can be split
+    runs = islands(calendar, "listing_id", "calendar_date", "is_available")
+    joined = runs.join(attrs, "listing_id", "left")
+    if cfg.amenity_history == "in_force":
+        joined = interval_join(joined, features, "listing_id", "calendar_date", ["amenity_count", *cfg.fact_flags])
+    else:
+        joined = joined.join(features.select("listing_id", "amenity_count", *cfg.fact_flags), "listing_id", "left")
     joined = joined.withColumn("revenue", F.when(~F.col("is_available"), F.col("price")))
-    joined = joined.withColumn("month_start_date", month_start("calendar_date"))
-    return islands(joined, "listing_id", "calendar_date", "is_available")
+    return joined.withColumn("month_start_date", month_start("calendar_date"))
 
 
 def int_reservations(daily: DataFrame) -> DataFrame:

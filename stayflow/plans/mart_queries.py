@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.operators.asof import asof_join
+from stayflow.operators.intervals import interval_join, validity
+from stayflow.plans import build
 from stayflow.plans.oracle import FACT_FLAGS, LISTING_FLAGS, PRELUDE, VERIFICATIONS, _norm, _slug, sv
 from stayflow.plans.questions import finalize
 from stayflow.plans.warehouse import Warehouse
@@ -40,6 +44,26 @@ def amenities_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    .otherwise(F.col("amenity_count_as_of"))))
 
 
+def amenities_validity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nights of ``amenities_point_in_time`` through validity intervals and a join by time buckets."""
+    wh = Warehouse.for_dir(spark, sf_dir)
+    history = validity(wh.stg_amenities_changelog(), "listing_id", "changed_at", ["amenities"], tiebreak=["amenities_change_id"])
+    nights = interval_join(wh.stg_calendar().select("listing_id", "calendar_date"), history, "listing_id", "calendar_date",
+                           ["valid_from", "valid_to", "changed_at", "amenities"], bucket_days=14)
+    names = F.from_json("amenities", "array<string>")
+    return finalize(nights.select(
+        "listing_id", "calendar_date", "valid_from", "valid_to", F.col("changed_at").alias("amenities_changed_at"),
+        F.when(F.col("changed_at").isNotNull(), F.size(F.array_distinct(names))).alias("amenity_count_as_of")))
+
+
+def daily_flags_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily fact with the amenities in force that night in place of the latest ones (build option ``amenity_history``)."""
+    wh = Warehouse.for_dir(spark, sf_dir)
+    cfg = replace(wh.cfg, amenity_history="in_force")
+    daily = build.int_listing_daily(wh.stg_calendar(), wh.int_listings(), wh.listing_feature_history(), cfg)
+    return finalize(daily.select("listing_id", "calendar_date", "is_window_start", "availability_window_seq", "amenity_count", *cfg.fact_flags))
+
+
 def revenue_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Total revenue through each of the four metric models. The daily, listing
     and reservation models agree; the host model misses exactly the revenue of
@@ -109,7 +133,7 @@ def build_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SPARK = {f.__name__: f for f in [_mart(n) for n in ("fct_listing_daily", "fct_reservations", "dim_listings",
                                                      "dim_hosts")] + [
-    amenities_point_in_time, revenue_reconciliation, listing_peak_revenue, host_portfolios, guarded_mart, build_diff]}
+    amenities_point_in_time, amenities_validity_join, daily_flags_in_force, revenue_reconciliation, listing_peak_revenue, host_portfolios, guarded_mart, build_diff]}
 
 _VFLAGS = [_slug("is_verified_", v) for v in VERIFICATIONS]
 KINDS = {
@@ -142,7 +166,7 @@ KINDS = {
 }
 
 ORACLE = {f"mart_{n}": PRELUDE + "\n" + _norm(f"SELECT * FROM {n}", k) for n, k in KINDS.items()}
-ORACLE["amenities_point_in_time"] = PRELUDE + """,
+_CHANGE_DAYS = """,
 change_days AS (
   SELECT listing_id, change_day, changed_at, amenities FROM (
     SELECT listing_id, CAST(changed_at AS DATE) AS change_day, changed_at, amenities,
@@ -150,7 +174,8 @@ change_days AS (
                          ORDER BY changed_at DESC, amenities_change_id DESC, amenities DESC) AS rn
     FROM stg_changelog) WHERE rn = 1
 )
-""" + _norm("""SELECT c.listing_id, c.calendar_date, ch.changed_at AS amenities_changed_at,
+"""
+ORACLE["amenities_point_in_time"] = PRELUDE + _CHANGE_DAYS + _norm("""SELECT c.listing_id, c.calendar_date, ch.changed_at AS amenities_changed_at,
     CASE WHEN ch.changed_at IS NULL THEN NULL
          ELSE len(list_distinct(from_json(ch.amenities, '["VARCHAR"]'))) END AS amenity_count_as_of,
     f.amenity_count AS latest_amenity_count
@@ -160,6 +185,25 @@ change_days AS (
     "listing_id": I, "calendar_date": O, "amenities_changed_at": O, "amenity_count_as_of": I,
     "latest_amenity_count": I})
 
+_IN_FORCE = _CHANGE_DAYS.rstrip() + """,
+in_force AS (
+  SELECT listing_id, change_day AS valid_from, lead(change_day) OVER (PARTITION BY listing_id ORDER BY change_day) AS valid_to,
+    changed_at, list_distinct(from_json(amenities, '["VARCHAR"]')) AS names
+  FROM change_days
+),
+night_names AS (
+  SELECT d.*, valid_from, valid_to, changed_at, names FROM int_listing_daily d
+  LEFT JOIN in_force i ON i.listing_id = d.listing_id AND d.calendar_date >= valid_from AND (valid_to IS NULL OR d.calendar_date < valid_to)
+)
+"""
+ORACLE["amenities_validity_join"] = PRELUDE + _IN_FORCE + _norm(
+    "SELECT listing_id, calendar_date, valid_from, valid_to, changed_at AS amenities_changed_at, len(names) AS amenity_count_as_of FROM night_names",
+    {"listing_id": I, "calendar_date": O, "valid_from": O, "valid_to": O, "amenities_changed_at": O, "amenity_count_as_of": I})
+ORACLE["daily_flags_in_force"] = PRELUDE + _IN_FORCE + _norm(
+    "SELECT listing_id, calendar_date, is_window_start, availability_window_seq, CASE WHEN len(names) > 0 THEN len(names) END AS amenity_count, "
+    + ", ".join(f"CASE WHEN len(names) > 0 THEN list_contains(names, '{f[len('has_'):]}') END AS {f}" for f in FACT_FLAGS) + " FROM night_names",
+    {"listing_id": I, "calendar_date": O, "is_window_start": O, "availability_window_seq": I, "amenity_count": I, **{f: O for f in FACT_FLAGS}})
+
 ORACLE["revenue_reconciliation"] = PRELUDE + "\n" + _norm("""SELECT d.daily_model_revenue,
     (SELECT sum(total_revenue) FROM dim_listings) AS listing_model_revenue,
     (SELECT sum(reservation_revenue) FROM fct_reservations) AS reservation_model_revenue,

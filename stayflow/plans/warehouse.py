@@ -116,9 +116,15 @@ class Warehouse:
     def listing_features(self):
         return self._get("listing_features", lambda: B.listing_features(self.int_listing_amenities(), self.cfg))
 
+    def listing_feature_history(self):
+        return self._get("listing_feature_history", lambda: B.listing_feature_history(self.stg_amenities_changelog(), self.cfg))
+
     def int_listing_daily(self):
-        return self._get("int_listing_daily", lambda: B.int_listing_daily(
-            self.stg_calendar(), self.int_listings(), self.listing_features(), self.cfg))
+        def make():
+            features = self.listing_feature_history() if self.cfg.amenity_history == "in_force" else self.listing_features()
+            return B.int_listing_daily(self.stg_calendar(), self.int_listings(), features, self.cfg)
+
+        return self._get("int_listing_daily", make)
 
     def listing_rollup(self):
         return self._get("listing_rollup", lambda: B.listing_rollup(self.int_listing_daily()))
