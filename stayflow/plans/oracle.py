@@ -36,21 +36,31 @@ _VERIF_FLAGS_SQL = ",\n    ".join(
 _VERIF_COLS = ", ".join(_slug("is_verified_", v) for v in VERIFICATIONS)
 
 PRELUDE = f"""
-WITH
+WITH RECURSIVE
 item_names AS (
   SELECT l_orderkey, count(*) AS n_items, list(DISTINCT CASE WHEN l_quantity >= 46 THEN 'error' WHEN l_returnflag = 'R' THEN 'click'
     WHEN l_returnflag = 'A' THEN 'view' WHEN l_linestatus = 'O' THEN 'signup' ELSE 'purchase' END) AS names
   FROM lineitem GROUP BY l_orderkey
 ),
+wishes AS (  -- listings of a customer: one per 16 orders with items; orders of one listing in the order in which they are served
+  SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY wish, order_id) AS turn FROM (
+    SELECT o_orderkey AS order_id, n_items, names, CAST((dayofyear(o_orderdate) - 1) % 121 AS INTEGER) AS wish,
+      CAST(o_custkey + 10000000000 * (CAST('0x' || left(md5(CAST(o_orderkey AS VARCHAR)), 7) AS BIGINT) % ((count(*) OVER (PARTITION BY o_custkey) + 15) // 16)) AS BIGINT) AS listing_id
+    FROM orders JOIN item_names ON l_orderkey = o_orderkey)
+),
+served(listing_id, turn, order_id, begin, free) AS MATERIALIZED (  -- one after another, from the wished day or the first free one
+  SELECT listing_id, turn, order_id, wish, CAST(wish + n_items AS INTEGER) FROM wishes WHERE turn = 1
+  UNION ALL
+  SELECT w.listing_id, w.turn, w.order_id, greatest(w.wish, s.free), CAST(greatest(w.wish, s.free) + w.n_items AS INTEGER)
+  FROM served s JOIN wishes w ON w.listing_id = s.listing_id AND w.turn = s.turn + 1
+),
 stays AS (
-  SELECT o_custkey AS listing_id, o_orderkey AS order_id, n_items, names,
-    CAST(DATE '2024-01-01' + CAST((dayofyear(o_orderdate) - 1) % 121 AS INTEGER) AS DATE) AS first_night
-  FROM orders JOIN item_names ON l_orderkey = o_orderkey
+  SELECT listing_id, order_id, n_items, names, CAST(DATE '2024-01-01' + begin AS DATE) AS first_night
+  FROM wishes JOIN served USING (listing_id, turn, order_id)
 ),
 taken AS (
-  SELECT listing_id, night, min(order_id) AS order_id FROM (
-    SELECT listing_id, order_id, CAST(first_night + CAST(i AS INTEGER) AS DATE) AS night
-    FROM (SELECT *, unnest(range(n_items)) AS i FROM stays)) GROUP BY ALL
+  SELECT listing_id, order_id, CAST(first_night + CAST(i AS INTEGER) AS DATE) AS night
+  FROM (SELECT listing_id, order_id, first_night, unnest(range(n_items)) AS i FROM stays)
 ),
 per_cust AS (
   SELECT o_custkey, count(*) AS n_orders,
@@ -61,14 +71,18 @@ per_cust AS (
     avg(CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) AS avg_priority
   FROM orders GROUP BY o_custkey
 ),
+owners AS (
+  SELECT listing_id, per_cust.* FROM (SELECT listing_id FROM stays UNION SELECT o_custkey FROM per_cust)
+  JOIN per_cust ON listing_id % 10000000000 = o_custkey
+),
 season AS (
   SELECT CAST(unnest(generate_series(CAST(min(night) AS TIMESTAMP), CAST(max(night) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
   FROM taken
 ),
 priced AS (
-  SELECT o_custkey AS listing_id, date, n_f, n_o, n_p, CAST(floor(cents * (100 + CASE WHEN urgent
-    THEN (o_custkey * 31 + date_diff('day', DATE '2024-01-01', date) * 17) % 41 - 20 ELSE 0 END) / 100) AS BIGINT) AS night_cents
-  FROM per_cust, season
+  SELECT listing_id, date, n_f, n_o, n_p, CAST(floor(cents * (100 + CASE WHEN urgent
+    THEN (listing_id * 31 + date_diff('day', DATE '2024-01-01', date) * 17) % 41 - 20 ELSE 0 END) / 100) AS BIGINT) AS night_cents
+  FROM owners, season
 ),
 raw_calendar AS (
   SELECT p.listing_id, p.date, t.order_id IS NULL AS available,
@@ -78,12 +92,10 @@ raw_calendar AS (
   FROM priced p LEFT JOIN taken t ON t.listing_id = p.listing_id AND t.night = p.date
 ),
 raw_changelog AS (
-  SELECT listing_id, CAST(first_night AS TIMESTAMP) AS change_at,
-    CAST(to_json(list_sort(list_distinct(flatten(list(names))))) AS VARCHAR) AS amenities
-  FROM stays GROUP BY listing_id, first_night
+  SELECT listing_id, CAST(first_night AS TIMESTAMP) AS change_at, CAST(to_json(list_sort(names)) AS VARCHAR) AS amenities FROM stays
 ),
 raw_listings AS (
-  SELECT c_custkey AS id, c_name AS name, h.host_id, 'Host #' || h.host_id AS host_name,
+  SELECT p.listing_id AS id, c_name AS name, h.host_id, 'Host #' || h.host_id AS host_name,
     CAST(p.first_order AS DATE) AS host_since, n_name AS host_location, p.priorities AS host_verifications,
     r_name AS neighborhood, c_mktsegment AS property_type,
     CASE WHEN c_acctbal < 1000 THEN 'Private room' ELSE 'Entire home/apt' END AS room_type,
@@ -100,7 +112,7 @@ raw_listings AS (
   FROM customer
   JOIN (SELECT c_custkey AS k, 10 + c_custkey // (1 + c_nationkey % 5) AS host_id FROM customer) h ON h.k = c_custkey
   JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
-  JOIN per_cust p ON o_custkey = c_custkey AND p.n_o > 0
+  JOIN owners p ON o_custkey = c_custkey AND p.n_o > 0
 ),
 stg_listings AS (
   SELECT id AS listing_id, name AS listing_name, host_id,

@@ -69,7 +69,7 @@ class Warehouse:
             days = self._get("order_days", lambda: testdata.order_days(self.spark, self.sf_dir))
             facts = self._get("order_facts", lambda: testdata.order_facts(self.spark, self.sf_dir))
             self._raw = {
-                "listings": testdata.raw_listings(self.spark, self.sf_dir, facts),
+                "listings": testdata.raw_listings(self.spark, self.sf_dir, days, facts),
                 "calendar": testdata.raw_calendar(days, facts),
                 "amenities_changelog": testdata.raw_amenities_changelog(days),
             }

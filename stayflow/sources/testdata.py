@@ -1,31 +1,32 @@
 """Binding of the driver's tables to the three raw rental tables.
 
 ``listings``, ``calendar`` and ``amenities_changelog`` are not among the driver's tables, so each is derived here by
-Spark from whole given tables, and all work grows with them. All rows are read, but where folded stays overlap, nights are
-lost, and an order that keeps no night is no reservation (about 15% of nights and 7% of orders with items; see the README).
+Spark from whole given tables, and all work grows with them. No order with items and no item is left out: the booked
+nights of the calendar are the line items, one each.
 
-A customer is a listing and an order is a stay. Order dates are folded onto one season: the n-th day of its year
-becomes day ``(n - 1) mod SEASON_DAYS`` after ``SEASON_START``.
+An order with items is a stay, wished for from its folded date on: the n-th day of its year becomes day
+``(n - 1) mod SEASON_DAYS`` after ``SEASON_START``. A customer lets one listing per ``UNIT_STAYS`` orders with items (rounded up),
+and orders are dealt to them by a hash of the order key; so a customer with very many orders has many listings, each with a few stays.
+On a listing, stays follow by folded date, then order key: each takes its nights, one per line item, from its folded date
+or from the first night that the stays before it leave free, whichever is later.
 
-calendar (listing x date), from ``orders`` and ``lineitem``: every customer with orders, on every day between the first
-and last night of all stays. A stay takes one night per line item from its folded order date on; an order without
-items takes none. Where stays overlap, the smaller order key has the night, so the other stay has a gap. Reservation id =
+calendar (listing x date): every listing, on every day between the first and last night of all stays. Reservation id =
 ``'R'`` + order key, the literal ``'NULL'`` on open nights. Price (every night has one) = the smallest order total of
 the customer / 1000, as text; for customers with an urgent order it swings with the day by up to a fifth. Minimum
 nights = 1 + the customer's pending orders, maximum nights = 2 + the others.
 
-amenities_changelog, from ``orders`` and ``lineitem``: one change per customer and folded day with items; amenities = JSON
+amenities_changelog: one change per stay, on its first night; amenities = JSON
 array of the names that the items' return flags, line statuses and quantities stand for.
 
-listings, from ``customer`` + ``nation`` + ``region`` + ``orders``: id = ``c_custkey``; a customer without open orders
-(``o_orderstatus = 'O'``) has no listings row: a deleted listing. A host holds up to five neighbouring customers by
+listings, from ``customer`` + ``nation`` + ``region`` + ``orders``: id = ``c_custkey`` + ``UNIT_STRIDE`` * number of the customer's
+listing; a customer without open orders (``o_orderstatus = 'O'``) has no listings rows: deleted listings. A host holds up to five neighbouring customers by
 nation, so hosts grow with customers, and host attributes repeated on each listing can disagree. Review dates run
 through the years before the season in step with the first and last order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayflow.operators.timeline import daily_grid
@@ -36,22 +37,39 @@ SEASON_START = "2024-01-01"
 SEASON_DAYS = 121
 REVIEWS_START, ORDERS_START = "2022-01-01", "1995-01-01"
 PRIVATE_ROOM_BALANCE = 1000
+UNIT_STAYS, UNIT_STRIDE = 16, 10_000_000_000
 
 
-def _season_day(ts: Column) -> Column:
-    return F.date_add(F.lit(SEASON_START).cast("date"), ((F.dayofyear(ts) - 1) % SEASON_DAYS).cast("int"))
+def _dealt_by(order_id: Column) -> Column:
+    """28 bits of the key's md5: keys that share a factor with the number of listings are dealt as evenly as any."""
+    return F.conv(F.substring(F.md5(order_id.cast("string")), 1, 7), 16, 10).cast("long")
 
 
 def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: its listing, folded date, number of items and amenity names (none without items)."""
+    """One row per order with items: its listing, first night, number of nights and amenity names."""
     items = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_returnflag", "l_linestatus", "l_quantity"])
     amenity = (F.when(F.col("l_quantity") >= 46, "error").when(F.col("l_returnflag") == "R", "click")
                .when(F.col("l_returnflag") == "A", "view").when(F.col("l_linestatus") == "O", "signup").otherwise("purchase"))
-    per_order = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_items"), F.collect_set(amenity).alias("names"))
+    per_order = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).cast("int").alias("n_items"), F.collect_set(amenity).alias("names"))
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    return orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
-        F.col("o_custkey").alias("listing_id"), F.col("o_orderkey").alias("order_id"), _season_day(F.col("o_orderdate")).alias("date"),
-        F.coalesce("n_items", F.lit(0)).cast("int").alias("n_items"), "names")
+    wished = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        "o_custkey", F.col("o_orderkey").alias("order_id"), ((F.dayofyear("o_orderdate") - 1) % SEASON_DAYS).alias("wish"), "n_items", "names")
+    units = wished.groupBy(F.col("o_custkey").alias("_cust")).agg(F.ceil(F.count(F.lit(1)) / UNIT_STAYS).alias("units"))
+    dealt = wished.join(units, F.col("o_custkey") == F.col("_cust")).withColumn(
+        "listing_id", (F.col("o_custkey") + F.lit(UNIT_STRIDE) * (_dealt_by(F.col("order_id")) % F.col("units"))).cast("long"))
+    # stay i begins at max over j <= i of (wish of j + nights of j .. i - 1): a running sum of nights and a running maximum.
+    # The window holds the stays of one listing.
+    queue = Window.partitionBy("listing_id").orderBy("wish", "order_id")
+    before = F.sum("n_items").over(queue.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_items")
+    begun = dealt.withColumn("before", before).withColumn(
+        "begin", F.max(F.col("wish") - F.col("before")).over(queue.rowsBetween(Window.unboundedPreceding, 0)) + F.col("before"))
+    return begun.select("listing_id", "order_id", F.date_add(F.lit(SEASON_START).cast("date"), F.col("begin").cast("int")).alias("date"), "n_items", "names")
+
+
+def listing_owners(days: DataFrame, facts: DataFrame) -> DataFrame:
+    """Every listing with the figures of its customer; a customer whose orders have no items has one listing."""
+    named = days.select("listing_id").union(facts.select(F.col("o_custkey").cast("long"))).distinct()
+    return named.join(facts, F.col("listing_id") % UNIT_STRIDE == F.col("o_custkey"))
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,10 +95,9 @@ def _money(cents: Column) -> Column:
 
 
 def raw_calendar(days: DataFrame, facts: DataFrame) -> DataFrame:
-    nights = (days.where("n_items > 0").select("listing_id", "order_id", F.explode(F.sequence("date", F.date_add("date", F.col("n_items") - 1))).alias("date"))
-              .groupBy("listing_id", "date").agg(F.min("order_id").alias("order_id")))
-    ends = days.where("n_items > 0").select(F.struct(F.min("date").alias("lo"), F.max(F.date_add("date", F.col("n_items") - 1)).alias("hi"))).scalar()
-    listing = facts.withColumnRenamed("o_custkey", "listing_id")
+    nights = days.select("listing_id", "order_id", F.explode(F.sequence("date", F.date_add("date", F.col("n_items") - 1))).alias("date"))
+    ends = days.select(F.struct(F.min("date").alias("lo"), F.max(F.date_add("date", F.col("n_items") - 1)).alias("hi"))).scalar()
+    listing = listing_owners(days, facts)
     grid = daily_grid(listing, "listing_id", ends.getField("lo"), ends.getField("hi"), "date")
     cal = grid.join(nights, ["listing_id", "date"], "left").join(listing, "listing_id")
     day = F.date_diff("date", F.lit(SEASON_START).cast("date")).cast("long")
@@ -98,24 +115,23 @@ def raw_calendar(days: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def raw_amenities_changelog(days: DataFrame) -> DataFrame:
-    return days.where("n_items > 0").groupBy("listing_id", "date").agg(F.flatten(F.collect_list("names")).alias("names")).select(
-        "listing_id", F.col("date").cast("timestamp_ntz").alias("change_at"), F.to_json(F.array_sort(F.array_distinct("names"))).alias("amenities"))
+    return days.select("listing_id", F.col("date").cast("timestamp_ntz").alias("change_at"), F.to_json(F.array_sort("names")).alias("amenities"))
 
 
-def raw_listings(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
+def raw_listings(spark: SparkSession, sf_dir: str, days: DataFrame, facts: DataFrame) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     c = (
         cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(facts.where("n_o > 0"), F.col("c_custkey") == F.col("o_custkey"))
+        .join(listing_owners(days, facts).where("n_o > 0"), F.col("c_custkey") == F.col("o_custkey"))
     )
     host_id = (F.floor(F.col("c_custkey") / (F.col("c_nationkey") % 5 + 1)) + 10).cast("long")
     review = lambda ts: F.date_add(
         F.lit(REVIEWS_START).cast("date"), F.floor(F.date_diff(F.col(ts), F.lit(ORDERS_START).cast("date")) / 3).cast("int")).cast("string")
     return c.select(
-        F.col("c_custkey").alias("id"),
+        F.col("listing_id").alias("id"),
         F.col("c_name").alias("name"),
         host_id.alias("host_id"),
         F.concat(F.lit("Host #"), host_id.cast("string")).alias("host_name"),
@@ -145,7 +161,7 @@ def raw_listings(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFram
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     days, facts = order_days(spark, sf_dir), order_facts(spark, sf_dir)
     return {
-        "listings": raw_listings(spark, sf_dir, facts),
+        "listings": raw_listings(spark, sf_dir, days, facts),
         "calendar": raw_calendar(days, facts),
         "amenities_changelog": raw_amenities_changelog(days),
     }
