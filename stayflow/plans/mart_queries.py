@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from stayflow.plans.oracle import FACT_FLAGS, LISTING_FLAGS, PRELUDE, VERIFICATI
 from stayflow.plans.questions import finalize
 from stayflow.plans.warehouse import Warehouse
 from stayflow.session import shared_dir
-from stayflow.sources.sinks import diff_builds, guarded_overwrite, write_build
+from stayflow.sources.sinks import commit_build, diff_builds, guarded_overwrite, read_build, write_build
 
 R, I, O = "r", "i", "o"
 
@@ -110,18 +112,22 @@ def host_portfolios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def guarded_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The host mart written twice through the guarded sink (created, then overwritten in place), read back."""
+    """The host mart written twice through the guarded sink: created, then overwritten from a frame that reads the table itself.
+    The catalog entry goes again; its last version is what is read."""
     wh = Warehouse.for_dir(spark, sf_dir)
     table = f"guarded_dim_hosts_{wh.build_id}"
+    place = shared_dir(spark, "stayflow-builds", wh.build_id, "guarded")
     columns = ["host_id", "listing_count", "calendar_days", "booked_nights", "total_revenue"]
-    for _ in range(2):
-        guarded_overwrite(wh.dim_hosts().select(*columns), table)
-    return finalize(spark.table(table))
+    guarded_overwrite(wh.dim_hosts().select(*columns), table, location=place)
+    last = guarded_overwrite(spark.table(table), table, location=place)
+    schema = spark.table(table).schema
+    spark.sql(f"DROP TABLE {table}")
+    return finalize(spark.read.schema(schema).parquet(last.location))
 
 
 def build_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two retained builds of the listing mart, the second without never-reviewed listings and with deleted ones renamed:
-    what changed."""
+    what changed, and in which columns."""
     wh = Warehouse.for_dir(spark, sf_dir)
     path = shared_dir(spark, "stayflow-builds", wh.build_id, "retained_listings")
     mart = wh.dim_listings().select("listing_id", "listing_name", "list_price", "number_of_reviews", "is_deleted")
@@ -131,9 +137,22 @@ def build_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(diff_builds(spark, path, "listing_id", 1, 2))
 
 
+def marts_before_last_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four marts committed together as one build, then a build with other marts; rows of the build that was current in between."""
+    wh = Warehouse.for_dir(spark, sf_dir)
+    path = shared_dir(spark, "stayflow-builds", wh.build_id, "published")
+    between = wh.publish(path, 1).committed_at
+    commit_build(spark, path, 2, {n: df.limit(0) for n, df in wh.build_all().items()})
+    at = datetime.fromisoformat(between)
+    measure = {"fct_listing_daily": "price", "fct_reservations": "reservation_revenue", "dim_listings": "total_revenue", "dim_hosts": "total_revenue"}
+    parts = [read_build(spark, path, as_of=at, table=n).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(c).alias("measure")).select(F.lit(n).alias("mart"), "n_rows", F.col("measure").cast("decimal(38,2)").alias("measure"))
+             for n, c in measure.items()]
+    return finalize(reduce(DataFrame.unionByName, parts))
+
+
 SPARK = {f.__name__: f for f in [_mart(n) for n in ("fct_listing_daily", "fct_reservations", "dim_listings",
                                                      "dim_hosts")] + [
-    amenities_point_in_time, amenities_validity_join, daily_flags_in_force, revenue_reconciliation, listing_peak_revenue, host_portfolios, guarded_mart, build_diff]}
+    amenities_point_in_time, amenities_validity_join, daily_flags_in_force, revenue_reconciliation, listing_peak_revenue, host_portfolios, guarded_mart, build_diff, marts_before_last_build]}
 
 _VFLAGS = [_slug("is_verified_", v) for v in VERIFICATIONS]
 KINDS = {
@@ -223,5 +242,10 @@ ORACLE["guarded_mart"] = PRELUDE + "\n" + _norm(
     "SELECT host_id, listing_count, calendar_days, booked_nights, total_revenue FROM dim_hosts",
     {"host_id": I, "listing_count": I, "calendar_days": I, "booked_nights": I, "total_revenue": R})
 ORACLE["build_diff"] = PRELUDE + "\n" + _norm(
-    """SELECT listing_id, 'removed' AS change FROM dim_listings WHERE number_of_reviews = 0
-       UNION ALL SELECT listing_id, 'changed' FROM dim_listings WHERE is_deleted""", {"listing_id": I, "change": O})
+    """SELECT listing_id, 'removed' AS change, NULL AS columns_changed FROM dim_listings WHERE number_of_reviews = 0
+       UNION ALL SELECT listing_id, 'changed', 'listing_name' FROM dim_listings WHERE is_deleted""", {"listing_id": I, "change": O, "columns_changed": O})
+ORACLE["marts_before_last_build"] = PRELUDE + "\n" + _norm(
+    "SELECT 'fct_listing_daily' AS mart, count(*) AS n_rows, sum(price) AS measure FROM fct_listing_daily UNION ALL "
+    "SELECT 'fct_reservations', count(*), sum(reservation_revenue) FROM fct_reservations UNION ALL "
+    "SELECT 'dim_listings', count(*), sum(total_revenue) FROM dim_listings UNION ALL "
+    "SELECT 'dim_hosts', count(*), sum(total_revenue) FROM dim_hosts", {"mart": O, "n_rows": I, "measure": R})

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from stayflow.plans import build as B
 from stayflow.session import shared_dir
 from stayflow.sources import testdata
+from stayflow.sources.sinks import commit_build
 
 # fct_listing_daily is a projection of int_listing_daily, so it is a view over that written table
 _MATERIALIZED = ("order_days", "order_facts", "int_listing_daily", "fct_reservations", "dim_listings", "dim_hosts")
@@ -183,3 +184,7 @@ class Warehouse:
             if failed:
                 raise quality.QualityError(", ".join(f"{r.check_name}: {r.failing_rows} rows" for r in failed))
         return marts
+
+    def publish(self, path: str, build_id: int, enforce: bool = False):
+        """Commit the four marts to the build log under ``path``, all of them at once."""
+        return commit_build(self.spark, path, build_id, self.build_all(enforce))

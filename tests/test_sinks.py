@@ -148,3 +148,93 @@ def test_writers_of_the_daily_table_follow_the_shuffle_partitions(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert files[8] <= 8 < 20 < files[160] <= 40
+
+
+def _failing(df):
+    """A frame whose job fails after it has begun to write."""
+    return df.withColumn("v", F.when(F.col("id") == 7, F.raise_error(F.lit("broken row"))).otherwise(F.col("v")))
+
+
+def test_a_failed_write_leaves_the_old_rows(spark, tmp_dir):
+    import pytest
+
+    spark.sql("DROP TABLE IF EXISTS sink_f")
+    good = spark.range(5).selectExpr("id", "cast(id as string) as v")
+    guarded_overwrite(good, "sink_f", location=tmp_dir + "/f")
+    with pytest.raises(Exception, match="broken row"):
+        guarded_overwrite(_failing(spark.range(20).selectExpr("id", "cast(id as string) as v")), "sink_f", location=tmp_dir + "/f")
+    assert spark.table("sink_f").count() == 5 and len(os.listdir(tmp_dir + "/f")) == 1
+
+    def unique(written):
+        if written.count() != written.select("v").distinct().count():
+            raise ValueError("v is not unique")
+
+    with pytest.raises(ValueError, match="not unique"):
+        guarded_overwrite(spark.range(9).selectExpr("id", "'same' as v"), "sink_f", location=tmp_dir + "/f", check=unique)
+    assert sorted(r.v for r in spark.table("sink_f").collect()) == list("01234")
+    spark.sql("DROP TABLE sink_f")
+
+
+def test_readers_during_a_write_and_a_frame_that_reads_its_target(spark, tmp_dir):
+    spark.sql("DROP TABLE IF EXISTS sink_r")
+    guarded_overwrite(spark.range(5).selectExpr("id", "1 as v"), "sink_r", location=tmp_dir + "/r")
+    begun = spark.table("sink_r")  # planned on the old version
+    assert guarded_overwrite(spark.table("sink_r").selectExpr("id", "v + 1 as v"), "sink_r", location=tmp_dir + "/r").action == "overwritten"
+    assert begun.count() == 5
+    assert guarded_overwrite(spark.table("sink_r").where("id > 1"), "sink_r", location=tmp_dir + "/r").action == "overwritten"
+    assert sorted((r.id, r.v) for r in spark.table("sink_r").collect()) == [(2, 2), (3, 2), (4, 2)]
+    assert len(os.listdir(tmp_dir + "/r")) == 2  # the current version and the one before
+    assert guarded_overwrite(spark.table("sink_r").selectExpr("id", "cast(v as string) as v"), "sink_r", compare_types=False, location=tmp_dir + "/r").action == "overwritten"
+    assert dict(spark.table("sink_r").dtypes) == {"id": "bigint", "v": "int"} and spark.table("sink_r").count() == 3
+    spark.sql("DROP TABLE sink_r")
+
+
+def test_builds_by_time_expiry_and_all_tables_at_once(spark, tmp_dir):
+    import datetime as dt
+
+    import pytest
+
+    from stayflow.sources.sinks import build_log, commit_build, expire_builds, point_to_build
+
+    path = os.path.join(tmp_dir, "marts")
+    hour = lambda h: dt.datetime(2024, 5, 1, h, tzinfo=dt.timezone.utc)
+    frames = lambda n: {"a": spark.range(n), "b": spark.range(n).selectExpr("id", "id * 2 as v")}
+    for n in (1, 2, 3):
+        commit_build(spark, path, n, frames(n), at=hour(n))
+    with pytest.raises(Exception, match="broken row"):
+        commit_build(spark, path, 4, {"a": spark.range(9), "b": _failing(spark.range(20).selectExpr("id", "'x' as v"))}, at=hour(4))
+    assert [c.build_id for c in build_log(spark, path)] == [1, 2, 3]  # neither table of the failed build is seen
+    count = lambda **kw: read_build(spark, path, table="b", **kw).count()
+    assert (count(), count(as_of=hour(2)), count(as_of=hour(1) + dt.timedelta(minutes=5)), count(build_id=2)) == (3, 2, 1, 2)
+    with pytest.raises(LookupError, match="no build"):
+        read_build(spark, path, as_of=hour(0), table="a")
+    point_to_build(spark, path, 1, at=hour(5))
+    assert count() == 1 and count(as_of=hour(4)) == 3
+    assert expire_builds(spark, path, hour(3)) == [1, 2]  # build 1 is current again through a later entry: its rows stay
+    assert expire_builds(spark, path, hour(3)) == []
+    assert count() == 1 and count(as_of=hour(3)) == 3
+    with pytest.raises(LookupError, match="expired"):
+        read_build(spark, path, build_id=2, table="a")
+    assert len(os.listdir(path + "/b")) == 2
+
+
+def test_two_writers_get_two_entries(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from stayflow.sources.sinks import build_log
+
+    path = os.path.join(tmp_dir, "mart")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: write_build(spark.range(i), path, i), range(1, 9)))
+    entries = build_log(spark, path)
+    assert sorted(c.build_id for c in entries) == list(range(1, 9)) and len({c.number for c in entries}) == 8
+    assert all(read_build(spark, path, i).count() == i for i in range(1, 9))
+
+
+def test_diff_names_the_columns(spark):
+    from stayflow.sources.sinks import diff_frames
+
+    a = spark.createDataFrame([(1, "x", 1, None), (2, "y", 2, 2.0), (None, "n", 0, 0.0)], "k long, s string, i int, old double")
+    b = spark.createDataFrame([(1, "z", 1, None, True), (2, "y", None, 2.0, None), (None, "n", 0, 0.0, None), (3, "q", 1, 1.0, None)], "k long, s string, i int, old double, new boolean")
+    assert {(r.k, r.change, r.columns_changed) for r in diff_frames(a, b, "k").collect()} == {(1, "changed", "s,new"), (2, "changed", "i"), (3, "added", None)}
+    assert diff_frames(a, a, "k").count() == 0
