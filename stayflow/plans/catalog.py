@@ -44,7 +44,10 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def check_windows_over_cap(spark, sf_dir):
         return questions.finalize(quality._windows_over_cap(Warehouse.for_dir(spark, sf_dir)))
 
-    for fn in (quality_summary, check_host_attributes_consistent, check_windows_over_cap):
+    def blocks_return_rows(spark, sf_dir):
+        return questions.finalize(quality.blocks_return_rows(Warehouse.for_dir(spark, sf_dir)))
+
+    for fn in (quality_summary, check_host_attributes_consistent, check_windows_over_cap, blocks_return_rows):
         out[fn.__name__] = fn
     return out
 
@@ -59,4 +62,5 @@ def oracle_queries() -> dict[str, str]:
     out["quality_summary"] = quality_oracle.QUALITY_SUMMARY
     out["check_host_attributes_consistent"] = quality_oracle.HOST_ATTRIBUTES
     out["check_windows_over_cap"] = quality_oracle.WINDOWS_OVER_CAP
+    out["blocks_return_rows"] = quality_oracle.BLOCKS_RETURN_ROWS
     return out

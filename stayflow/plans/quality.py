@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.operators.entity import orphans
-from stayflow.operators.vocab import vocabulary_drift
+from stayflow.operators.keys import ORPHAN_KEYS, ORPHAN_ROWS, UNIQUE, KeyCheck, check_keys
 from stayflow.plans import models
 from stayflow.plans.warehouse import Warehouse
 from stayflow.sources.seeds import load_vocabulary
@@ -102,9 +102,9 @@ def nonempty(df: DataFrame, label: str) -> DataFrame:
 # ----------------------------------------------------------------- the suite
 @dataclass(frozen=True)
 class Check:
-    """A check is either a failing-rows builder, or a row predicate over a
-    source relation (``source``, ``predicate``); predicate checks on the same
-    relation are counted together in one pass by ``run_checks``."""
+    """A check is a failing-rows builder, a row predicate over a source relation (``source``, ``predicate``), or a key check.
+    ``run_checks`` counts predicate checks on the same relation together in one pass, and all key checks in one pass over each
+    relation and one shuffle."""
 
     name: str
     severity: str
@@ -112,9 +112,28 @@ class Check:
     failing: Callable[[Warehouse], DataFrame] | None = None
     source: Callable[[Warehouse], DataFrame] | None = None
     predicate: Column | None = None
+    key: KeyCheck | None = None
 
     def rows(self, wh: Warehouse) -> DataFrame:
-        return self.failing(wh) if self.failing is not None else self.source(wh).filter(self.predicate)
+        if self.key is None:
+            return self.failing(wh) if self.failing is not None else self.source(wh).filter(self.predicate)
+        child = _relation(wh, self.key.child)
+        if self.key.kind == UNIQUE:
+            return unique(child, self.key.child_columns)
+        fk, pk = self.key.child_columns[0], self.key.parent_columns[0]
+        lost = orphans(child, _relation(wh, self.key.parent), fk, pk)
+        return lost.select(F.col(fk).alias("value")).distinct() if self.key.kind == ORPHAN_KEYS else lost
+
+
+def _relation(wh: Warehouse, name: str) -> DataFrame:
+    """A relation of the build, a seed, or a vocabulary that the build pivots on (the checked-in seeds by default)."""
+    if name in ("seed_amenity", "seed_verification"):
+        return load_vocabulary(wh.spark, name.removeprefix("seed_"))
+    if name == "amenities":
+        return wh.spark.createDataFrame([(v,) for v in wh.cfg.amenities], "amenity_name string")
+    if name == "verifications":
+        return wh.spark.createDataFrame([(v,) for v in wh.cfg.verifications], "verification_method string")
+    return wh.relation(name)
 
 
 def _deleted_listings_off(wh: Warehouse) -> DataFrame:
@@ -135,29 +154,19 @@ def _windows_over_cap(wh: Warehouse) -> DataFrame:
 
 def checks(wh: Warehouse) -> list[Check]:
     spark = wh.spark
-    # the vocabularies the build pivots on (the checked-in seeds by default)
-    amen_vocab = lambda: spark.createDataFrame([(v,) for v in wh.cfg.amenities], "amenity_name string")
-    ver_vocab = lambda: spark.createDataFrame([(v,) for v in wh.cfg.verifications],
-                                              "verification_method string")
     return [
         # unique
-        Check("unique_stg_calendar_calendar_id", "error", "stg_calendar", lambda w: unique(w.stg_calendar(), "calendar_id")),
-        Check("unique_stg_calendar_grain", "error", "stg_calendar",
-              lambda w: unique(w.stg_calendar(), ["listing_id", "calendar_date"])),
-        Check("unique_stg_changelog_id", "error", "stg_amenities_changelog",
-              lambda w: unique(w.stg_amenities_changelog(), "amenities_change_id")),
-        Check("unique_stg_listings_listing_id", "error", "stg_listings", lambda w: unique(w.stg_listings(), "listing_id")),
-        Check("unique_int_listings_listing_id", "error", "int_listings", lambda w: unique(w.int_listings(), "listing_id")),
-        Check("unique_fct_listing_daily_calendar_id", "error", "fct_listing_daily",
-              lambda w: unique(w.fct_listing_daily(), "calendar_id")),
-        Check("unique_fct_reservations_key", "error", "fct_reservations",
-              lambda w: unique(w.fct_reservations(), "reservation_key")),
-        Check("unique_dim_listings_listing_id", "error", "dim_listings", lambda w: unique(w.dim_listings(), "listing_id")),
-        Check("unique_dim_hosts_host_id", "error", "dim_hosts", lambda w: unique(w.dim_hosts(), "host_id")),
-        Check("unique_seed_amenity_name", "error", "seed_amenity",
-              lambda w: unique(load_vocabulary(spark, "amenity"), "amenity_name")),
-        Check("unique_seed_verification_method", "error", "seed_verification",
-              lambda w: unique(load_vocabulary(spark, "verification"), "verification_method")),
+        Check("unique_stg_calendar_calendar_id", "error", "stg_calendar", key=KeyCheck("unique_stg_calendar_calendar_id", UNIQUE, "stg_calendar", ("calendar_id",))),
+        Check("unique_stg_calendar_grain", "error", "stg_calendar", key=KeyCheck("unique_stg_calendar_grain", UNIQUE, "stg_calendar", ("listing_id", "calendar_date"))),
+        Check("unique_stg_changelog_id", "error", "stg_amenities_changelog", key=KeyCheck("unique_stg_changelog_id", UNIQUE, "stg_amenities_changelog", ("amenities_change_id",))),
+        Check("unique_stg_listings_listing_id", "error", "stg_listings", key=KeyCheck("unique_stg_listings_listing_id", UNIQUE, "stg_listings", ("listing_id",))),
+        Check("unique_int_listings_listing_id", "error", "int_listings", key=KeyCheck("unique_int_listings_listing_id", UNIQUE, "int_listings", ("listing_id",))),
+        Check("unique_fct_listing_daily_calendar_id", "error", "fct_listing_daily", key=KeyCheck("unique_fct_listing_daily_calendar_id", UNIQUE, "fct_listing_daily", ("calendar_id",))),
+        Check("unique_fct_reservations_key", "error", "fct_reservations", key=KeyCheck("unique_fct_reservations_key", UNIQUE, "fct_reservations", ("reservation_key",))),
+        Check("unique_dim_listings_listing_id", "error", "dim_listings", key=KeyCheck("unique_dim_listings_listing_id", UNIQUE, "dim_listings", ("listing_id",))),
+        Check("unique_dim_hosts_host_id", "error", "dim_hosts", key=KeyCheck("unique_dim_hosts_host_id", UNIQUE, "dim_hosts", ("host_id",))),
+        Check("unique_seed_amenity_name", "error", "seed_amenity", key=KeyCheck("unique_seed_amenity_name", UNIQUE, "seed_amenity", ("amenity_name",))),
+        Check("unique_seed_verification_method", "error", "seed_verification", key=KeyCheck("unique_seed_verification_method", UNIQUE, "seed_verification", ("verification_method",))),
         # rejected at staging (kept as a count, as the reference reports its NULL-id rows)
         Check("rejected_null_listing_ids", "warn", "listings",
               lambda w: w.raw("listings").filter(F.col("id").isNull())),
@@ -188,20 +197,13 @@ def checks(wh: Warehouse) -> list[Check]:
         Check("not_null_dim_hosts", "error", "dim_hosts", source=lambda w: w.dim_hosts(),
               predicate=null_in(["host_id", "listing_count", "host_tenure_years"])),
         # relationships
-        Check("relationship_calendar_to_listings", "warn", "stg_calendar",
-              lambda w: orphans(w.stg_calendar(), w.stg_listings(), "listing_id")),
-        Check("relationship_changelog_to_listings", "warn", "stg_amenities_changelog",
-              lambda w: orphans(w.stg_amenities_changelog(), w.stg_listings(), "listing_id")),
-        Check("relationship_fct_daily_to_dim_listings", "error", "fct_listing_daily",
-              lambda w: orphans(w.fct_listing_daily(), w.dim_listings(), "listing_id")),
-        Check("relationship_fct_reservations_to_dim_listings", "error", "fct_reservations",
-              lambda w: orphans(w.fct_reservations(), w.dim_listings(), "listing_id")),
-        Check("relationship_listings_to_amenities", "warn", "int_listings",
-              lambda w: orphans(w.int_listings(), w.int_listing_amenities().select("listing_id").distinct(), "listing_id")),
-        Check("relationship_amenity_to_vocabulary", "warn", "int_listing_amenities",
-              lambda w: orphans(w.int_listing_amenities(), amen_vocab(), "amenity_name")),
-        Check("relationship_verification_to_vocabulary", "warn", "int_host_verifications",
-              lambda w: orphans(w.int_host_verifications(), ver_vocab(), "verification_method")),
+        Check("relationship_calendar_to_listings", "warn", "stg_calendar", key=KeyCheck("relationship_calendar_to_listings", ORPHAN_ROWS, "stg_calendar", ("listing_id",), "stg_listings", ("listing_id",))),
+        Check("relationship_changelog_to_listings", "warn", "stg_amenities_changelog", key=KeyCheck("relationship_changelog_to_listings", ORPHAN_ROWS, "stg_amenities_changelog", ("listing_id",), "stg_listings", ("listing_id",))),
+        Check("relationship_fct_daily_to_dim_listings", "error", "fct_listing_daily", key=KeyCheck("relationship_fct_daily_to_dim_listings", ORPHAN_ROWS, "fct_listing_daily", ("listing_id",), "dim_listings", ("listing_id",))),
+        Check("relationship_fct_reservations_to_dim_listings", "error", "fct_reservations", key=KeyCheck("relationship_fct_reservations_to_dim_listings", ORPHAN_ROWS, "fct_reservations", ("listing_id",), "dim_listings", ("listing_id",))),
+        Check("relationship_listings_to_amenities", "warn", "int_listings", key=KeyCheck("relationship_listings_to_amenities", ORPHAN_ROWS, "int_listings", ("listing_id",), "int_listing_amenities", ("listing_id",))),
+        Check("relationship_amenity_to_vocabulary", "warn", "int_listing_amenities", key=KeyCheck("relationship_amenity_to_vocabulary", ORPHAN_ROWS, "int_listing_amenities", ("amenity_name",), "amenities", ("amenity_name",))),
+        Check("relationship_verification_to_vocabulary", "warn", "int_host_verifications", key=KeyCheck("relationship_verification_to_vocabulary", ORPHAN_ROWS, "int_host_verifications", ("verification_method",), "verifications", ("verification_method",))),
         # values and ranges
         Check("accepted_values_room_type", "error", "stg_listings", source=lambda w: w.stg_listings(),
               predicate=outside_values("room_type", ROOM_TYPES)),
@@ -228,13 +230,12 @@ def checks(wh: Warehouse) -> list[Check]:
                                              w.fct_listing_daily().select(F.min("calendar_date")).scalar())),
         Check("stay_cap_binds", "warn", "fct_listing_daily", lambda w: nonempty(_windows_over_cap(w), "cap never binds")),
         # vocabulary drift
-        Check("amenity_values_outside_vocabulary", "warn", "int_listing_amenities",
-              lambda w: vocabulary_drift(w.int_listing_amenities(), "amenity_name", amen_vocab(), "amenity_name")[0]),
-        Check("amenity_vocabulary_unused", "warn", "seed_amenity",
-              lambda w: vocabulary_drift(w.int_listing_amenities(), "amenity_name", amen_vocab(), "amenity_name")[1]),
-        Check("verification_vocabulary_unused", "warn", "seed_verification",
-              lambda w: vocabulary_drift(w.int_host_verifications(), "verification_method", ver_vocab(),
-                                         "verification_method")[1]),
+        Check("amenity_values_outside_vocabulary", "warn", "int_listing_amenities", key=KeyCheck(
+            "amenity_values_outside_vocabulary", ORPHAN_KEYS, "int_listing_amenities", ("amenity_name",), "amenities", ("amenity_name",))),
+        Check("amenity_vocabulary_unused", "warn", "seed_amenity", key=KeyCheck(
+            "amenity_vocabulary_unused", ORPHAN_KEYS, "amenities", ("amenity_name",), "int_listing_amenities", ("amenity_name",))),
+        Check("verification_vocabulary_unused", "warn", "seed_verification", key=KeyCheck(
+            "verification_vocabulary_unused", ORPHAN_KEYS, "verifications", ("verification_method",), "int_host_verifications", ("verification_method",))),
     ]
 
 
@@ -242,12 +243,20 @@ def run_checks(wh: Warehouse, only: Sequence[str] | None = None) -> DataFrame:
     """One row per check: name, severity, relation, failing row count, status (pass, warn or fail).
 
     Predicate checks on one relation are counted in a single pass over it
-    (one ``count_if`` per check); every other check is one aggregation. All
-    parts are unioned into one result (one job)."""
+    (one ``count_if`` per check), key checks together in one pass over each relation and one shuffle; every
+    other check is one aggregation. All parts are unioned into one result (one job)."""
     selected = [c for c in checks(wh) if not only or c.name in only]
     parts = []
     by_relation: dict[str, list[Check]] = {}
+    keyed = [c for c in selected if c.key is not None]
+    if keyed:
+        named = {n for c in keyed for n in (c.key.child, c.key.parent) if n}
+        found = check_keys({n: _relation(wh, n) for n in sorted(named)}, [c.key for c in keyed])
+        about = wh.spark.createDataFrame([(c.name, c.severity, c.relation) for c in keyed], "check_name string, severity string, relation string")
+        parts.append(about.join(found, "check_name").select("check_name", "severity", "relation", "failing_rows"))
     for c in selected:
+        if c.key is not None:
+            continue
         if c.failing is None:
             by_relation.setdefault(c.relation, []).append(c)
             continue
@@ -265,13 +274,35 @@ def run_checks(wh: Warehouse, only: Sequence[str] | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 
 
-def questions_return_rows(wh: Warehouse, names: Sequence[str] | None = None) -> dict[str, bool]:
-    """Each distinct question block returns at least one row (run once each)."""
+def distinct_blocks(wh: Warehouse, names: Sequence[str] | None = None) -> dict[str, tuple[DataFrame, list[str]]]:
+    """Question blocks by plan: the first name of each, its frame, and all names whose plans give the same rows."""
     from stayflow.plans.questions import QUESTIONS
 
-    out = {}
-    for name, fn in sorted(QUESTIONS.items()):
+    out: dict[str, tuple[DataFrame, list[str]]] = {}
+    by_hash: dict[int, list[str]] = {}
+    for name, make in sorted(QUESTIONS.items()):
         if names and name not in names:
             continue
-        out[name] = fn(wh).limit(1).count() > 0
+        df = make(wh)
+        same = next((n for n in by_hash.setdefault(df.semanticHash(), []) if out[n][0].sameSemantics(df)), None)
+        if same:
+            out[same][1].append(name)
+        else:
+            by_hash[df.semanticHash()].append(name)
+            out[name] = (df, [name])
     return out
+
+
+def blocks_return_rows(wh: Warehouse, names: Sequence[str] | None = None) -> DataFrame:
+    """One row per question block: block, returns_rows. Each distinct plan is asked once, for one row, as a scalar subquery; all of them
+    are one query, run side by side."""
+    asked = []
+    for df, same in distinct_blocks(wh, names).values():
+        there = df.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar() > 0
+        asked += [F.struct(F.lit(n).alias("block"), there.alias("returns_rows")) for n in same]
+    return wh.spark.range(1).select(F.explode(F.array(*asked)).alias("r")).select("r.*")
+
+
+def questions_return_rows(wh: Warehouse, names: Sequence[str] | None = None) -> dict[str, bool]:
+    """``blocks_return_rows`` as a dictionary."""
+    return {r.block: r.returns_rows for r in blocks_return_rows(wh, names).collect()}

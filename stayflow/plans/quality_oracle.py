@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stayflow.plans.oracle import AMENITIES, PRELUDE, VERIFICATIONS, _norm
+from stayflow.plans.oracle import AMENITIES, PRELUDE, QUESTIONS_SQL, VERIFICATIONS, _norm
 
 _AV = "(SELECT * FROM (VALUES " + ", ".join(f"('{v}')" for v in AMENITIES) + ") AS t(amenity_name))"
 _VV = "(SELECT * FROM (VALUES " + ", ".join(f"('{v}')" for v in VERIFICATIONS) + ") AS t(verification_method))"
@@ -121,3 +121,14 @@ HOST_ATTRIBUTES = PRELUDE + "\n" + _norm(_HOST_ATTRS, {
 
 WINDOWS_OVER_CAP = PRELUDE + "\n" + _norm(_OVER_CAP, {
     "listing_id": "i", "availability_window_seq": "i", "calendar_nights": "i", "max_maximum_nights": "i"})
+
+
+def _block(sql: str) -> str:
+    """A block's SQL without the prelude, as a subquery."""
+    own = sql[len(PRELUDE):].strip()
+    return "WITH" + own[1:] if own.startswith(",") else own
+
+
+BLOCKS_RETURN_ROWS = PRELUDE + "\n" + _norm(
+    " UNION ALL ".join(f"SELECT '{n}' AS block, EXISTS (SELECT 1 FROM ({_block(q)})) AS returns_rows" for n, q in sorted(QUESTIONS_SQL.items())),
+    {"block": "o", "returns_rows": "o"})
