@@ -2,6 +2,7 @@
 
 from stayflow.operators.asof import asof_join  # noqa: F401
 from stayflow.operators.dedupe import dedupe, latest_per_key  # noqa: F401
+from stayflow.operators.distinct import dense_ids, distinct_counts, distinct_state, merge_states  # noqa: F401
 from stayflow.operators.entity import entity_universe, orphans, reconstruct_entity  # noqa: F401
 from stayflow.operators.flatten import flatten_json_array  # noqa: F401
 from stayflow.operators.intervals import interval_join, validity  # noqa: F401

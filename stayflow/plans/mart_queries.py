@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.operators.asof import asof_join
+from stayflow.operators.distinct import dense_ids, distinct_counts, distinct_state
 from stayflow.operators.intervals import interval_join, validity
 from stayflow.plans import build
 from stayflow.plans.oracle import FACT_FLAGS, LISTING_FLAGS, PRELUDE, VERIFICATIONS, _norm, _slug, sv
@@ -111,6 +112,39 @@ def host_portfolios(spark: SparkSession, sf_dir: str) -> DataFrame:
         [f"host.{m}" for m in HOST_METRICS], ["host.host_location", "host.has_bookings"]))
 
 
+DISTINCT_GRAINS = (("month_start_date", "neighborhood"), ("month_start_date",), ("neighborhood",), ())
+
+
+def listings_and_hosts_by_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings and hosts of the daily fact at four grains, all from one mergeable state at the finest."""
+    wh = Warehouse.for_dir(spark, sf_dir)
+    daily = wh.fct_listing_daily().select("month_start_date", "neighborhood", "listing_id", "host_id")
+    listings, hosts = dense_ids(wh.dim_listings(), "listing_id", "listing_no"), dense_ids(wh.dim_hosts(), "host_id", "host_no")
+    state = distinct_state(daily.join(listings, "listing_id").join(hosts, "host_id", "left"), DISTINCT_GRAINS[0], {"listings": "listing_no", "hosts": "host_no"})
+    path = shared_dir(spark, "stayflow-builds", wh.build_id, "distinct_state")
+    state.write.mode("overwrite").parquet(path)
+    state = spark.read.schema(state.schema).parquet(path)
+    parts = []
+    for grain in DISTINCT_GRAINS:
+        one = distinct_counts(state, grain, ["listings", "hosts"])
+        parts.append(one.select(F.lit(",".join(grain)).alias("grain"), *((F.col(c) if c in grain else F.lit(None).cast(state.schema[c].dataType)).alias(c)
+                                                                         for c in DISTINCT_GRAINS[0]), "listings", "hosts"))
+    return finalize(reduce(DataFrame.unionByName, parts))
+
+
+Q04_METRICS = ("listings", "avg_occupancy_rate", "avg_achieved_rate", "median_revenue_per_listing", "hosts")
+Q04_GRAINS = (("neighborhood",), ("room_type",), ("neighborhood", "room_type"), ())
+
+
+def q04_all_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blocks of q04 (and the total) from one scan of the listing model, with a median and a distinct count beside them."""
+    from stayflow.plans import models
+
+    model = models.listing_performance(Warehouse.for_dir(spark, sf_dir))
+    return finalize(model.query_grains([f"listing.{m}" for m in Q04_METRICS], [[f"listing.{d}" for d in g] for g in Q04_GRAINS],
+                                       where=lambda c: ~c("listing.is_deleted")))
+
+
 def guarded_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The host mart written twice through the guarded sink: created, then overwritten from a frame that reads the table itself.
     The catalog entry goes again; its last version is what is read."""
@@ -152,7 +186,8 @@ def marts_before_last_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SPARK = {f.__name__: f for f in [_mart(n) for n in ("fct_listing_daily", "fct_reservations", "dim_listings",
                                                      "dim_hosts")] + [
-    amenities_point_in_time, amenities_validity_join, daily_flags_in_force, revenue_reconciliation, listing_peak_revenue, host_portfolios, guarded_mart, build_diff, marts_before_last_build]}
+    amenities_point_in_time, amenities_validity_join, daily_flags_in_force, revenue_reconciliation, listing_peak_revenue, host_portfolios, guarded_mart, build_diff, marts_before_last_build,
+    listings_and_hosts_by_grain, q04_all_grains]}
 
 _VFLAGS = [_slug("is_verified_", v) for v in VERIFICATIONS]
 KINDS = {
@@ -249,3 +284,19 @@ ORACLE["marts_before_last_build"] = PRELUDE + "\n" + _norm(
     "SELECT 'fct_reservations', count(*), sum(reservation_revenue) FROM fct_reservations UNION ALL "
     "SELECT 'dim_listings', count(*), sum(total_revenue) FROM dim_listings UNION ALL "
     "SELECT 'dim_hosts', count(*), sum(total_revenue) FROM dim_hosts", {"mart": O, "n_rows": I, "measure": R})
+
+
+def _grains(grains, select: str) -> str:
+    """One grouped SELECT per grain, dimensions outside a grain as NULL."""
+    every = list(dict.fromkeys(c for g in grains for c in g))
+    return " UNION ALL ".join(
+        f"SELECT '{','.join(g)}' AS grain, {', '.join(c if c in g else f'NULL AS {c}' for c in every)}, {select}" + (f" GROUP BY {', '.join(g)}" if g else "")
+        for g in grains)
+
+
+ORACLE["listings_and_hosts_by_grain"] = PRELUDE + "\n" + _norm(
+    _grains(DISTINCT_GRAINS, "count(DISTINCT listing_id) AS listings, count(DISTINCT host_id) AS hosts FROM fct_listing_daily"),
+    {"grain": O, "month_start_date": O, "neighborhood": O, "listings": I, "hosts": I})
+ORACLE["q04_all_grains"] = PRELUDE + "\n" + _norm(" UNION ALL BY NAME ".join(
+    f"SELECT '{','.join(g)}' AS grain, * FROM ({sv('P', Q04_METRICS, g, 'NOT l.is_deleted')[0]})" for g in Q04_GRAINS),
+    {"grain": O, "neighborhood": O, "room_type": O, "listings": I, "avg_occupancy_rate": R, "avg_achieved_rate": R, "median_revenue_per_listing": R, "hosts": I})

@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -155,26 +156,10 @@ class Model:
         return df.select(*base, *derived)
 
     # -------------------------------------------------------------- query
-    def query(self, metrics: Sequence[str] = (), dimensions: Sequence[str] = (), facts: Sequence[str] = (),
-              where: Callable[[Getter], Column] | None = None, keep_unmatched: bool = False) -> DataFrame:
-        if metrics and facts:
-            raise SemanticError(f"{self.name}: facts and metrics cannot be combined in one query")
-        if not metrics and not facts and not dimensions:
-            raise SemanticError(f"{self.name}: empty query")
-        dims = [self._resolve(d, self.dimensions) for d in dimensions]
-        fcts = [self._resolve(f, self.facts) for f in facts]
-        mets = [self._resolve(m, self.metrics) for m in metrics]
-        if fcts:
-            owners = {_split(q)[0] for q in dims + fcts}
-            if len(owners) > 1:
-                raise SemanticError(f"{self.name}: facts and dimensions of one facts query must come from "
-                                    f"one table, got {sorted(owners)}")
-            table = self.tables[owners.pop()]
-            asked = {self.dimensions[q] for q in dims}
-            if table.primary_key not in asked and not (table.grain and asked.issuperset(table.grain)):
-                raise SemanticError(f"{self.name}: a facts query needs the key {table.primary_key!r} of its table "
-                                    "among its dimensions")
-
+    def _frame(self, dims: list[str], fcts: list[str], mets: list[str], where: Callable[[Getter], Column] | None, how: str,
+               join_late: bool = True) -> tuple[DataFrame, Callable[[str], Column], list[str]]:
+        """The joined and filtered rows of a query, the column of each member in them, and the parents left to join after the
+        aggregation."""
         referenced: set[str] = {_split(q)[0] for q in dims + fcts}
         where_tables: set[str] = set()
 
@@ -218,13 +203,12 @@ class Model:
         if base_alias is None:
             # a facts/dimensions query on one non-measure table reads that table alone
             base_alias = next(iter(referenced))
-        how = "left" if keep_unmatched else "inner"
         # Join after aggregating: a direct parent whose referenced members are all dimensions, that no filter
         # and no further parent needs, and whose foreign key is itself a grouping key, adds only attributes
         # that depend on that key. The aggregate is computed on the fact alone and the parent joined to the
         # (much smaller) result, instead of joining every fact row before the aggregation.
         late: list[str] = []
-        if mets:
+        if mets and join_late:
             for t in sorted(referenced - {self.measure_table}):
                 path = self._path(t)
                 if len(path) != 1 or t in where_tables:
@@ -247,6 +231,30 @@ class Model:
                 joined.add(r.parent)
         if where_col is not None:
             frame = frame.filter(where_col)
+        return frame, column_of, late
+
+    def query(self, metrics: Sequence[str] = (), dimensions: Sequence[str] = (), facts: Sequence[str] = (),
+              where: Callable[[Getter], Column] | None = None, keep_unmatched: bool = False) -> DataFrame:
+        if metrics and facts:
+            raise SemanticError(f"{self.name}: facts and metrics cannot be combined in one query")
+        if not metrics and not facts and not dimensions:
+            raise SemanticError(f"{self.name}: empty query")
+        dims = [self._resolve(d, self.dimensions) for d in dimensions]
+        fcts = [self._resolve(f, self.facts) for f in facts]
+        mets = [self._resolve(m, self.metrics) for m in metrics]
+        if fcts:
+            owners = {_split(q)[0] for q in dims + fcts}
+            if len(owners) > 1:
+                raise SemanticError(f"{self.name}: facts and dimensions of one facts query must come from "
+                                    f"one table, got {sorted(owners)}")
+            table = self.tables[owners.pop()]
+            asked = {self.dimensions[q] for q in dims}
+            if table.primary_key not in asked and not (table.grain and asked.issuperset(table.grain)):
+                raise SemanticError(f"{self.name}: a facts query needs the key {table.primary_key!r} of its table "
+                                    "among its dimensions")
+
+        how = "left" if keep_unmatched else "inner"
+        frame, column_of, late = self._frame(dims, fcts, mets, where, how)
 
         def out_name(q: str) -> str:
             return _split(q)[1]
@@ -278,6 +286,55 @@ class Model:
         final_dims = [column_of(q).alias(out_name(q)) if _split(q)[0] in late else F.col(out_name(q)) for q in dims]
         return out.select(*final_dims, *[F.col(out_name(q)) for q in mets])
 
+    def query_grains(self, metrics: Sequence[str], grains: Sequence[Sequence[str]],
+                     where: Callable[[Getter], Column] | None = None, keep_unmatched: bool = False) -> DataFrame:
+        """The metrics at several grains (lists of dimensions) from one scan and one set of joins: column ``grain`` (the names of the
+        grain's dimensions, comma-separated; empty for the total), all dimensions (null outside a row's grain), metrics.
+
+        Each grain's rows equal ``query(metrics, grain, where)`` when every grain's dimensions reach the same parents; a
+        parent joined for one grain drops rows without it from all of them, so grains that need different parents are an
+        error unless ``keep_unmatched`` keeps such rows or the parent is complete."""
+        if not metrics or not grains:
+            raise SemanticError(f"{self.name}: grains need metrics and at least one list of dimensions")
+        mets = [self._resolve(m, self.metrics) for m in metrics]
+        asked = [[self._resolve(d, self.dimensions) for d in grain] for grain in grains]
+        if len({frozenset(g) for g in asked}) < len(asked):
+            raise SemanticError(f"{self.name}: the same grain is asked for twice")
+        dims = list(dict.fromkeys(q for grain in asked for q in grain))
+        names = {q: _split(q)[1] for q in dims}
+        if len(set(names.values())) < len(dims):
+            raise SemanticError(f"{self.name}: two dimensions have the same name")
+        if not keep_unmatched:
+            lossy = [{r.parent for q in grain for r in self._path(_split(q)[0]) if not r.complete} for grain in asked]
+            if any(x != lossy[0] for x in lossy):
+                raise SemanticError(f"{self.name}: the grains reach different parents ({sorted(set().union(*lossy))}), which can drop rows")
+        frame, column_of, _ = self._frame(dims, [], mets, where, "left" if keep_unmatched else "inner", join_late=False)
+        getter = lambda c: F.col(f"{self.measure_table}__{c}")
+        made = {q: self.metrics[q](getter) for q in mets}
+        plain = [e.alias(_split(q)[1]) for q, e in made.items() if not isinstance(e, Percentile)]
+        rows = frame.select("*", *(column_of(q).alias(n) for q, n in names.items()))
+        number = F.grouping_id() if dims else F.lit(0)
+        # bit i of the grouping id (from the left) is set where dimension i is not part of the grain
+        code = {",".join(names[q] for q in grain): sum(1 << (len(dims) - 1 - i) for i, q in enumerate(dims) if q not in grain) for grain in asked}
+        label = lambda c: F.coalesce(*(F.when(c == v, F.lit(g)) for g, v in code.items()))
+        sets = [[F.col(names[q]) for q in grain] for grain in asked]
+        if dims:
+            out = rows.groupingSets(sets, *(F.col(n) for n in names.values())).agg(number.alias("_grain"), *plain)
+        else:
+            out = rows.agg(number.alias("_grain"), *plain)
+        out = out.select(label(F.col("_grain")).alias("grain"), *names.values(), *(c for c in out.columns if c not in names.values() and c != "_grain"))
+        for q, p in made.items():
+            if isinstance(p, Percentile):
+                parts = []
+                for grain, g in zip(asked, code):
+                    one = exact_percentile(rows.select(*(names[d] for d in grain), p.value.alias("_measure")), [names[d] for d in grain], "_measure", p.fraction, _split(q)[1])
+                    parts.append(one.select(F.lit(g).alias("_of_grain"), *((F.col(n) if d in grain else F.lit(None).cast(rows.schema[n].dataType)).alias(f"_of_{n}")
+                                                                           for d, n in names.items()), _split(q)[1]))
+                side = reduce(DataFrame.unionByName, parts)
+                on = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in ("grain", *names.values())]
+                out = out.join(side, on).drop("_of_grain", *(f"_of_{n}" for n in names.values()))
+        return out.select("grain", *names.values(), *(_split(q)[1] for q in mets))
+
     @staticmethod
     def _aggregate(frame: DataFrame, dims: dict[str, Column], aggregates: list[Column],
                    percentiles: dict[str, Percentile]) -> DataFrame:
