@@ -101,8 +101,9 @@ def gradients(p: dict[str, np.ndarray], x: np.ndarray, out: np.ndarray, kept: tu
 def fit(x: np.ndarray, n: np.ndarray, y: np.ndarray, epochs: int = 20, batch: int = 64, rate: float = 0.005,
         decay: float = 1e-4, seed: int = 7) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    mean, scale = x.mean(0), x.std(0) + 0.02
-    x = (x - mean) / scale
+    mean, scale = x.mean(0, dtype=float), x.std(0, dtype=float) + 0.02
+    x -= mean.astype(x.dtype)  # in place: the bags are the largest thing the driver holds
+    x /= scale.astype(x.dtype)
     first = np.concatenate([[0], np.cumsum(n)])
     p = start_weights(rng)
     m = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
@@ -124,29 +125,41 @@ def fit(x: np.ndarray, n: np.ndarray, y: np.ndarray, epochs: int = 20, batch: in
     return p | {"mean": mean, "scale": scale}
 
 
-def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, texts in _text.blocks(batches):
-        x, n = passages(texts)
-        ends = np.cumsum(n)
-        yield pa.RecordBatch.from_arrays(
-            [part.column(0), part.column(part.schema.get_field_index("quality")).cast(pa.int32()), pa.array(n.astype(np.int32)),
-             pa.array([x[e - k : e].tobytes() for e, k in zip(ends.tolist(), n.tolist())], pa.binary())],
-            names=["doc_id", "quality", "n", "x"])
-
-
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, bag_limit: int = 256) -> dict[str, np.ndarray] | None:
-    """Weights learned outside the held-out fold, or None without both classes."""
+def _bags(limit: int):
+    """One bag per labelled text: all its passages, or ``limit`` of them chosen by a hash of their number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _text.blocks(batches):
+            x, n = passages(texts)
+            bags = []
+            for end, k in zip(np.cumsum(n).tolist(), n.tolist()):
+                bag = x[end - k : end]
+                if k > limit:
+                    bag = bag[np.sort(np.argsort(_text.mix(np.arange(1, k + 1, dtype=np.uint64)), kind="stable")[:limit])]
+                bags.append(bag)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(part.schema.get_field_index("quality")).cast(pa.int32()), pa.array([len(b) for b in bags], pa.int32()),
+                 pa.array([b.tobytes() for b in bags], pa.binary())], names=["doc_id", "quality", "n", "x"])
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, bag_limit: int = 64) -> dict[str, np.ndarray] | None:
+    """Weights learned outside the held-out fold, or None without both classes. The fit reads at most ``sample_rows`` labelled
+    documents, chosen by hash, and ``bag_limit`` passages of each: about 105 MB at the driver with the defaults."""
     chosen = (labels.select("doc_id", "quality").where("quality IN (0, 1) AND doc_id IS NOT NULL").where(~held_out("doc_id"))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_rows))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .mapInArrow(_bags, f"doc_id {kind}, quality int, n int, x binary").where(F.col("n") <= bag_limit)
+            .mapInArrow(_bags(bag_limit), f"doc_id {kind}, quality int, n int, x binary")
             .orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "x").limit(sample_rows).toPandas())
-    y = rows["quality"].to_numpy(float)
-    if not 0 < y.sum() < len(y):
+    y, n = rows["quality"].to_numpy(float), rows["n"].to_numpy()
+    if not 0 < y.sum() < len(y) or not n.sum():
         return None
-    x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(-1, WIDTH).astype(float)
-    return fit(x, rows["n"].to_numpy(), y) if len(x) else None
+    x, at = np.empty((int(n.sum()), WIDTH), np.float32), 0
+    for bag in rows.pop("x"):
+        own = np.frombuffer(bag, np.float32).reshape(-1, WIDTH)
+        x[at : at + len(own)] = own
+        at += len(own)
+    return fit(x, n, y)
 
 
 def held_out(key: str):

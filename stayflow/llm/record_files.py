@@ -7,11 +7,11 @@ inside a payload does not check itself. (The framing is that of the common recor
 CRC-32C is not in Python's standard library, so zlib's CRC-32 takes its place.) The index of a shard is a file of
 8-byte offsets, one per record and one for the end: readers can pick records in any order without scanning.
 
-Documents are range-partitioned by doc_id and sorted; each task writes its shards of at most ``SHARD_BYTES`` under fresh
+Documents are range-partitioned by doc_id (rows of one doc_id by a hash of the text, so a doc_id that many rows share is split) and sorted; each task writes its shards of at most ``SHARD_BYTES`` under fresh
 names, and the table of shards that Spark commits names the files that count. A task that is run again leaves files
 that nothing names. Files are written and read through pyarrow's file systems, at the shared folder of the session.
 
-Defined results: a null or empty text has the end token alone; rows that share a doc_id follow by text; null ids come first;
+Defined results: a null or empty text has the end token alone; rows that share a doc_id follow by that hash, then text; null ids come first;
 an empty table gives no shard and an empty result; columns other than doc_id and text are not read.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from stayflow.llm import _store, _text, _tokens
 from stayflow.session import shared_dir
 
-SHARD_BYTES = 64 << 20
+SHARD_BYTES, READ_BYTES = 64 << 20, 4 << 20
 MASK_DELTA = 0xA282EAD8  # fixed value of the record format
 SHARDS = "part int, nth int, path string, index_path string, n_records long, n_tokens long, width int"
 
@@ -114,10 +114,22 @@ def write_records(docs: DataFrame, tokenizer: str | None = None, folder: str | N
     fs, base = file_system(folder)
     fs.create_dir(base, recursive=True)
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+               .withColumn("by", F.xxhash64("text")).repartitionByRange("doc_id", "by").sortWithinPartitions("doc_id", "by", "text").select("doc_id", "text"))
     return _store.land(ordered.mapInArrow(_writer(folder, tokenizer or _tokens.default_tokenizer(), shard_bytes), SHARDS), "shards")
 
 
+def _in_runs(f, offsets: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """Where each record lies in the run of bytes read with it: one read for several megabytes of records."""
+    first, n = 0, len(offsets) - 1
+    while first < n:
+        last = max(int(np.searchsorted(offsets, offsets[first] + READ_BYTES, "right")) - 1, first + 1)
+        base = int(offsets[first])
+        run = f.read_at(int(offsets[last]) - base, base)
+        for lo, hi in zip((offsets[first:last] - base).tolist(), (offsets[first + 1 : last + 1] - base).tolist()):
+            yield lo, hi, run
+        first = last
+
+
 def read_records(shards: DataFrame, folder: str) -> DataFrame:
     """One row per record of the committed shards: doc_id, start, n_tokens, ids_crc32, checked against both checksums."""
     before = F.sum("n_tokens").over(Window.orderBy("part", "nth")) - F.col("n_tokens")  # one row per shard
@@ -131,8 +143,8 @@ def read_records(shards: DataFrame, folder: str) -> DataFrame:
                     offsets = np.frombuffer(f.read(), "<u8").astype(np.int64)
                 rows: list[list] = [[], [], [], []]
                 with fs.open_input_file(path) as f:
-                    for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-                        payload, _ = unframe(f.read_at(hi - lo, lo))
+                    for lo, hi, run in _in_runs(f, offsets):
+                        payload, _ = unframe(run[lo:hi])
                         doc, null = struct.unpack_from("<qB", payload)
                         ids = np.frombuffer(payload, f"<u{width}", offset=9).astype("<u4")
                         for column, value in zip(rows, (None if null else doc, start, len(ids), zlib.crc32(ids.tobytes()))):

@@ -253,3 +253,41 @@ def test_training_rows_of_repeated_ids_are_chosen_by_hash(spark, make_docs, monk
     x, y = seen[0]
     size = x[:, [c for c, _ in quality_trees.FEATURES].index("log_words")]
     assert len(x) == 40 and 8 <= (size > size.mean()).sum() <= 32 and size.max() > 4
+
+
+def test_long_labelled_texts_are_learnt_from_bags_of_bounded_size(spark, make_docs):
+    long = "good river stone walk " * 9000
+    docs = make_docs([(i, long if i % 2 else "bad junk word " * 3000) for i in range(40)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    sizes = [r.n for r in docs.join(labels, "doc_id").select("doc_id", "text", "quality").mapInArrow(attention_mil._bags(16), "doc_id long, quality int, n int, x binary").collect()]
+    assert len(sizes) == 40 and set(sizes) == {16}
+    scores = {r.doc_id: r.score for r in attention_mil.score(docs, attention_mil.train(docs, labels, bag_limit=16)).collect()}
+    assert min(scores[i] for i in scores if i % 2) > max(scores[i] for i in scores if i % 2 == 0)
+
+
+def test_records_of_one_doc_id_are_split(spark, make_docs, tmp_dir, tokenizer):
+    texts = [f"text number {i} " + "w " * (i % 40) for i in range(600)]
+    docs = make_docs([(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate(texts)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = record_files.write_records(docs.repartition(8), folder=tmp_dir, shard_bytes=4000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert shards.select("part").distinct().count() > 4  # two ids hold two thirds of the rows
+    rows = record_files.read_records(shards, tmp_dir).orderBy("start").collect()
+    ids = [r.doc_id for r in rows]
+    assert ids == sorted(ids, key=lambda d: (d is not None, d or 0)) and len(ids) == 600
+    assert [r.start for r in rows] == list(np.cumsum([0] + [r.n_tokens for r in rows[:-1]]))
+    assert sorted(r.ids_crc32 for r in rows) == sorted(zlib.crc32(ids_of(tokenizer, t).tobytes()) for t in texts)
+
+
+def test_records_are_read_in_runs(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    records = [bytes([i % 256]) * rng.choice([0, 1, 5, 50, 400]) for i in range(200)]
+    offsets = np.cumsum([0] + [len(r) for r in records])
+    for size in (1, 64, 1 << 20):
+        monkeypatch.setattr(record_files, "READ_BYTES", size)
+        assert [run[lo:hi] for lo, hi, run in record_files._in_runs(pa.BufferReader(b"".join(records)), offsets)] == records
+    assert list(record_files._in_runs(pa.BufferReader(b""), np.array([0]))) == []

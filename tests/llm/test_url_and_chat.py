@@ -83,3 +83,21 @@ def test_participants_are_joined_as_rows(spark):
     assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
     got = {(r.conv_id, r.speaker): r.n_trained for r in out.collect()}
     assert got == {(1, f"speaker{i}"): 1 for i in range(30)} | {(2, None): 0, (None, "a"): 1}
+
+
+def test_a_part_with_a_third_of_all_messages_is_cut_into_slices(spark):
+    """Messages without a turn: one part, many slices; and one dialogue id that is null."""
+    import random
+
+    rng = random.Random(1)
+    rows = [(7, None, rng.choice(["user", "bot", None]), "m%d " % i + "x" * rng.randrange(200)) for i in range(3000)]
+    rows += [(None, 5, "user", "n%d" % i) for i in range(1500)] + [(i, t, "user" if t % 2 else "bot", "hi %d" % t) for i in range(100, 400) for t in range(10)]
+    rows += [(7, None, "user", "y" * 9000), (7, None, "user", "m1")] * 3
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat_rotation.rotate(df, chars_per_slice=5000)
+    sql = chat_rotation.OP10_SQL.replace("1000000.0", "5000.0")
+    assert "1000000.0" in chat_rotation.OP10_SQL and chat_rotation.CHARS_PER_SLICE == 1_000_000
+    assert frames(out) == oracle(sql, conversations=df)
+    sizes = [len(r.dialogue) for r in out.collect()]
+    assert max(sizes) < 9000 + 2 * 5000 and len({r.slice for r in out.where("conv_id = 7").collect()}) > 60
+    assert "Python" not in out._jdf.queryExecution().toString()
