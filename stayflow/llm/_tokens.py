@@ -14,10 +14,11 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 
-KEPT_WORDS, KEPT_PARTS = 400_000, 600_000
-BLOCK_BYTES = 8 << 20
+KEPT_WORDS, KEPT_PARTS = 500_000, 600_000
+BLOCK_BYTES = 4 << 20
 END_ID = 1
 _MARK = "\x01"
+WORD_END = "</w>"  # fixed value of the tokenizer file: the last token of each of its words ends so
 _plain = re.compile("^([A-Za-zÀ-ÖØ-öø-įı-ɏ]*)([!-&(-/:-@\\[-`{-~0-9]*)$|^(.*)$", re.M)
 _is_blank = np.zeros(256, bool)
 _is_blank[[9, 10, 13, 32]] = True
@@ -49,12 +50,29 @@ class WordEncoder:
         self.mark = np.array(self.tokenizer.encode(_MARK, add_special_tokens=False).ids, np.uint32)
         if len(self.mark) != 1:
             raise ValueError("this tokenizer has no id of its own for the separator")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _fill_letters(self, parts: list[str]) -> list[str]:
+        """Ask the library for parts of letters only, many to a call: each is one word of the call. Returns what it split otherwise."""
+        other: list[str] = []
+        for lo in range(0, len(parts), 1024):
+            some = parts[lo : lo + 1024]
+            ids = self._library([" ".join(some)])[0]
+            end = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+            if len(end) != len(some) or end[-1] != 4 * len(ids):
+                other += some
+                continue
+            raw = ids.astype("<u4").tobytes()
+            self.parts.update(zip(some, (raw[i:j] for i, j in zip([0, *end.tolist()], end.tolist()))))
+        return other
+
     def _fill(self, parts: list[str]) -> None:
         """Ask the library for parts, many to a call, told apart by a separator that no part contains."""
         clean = [p for p in parts if _MARK not in p]
@@ -78,7 +96,9 @@ class WordEncoder:
         split = _plain.findall("\n".join(words))
         first = [a.lower() or c for a, _, c in split]
         last = [b for _, b, _ in split]
-        self._fill(list(set(first).union(last) - self.parts.keys()))
+        letters = {a for (_, _, c), a in zip(split, first) if not c} - self.parts.keys() - {""}
+        other = self._fill_letters(list(letters))
+        self._fill(other + list(set(first).union(last) - letters - self.parts.keys()))
         get = self.parts.__getitem__
         self.words.update(zip(keys, map(add, map(get, first), map(get, last))))
 
