@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 U64 = np.uint64
 
 _space = np.zeros(256, bool)
@@ -44,6 +44,11 @@ def powers(base: int, n: int) -> np.ndarray:
     return table[:n]
 
 
+def forget() -> None:
+    """Give back the tables that earlier operators left in this worker."""
+    _powers.clear()
+
+
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 KEPT_WORDS, KEPT_PARTS = 500_000, 600_000
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 END_ID = 1
 _MARK = "\x01"
 WORD_END = "</w>"  # fixed value of the tokenizer file: the last token of each of its words ends so

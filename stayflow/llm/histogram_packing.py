@@ -80,6 +80,7 @@ class Slots:
 
 def _cut(path: str, size: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _text.forget()
         encoder = _tokens.WordEncoder.of(path)
         for part, texts in _text.blocks(batches, limit=_tokens.BLOCK_BYTES):
             rows: list[list] = [[] for _ in range(6)]
