@@ -34,7 +34,15 @@ def land(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFram
     df.write.parquet(path)
     if scratch is not None:
         scratch.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._landed_at = path
+    return out
+
+
+def give_back(*tables: DataFrame) -> None:
+    """Drop landed tables whose last reader has been landed itself."""
+    for table in tables:
+        drop(table.sparkSession, [table._landed_at])
 
 
 def drop(spark: SparkSession, scratch: list[str]) -> None:

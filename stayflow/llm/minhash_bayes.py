@@ -1,8 +1,9 @@
 """Operator 1: MinHash near-duplicates with sequential Bayesian verification.
 
 1. One vectorised pass over whole texts: the set of distinct 5-word shingles (64-bit hashes), its size, a 128-bit key of
-   the set, and a signature of ``HASHES`` minima. Equal sets are one vertex from here on (a keyed minimum, combined
-   before the shuffle), so copies never meet in pairs.
+   the set, and the band keys of its signature of ``HASHES`` minima. Equal sets are one vertex from here on (a keyed
+   minimum, combined before the shuffle), so copies never meet in pairs. Signatures themselves are not shuffled here: those
+   of the members of buckets are taken again in step 4's pass over their texts.
 2. Banding: keys of as many minima as the threshold allows (``bands_for``). Two sets of similarity s share one of b bands
    of r minima with probability 1 - (1 - s^r)^b: above 0.9999 (``BAND_MISS``) for every pair at the threshold or above,
    with 20 bands of 6 at 0.85, 24 of 5 at 0.80, 22 of 3 at 0.70. ``HASHES`` minima reach that from 0.08 up; a lower
@@ -44,6 +45,7 @@ BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 18
 _rng = np.random.default_rng(5)
 _times = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _plus = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)
+_band_times = _rng.integers(0, 2**64, HASHES, dtype=np.uint64) | np.uint64(1)
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -78,15 +80,26 @@ def signature(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, texts in _text.blocks(batches):
-        sets = shingle_sets(texts)
-        keys = [set_key(s) for s in sets]
-        yield pa.RecordBatch.from_arrays([
-            part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-            pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-            pa.array([signature(s).view(np.int32) if len(s) else np.zeros(0, np.int32) for s in sets], pa.list_(pa.int32())),
-        ], names=["doc_id", "n", "k1", "k2", "sig"])
+def band_keys(sigs: np.ndarray, bands: int, length: int) -> np.ndarray:
+    """A 64-bit key for each band of each signature (one per row); the band's number is part of it."""
+    one = sigs[:, : bands * length].reshape(-1, bands, length).astype(np.uint64)
+    total = (one * _band_times[: bands * length].reshape(bands, length)).sum(2, dtype=np.uint64)
+    return _text.mix(total + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _features(bands: int, length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _text.blocks(batches):
+            sets = shingle_sets(texts)
+            ids = [set_key(s) for s in sets]
+            some = [s for s in sets if len(s)]
+            found = iter(band_keys(np.stack([signature(s) for s in some]), bands, length).view(np.int64) if some else ())
+            yield pa.RecordBatch.from_arrays([
+                part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([k[0] for k in ids], pa.int64()), pa.array([k[1] for k in ids], pa.int64()),
+                pa.array([next(found) if len(s) else np.zeros(0, np.int64) for s in sets], pa.list_(pa.int64())),
+            ], names=["doc_id", "n", "k1", "k2", "keys"])
+    return run
 
 
 def bands_for(percent: int) -> tuple[int, int]:
@@ -133,7 +146,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = [set_key(s) for s in sets]
         yield pa.RecordBatch.from_arrays([
             part.column(0), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-            pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["v", "k1", "k2", "shingles"])
+            pa.array([signature(s).view(np.int32) for s in sets], pa.list_(pa.int32())),
+            pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["v", "k1", "k2", "sig", "shingles"])
 
 
 def _meet(least: list[int], bands: int, length: int):
@@ -239,27 +253,29 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     probability 0.9999 or more, whatever the percent."""
     bands, length = bands_for(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    feats = _store.land(docs.mapInArrow(_features, "doc_id long, n long, k1 long, k2 long, sig array<int>"), "features")
+    feats = _store.land(docs.mapInArrow(_features(bands, length), "doc_id long, n long, k1 long, k2 long, keys array<long>"), "features")
     some = feats.where("n > 0 AND doc_id IS NOT NULL")
-    first = _store.land(some.groupBy("k1", "k2").agg(F.min("doc_id").alias("v")), "sets")
-    reps = some.join(first, (some["doc_id"] == first["v"]) & (some["k1"] == first["k1"]) & (some["k2"] == first["k2"])).select(
-        "v", some["k1"], some["k2"], "sig").dropDuplicates(["v", "k1", "k2"])
-    reps = _store.land(reps, "representatives")
-    rows = _store.land(feats.select("doc_id", "n", "k1", "k2").join(first, ["k1", "k2"], "left"), "rows")
+    reps = _store.land(some.groupBy("k1", "k2").agg(F.min("doc_id").alias("v"), F.any_value("keys").alias("keys")), "representatives")
+    rows = _store.land(feats.select("doc_id", "n", "k1", "k2").join(reps.select("k1", "k2", "v"), ["k1", "k2"], "left"), "rows")
     # rows that share a doc_id are one document, whatever their texts
-    several = rows.where("v IS NOT NULL").groupBy("doc_id").agg(F.min("v").alias("x"), F.max("v").alias("y")).where("x != y")
-    shared = rows.join(several.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("v").alias("b")).where("a != b")
+    again = _store.land(rows.where("v IS NOT NULL").groupBy("doc_id").agg(F.min("v").alias("x"), F.max("v").alias("y"), F.count("*").alias("times"))
+                 .where("times > 1").select("doc_id", "x", "y"), "repeated")
+    several = again.where("x != y").select("doc_id")
+    shared = rows.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("v").alias("b")).where("a != b")
 
-    keys = F.posexplode(F.array(*(F.xxhash64(F.lit(i), F.slice("sig", i * length + 1, length)) for i in range(bands))))
-    banded = reps.select("v", keys.alias("band", "key")).distinct()
+    banded = reps.select("v", F.posexplode("keys").alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min("v").alias("centre"), F.max("v").alias("last")).where("centre != last")
-    members = _store.land(banded.join(buckets.select("key", "centre"), "key"), "buckets")
-
-    # the full sets of all members, recomputed from their texts
-    wanted = _store.land(reps.join(members.select("v").distinct(), "v"), "members")
-    texts = _store.sieve(docs, "doc_id", wanted.select("v")).join(wanted.select(F.col("v").alias("doc_id")).distinct(), "doc_id")
-    sets = texts.mapInArrow(_sets, "v long, k1 long, k2 long, shingles array<long>").join(wanted, ["v", "k1", "k2"])
-    sets = _store.land(sets.dropDuplicates(["v", "k1", "k2"]).select("v", "sig", "shingles"), "sets")
+    buckets = _store.land(buckets.select("key", "centre"), "bucket-centres")
+    members = _store.land(_store.sieve(banded, "key", buckets.select("key")).join(buckets, "key"), "buckets")
+
+    # the full sets and signatures of all members, recomputed from their texts
+    wanted = _store.land(members.select("v").distinct(), "members")
+    texts = _store.sieve(docs, "doc_id", wanted).join(wanted.withColumnRenamed("v", "doc_id"), "doc_id")
+    sets = texts.mapInArrow(_sets, "v long, k1 long, k2 long, sig array<int>, shingles array<long>")
+    if not again.isEmpty():  # a doc_id with several rows: only the sets it stands for, each once
+        sets = sets.join(reps.select("v", "k1", "k2"), ["v", "k1", "k2"], "left_semi").dropDuplicates(["v", "k1", "k2"])
+    sets = _store.land(sets.select("v", "sig", "shingles"), "sets")
+    _store.give_back(feats, reps, buckets, wanted)
 
     least = least_matches(percent / 100)
     pairs = members.where("v != centre").select(F.col("centre").alias("a"), F.col("v").alias("b")).distinct()
@@ -280,6 +296,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     if not named.isEmpty():
         more = _open_links(open_blocks(named, sets), sets, least, percent)
         label = _store.components(_store.land(links.unionByName(more), "links"))
+    _store.give_back(members, sets, near)  # what is returned reads rows and label only, both landed
 
     out = rows.join(label, "v", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "v", "doc_id"))
