@@ -306,12 +306,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 def deduplicate(docs: DataFrame, percent: int = 85) -> DataFrame:
     """The rows of docs, with all their columns, that are the first of their group (by doc_id; one row per doc_id).
-    Rows without a doc_id stay."""
-    found = _store.land(near_duplicates(docs, percent), "verdicts").where("doc_id IS NOT NULL")
-    kept = docs.join(found.where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
-    if not found.groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    Rows without a doc_id stay. Only rows whose doc_id may lose one are shuffled; a bitmap tells them from the others."""
+    found = near_duplicates(docs, percent).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("times"))
+    loses = _store.land(found.where("NOT kept OR times > 1"), "verdicts")
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"))
+    flagged = _store.maybe(known, "doc_id", loses.select("doc_id"), "may_lose")
+    some = flagged.where("may_lose").join(loses, "doc_id", "left")
+    stay = some.where("times IS NULL OR (kept AND times = 1)").select("row")
+    once = some.where("kept AND times > 1").dropDuplicates(["doc_id"]).select("row")
+    return flagged.where("NOT may_lose").select("row").unionByName(stay).unionByName(once).select("row.*")
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
