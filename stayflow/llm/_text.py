@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
 U64 = np.uint64
@@ -102,15 +103,15 @@ def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarr
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text",
            limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with at most ``limit`` bytes of text (or a single row), null texts as empty."""
+    """Slices of the batches with at most ``limit`` bytes of text (or a single row), null texts as empty. Only a slice's texts
+    become Python objects; what Arrow no longer needs goes back after each batch."""
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index(text))
-        texts = [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
-        lo, size = 0, 0
-        for i, t in enumerate(texts):
-            if i > lo and size + len(t) > limit:
-                yield batch.slice(lo, i - lo), texts[lo:i]
-                lo, size = i, 0
-            size += len(t) + 1
-        if lo < len(texts):
-            yield batch.slice(lo), texts[lo:]
+        column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        lo, before = 0, 0
+        while lo < len(ends):
+            hi = max(lo + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(lo, hi - lo), [b"" if t is None else t for t in column.slice(lo, hi - lo).to_pylist()]
+            lo, before = hi, int(ends[hi - 1])
+        del batch, column
+        pa.default_memory_pool().release_unused()
