@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 U64 = np.uint64
 
 _space = np.zeros(256, bool)
