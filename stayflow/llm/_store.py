@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from stayflow.session import shared_dir
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20)
+
 
 def share_package(spark: SparkSession) -> None:
     """Put this package's folder on the Python path of workers that start from now on, for sessions whose workers do not have it
@@ -21,7 +23,15 @@ def share_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, known) if p)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few megabytes, whatever the length of the rows, unless the session names a bound of its own: a batch is held
+    by the executor and by its Python worker at once."""
+    if ARROW_BYTES[0] not in spark.conf.getAll:
+        spark.conf.set(*ARROW_BYTES)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
@@ -30,6 +40,7 @@ def land(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFram
     only the tasks that read its part. The folder is the cluster's to clean, like any checkpoint; tables noted in
     ``scratch`` can be dropped before."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = shared_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     if scratch is not None:
