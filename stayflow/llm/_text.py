@@ -6,7 +6,8 @@ the number of rows in its partition. Words are maximal runs of bytes outside ``[
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,18 @@ def forget() -> None:
     _powers.clear()
 
 
+#: What gives back the caches that other operators keep in this worker.
+held: list[Callable[[], None]] = []
+
+
+def trim() -> None:
+    """Hand memory that the C library keeps for later back to the system, where the library can."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
@@ -102,9 +115,12 @@ def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarr
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text",
-           limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+           limit: int = BLOCK_BYTES, keep: bool = False) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with at most ``limit`` bytes of text (or a single row), null texts as empty. Only a slice's texts
-    become Python objects; what Arrow no longer needs goes back after each batch."""
+    become Python objects; what Arrow no longer needs goes back after each batch. Unless ``keep``, caches that other operators left in
+    this worker go first."""
+    while held and not keep:
+        held.pop()()
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())
         ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
@@ -115,3 +131,4 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text",
             lo, before = hi, int(ends[hi - 1])
         del batch, column
         pa.default_memory_pool().release_unused()
+    trim()

@@ -14,6 +14,8 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 
+from stayflow.llm import _text
+
 KEPT_WORDS, KEPT_PARTS = 500_000, 600_000
 BLOCK_BYTES = 2 << 20
 END_ID = 1
@@ -39,6 +41,7 @@ class WordEncoder:
     def of(cls, path: str) -> "WordEncoder":
         if path not in cls._shared:
             cls._shared[path] = cls(path)
+            _text.held.append(cls._shared.clear)
         return cls._shared[path]
 
     def __init__(self, path: str):

@@ -82,7 +82,7 @@ def _cut(path: str, size: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _text.forget()
         encoder = _tokens.WordEncoder.of(path)
-        for part, texts in _text.blocks(batches, limit=_tokens.BLOCK_BYTES):
+        for part, texts in _text.blocks(batches, limit=_tokens.BLOCK_BYTES, keep=True):
             rows: list[list] = [[] for _ in range(6)]
             for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(texts)):
                 ids += _tokens.END

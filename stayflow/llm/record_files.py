@@ -85,7 +85,7 @@ def _writer(folder: str, tokenizer: str, shard_bytes: int):
             nth, offsets, n_tokens, stream = nth + 1, [0], 0, None
             return pa.RecordBatch.from_pylist([row], schema=SHARDS_ARROW)
 
-        for block, texts in _text.blocks(batches, limit=_tokens.BLOCK_BYTES):
+        for block, texts in _text.blocks(batches, limit=_tokens.BLOCK_BYTES, keep=True):
             ids = encoder.encode(texts)
             for doc, own in zip(block.column(0).to_pylist(), ids):
                 if stream is None:
