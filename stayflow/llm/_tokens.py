@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from stayflow.llm import _text
 
-KEPT_WORDS, KEPT_PARTS = 500_000, 600_000
+KEPT_WORDS, KEPT_PARTS = 300_000, 360_000
 BLOCK_BYTES = 2 << 20
 END_ID = 1
 _MARK = "\x01"
