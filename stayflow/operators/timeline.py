@@ -46,7 +46,7 @@ def _cut(df: DataFrame, entity: Sequence[str], order: str, segment: Column | Non
 
 
 def islands(df: DataFrame, entity: str, order: str, flag: str, start_col: str = "is_window_start", seq_col: str = "availability_window_seq",
-            segment: Column | None = None) -> DataFrame:
+            segment: Column | None = None, whole: bool = False) -> DataFrame:
     """Gap-and-island identity for runs of ``flag`` = true per entity.
 
     ``start_col`` is true on the first row of each run (the previous row's flag
@@ -57,7 +57,16 @@ def islands(df: DataFrame, entity: str, order: str, flag: str, start_col: str =
     Runs are counted inside each segment as if nothing came before it. The summary of a segment holds its first and last flag and
     the runs it counted; across segments, a run that only goes on over the edge is taken off, and the runs
     before are added. ``segment`` may not shrink as ``order`` grows (default: stretches of 64 days of a date).
+
+    ``whole``: an entity's rows are few (at most one per day, say) and are scanned in one window: one shuffle of the rows instead of
+    three, and none where they already lie together by entity.
     """
+    if whole:
+        last, = _names(df, "_last")
+        on, order_of = F.coalesce(F.col(flag), F.lit(False)), Window.partitionBy(entity).orderBy(order)
+        rows = df.withColumn(last, F.coalesce(F.lag(on, 1).over(order_of), F.lit(False)))
+        so_far = order_of.rowsBetween(Window.unboundedPreceding, 0)
+        return rows.select(*df.columns, (F.col(flag) & ~F.col(last)).alias(start_col), F.count_if(on & ~F.col(last)).over(so_far).alias(seq_col))
     e, s, last, runs, opens, closes, counted, edge, before = _names(
         df, "_entity", "_segment", "_last", "_runs", "_opens", "_closes", "_counted", "_edge", "_before")
     on, no = F.coalesce(F.col(flag), F.lit(False)), F.lit(False)

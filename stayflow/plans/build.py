@@ -178,8 +178,9 @@ def int_listing_daily(calendar: DataFrame, listings: DataFrame, features: DataFr
     """``features``: ``listing_features``, or ``listing_feature_history`` with ``cfg.amenity_history = "in_force"``."""
     attrs = listings.select("listing_id", "listing_name", "neighborhood", "property_type", "room_type",
                             "accommodates", "bedrooms", "beds", "host_id", "is_deleted")
-    # runs first, on the calendar as it lies: their windows hold one listing and segment, and the joins after them can be split
-    runs = islands(calendar, "listing_id", "calendar_date", "is_available")
+    # the calendar has one row per listing and day, so a window of a listing holds no more rows than the calendar has days; runs and both joins
+    # go by listing, so nights are shuffled once, and not at all where the calendar's plan has them together by listing
+    runs = islands(calendar, "listing_id", "calendar_date", "is_available", whole=True)
     joined = runs.join(attrs, "listing_id", "left")
     if cfg.amenity_history == "in_force":
         joined = interval_join(joined, features, "listing_id", "calendar_date", ["amenity_count", *cfg.fact_flags])

@@ -16,6 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayflow.functions.text import surrogate_key
 from stayflow.plans import build as B
 from stayflow.session import shared_dir
 from stayflow.sources import testdata
@@ -39,6 +40,17 @@ def writers_per_month(spark: SparkSession) -> int:
     return max(LEAST_WRITERS, int(spark.conf.get("spark.sql.shuffle.partitions")) // MONTHS_AT_ONCE)
 
 
+# surrogate keys that their row's other columns give: text without any pattern, most of a narrow row's bytes on disk, so they are not
+# written but made again when a reader asks for them
+_KEYS_ON_READ = {
+    "stg_calendar": ("calendar_id", ("listing_id", "calendar_date")),
+    "stg_amenities_changelog": ("amenities_change_id", ("listing_id", "changed_at")),
+    "int_listing_daily": ("calendar_id", ("listing_id", "calendar_date")),
+    "int_reservations": ("reservation_key", ("listing_id", "reservation_id")),
+    "fct_reservations": ("reservation_key", ("listing_id", "reservation_id")),
+}
+
+
 _CACHE: dict[tuple, "Warehouse"] = {}
 
 
@@ -50,6 +62,7 @@ class Warehouse:
         self.cfg = cfg or B.BuildConfig()
         self.materialize = materialize
         self._raw = raw
+        self._bound = raw is None
         self._rel: dict[str, DataFrame] = {}
         self.build_id = uuid.uuid4().hex[:12]
 
@@ -76,18 +89,20 @@ class Warehouse:
             }
         return self._raw[name]
 
-    def _get(self, name: str, make) -> DataFrame:
+    def _get(self, name: str, make, dealt: bool = False) -> DataFrame:
+        """``dealt``: the plan has its rows together by listing in tasks that follow the input; they are written from there."""
         if name not in self._rel:
             df = make()
             if self.materialize and name in _MATERIALIZED + _LANDED:
                 path = shared_dir(self.spark, "stayflow-builds", self.build_id, name)
-                if name in _PARTITION_BY:  # writers in step with the shuffle partitions, whatever the number of tasks before
-                    months = _PARTITION_BY[name]
+                columns, (key, parts) = df.columns, _KEYS_ON_READ.get(name, (None, ()))
+                df = df.drop(key) if key else df
+                months = _PARTITION_BY.get(name, [])
+                if months and not dealt:  # writers in step with the shuffle partitions, whatever the number of tasks before
                     df = df.repartition(*months, F.pmod(F.xxhash64("listing_id"), F.lit(writers_per_month(self.spark))))
-                    df.write.mode("overwrite").partitionBy(*months).parquet(path)
-                else:
-                    df.write.mode("overwrite").parquet(path)
-                df = self.spark.read.parquet(path)
+                df.write.mode("overwrite").partitionBy(*months).parquet(path)
+                df = self.spark.read.schema(df.schema).parquet(path)
+                df = df.select(*((surrogate_key(*parts).alias(c) if c == key else c) for c in columns)) if key else df
             elif self.materialize and name in _PERSISTED:
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._rel[name] = df
@@ -100,6 +115,11 @@ class Warehouse:
     def stg_calendar(self):
         return self._get("stg_calendar", lambda: B.stg_calendar(self.raw("calendar")))
 
+    def calendar_by_listing(self):
+        """``stg_calendar`` for what goes through it listing by listing. Bound to the driver's tables its plan makes the nights of a listing in one
+        task, which is cheaper than shuffling the written ones."""
+        return B.stg_calendar(self.raw("calendar")) if self._bound else self.stg_calendar()
+
     def stg_amenities_changelog(self):
         return self._get("stg_amenities_changelog", lambda: B.stg_amenities_changelog(self.raw("amenities_changelog")))
 
@@ -123,9 +143,9 @@ class Warehouse:
     def int_listing_daily(self):
         def make():
             features = self.listing_feature_history() if self.cfg.amenity_history == "in_force" else self.listing_features()
-            return B.int_listing_daily(self.stg_calendar(), self.int_listings(), features, self.cfg)
+            return B.int_listing_daily(self.calendar_by_listing(), self.int_listings(), features, self.cfg)
 
-        return self._get("int_listing_daily", make)
+        return self._get("int_listing_daily", make, dealt=self._bound and self.cfg.amenity_history == "latest")
 
     def listing_rollup(self):
         return self._get("listing_rollup", lambda: B.listing_rollup(self.int_listing_daily()))

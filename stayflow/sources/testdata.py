@@ -29,7 +29,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayflow.operators.timeline import daily_grid
 from stayflow.sources.tables import read_table
 
 # Fixed binding parameters (stated again in the SQL oracle).
@@ -38,6 +37,8 @@ SEASON_DAYS = 121
 REVIEWS_START, ORDERS_START = "2022-01-01", "1995-01-01"
 PRIVATE_ROOM_BALANCE = 1000
 UNIT_STAYS, UNIT_STRIDE = 16, 10_000_000_000
+# a stay stands for about 20 nights of the calendar
+STAYS_PER_TASK = 30_000
 
 
 def _dealt_by(order_id: Column) -> Column:
@@ -94,12 +95,30 @@ def _money(cents: Column) -> Column:
     return F.concat((cents / 100).cast("long").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
 
 
-def raw_calendar(days: DataFrame, facts: DataFrame) -> DataFrame:
-    nights = days.select("listing_id", "order_id", F.explode(F.sequence("date", F.date_add("date", F.col("n_items") - 1))).alias("date"))
+def tasks_of(days: DataFrame) -> int:
+    """Tasks that the nights of these stays are made in: what is shuffled are stays, so the number follows them, not the bytes shuffled."""
+    return max(1, -(-days.count() // STAYS_PER_TASK))
+
+
+def raw_calendar(days: DataFrame, facts: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Stays are dealt out by listing, and nights are made where they are: each stay gives its own nights and the open ones between the end
+    of the stay before it and its own begin, the last one also those after it. So no night is shuffled, and whatever groups, joins or
+    orders nights by listing after this finds a listing's nights in one task."""
+    tasks = tasks or tasks_of(days)
     ends = days.select(F.struct(F.min("date").alias("lo"), F.max(F.date_add("date", F.col("n_items") - 1)).alias("hi"))).scalar()
-    listing = listing_owners(days, facts)
-    grid = daily_grid(listing, "listing_id", ends.getField("lo"), ends.getField("hi"), "date")
-    cal = grid.join(nights, ["listing_id", "date"], "left").join(listing, "listing_id")
+    lo, hi = ends.getField("lo"), ends.getField("hi")
+    listing = listing_owners(days, facts).repartition(tasks, "listing_id")
+    stays = days.where("date IS NOT NULL").select("listing_id", F.col("order_id").alias("stay"), F.col("date").alias("begin"), "n_items").repartition(tasks, "listing_id")
+    queue = Window.partitionBy("listing_id").orderBy("begin")  # the stays of one listing never meet; a listing without stays has one row
+    free = F.date_add("begin", F.col("n_items"))
+    both = listing.join(stays, "listing_id", "left").withColumn("free_from", F.coalesce(F.lag(free).over(queue), lo)).withColumn(
+        "is_last", F.lead("begin").over(queue).isNull())
+    stretch = lambda order, first, last: F.struct(order.alias("order_id"), first.alias("first"), last.alias("last"))
+    nobody = F.lit(None).cast(days.schema["order_id"].dataType)
+    stretches = F.array(stretch(nobody, F.col("free_from"), F.coalesce(F.date_sub("begin", 1), hi)), stretch(F.col("stay"), F.col("begin"), F.date_sub(free, 1)),
+                        stretch(nobody, F.when(F.col("is_last"), free), hi))
+    cal = both.withColumn("stretch", F.explode(stretches)).where("stretch.first <= stretch.last").withColumn(
+        "order_id", F.col("stretch.order_id")).withColumn("date", F.explode(F.sequence("stretch.first", "stretch.last")))
     day = F.date_diff("date", F.lit(SEASON_START).cast("date")).cast("long")
     swing = F.when(F.col("n_urgent") > 0, (F.col("listing_id") * 31 + day * 17) % 41 - 20).otherwise(F.lit(0))
     cents = F.floor(F.col("list_cents") * (swing + 100) / 100).cast("long")

@@ -57,3 +57,30 @@ def test_a_customer_with_a_third_of_all_orders(spark, tmp_dir):
     for listing, *_ in got:
         per_listing[listing] += 1
     assert len([k for k in per_listing if k % testdata.UNIT_STRIDE == 1]) > 20 and max(per_listing.values()) <= 4 * testdata.UNIT_STAYS
+
+
+def test_nights_are_made_where_their_stays_lie(spark):
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    stays = [(1, 10, day(3), 2), (1, 11, day(5), 1), (1, 12, day(9), 4), (2, 20, day(0), 13), (2 + testdata.UNIT_STRIDE, 21, day(4), 1), (3, 30, None, 5), (None, 40, day(2), 2)]
+    days = spark.createDataFrame([(*s, ["view"]) for s in stays], "listing_id long, order_id long, date date, n_items int, names array<string>")
+    figures = [(c, 3, 1, 1, 1, c % 2, dt.datetime(1995, 1, 1), dt.datetime(1996, 1, 1), 1000 * c, "[]", 2.0) for c in (1, 2, 3, 4)]
+    facts = spark.createDataFrame(figures, "o_custkey long, n_orders long, n_f long, n_o long, n_p long, n_urgent long, first_order timestamp_ntz, "
+                                  "last_order timestamp_ntz, list_cents long, priorities string, avg_priority double")
+    cal = testdata.raw_calendar(days, facts)
+    taken = {(u, d + dt.timedelta(days=i)): f"R{o}" for u, o, d, n in stays if d for i in range(n)}
+    want = sorted((u, day(n), taken.get((u, day(n)), "NULL")) for u in (1, 2, 2 + testdata.UNIT_STRIDE, 3, 4) for n in range(13))
+    assert sorted((r.listing_id, r.date, r.reservation_id) for r in cal.collect()) == want
+    # 5 listings x 13 nights: no exchange and no join above the place where nights are made
+    plan = cal.groupBy("listing_id", "date").count()._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Generate explode(sequence(")]
+    assert "Exchange" not in above and "Join" not in above
+
+
+def test_surrogate_keys_are_not_written(spark):
+    wh = Warehouse.for_dir(spark, SF)
+    for name, key, parts in (("stg_calendar", "calendar_id", "listing_id, calendar_date"), ("int_listing_daily", "calendar_id", "listing_id, calendar_date"),
+                             ("fct_reservations", "reservation_key", "listing_id, reservation_id")):
+        df = wh.relation(name)
+        assert df.where(f"{key} != md5(concat_ws('-', {parts})) OR {key} IS NULL").count() == 0
+        assert key not in spark.read.parquet(df.inputFiles()[0]).columns
+    assert wh.stg_calendar().columns[0] == "calendar_id" and wh.fct_reservations().columns[0] == "reservation_key"

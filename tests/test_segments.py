@@ -102,3 +102,13 @@ def test_daily_fact_with_amenities_in_force(spark):
     got = {(r.listing_id, r.calendar_date.day): (r.amenity_count, r.has_wifi) for r in wh.fct_listing_daily().collect()}
     assert got[1, 14] == (3, True) and got[1, 15] == (1, False) == got[1, 21]
     assert got[3, 19] == (2, False) and got[3, 20] == (None, None)
+
+
+def test_whole_windows_give_the_runs_of_segments(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, 1, 2, 3]), d, rng.choice([True, True, False, None])) for d in sorted(rng.sample(range(2000), 400))]
+    df = spark.createDataFrame([(k, dt.date(2020, 1, 1) + dt.timedelta(days=d), f) for k, d, f in rows], "k long, d date, open boolean")
+    seen = lambda got: sorted(map(repr, got.collect()))
+    assert seen(islands(df, "k", "d", "open", "s", "n", whole=True)) == seen(islands(df, "k", "d", "open", "s", "n"))
+    plan = islands(df, "k", "d", "open", whole=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
