@@ -96,15 +96,16 @@ def _money(cents: Column) -> Column:
 
 
 def tasks_of(days: DataFrame) -> int:
-    """Tasks that the nights of these stays are made in: what is shuffled are stays, so the number follows them, not the bytes shuffled."""
-    return max(1, -(-days.count() // STAYS_PER_TASK))
+    """Tasks that the nights of these stays are made in: what is shuffled are stays, so the number follows them, not the bytes shuffled.
+    With fewer than the session's shuffle partitions, Spark would deal the nights out again for a join."""
+    return max(int(days.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-days.count() // STAYS_PER_TASK))
 
 
-def raw_calendar(days: DataFrame, facts: DataFrame, tasks: int | None = None) -> DataFrame:
+def raw_calendar(days: DataFrame, facts: DataFrame) -> DataFrame:
     """Stays are dealt out by listing, and nights are made where they are: each stay gives its own nights and the open ones between the end
     of the stay before it and its own begin, the last one also those after it. So no night is shuffled, and whatever groups, joins or
     orders nights by listing after this finds a listing's nights in one task."""
-    tasks = tasks or tasks_of(days)
+    tasks = tasks_of(days)
     ends = days.select(F.struct(F.min("date").alias("lo"), F.max(F.date_add("date", F.col("n_items") - 1)).alias("hi"))).scalar()
     lo, hi = ends.getField("lo"), ends.getField("hi")
     listing = listing_owners(days, facts).repartition(tasks, "listing_id")

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from stayflow.plans import build
 from stayflow.plans.warehouse import Warehouse
 from stayflow.sources import testdata
 from stayflow.sources.tables import read_table
@@ -84,3 +85,16 @@ def test_surrogate_keys_are_not_written(spark):
         assert df.where(f"{key} != md5(concat_ws('-', {parts})) OR {key} IS NULL").count() == 0
         assert key not in spark.read.parquet(df.inputFiles()[0]).columns
     assert wh.stg_calendar().columns[0] == "calendar_id" and wh.fct_reservations().columns[0] == "reservation_key"
+
+
+def test_the_daily_table_shuffles_no_night(spark):
+    wh = Warehouse.for_dir(spark, SF)
+    calendar, listings, features = wh.calendar_by_listing(), wh.int_listings(), wh.listing_features()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where listings are too many to broadcast
+    try:
+        plan = build.int_listing_daily(calendar, listings, features, wh.cfg)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above = plan[: plan.index("Generate explode(sequence(")]
+    assert above.count("SortMergeJoin") == 2 and "Exchange" not in above
