@@ -63,7 +63,7 @@ def daily_flags_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily fact with the amenities in force that night in place of the latest ones (build option ``amenity_history``)."""
     wh = Warehouse.for_dir(spark, sf_dir)
     cfg = replace(wh.cfg, amenity_history="in_force")
-    daily = build.int_listing_daily(wh.stg_calendar(), wh.int_listings(), wh.listing_feature_history(), cfg)
+    daily = build.int_listing_daily(wh.calendar_by_listing(), wh.int_listings(), wh.listing_feature_history(), cfg)
     return finalize(daily.select("listing_id", "calendar_date", "is_window_start", "availability_window_seq", "amenity_count", *cfg.fact_flags))
 
 
