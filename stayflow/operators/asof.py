@@ -32,14 +32,18 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_date: str, right
     changes = per_day.select(F.col(key), F.col("_day").alias("_t"), F.lit(0).alias("_side"),
                              payload.alias("_payload"))
     lcols = left.columns
+    # a row travels with its key and date once: the rest of its columns lie in a struct
+    at_date = dict(left.dtypes)[left_date] == "date"
+    given = {key: F.col(key)} | ({left_date: F.col("_t").alias(left_date)} if at_date else {})
+    rest = [c for c in lcols if c not in given]
     rows = left.select(F.col(key), F.col(left_date).cast("date").alias("_t"), F.lit(1).alias("_side"),
                        F.lit(None).cast(changes.schema["_payload"].dataType).alias("_payload"),
-                       F.struct(*[F.col(c) for c in lcols]).alias("_left"))
+                       F.struct(*[F.col(c) for c in rest]).alias("_left"))
     both = changes.withColumn("_left", F.lit(None).cast(rows.schema["_left"].dataType)).unionByName(rows)
     w = (Window.partitionBy(key).orderBy(F.col("_t"), F.col("_side"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = both.withColumn("_in_force", F.last("_payload", ignorenulls=True).over(w))
     out = carried.filter(F.col("_side") == 1)
-    return out.select(*[F.col(f"_left.{c}").alias(c) for c in lcols],
+    return out.select(*[given[c] if c in given else F.col(f"_left.{c}").alias(c) for c in lcols],
                       F.col(f"_in_force.{matched_col}").alias(matched_col),
                       *[F.col(f"_in_force.{v}").alias(v) for v in values])

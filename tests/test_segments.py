@@ -112,3 +112,15 @@ def test_whole_windows_give_the_runs_of_segments(spark):
     assert seen(islands(df, "k", "d", "open", "s", "n", whole=True)) == seen(islands(df, "k", "d", "open", "s", "n"))
     plan = islands(df, "k", "d", "open", whole=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_asof_rows_travel_with_key_and_date_once(spark):
+    left = spark.createDataFrame([(7, dt.date(2024, 1, 2), 1), (7, None, 2), (None, dt.date(2024, 1, 3), 3)], "x long, d date, k long")
+    chg = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 5), "a"), (3, dt.datetime(2024, 1, 4), "b")], "k long, at timestamp, what string")
+    got = asof_join(left, chg, "k", "d", "at", ["what"])
+    assert got.columns == ["x", "d", "k", "asof_time", "what"]
+    assert sorted((r.k, r.x, r.d, r.what) for r in got.collect()) == [(1, 7, dt.date(2024, 1, 2), "a"), (2, 7, None, None), (3, None, dt.date(2024, 1, 3), None)]
+    times = asof_join(left.withColumn("d", F.col("d").cast("timestamp")), chg, "k", "d", "at", ["what"])
+    assert dict(times.dtypes)["d"] == "timestamp" and times.where("what = 'a'").count() == 1
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "struct(x, " in plan and "struct(x, x#" in plan and ", k, k#" not in plan and ", d, d#" not in plan
