@@ -291,3 +291,15 @@ def test_records_are_read_in_runs(monkeypatch):
         monkeypatch.setattr(record_files, "READ_BYTES", size)
         assert [run[lo:hi] for lo, hi, run in record_files._in_runs(pa.BufferReader(b"".join(records)), offsets)] == records
     assert list(record_files._in_runs(pa.BufferReader(b""), np.array([0]))) == []
+
+
+def test_words_are_looked_up_by_their_parts():
+    from stayflow.llm import _tokens
+
+    encoder = _tokens.WordEncoder(_tokens.default_tokenizer())
+    texts = ["Alpha, ALPHA. alpha!", "ÉTÉ. (alpha) Alpha42 1987", "EVİ. J̌ K. ǅ1 a×b don't x.y ’a \x01b a\x7f 北。Ö\x0bö", "", " \t\r\n", "a", "42", "é́. Ɏz9"]
+    got = encoder.encode([t.encode() for t in texts])
+    want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert got == want
+    assert {b"alpha", b",", b".", b"!", b"42", b"1987"} <= encoder.parts.keys()
+    assert not {b"Alpha,", b"ALPHA.", b"alpha!", b"Alpha42", "Alpha"} & encoder.parts.keys()
