@@ -15,7 +15,7 @@ import pyarrow as pa
 
 from stayflow.llm import _text
 
-KEPT_PARTS = 600_000
+KEPT_WORDS, KEPT_PARTS = 500_000, 600_000
 BLOCK_BYTES = 2 << 20
 END_ID = 1
 _MARK = "\x01"
@@ -65,7 +65,8 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.parts: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}  # letters only
+        self.words: dict[bytes, bytes] = {}  # marks, and words that do not split
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -96,16 +97,18 @@ class WordEncoder:
             begin = np.concatenate([[0], cuts + 1]) * 4
             end = np.append(cuts, len(ids)) * 4
             raw = ids.astype("<u4").tobytes()
-            self.parts.update(zip([parts[i] for i in some], (raw[i:j] for i, j in zip(begin.tolist(), end.tolist()))))
+            self.words.update(zip([parts[i] for i in some], (raw[i:j] for i, j in zip(begin.tolist(), end.tolist()))))
         for part, text in zip(parts, texts):
             if _MARK in text:
-                self.parts[part] = self._library([text])[0].astype("<u4").tobytes()
+                self.words[part] = self._library([text])[0].astype("<u4").tobytes()
 
     def _ids(self, parts: list[bytes], letters: np.ndarray) -> list[bytes]:
         """The ids of distinct parts; ``letters``: which of them are letters only, in lower case as far as they are ASCII."""
         if len(self.parts) > KEPT_PARTS:
             self.parts.clear()
-        found = list(map(self.parts.get, parts))
+        if len(self.words) > KEPT_WORDS:
+            self.words.clear()
+        found = [self.parts.get(p) or self.words.get(p) if plain else self.words.get(p) for p, plain in zip(parts, letters.tolist())]
         missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
             plain = [parts[i] for i in missing if letters[i]]
@@ -114,7 +117,7 @@ class WordEncoder:
             again = self._fill_letters(plain, text)
             self._fill(rest + [plain[i] for i in again], [p.decode("utf-8", "replace") for p in rest] + [text[i] for i in again])
             for i in missing:
-                found[i] = self.parts[parts[i]]
+                found[i] = self.words[parts[i]] if (own := self.parts.get(parts[i])) is None else own
         return found
 
     @staticmethod

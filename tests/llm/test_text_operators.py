@@ -301,5 +301,5 @@ def test_words_are_looked_up_by_their_parts():
     got = encoder.encode([t.encode() for t in texts])
     want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert got == want
-    assert {b"alpha", b",", b".", b"!", b"42", b"1987"} <= encoder.parts.keys()
-    assert not {b"Alpha,", b"ALPHA.", b"alpha!", b"Alpha42", "Alpha"} & encoder.parts.keys()
+    kept = encoder.parts.keys() | encoder.words.keys()
+    assert {b"alpha", b",", b".", b"!", b"42", b"1987"} <= kept and not {b"Alpha,", b"ALPHA.", b"alpha!", b"Alpha42", b"Alpha"} & kept
