@@ -64,6 +64,7 @@ class Warehouse:
         self._raw = raw
         self._bound = raw is None
         self._rel: dict[str, DataFrame] = {}
+        self._made: dict[str, tuple[DataFrame, dict[str, tuple[str, ...]]]] = {}
         self.build_id = uuid.uuid4().hex[:12]
 
     @classmethod
@@ -102,12 +103,19 @@ class Warehouse:
                     df = df.repartition(*months, F.pmod(F.xxhash64("listing_id"), F.lit(writers_per_month(self.spark))))
                 df.write.mode("overwrite").partitionBy(*months).parquet(path)
                 df = self.spark.read.schema(df.schema).parquet(path)
-                df = df.select(*((surrogate_key(*parts).alias(c) if c == key else c) for c in columns)) if key else df
+                if key:
+                    df = df.select(*((surrogate_key(*parts).alias(c) if c == key else c) for c in columns))
+                    self._made[name] = df, {key: parts}
             elif self.materialize and name in _PERSISTED:
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._rel[name] = df
         return self._rel[name]
 
+    def made_keys(self, name: str) -> dict[str, tuple[str, ...]]:
+        """The surrogate keys of a relation that are made of its other columns on reading, with these columns."""
+        df, keys = self._made.get(name, (None, {}))
+        return keys if df is not None and df is self._rel.get(name) else {}
+
     # staging ----------------------------------------------------------
     def stg_listings(self):
         return self._get("stg_listings", lambda: B.stg_listings(self.raw("listings"), self.cfg))
@@ -131,8 +139,9 @@ class Warehouse:
         return self._get("int_host_verifications", lambda: B.int_host_verifications(self.stg_listings()))
 
     def int_listings(self):
+        # bound, only the listings of the calendar are made here: its nights are written for those who read ``stg_calendar`` itself
         return self._get("int_listings", lambda: B.int_listings(
-            self.stg_amenities_changelog(), self.stg_listings(), self.stg_calendar()))
+            self.stg_amenities_changelog(), self.stg_listings(), self.calendar_by_listing()))
 
     def listing_features(self):
         return self._get("listing_features", lambda: B.listing_features(self.int_listing_amenities(), self.cfg))
@@ -160,7 +169,12 @@ class Warehouse:
 
     # marts ------------------------------------------------------------
     def fct_listing_daily(self):
-        return self._get("fct_listing_daily", lambda: B.fct_listing_daily(self.int_listing_daily(), self.cfg))
+        def make():
+            df = B.fct_listing_daily(self.int_listing_daily(), self.cfg)
+            self._made["fct_listing_daily"] = df, self.made_keys("int_listing_daily")
+            return df
+
+        return self._get("fct_listing_daily", make)
 
     def fct_reservations(self):
         return self._get("fct_reservations", lambda: B.fct_reservations(

@@ -98,3 +98,10 @@ def test_the_daily_table_shuffles_no_night(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     above = plan[: plan.index("Generate explode(sequence(")]
     assert above.count("SortMergeJoin") == 2 and "Exchange" not in above
+
+
+def test_a_mart_writes_the_nights_once(spark):
+    wh = Warehouse(spark, SF)
+    wh.fct_listing_daily()
+    assert "stg_calendar" not in wh._rel and wh.int_listings().select("listing_id").exceptAll(wh.stg_calendar().select("listing_id").distinct()).count() == 0
+    wh.release()
