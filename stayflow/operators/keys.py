@@ -10,7 +10,7 @@ lists failing rows by the real keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,10 +52,28 @@ def _parts(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     return [F.xxhash64(F.lit(seed), nulls, *columns) for seed in (0, 1)]
 
 
-def check_keys(relations: dict[str, DataFrame], checks: Sequence[KeyCheck]) -> DataFrame:
-    """One row per check: check_name, failing_rows."""
+def _as_made(df: DataFrame, check: KeyCheck, made: dict[str, tuple[str, ...]]) -> KeyCheck:
+    """A unique check of a key that the row's other columns give, as a check of those, where they are one or two whole numbers or dates: each
+    combination of such values has a key of its own."""
+    parts = made.get(check.child_columns[0], ()) if check.kind == UNIQUE and len(check.child_columns) == 1 else ()
+    plain = all(isinstance(df.schema[p].dataType, (*_WHOLE, T.DateType)) for p in parts)
+    return replace(check, child_columns=parts) if 0 < len(parts) <= 2 and plain else check
+
+
+def check_keys(relations: dict[str, DataFrame], checks: Sequence[KeyCheck], made: dict[str, dict[str, tuple[str, ...]]] | None = None) -> DataFrame:
+    """One row per check: check_name, failing_rows.
+
+    ``made``: by relation, the surrogate keys that are made of other columns on reading, as {key: columns}. Rows share such a key where they
+    share these columns, so a unique check goes by them: numbers and dates shuffle small, while 128 bits of hash have no pattern. Checks that
+    ask the same of a relation are counted once."""
     if not checks:
         raise ValueError("no checks")
+    asked: dict[tuple, list[str]] = {}
+    for c in checks:
+        same = _as_made(relations[c.child], c, (made or {}).get(c.child, {})) if c.child in relations else c
+        asked.setdefault(tuple(getattr(same, f) for f in ("kind", "child", "child_columns", "parent", "parent_columns")), []).append(c.name)
+    names = [(i, n) for i, group in enumerate(asked.values()) for n in group]
+    checks = [KeyCheck(group[0], *what) for what, group in asked.items()]
     tagged = []
     for name, df in relations.items():
         rows = []
@@ -78,6 +96,5 @@ def check_keys(relations: dict[str, DataFrame], checks: Sequence[KeyCheck]) -> D
     failing = (F.when(kind(UNIQUE), (F.col("children") > 1).cast("long")).when(kind(ORPHAN_ROWS), F.when(orphan, F.col("children")))
                .otherwise(orphan.cast("long")))
     found = met.groupBy("c").agg(F.sum(failing).alias("found"))
-    spark = met.sparkSession
-    names = spark.createDataFrame([(i, c.name) for i, c in enumerate(checks)], "c int, check_name string")
-    return names.join(found, "c", "left").select("check_name", F.coalesce("found", F.lit(0)).cast("long").alias("failing_rows"))
+    return met.sparkSession.createDataFrame(names, "c int, check_name string").join(found, "c", "left").select(
+        "check_name", F.coalesce("found", F.lit(0)).cast("long").alias("failing_rows"))

@@ -251,7 +251,8 @@ def run_checks(wh: Warehouse, only: Sequence[str] | None = None) -> DataFrame:
     keyed = [c for c in selected if c.key is not None]
     if keyed:
         named = {n for c in keyed for n in (c.key.child, c.key.parent) if n}
-        found = check_keys({n: _relation(wh, n) for n in sorted(named)}, [c.key for c in keyed])
+        relations = {n: _relation(wh, n) for n in sorted(named)}
+        found = check_keys(relations, [c.key for c in keyed], {n: wh.made_keys(n) for n in relations})
         about = wh.spark.createDataFrame([(c.name, c.severity, c.relation) for c in keyed], "check_name string, severity string, relation string")
         parts.append(about.join(found, "check_name").select("check_name", "severity", "relation", "failing_rows"))
     for c in selected:

@@ -67,3 +67,27 @@ def test_blocks_are_one_query(spark):
 def test_nothing_to_check():
     with pytest.raises(ValueError):
         check_keys({}, [])
+
+
+def test_keys_made_on_reading_go_by_their_columns(spark):
+    wh = Warehouse.for_dir(spark, "/root/testdata/sf0.001")
+    keyed = [c.key for c in quality.checks(wh) if c.key is not None and c.key.kind == UNIQUE]
+    relations = {n: quality._relation(wh, n) for n in {c.child for c in keyed}}
+    made = {n: wh.made_keys(n) for n in relations}
+    assert made["fct_listing_daily"] == made["stg_calendar"] == {"calendar_id": ("listing_id", "calendar_date")} and made["dim_hosts"] == {}
+    out = check_keys(relations, keyed, made)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "calendar_id" not in plan and "md5(concat_ws(-, cast(listing_id" not in plan.split("stg_amenities")[0].split("reservation_id")[0]
+    assert {r.check_name: r.failing_rows for r in out.collect()} == {c.name: 0 for c in keyed}
+
+
+def test_made_keys_count_as_the_keys_themselves(spark):
+    from stayflow.functions.text import surrogate_key
+
+    rng = random.Random(5)
+    rows = [(rng.choice([None, *range(-12, 12)]), rng.choice([None, dt.date(2024, 1, 1 + rng.randrange(9))])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k long, d date").withColumn("id", surrogate_key("k", "d")).withColumn("s", F.col("d").cast("string")).withColumn("id2", surrogate_key("k", "s"))
+    checks = [KeyCheck("by_key", UNIQUE, "t", ("id",)), KeyCheck("by_text", UNIQUE, "t", ("id2",)), KeyCheck("grain", UNIQUE, "t", ("k", "d"))]
+    want = df.groupBy("id").count().where("count > 1").count()
+    got = check_keys({"t": df}, checks, {"t": {"id": ("k", "d"), "id2": ("k", "s")}})
+    assert {r.check_name: r.failing_rows for r in got.collect()} == {"by_key": want, "by_text": want, "grain": want} and want > 0
