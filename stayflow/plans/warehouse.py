@@ -81,7 +81,18 @@ class Warehouse:
         """The three raw rental tables. Bound to the driver's tables, the per-order
         and per-customer figures behind all three are landed once."""
         if self._raw is None:
-            days = self._get("order_days", lambda: testdata.order_days(self.spark, self.sf_dir))
+            kept = []
+
+            def keep(df):  # until the days are landed; in memory first, what does not fit goes to the executors' disks
+                if self.materialize:
+                    kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+                return df
+
+            try:
+                days = self._get("order_days", lambda: testdata.order_days(self.spark, self.sf_dir, keep))
+            finally:
+                for df in kept:
+                    df.unpersist()
             facts = self._get("order_facts", lambda: testdata.order_facts(self.spark, self.sf_dir))
             self._raw = {
                 "listings": testdata.raw_listings(self.spark, self.sf_dir, days, facts),
@@ -101,7 +112,7 @@ class Warehouse:
                 months = _PARTITION_BY.get(name, [])
                 if months and not dealt:  # writers in step with the shuffle partitions, whatever the number of tasks before
                     df = df.repartition(*months, F.pmod(F.xxhash64("listing_id"), F.lit(writers_per_month(self.spark))))
-                df.write.mode("overwrite").partitionBy(*months).parquet(path)
+                df.write.mode("overwrite").option("compression", "zstd").partitionBy(*months).parquet(path)
                 df = self.spark.read.schema(df.schema).parquet(path)
                 if key:
                     df = df.select(*((surrogate_key(*parts).alias(c) if c == key else c) for c in columns))
@@ -139,9 +150,13 @@ class Warehouse:
         return self._get("int_host_verifications", lambda: B.int_host_verifications(self.stg_listings()))
 
     def int_listings(self):
-        # bound, only the listings of the calendar are made here: its nights are written for those who read ``stg_calendar`` itself
-        return self._get("int_listings", lambda: B.int_listings(
-            self.stg_amenities_changelog(), self.stg_listings(), self.calendar_by_listing()))
+        # bound, the listings of the calendar are known without its nights
+        def make():
+            changelog, listings = self.stg_amenities_changelog(), self.stg_listings()
+            named = testdata.calendar_listings(self._rel["order_days"], self._rel["order_facts"]) if self._bound else self.stg_calendar()
+            return B.int_listings(changelog, listings, named)
+
+        return self._get("int_listings", make)
 
     def listing_features(self):
         return self._get("listing_features", lambda: B.listing_features(self.int_listing_amenities(), self.cfg))

@@ -26,6 +26,8 @@ through the years before the season in step with the first and last order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,7 @@ SEASON_DAYS = 121
 REVIEWS_START, ORDERS_START = "2022-01-01", "1995-01-01"
 PRIVATE_ROOM_BALANCE = 1000
 UNIT_STAYS, UNIT_STRIDE = 16, 10_000_000_000
+AMENITIES = ("click", "error", "purchase", "signup", "view")
 # a stay stands for about 20 nights of the calendar
 STAYS_PER_TASK = 30_000
 
@@ -46,15 +49,17 @@ def _dealt_by(order_id: Column) -> Column:
     return F.conv(F.substring(F.md5(order_id.cast("string")), 1, 7), 16, 10).cast("long")
 
 
-def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with items: its listing, first night, number of nights and amenity names."""
+def order_days(spark: SparkSession, sf_dir: str, kept: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """One row per order with items: its listing, first night, number of nights and amenity names. The orders with their items are read twice
+    (their number per customer, then themselves); ``kept`` may keep them in between. The names travel as one bit each."""
     items = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_returnflag", "l_linestatus", "l_quantity"])
-    amenity = (F.when(F.col("l_quantity") >= 46, "error").when(F.col("l_returnflag") == "R", "click")
-               .when(F.col("l_returnflag") == "A", "view").when(F.col("l_linestatus") == "O", "signup").otherwise("purchase"))
-    per_order = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).cast("int").alias("n_items"), F.collect_set(amenity).alias("names"))
-    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    wished = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        "o_custkey", F.col("o_orderkey").alias("order_id"), ((F.dayofyear("o_orderdate") - 1) % SEASON_DAYS).alias("wish"), "n_items", "names")
+    bit = {name: 1 << i for i, name in enumerate(AMENITIES)}
+    amenity = (F.when(F.col("l_quantity") >= 46, bit["error"]).when(F.col("l_returnflag") == "R", bit["click"])
+               .when(F.col("l_returnflag") == "A", bit["view"]).when(F.col("l_linestatus") == "O", bit["signup"]).otherwise(bit["purchase"]))
+    per_order = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).cast("int").alias("n_items"), F.bit_or(amenity).alias("bits"))
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"]).select(
+        "o_custkey", F.col("o_orderkey").alias("order_id"), ((F.dayofyear("o_orderdate") - 1) % SEASON_DAYS).alias("wish"))
+    wished = kept(orders.join(per_order, F.col("order_id") == F.col("l_orderkey")).drop("l_orderkey"))
     units = wished.groupBy(F.col("o_custkey").alias("_cust")).agg(F.ceil(F.count(F.lit(1)) / UNIT_STAYS).alias("units"))
     dealt = wished.join(units, F.col("o_custkey") == F.col("_cust")).withColumn(
         "listing_id", (F.col("o_custkey") + F.lit(UNIT_STRIDE) * (_dealt_by(F.col("order_id")) % F.col("units"))).cast("long"))
@@ -64,7 +69,8 @@ def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = F.sum("n_items").over(queue.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_items")
     begun = dealt.withColumn("before", before).withColumn(
         "begin", F.max(F.col("wish") - F.col("before")).over(queue.rowsBetween(Window.unboundedPreceding, 0)) + F.col("before"))
-    return begun.select("listing_id", "order_id", F.date_add(F.lit(SEASON_START).cast("date"), F.col("begin").cast("int")).alias("date"), "n_items", "names")
+    names = F.array_compact(F.array(*(F.when(F.col("bits").bitwiseAND(b) != 0, name) for name, b in bit.items())))
+    return begun.select("listing_id", "order_id", F.date_add(F.lit(SEASON_START).cast("date"), F.col("begin").cast("int")).alias("date"), "n_items", names.alias("names"))
 
 
 def listing_owners(days: DataFrame, facts: DataFrame) -> DataFrame:
@@ -101,11 +107,17 @@ def tasks_of(days: DataFrame) -> int:
     return max(int(days.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-days.count() // STAYS_PER_TASK))
 
 
-def raw_calendar(days: DataFrame, facts: DataFrame) -> DataFrame:
+def calendar_listings(days: DataFrame, facts: DataFrame) -> DataFrame:
+    """The listings that ``raw_calendar`` names, without its nights: every listing has the nights of the season, if there is a stay at all."""
+    begun = days.select(F.count("date") > 0).scalar()
+    return listing_owners(days, facts).where(begun).select("listing_id")
+
+
+def raw_calendar(days: DataFrame, facts: DataFrame, tasks: int | None = None) -> DataFrame:
     """Stays are dealt out by listing, and nights are made where they are: each stay gives its own nights and the open ones between the end
     of the stay before it and its own begin, the last one also those after it. So no night is shuffled, and whatever groups, joins or
     orders nights by listing after this finds a listing's nights in one task."""
-    tasks = tasks_of(days)
+    tasks = tasks or tasks_of(days)
     ends = days.select(F.struct(F.min("date").alias("lo"), F.max(F.date_add("date", F.col("n_items") - 1)).alias("hi"))).scalar()
     lo, hi = ends.getField("lo"), ends.getField("hi")
     listing = listing_owners(days, facts).repartition(tasks, "listing_id")

@@ -105,3 +105,35 @@ def test_a_mart_writes_the_nights_once(spark):
     wh.fct_listing_daily()
     assert "stg_calendar" not in wh._rel and wh.int_listings().select("listing_id").exceptAll(wh.stg_calendar().select("listing_id").distinct()).count() == 0
     wh.release()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stays_travel_with_bits_and_are_read_once(spark, tmp_dir):
+    orders = [(k % 3, k, dt.datetime(1995, 1, 1 + k)) for k in range(12)] + [(1, None, None), (None, 5, None)]
+    lines = [(k, flag, status, qty) for k in range(12) for flag, status, qty in
+             [("N", "O", 1.0), ("N", "F", 2.0), ("R", "F", 3.0), ("A", "F", 4.0), ("R", "O", 46.0), (None, None, None)][: k % 7]]
+    spark.createDataFrame(orders, "o_custkey long, o_orderkey long, o_orderdate timestamp_ntz").write.parquet(tmp_dir + "/t/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_returnflag string, l_linestatus string, l_quantity double").write.parquet(tmp_dir + "/t/lineitem.parquet")
+    kept = []
+    days = testdata.order_days(spark, tmp_dir + "/t", lambda df: kept.append(df.persist()) or kept[-1])
+    plan = _plan(days)
+    assert "collect_set" not in plan and len(kept) == 1 and plan.count("InMemoryTableScan") >= 2
+    names = ["signup", "purchase", "click", "view", "error", "purchase"]
+    assert {r.order_id: sorted(r.names) for r in days.collect()} == {k: sorted(set(names[: k % 7])) for k in range(12) if k % 7}
+    kept[0].unpersist()
+
+
+def test_listings_of_the_calendar_are_known_without_nights(spark):
+    form = "listing_id long, order_id long, date date, n_items int, names array<string>"
+    facts = spark.createDataFrame([(c, 3, 1, 1, 1, 1, dt.datetime(1995, 1, 1), dt.datetime(1996, 1, 1), 1000, "[]", 2.0) for c in (1, 2, 4)],
+                                  "o_custkey long, n_orders long, n_f long, n_o long, n_p long, n_urgent long, first_order timestamp_ntz, "
+                                  "last_order timestamp_ntz, list_cents long, priorities string, avg_priority double")
+    stays = [(1, 10, dt.date(2024, 1, 3), 2, ["view"]), (2 + testdata.UNIT_STRIDE, 21, None, 1, ["view"]), (None, 40, dt.date(2024, 1, 1), 2, ["view"]), (9, 50, None, 1, [])]
+    for some in (stays, [(*s[:2], None, *s[3:]) for s in stays], []):
+        days = spark.createDataFrame(some, form)
+        known = testdata.calendar_listings(days, facts)
+        assert {r.listing_id for r in known.collect()} == {r.listing_id for r in testdata.raw_calendar(days, facts).select("listing_id").distinct().collect()}
+        assert "explode" not in _plan(known)
