@@ -5,7 +5,8 @@ several consumers (the daily intermediate and the four marts) are written once
 as parquet under the shared checkpoint folder the cluster names and read back,
 which cuts lineage (an executor lost later recomputes from the written files,
 not from the raw tables) and gives later queries parquet column pruning and
-filter pushdown. Set ``materialize=False`` for a fully lazy plan.
+filter pushdown. Nights and reservations bound to the driver's tables are written
+bucketed by listing; their names in the session's catalog go with ``release``. Set ``materialize=False`` for a fully lazy plan.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ _PERSISTED = ("stg_listings", "int_listings", "listing_features", "listing_rollu
 # written partitioned (directory pruning for month filters at scale)
 _PARTITION_BY = {"int_listing_daily": ["month_start_date"]}
 
+# a listing's rows lie together where they are made and are written so (bucketed): whoever groups or joins them by listing needs no shuffle
+_BY_LISTING = ("int_listing_daily", "int_reservations")
+
 # at least so many writers per month; more as the cluster's shuffle partitions, which follow the size of the input, allow
 LEAST_WRITERS, MONTHS_AT_ONCE = 8, 4
 
@@ -64,6 +68,8 @@ class Warehouse:
         self._raw = raw
         self._bound = raw is None
         self._rel: dict[str, DataFrame] = {}
+        self._tasks = 0  # in which the nights of a bound build are made
+        self._tables: list[str] = []
         self._made: dict[str, tuple[DataFrame, dict[str, tuple[str, ...]]]] = {}
         self.build_id = uuid.uuid4().hex[:12]
 
@@ -94,9 +100,10 @@ class Warehouse:
                 for df in kept:
                     df.unpersist()
             facts = self._get("order_facts", lambda: testdata.order_facts(self.spark, self.sf_dir))
+            self._tasks = testdata.tasks_of(days)
             self._raw = {
                 "listings": testdata.raw_listings(self.spark, self.sf_dir, days, facts),
-                "calendar": testdata.raw_calendar(days, facts),
+                "calendar": testdata.raw_calendar(days, facts, self._tasks),
                 "amenities_changelog": testdata.raw_amenities_changelog(days),
             }
         return self._raw[name]
@@ -112,8 +119,15 @@ class Warehouse:
                 months = _PARTITION_BY.get(name, [])
                 if months and not dealt:  # writers in step with the shuffle partitions, whatever the number of tasks before
                     df = df.repartition(*months, F.pmod(F.xxhash64("listing_id"), F.lit(writers_per_month(self.spark))))
-                df.write.mode("overwrite").option("compression", "zstd").partitionBy(*months).parquet(path)
-                df = self.spark.read.schema(df.schema).parquet(path)
+                writer = df.write.mode("overwrite").option("compression", "zstd").partitionBy(*months)
+                if dealt and name in _BY_LISTING and self._tasks <= int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets")):
+                    table = f"spark_catalog.default.stayflow_{self.build_id}_{name}"
+                    writer.bucketBy(self._tasks, "listing_id").option("path", path).saveAsTable(table, format="parquet")
+                    self._tables.append(table)
+                    df = self.spark.table(table)
+                else:
+                    writer.parquet(path)
+                    df = self.spark.read.schema(df.schema).parquet(path)
                 if key:
                     df = df.select(*((surrogate_key(*parts).alias(c) if c == key else c) for c in columns))
                     self._made[name] = df, {key: parts}
@@ -127,6 +141,10 @@ class Warehouse:
         df, keys = self._made.get(name, (None, {}))
         return keys if df is not None and df is self._rel.get(name) else {}
 
+    @property
+    def _dealt(self) -> bool:
+        return self._bound and self.cfg.amenity_history == "latest"
+
     # staging ----------------------------------------------------------
     def stg_listings(self):
         return self._get("stg_listings", lambda: B.stg_listings(self.raw("listings"), self.cfg))
@@ -169,13 +187,13 @@ class Warehouse:
             features = self.listing_feature_history() if self.cfg.amenity_history == "in_force" else self.listing_features()
             return B.int_listing_daily(self.calendar_by_listing(), self.int_listings(), features, self.cfg)
 
-        return self._get("int_listing_daily", make, dealt=self._bound and self.cfg.amenity_history == "latest")
+        return self._get("int_listing_daily", make, dealt=self._dealt)
 
     def listing_rollup(self):
         return self._get("listing_rollup", lambda: B.listing_rollup(self.int_listing_daily()))
 
     def int_reservations(self):
-        return self._get("int_reservations", lambda: B.int_reservations(self.int_listing_daily()))
+        return self._get("int_reservations", lambda: B.int_reservations(self.int_listing_daily()), dealt=self._dealt)
 
     def int_hosts(self):
         return self._get("int_hosts", lambda: B.int_hosts(
@@ -218,6 +236,8 @@ class Warehouse:
         for name, df in self._rel.items():
             if name in _PERSISTED:
                 df.unpersist()
+        while self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop()}")  # its name; the files stay
         for key, wh in list(_CACHE.items()):
             if wh is self:
                 del _CACHE[key]

@@ -137,3 +137,21 @@ def test_listings_of_the_calendar_are_known_without_nights(spark):
         known = testdata.calendar_listings(days, facts)
         assert {r.listing_id for r in known.collect()} == {r.listing_id for r in testdata.raw_calendar(days, facts).select("listing_id").distinct().collect()}
         assert "explode" not in _plan(known)
+
+
+def test_nights_are_read_by_listing_without_a_shuffle(spark):
+    wh = Warehouse(spark, SF)
+    daily, stays = wh.int_listing_daily(), wh.int_reservations()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where listings are too many to broadcast
+    try:
+        for some in (daily.groupBy("listing_id").agg(F.count_distinct("price")), daily.groupBy("listing_id", "reservation_id").agg(F.sum("revenue")),
+                     daily.groupBy("listing_id", "calendar_date").count(), stays.groupBy("listing_id").count(),
+                     stays.join(daily.groupBy("listing_id").agg(F.max("price")), "listing_id")):
+            assert "Exchange" not in _plan(some)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    tables = [t.name for t in spark.catalog.listTables() if wh.build_id in t.name]
+    assert len(tables) == 2
+    wh.release()
+    assert not [t.name for t in spark.catalog.listTables() if wh.build_id in t.name]
