@@ -174,6 +174,15 @@ def listing_feature_history(changelog: DataFrame, cfg: BuildConfig) -> DataFrame
                           *(F.when(some, F.coalesce(has, F.lit(False))).alias(n) for n, has in flags.items()))
 
 
+def night_revenue() -> Column:
+    """What a night brings: its price, if it is booked."""
+    return F.when(~F.col("is_available"), F.col("price"))
+
+
+def check_out_date() -> Column:
+    return F.date_add("last_night_date", 1)
+
+
 def int_listing_daily(calendar: DataFrame, listings: DataFrame, features: DataFrame, cfg: BuildConfig) -> DataFrame:
     """``features``: ``listing_features``, or ``listing_feature_history`` with ``cfg.amenity_history = "in_force"``."""
     attrs = listings.select("listing_id", "listing_name", "neighborhood", "property_type", "room_type",
@@ -186,7 +195,7 @@ def int_listing_daily(calendar: DataFrame, listings: DataFrame, features: DataFr
         joined = interval_join(joined, features, "listing_id", "calendar_date", ["amenity_count", *cfg.fact_flags])
     else:
         joined = joined.join(features.select("listing_id", "amenity_count", *cfg.fact_flags), "listing_id", "left")
-    joined = joined.withColumn("revenue", F.when(~F.col("is_available"), F.col("price")))
+    joined = joined.withColumn("revenue", night_revenue())
     return joined.withColumn("month_start_date", month_start("calendar_date"))
 
 
@@ -206,7 +215,7 @@ def int_reservations(daily: DataFrame) -> DataFrame:
     return flagged.select(
         surrogate_key("listing_id", "reservation_id").alias("reservation_key"),
         "reservation_id", "listing_id", "check_in_date", "last_night_date",
-        F.date_add("last_night_date", 1).alias("check_out_date"),
+        check_out_date().alias("check_out_date"),
         "nights", "reservation_revenue", "avg_nightly_price", "is_deleted", "is_contiguous",
         "is_left_censored", "is_right_censored",
     )

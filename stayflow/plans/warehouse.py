@@ -12,9 +12,11 @@ bucketed by listing; their names in the session's catalog go with ``release``. S
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.functions.text import surrogate_key
@@ -34,7 +36,9 @@ _PERSISTED = ("stg_listings", "int_listings", "listing_features", "listing_rollu
 _PARTITION_BY = {"int_listing_daily": ["month_start_date"]}
 
 # a listing's rows lie together where they are made and are written so (bucketed): whoever groups or joins them by listing needs no shuffle
-_BY_LISTING = ("int_listing_daily", "int_reservations")
+_BY_LISTING = ("order_days", "int_listing_amenities", "int_listing_daily", "int_reservations")
+# of these, read by this build only: their names leave the catalog as soon as they are read back
+_UNNAMED = ("order_days", "int_listing_amenities")
 
 # at least so many writers per month; more as the cluster's shuffle partitions, which follow the size of the input, allow
 LEAST_WRITERS, MONTHS_AT_ONCE = 8, 4
@@ -54,6 +58,27 @@ _KEYS_ON_READ = {
     "fct_reservations": ("reservation_key", ("listing_id", "reservation_id")),
 }
 
+# other columns that their row's columns give and that cost more to keep on disk than to make again
+_MADE_ON_READ: dict[str, dict[str, Callable[[], Column]]] = {
+    "int_listing_daily": {"revenue": B.night_revenue},
+    "int_reservations": {"check_out_date": B.check_out_date},
+    "fct_reservations": {"check_out_date": B.check_out_date},
+}
+
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is written inside gives its shuffle files back as soon as it is written, not when the driver happens to collect its garbage.
+    (A Spark that has no such setting ignores it.)"""
+    before = spark.conf.get(_FREE_SHUFFLES, "false")
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
+
 
 _CACHE: dict[tuple, "Warehouse"] = {}
 
@@ -92,22 +117,31 @@ class Warehouse:
             def keep(df):  # until the days are landed; in memory first, what does not fit goes to the executors' disks
                 if self.materialize:
                     kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+                    self._tasks = testdata.tasks_of(df)
                 return df
 
+            def deal(df):  # into the tasks that make the nights
+                return df.repartition(self._tasks, "listing_id") if self.materialize else df
+
             try:
-                days = self._get("order_days", lambda: testdata.order_days(self.spark, self.sf_dir, keep))
+                days = self._get("order_days", lambda: testdata.order_days(self.spark, self.sf_dir, keep, deal), dealt=True)
             finally:
                 for df in kept:
                     df.unpersist()
             facts = self._get("order_facts", lambda: testdata.order_facts(self.spark, self.sf_dir))
-            self._tasks = testdata.tasks_of(days)
+            self._tasks = self._tasks or testdata.tasks_of(days)
             self._raw = {
                 "listings": testdata.raw_listings(self.spark, self.sf_dir, days, facts),
-                "calendar": testdata.raw_calendar(days, facts, self._tasks),
+                "calendar": testdata.raw_calendar(days, facts, self._tasks, self._bucketed),
                 "amenities_changelog": testdata.raw_amenities_changelog(days),
             }
         return self._raw[name]
 
+    @property
+    def _bucketed(self) -> bool:
+        """What is dealt by listing is written so; above the session's limit of buckets it is not."""
+        return self.materialize and self._tasks <= int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+
     def _get(self, name: str, make, dealt: bool = False) -> DataFrame:
         """``dealt``: the plan has its rows together by listing in tasks that follow the input; they are written from there."""
         if name not in self._rel:
@@ -115,21 +149,27 @@ class Warehouse:
             if self.materialize and name in _MATERIALIZED + _LANDED:
                 path = shared_dir(self.spark, "stayflow-builds", self.build_id, name)
                 columns, (key, parts) = df.columns, _KEYS_ON_READ.get(name, (None, ()))
-                df = df.drop(key) if key else df
+                others = _MADE_ON_READ.get(name, {})
+                df = df.drop(*others, *([key] if key else []))
                 months = _PARTITION_BY.get(name, [])
                 if months and not dealt:  # writers in step with the shuffle partitions, whatever the number of tasks before
                     df = df.repartition(*months, F.pmod(F.xxhash64("listing_id"), F.lit(writers_per_month(self.spark))))
                 writer = df.write.mode("overwrite").option("compression", "zstd").partitionBy(*months)
-                if dealt and name in _BY_LISTING and self._tasks <= int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets")):
-                    table = f"spark_catalog.default.stayflow_{self.build_id}_{name}"
-                    writer.bucketBy(self._tasks, "listing_id").option("path", path).saveAsTable(table, format="parquet")
-                    self._tables.append(table)
-                    df = self.spark.table(table)
-                else:
-                    writer.parquet(path)
-                    df = self.spark.read.schema(df.schema).parquet(path)
+                with shuffles_freed(self.spark):
+                    if dealt and name in _BY_LISTING and self._bucketed:
+                        table = f"spark_catalog.default.stayflow_{self.build_id}_{name}"
+                        writer.bucketBy(self._tasks, "listing_id").option("path", path).saveAsTable(table, format="parquet")
+                        self._tables.append(table)
+                        df = self.spark.table(table)
+                        if name in _UNNAMED:
+                            self._forget(table)
+                    else:
+                        writer.parquet(path)
+                        df = self.spark.read.schema(df.schema).parquet(path)
+                if key or others:
+                    made = {c: other() for c, other in others.items()} | ({key: surrogate_key(*parts)} if key else {})
+                    df = df.select(*(made[c].alias(c) if c in made else c for c in columns))
                 if key:
-                    df = df.select(*((surrogate_key(*parts).alias(c) if c == key else c) for c in columns))
                     self._made[name] = df, {key: parts}
             elif self.materialize and name in _PERSISTED:
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -160,9 +200,14 @@ class Warehouse:
     def stg_amenities_changelog(self):
         return self._get("stg_amenities_changelog", lambda: B.stg_amenities_changelog(self.raw("amenities_changelog")))
 
+    def changelog_by_listing(self):
+        """``stg_amenities_changelog`` for what goes through it listing by listing. Bound to the driver's tables it is made from the stays, which
+        lie by listing, so it need not be written for these readers, nor shuffled."""
+        return B.stg_amenities_changelog(self.raw("amenities_changelog")) if self._bound else self.stg_amenities_changelog()
+
     # intermediate -----------------------------------------------------
     def int_listing_amenities(self):
-        return self._get("int_listing_amenities", lambda: B.int_listing_amenities(self.stg_amenities_changelog()))
+        return self._get("int_listing_amenities", lambda: B.int_listing_amenities(self.changelog_by_listing()), dealt=self._bound)
 
     def int_host_verifications(self):
         return self._get("int_host_verifications", lambda: B.int_host_verifications(self.stg_listings()))
@@ -170,7 +215,7 @@ class Warehouse:
     def int_listings(self):
         # bound, the listings of the calendar are known without its nights
         def make():
-            changelog, listings = self.stg_amenities_changelog(), self.stg_listings()
+            changelog, listings = self.changelog_by_listing(), self.stg_listings()
             named = testdata.calendar_listings(self._rel["order_days"], self._rel["order_facts"]) if self._bound else self.stg_calendar()
             return B.int_listings(changelog, listings, named)
 
@@ -231,13 +276,17 @@ class Warehouse:
             self.relation(n).createOrReplaceTempView(n)
         return list(names)
 
+    def _forget(self, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")  # its name; the files stay
+        self._tables.remove(table)
+
     def release(self) -> None:
         """Drop what this build persisted (the written tables stay on shared storage)."""
         for name, df in self._rel.items():
             if name in _PERSISTED:
                 df.unpersist()
         while self._tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop()}")  # its name; the files stay
+            self._forget(self._tables[-1])
         for key, wh in list(_CACHE.items()):
             if wh is self:
                 del _CACHE[key]

@@ -49,9 +49,11 @@ def _dealt_by(order_id: Column) -> Column:
     return F.conv(F.substring(F.md5(order_id.cast("string")), 1, 7), 16, 10).cast("long")
 
 
-def order_days(spark: SparkSession, sf_dir: str, kept: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+def order_days(spark: SparkSession, sf_dir: str, kept: Callable[[DataFrame], DataFrame] = lambda df: df,
+               deal: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """One row per order with items: its listing, first night, number of nights and amenity names. The orders with their items are read twice
-    (their number per customer, then themselves); ``kept`` may keep them in between. The names travel as one bit each."""
+    (their number per customer, then themselves); ``kept`` may keep them in between. The names travel as one bit each. ``deal`` may deal them
+    out by listing in parts of its own; the queues and all rows given back then lie so."""
     items = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_returnflag", "l_linestatus", "l_quantity"])
     bit = {name: 1 << i for i, name in enumerate(AMENITIES)}
     amenity = (F.when(F.col("l_quantity") >= 46, bit["error"]).when(F.col("l_returnflag") == "R", bit["click"])
@@ -67,7 +69,7 @@ def order_days(spark: SparkSession, sf_dir: str, kept: Callable[[DataFrame], Dat
     # The window holds the stays of one listing.
     queue = Window.partitionBy("listing_id").orderBy("wish", "order_id")
     before = F.sum("n_items").over(queue.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_items")
-    begun = dealt.withColumn("before", before).withColumn(
+    begun = deal(dealt).withColumn("before", before).withColumn(
         "begin", F.max(F.col("wish") - F.col("before")).over(queue.rowsBetween(Window.unboundedPreceding, 0)) + F.col("before"))
     names = F.array_compact(F.array(*(F.when(F.col("bits").bitwiseAND(b) != 0, name) for name, b in bit.items())))
     return begun.select("listing_id", "order_id", F.date_add(F.lit(SEASON_START).cast("date"), F.col("begin").cast("int")).alias("date"), "n_items", names.alias("names"))
@@ -113,15 +115,16 @@ def calendar_listings(days: DataFrame, facts: DataFrame) -> DataFrame:
     return listing_owners(days, facts).where(begun).select("listing_id")
 
 
-def raw_calendar(days: DataFrame, facts: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Stays are dealt out by listing, and nights are made where they are: each stay gives its own nights and the open ones between the end
+def raw_calendar(days: DataFrame, facts: DataFrame, tasks: int | None = None, dealt: bool = False) -> DataFrame:
+    """``dealt``: the stays already lie by listing in ``tasks`` parts. Else stays are dealt out by listing, and nights are made where they are: each stay gives its own nights and the open ones between the end
     of the stay before it and its own begin, the last one also those after it. So no night is shuffled, and whatever groups, joins or
     orders nights by listing after this finds a listing's nights in one task."""
     tasks = tasks or tasks_of(days)
     ends = days.select(F.struct(F.min("date").alias("lo"), F.max(F.date_add("date", F.col("n_items") - 1)).alias("hi"))).scalar()
     lo, hi = ends.getField("lo"), ends.getField("hi")
     listing = listing_owners(days, facts).repartition(tasks, "listing_id")
-    stays = days.where("date IS NOT NULL").select("listing_id", F.col("order_id").alias("stay"), F.col("date").alias("begin"), "n_items").repartition(tasks, "listing_id")
+    stays = days.where("date IS NOT NULL").select("listing_id", F.col("order_id").alias("stay"), F.col("date").alias("begin"), "n_items")
+    stays = stays if dealt else stays.repartition(tasks, "listing_id")
     queue = Window.partitionBy("listing_id").orderBy("begin")  # the stays of one listing never meet; a listing without stays has one row
     free = F.date_add("begin", F.col("n_items"))
     both = listing.join(stays, "listing_id", "left").withColumn("free_from", F.coalesce(F.lag(free).over(queue), lo)).withColumn(

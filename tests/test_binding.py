@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 import random
+import time
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -155,3 +156,53 @@ def test_nights_are_read_by_listing_without_a_shuffle(spark):
     assert len(tables) == 2
     wh.release()
     assert not [t.name for t in spark.catalog.listTables() if wh.build_id in t.name]
+
+
+def test_stays_are_written_by_listing_and_shuffled_no_more(spark):
+    wh = Warehouse(spark, SF)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        calendar, amenities = _plan(wh.raw("calendar")), _plan(build.int_listing_amenities(wh.changelog_by_listing()))
+        features = _plan(build.listing_features(wh.int_listing_amenities(), wh.cfg))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not [line for line in calendar.splitlines() if "Exchange" in line and "order_id" in line or "REPARTITION_BY_NUM" in line and "n_items" in line]
+    assert "Exchange" not in amenities and "Exchange" not in features
+    days = wh._rel["order_days"]
+    assert days.groupBy("listing_id").count().count() == days.select("listing_id").distinct().count() > 0
+    wh.fct_reservations()
+    assert "stg_amenities_changelog" not in wh._rel  # nothing in this mart reads it but by listing
+    assert wh.changelog_by_listing().exceptAll(wh.stg_amenities_changelog()).count() == 0
+    wh.release()
+
+
+def test_columns_made_on_reading_are_not_written(spark):
+    wh = Warehouse(spark, SF)
+    daily, stays, mart = wh.int_listing_daily(), wh.int_reservations(), wh.fct_reservations()
+    for df, column in ((daily, "revenue"), (stays, "check_out_date"), (mart, "check_out_date")):
+        files = [f for f in df.inputFiles()]
+        assert files and column in df.columns and column not in spark.read.parquet(files[0]).columns
+    lazy = Warehouse(spark, SF, materialize=False)
+    for df, other in ((daily, lazy.int_listing_daily()), (stays, lazy.int_reservations()), (mart, lazy.fct_reservations())):
+        assert df.schema.simpleString() == other.schema.simpleString()
+        assert df.exceptAll(other).count() == 0 and other.exceptAll(df).count() == 0
+    wh.release()
+
+
+def test_a_written_relation_gives_its_shuffle_files_back(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().endswith(".data")}
+
+    wh, there = Warehouse(spark, SF), files()
+    counted = spark.range(5000).groupBy((F.col("id") % 97).alias("listing_id")).count()
+    wh._get("stg_calendar", lambda: counted)
+    for _ in range(50):
+        if files() <= there:
+            break
+        time.sleep(0.2)
+    assert files() <= there and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert wh._rel["stg_calendar"].count() == 97
